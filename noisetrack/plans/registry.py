@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from noisetrack.plans import core, files, models, streams  # noqa: F401  these register their queries in core
+
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return core.cube_noise(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(core.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(core.ORACLE)
