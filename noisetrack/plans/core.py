@@ -534,7 +534,7 @@ def energy_sum_db(spark, sf_dir):
 _LEVEL = f"(CASE WHEN coalesce(s.baro_altitude_m, 0.0) > 800 THEN 139.0 ELSE 132.0 END - 20 * log10(greatest(1000 * {G.slant_km(G.haversine_km('n.st_lat', 'n.st_lon', 's.latitude', 's.longitude'), 'coalesce(s.baro_altitude_m, 0.0)')}, 50.0)) - 8)"
 
 
-@query(with_views(f"SELECT event_id, round(10 * log10(sum(pow(10.0, l / 10)) + pow(10.0, max(a) / 10)), 6) AS level_db, round(max(l), 6) AS max_level_db, round(max(p), 6) AS profile, round(max(c), 6) AS curfew FROM (SELECT n.event_id, {_LEVEL} AS l, CASE WHEN n.hour >= 6 AND n.hour < 22 THEN 44.0 ELSE 39.0 END AS a, {acoustic.HOURLY_PROFILE}[n.hour + 1] AS p, CASE WHEN n.hour >= 23 OR n.hour < 6 THEN CASE WHEN n.airport = 'ORY' THEN 0.0 ELSE 0.25 END ELSE 1.0 END AS c FROM noise n JOIN states s ON abs(s.snapshot_ts - n.t) <= 45) GROUP BY event_id", states=True, noise_=True))
+@query(with_views(f"SELECT event_id, round(10 * log10(sum(pow(10.0, l / 10)) + pow(10.0, max(a) / 10)), 6) AS level_db, round(max(l), 6) AS max_level_db, round(max(p), 6) AS profile, round(max(c), 6) AS curfew FROM (SELECT n.event_id, {_LEVEL} AS l, CASE WHEN n.hour >= 6 AND n.hour < 22 THEN 44.0 ELSE 39.0 END AS a, CAST({acoustic.HOURLY_PROFILE}[n.hour + 1] AS DOUBLE) AS p, CASE WHEN n.hour >= 23 OR n.hour < 6 THEN CASE WHEN n.airport = 'ORY' THEN 0e0 ELSE 0.25e0 END ELSE 1e0 END AS c FROM noise n JOIN states s ON abs(s.snapshot_ts - n.t) <= 45) GROUP BY event_id", states=True, noise_=True))
 def physics_level(spark, sf_dir):
     events = noise(spark, sf_dir).select("event_id", "st_lat", "st_lon", "t", "hour", "airport")
     near = joins.interval_join(events, states(spark, sf_dir).select("snapshot_ts", "latitude", "longitude", F.coalesce("baro_altitude_m", F.lit(0.0)).alias("altitude_m")), "t", "snapshot_ts", 45)
