@@ -1,9 +1,10 @@
 """Exact duplicates: a 128-bit content hash groups, bytes decide, one stable id stays.
 
 Only a thin table (id, hash) is grouped; counts and ids are pre-aggregated before the shuffle, so a hot group costs one
-row a task.  Full texts are shuffled once, by a join whose skewed keys Spark can split; texts of groups of two or more
-are compared byte by byte with the text of their group's representative.  A row that differs (a hash collision) goes
-into a group of its own text.
+row a task.  The hashes of groups of two or more then pick the rows that have copies, and only their texts are stored and
+shuffled: each is compared byte by byte with the text of its group's representative, in a join whose skewed keys Spark can
+split.  A row that differs (a hash collision) goes into a group of its own text.  The group table is broadcast up to
+``BROADCAST_GROUPS`` rows (some 20 MB) and joined by a shuffle beyond.
 
 Edge cases: null texts equal the empty text; a row without doc_id stays only if its whole group has none; repeated rows
 (same id and text) are members of the group each, ``kept`` marks them alike and ``drop_duplicates`` returns one of them;
@@ -15,29 +16,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noisetrack.llm.common import ascii_lower
+from noisetrack.llm.common import ascii_lower, stored
 
+BROADCAST_GROUPS = 200_000
 
-def find_duplicates(docs: DataFrame, keep: str = "max", extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 and the ``extra`` columns.
+
+def find_duplicates(docs: DataFrame, keep: str = "max", row: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, and with ``row`` all columns as the
+    struct ``_row``.
 
     ``keep``: "min" or "max", which id of a group stays.
     """
     best = {"min": F.min, "max": F.max}[keep]
-    text = ascii_lower(F.col("text"))
-    thin = docs.select("doc_id", F.md5(text.cast("binary")).alias("hash"))
-    groups = thin.groupBy("hash").agg(best("doc_id").alias("rep_id"), F.count("*").alias("n")).where("n > 1")
-    rows = docs.select("doc_id", text.alias("norm"), F.md5(text.cast("binary")).alias("hash"), F.sha2(text.cast("binary"), 256).alias("text_sha256"), *extra)
-    rows = rows.join(groups, "hash", "left")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    norm = ascii_lower(F.col("_row.text") if row else F.col("text"))
+    rows = docs.select(F.col("doc_id"), whole.alias("_row")) if row else docs.select("doc_id", "text")
+    rows = rows.withColumn("hash", F.md5(norm.cast("binary")))
+    extra = ["_row"] if row else []
 
-    single = rows.where(F.col("n").isNull()).select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", *extra
-    )
-    copies = rows.where(F.col("n").isNotNull())
-    representatives = copies.where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("hash", F.col("norm").alias("rep_norm")).dropDuplicates(["hash"])
+    groups = stored(rows.groupBy("hash").agg(best("doc_id").alias("rep_id"), F.count("*").alias("group_size")).where("group_size > 1"), "dedup-groups")
+    side = F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+    sha = F.sha2(norm.cast("binary"), 256).alias("text_sha256")
+    single = rows.join(side, "hash", "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha, *extra)
+
+    copies = stored(rows.join(side, "hash"), "dedup-copies")
+    representatives = copies.where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("hash", norm.alias("rep_norm")).dropDuplicates(["hash"])
     # Null where the bytes equal the representative's; else the differing text itself.
-    copies = copies.join(representatives, "hash", "left").withColumn("other", F.when(F.col("norm") != F.col("rep_norm"), F.col("norm")))
-    copies = copies.select("doc_id", "hash", "other", "text_sha256", *extra)
+    copies = copies.join(representatives, "hash", "left").select("doc_id", "hash", F.when(norm != F.col("rep_norm"), norm).alias("other"), sha, *extra)
     classes = copies.groupBy("hash", "other").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     classes = classes.withColumnsRenamed({"hash": "class_hash", "other": "class_other"})
     copies = copies.join(classes, (F.col("hash") == F.col("class_hash")) & F.col("other").eqNullSafe(F.col("class_other"))).select(
@@ -48,13 +53,9 @@ def find_duplicates(docs: DataFrame, keep: str = "max", extra: tuple[str, ...] =
 
 def drop_duplicates(docs: DataFrame, keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    names = docs.columns
-    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    found = find_duplicates(packed, keep, ("_row",)).where("kept")
-    single = found.where("group_size = 1")
-    # Repeated rows of the id that stays.
-    copies = found.where("group_size > 1").dropDuplicates(["doc_id", "text_sha256"])
-    return single.unionByName(copies).select(*[F.col("_row")[c].alias(c) for c in names])
+    found = find_duplicates(docs, keep, row=True).where("kept")
+    copies = found.where("group_size > 1").dropDuplicates(["doc_id", "text_sha256"])  # repeated rows of the id that stays
+    return found.where("group_size = 1").unionByName(copies).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 ORACLE = """
