@@ -108,7 +108,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 def within_radius(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, near_group): for each distinct fingerprint the smallest one it reaches by steps of at most ``radius`` bits."""
-    distinct = fps.select("fp").distinct()
+    distinct = stored(fps.select("fp").distinct(), "fingerprints-distinct")
     found = components(links(block_keys(distinct, BITS, radius), BITS, radius)).withColumnRenamed("node", "fp")
     return distinct.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("near_group"))
 

@@ -172,17 +172,17 @@ def links(candidates: DataFrame, bits: int, radius: int) -> DataFrame:
     """(a, b) pairs of linked fingerprints, a spanning forest of each bucket of ``candidates`` (key, fp; ``fp`` distinct in
     a bucket)."""
     spark = candidates.sparkSession
-    candidates = stored(candidates, "hamming-candidates")
-    n = candidates.count()
-    big = stored(candidates.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "hamming-big")
-    n_big = big.count()
-    if n_big:
+    counts = candidates.groupBy("key").agg(F.count("*").alias("n"))
+    size = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > TILE).alias("big")).first()
+    n = size["n"] or 0
+    if size["big"]:
+        big = stored(counts.where(F.col("n") > TILE), "hamming-big")
         # As many keys as fit a proven bound are broadcast; more are joined by a shuffle.
-        split = candidates.join(F.broadcast(big) if n_big <= BROADCAST_KEYS else big, "key", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / TILE), F.lit(1)))
+        split = candidates.join(F.broadcast(big) if size["big"] <= BROADCAST_KEYS else big, "key", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / TILE), F.lit(1)))
         split = split.withColumn("t", F.pmod(F.xxhash64("fp"), F.col("tiles"))).withColumn("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         one = F.col("tiles") == 1
         candidates = split.select(F.when(one, F.col("key")).otherwise(F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u"))).alias("key"), "fp")
-        n = int(candidates.count())
+        n += big.agg(F.sum(F.col("n") * F.ceil(F.col("n") / TILE))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_TASK))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -81,7 +81,7 @@ def with_components(marked: DataFrame, candidates: DataFrame, bits: int, radius:
 def near_groups(docs: DataFrame, shingle_words: int = 3, radius: int = 3, equal: int = 2) -> DataFrame:
     """doc_id, fp and component_id of each row."""
     marked = stored(shingle_fingerprints(docs, shingle_words), "simhash")
-    keys = block_keys(marked.select("fp").distinct(), 64, radius, equal)
+    keys = block_keys(stored(marked.select("fp").distinct(), "simhash-distinct"), 64, radius, equal)
     return with_components(marked, keys, 64, radius)
 
 
@@ -127,7 +127,8 @@ def similar_groups(docs: DataFrame, shingle_words: int = 5, bits: int = 512, rad
     """doc_id, fp and component_id of each row, linked at a similarity of about 0.8 (see above); the radius is where a
     pair of 0.8 lies with some allowance for the error of the estimate."""
     marked = stored(wide_fingerprints(docs, shingle_words, bits, bands, rows), "simhash-wide")
-    keys = marked.select(F.explode("keys").alias("key"), "fp").distinct()
+    distinct = stored(marked.select("fp", "keys").dropDuplicates(), "simhash-distinct")
+    keys = distinct.select(F.explode("keys").alias("key"), "fp")
     return with_components(marked.select("doc_id", "fp"), keys, bits, radius)
 
 
