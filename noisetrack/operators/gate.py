@@ -39,11 +39,13 @@ def gate_join(events: DataFrame, states: DataFrame) -> DataFrame:
         "slant", "icao24", F.col("last_callsign").alias("callsign"), (F.col("horiz") / 1000).alias("horiz"), "alt", "method",
         geo.bearing_deg(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon")).alias("bearing"), geo.elevation_deg(F.col("horiz"), F.col("alt")).alias("elevation"),
     )
-    # Two smallest without a sort of all: the minimum, and the minimum of the others.
-    first = placed.groupBy("event_id").agg(F.min(row).alias("x"), F.count("*").alias("n_cand"))
-    second = placed.join(first.select("event_id", F.col("x.icao24").alias("_best")), "event_id").where(F.col("icao24") != F.col("_best")).groupBy("event_id").agg(F.min("slant").alias("second_slant_km"))
+    # Nearest, second nearest and number of an event's candidates in one pass over them.
+    by = Window.partitionBy("event_id")
+    order = by.orderBy("slant", "icao24")
+    ranked = placed.select("event_id", row.alias("x"), F.count("*").over(by).alias("n_cand"), F.lead("slant").over(order).alias("second_slant_km"), F.row_number().over(order).alias("_rank"))
+    first = ranked.where("_rank = 1").drop("_rank")
     nearby = asof_nearest(inside, states, BRACKET_S).select("event_id", "gap_s")
-    out = inside.join(nearby, "event_id").join(first, "event_id", "left").join(second, "event_id", "left")
+    out = inside.join(nearby, "event_id").join(first, "event_id", "left")
     near, alone = F.col("x.slant") <= SLANT_KM, F.col("second_slant_km").isNull() | (F.col("second_slant_km") - F.col("x.slant") >= MARGIN_KM)
     status = F.when(F.col("gap_s").isNull(), "no_snapshot").when(F.col("x").isNull(), "no_candidate").when(near & alone, "clean").when(near, "ambiguous").otherwise("far")
     return out.select(
