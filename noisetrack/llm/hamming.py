@@ -8,7 +8,8 @@ task holds a whole hot bucket, and every pair still meets.
 A task sorts its rows by key and stores the fingerprints as bit planes.  All rows are compared with their d-th successor
 in the bucket at once, 64 lanes a word: the planes' differences are summed by carry-save counters, and a block of planes
 is the last one looked at if all lanes exceed the radius by then.  Of the pairs found only a spanning forest of each
-bucket is returned, at most one row a member, never all pairs.
+bucket is returned, at most one row a member, never all pairs.  Where pairs are to be verified afterwards, ``closest``
+returns pairs as they were found: all of a small bucket, and of a large one a forest of the closest, at most two a member.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from noisetrack.llm.common import stored
 
-TILE = 2048
+TILE, CLOSE_TILE, SMALL = 2048, 512, 32
 ROWS_PER_TASK = 400_000
 BROADCAST_KEYS = 100_000
 PLANES_PER_BLOCK = 16
@@ -168,21 +169,54 @@ def forest(keys: np.ndarray, rows: np.ndarray, radius: int) -> np.ndarray:
     return label
 
 
-def links(candidates: DataFrame, bits: int, radius: int) -> DataFrame:
-    """(a, b) pairs of linked fingerprints, a spanning forest of each bucket of ``candidates`` (key, fp; ``fp`` distinct in
-    a bucket)."""
+def closest_pairs(keys: np.ndarray, rows: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of buckets of ``SMALL`` rows or fewer; of larger ones a spanning forest by increasing distance."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(starts, len(keys)))
+    few = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+    if len(few):
+        for i, j in Lanes(keys[few], rows[few], radius).pairs():
+            yield few[i], few[j]
+    for start, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+        own = rows[start : start + size]
+        found = [(i.astype(np.int32), j.astype(np.int32), np.bitwise_count(own[i] ^ own[j]).sum(1, dtype=np.int16)) for i, j in Lanes(np.zeros(size, np.int64), own, radius).pairs()]
+        if not found:
+            continue
+        i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+        label = np.arange(size)
+        for d in np.unique(distance):
+            a, b = i[distance == d], j[distance == d]
+            while len(a):
+                la, lb = label[a], label[b]
+                open_ = la != lb
+                a, b, la, lb = a[open_], b[open_], la[open_], lb[open_]
+                if not len(a):
+                    break
+                # The first pair of each part joins it to another.
+                _, first = np.unique(np.concatenate([la, lb]), return_index=True)
+                chosen = np.unique(first % len(a))
+                yield start + a[chosen], start + b[chosen]
+                np.minimum.at(label, np.maximum(la, lb)[chosen], np.minimum(la, lb)[chosen])
+                while not np.array_equal(up := label[label], label):
+                    label = up
+
+
+def links(candidates: DataFrame, bits: int, radius: int, closest: bool = False) -> DataFrame:
+    """(a, b) pairs of linked fingerprints, a spanning forest of each bucket of ``candidates`` (key, fp); with ``closest``
+    pairs that were themselves found within the radius."""
+    tile = CLOSE_TILE if closest else TILE
     spark = candidates.sparkSession
     counts = candidates.groupBy("key").agg(F.count("*").alias("n"))
-    size = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > TILE).alias("big")).first()
+    size = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > tile).alias("big")).first()
     n = size["n"] or 0
     if size["big"]:
-        big = stored(counts.where(F.col("n") > TILE), "hamming-big")
+        big = stored(counts.where(F.col("n") > tile), "hamming-big")
         # As many keys as fit a proven bound are broadcast; more are joined by a shuffle.
-        split = candidates.join(F.broadcast(big) if size["big"] <= BROADCAST_KEYS else big, "key", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / TILE), F.lit(1)))
+        split = candidates.join(F.broadcast(big) if size["big"] <= BROADCAST_KEYS else big, "key", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)))
         split = split.withColumn("t", F.pmod(F.xxhash64("fp"), F.col("tiles"))).withColumn("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         one = F.col("tiles") == 1
         candidates = split.select(F.when(one, F.col("key")).otherwise(F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u"))).alias("key"), "fp")
-        n += big.agg(F.sum(F.col("n") * F.ceil(F.col("n") / TILE))).first()[0]
+        n += big.agg(F.sum(F.col("n") * F.ceil(F.col("n") / tile))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_TASK))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,11 +229,15 @@ def links(candidates: DataFrame, bits: int, radius: int) -> DataFrame:
         keys, rows = keys[some], rows[some]
         order = np.lexsort([*rows.T[::-1], keys])
         keys, rows = keys[order], rows[order]
-        label = forest(keys, rows, radius)
-        joined = np.flatnonzero(label != np.arange(len(label)))
-        for at in range(0, len(joined), 20_000):
-            i = joined[at : at + 20_000]
-            yield pa.RecordBatch.from_arrays([binary_array(rows[i]), binary_array(rows[label[i]])], ["a", "b"])
+        if closest:
+            pairs = closest_pairs(keys, rows, radius)
+        else:
+            label = forest(keys, rows, radius)
+            joined = np.flatnonzero(label != np.arange(len(label)))
+            pairs = iter([(joined, label[joined])])
+        for i, j in pairs:
+            for at in range(0, len(i), 20_000):
+                yield pa.RecordBatch.from_arrays([binary_array(rows[i[at : at + 20_000]]), binary_array(rows[j[at : at + 20_000]])], ["a", "b"])
 
     return candidates.repartition(parts, "key").mapInArrow(run, "a binary, b binary")
 

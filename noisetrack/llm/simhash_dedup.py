@@ -6,8 +6,10 @@ connected to.
 
 Texts as alike as 0.8 (five-word shingles) differ in some 10 of 64 bits, where block tables have no selective keys.  For
 that case ``drop_near_duplicates`` uses wide fingerprints (512 bits) and min-wise hashes of the shingles as keys: documents
-that share one of the bands meet in a bucket, where the same bit-sliced comparison decides by distance.  At 0.8, a pair
-shares a band with probability 0.998; 512 bits tell the similarity to about 0.03.
+that share one of the bands meet in a bucket, where the same bit-sliced comparison picks pairs by distance, and the pairs
+are verified on their sets of shingles.  A pair of 0.8 shares a band with probability 0.998 and lies within the radius with
+0.997.  In buckets of more than 32 the pairs are a forest of the closest, so a link is lost only where a farther pair is
+0.8 and a closer one that joins the same parts is not.
 
 Equal fingerprints are one node, so a group of copies costs a row however large it is.
 
@@ -29,8 +31,7 @@ from pyspark.sql import functions as F
 from noisetrack.llm.common import column_bytes, stored
 from noisetrack.llm.hamming import binary_array, block_keys, components, links, mixed
 
-SEED = 42
-ROWS_AT_ONCE = 4096
+SEED, ROWS_AT_ONCE, BROADCAST_NODES = 42, 4096, 100_000
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -69,9 +70,9 @@ def shingle_fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary")
 
 
-def with_components(marked: DataFrame, candidates: DataFrame, bits: int, radius: int) -> DataFrame:
+def with_components(marked: DataFrame, edges: DataFrame) -> DataFrame:
     """Adds component_id to rows (doc_id, fp): the smallest doc_id of all rows whose fingerprints are connected."""
-    found = components(links(candidates, bits, radius))
+    found = components(edges)
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -82,7 +83,7 @@ def near_groups(docs: DataFrame, shingle_words: int = 3, radius: int = 3, equal:
     """doc_id, fp and component_id of each row."""
     marked = stored(shingle_fingerprints(docs, shingle_words), "simhash")
     keys = block_keys(stored(marked.select("fp").distinct(), "simhash-distinct"), 64, radius, equal)
-    return with_components(marked, keys, 64, radius)
+    return with_components(marked, links(keys, 64, radius))
 
 
 class MinHash:
@@ -105,8 +106,8 @@ class MinHash:
         return key
 
 
-def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int) -> DataFrame:
-    """id, fp (``bits`` bits) and keys (one for each band) of each row of ``docs`` (id, text)."""
+def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int, sets: bool = False) -> DataFrame:
+    """doc_id, fp (``bits`` bits) and keys of each row: one for each band, or with ``sets`` the distinct shingles."""
     words = bits // 64
     steps = mixed(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -117,19 +118,33 @@ def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int
             for text in column_bytes(batch, "text"):
                 h = shingle_hashes(text, shingle_words)
                 fps.append(majority(mixed(h[:, None] + steps)))
-                keys.append(minhash.keys(h).view(np.int64))
+                keys.append((np.unique(h) if sets else minhash.keys(h)).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(fps), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "fp", "keys"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary, keys array<long>")
 
 
-def similar_groups(docs: DataFrame, shingle_words: int = 5, bits: int = 512, radius: int = 90, bands: int = 16, rows: int = 5) -> DataFrame:
-    """doc_id, fp and component_id of each row, linked at a similarity of about 0.8 (see above); the radius is where a
-    pair of 0.8 lies with some allowance for the error of the estimate."""
+def verified(docs: DataFrame, pairs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int, least: float) -> DataFrame:
+    """The pairs (a, b) of fingerprints whose texts' sets of shingles have a Jaccard similarity of ``least`` or more.  Sets
+    are made for texts that are in a pair only."""
+    pairs = stored(pairs.distinct(), "simhash-pairs")
+    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "simhash-nodes")
+    few = nodes.count() <= BROADCAST_NODES
+    sets = wide_fingerprints(docs, shingle_words, bits, bands, rows, sets=True)
+    sets = sets.join(F.broadcast(nodes) if few else nodes, sets["fp"] == nodes["node"], "left_semi").dropDuplicates(["fp"])
+    sets = stored(sets.select("fp", "keys"), "simhash-sets")
+    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("keys").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("keys").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common >= least * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+
+def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8, bits: int = 512, radius: int = 100, bands: int = 16, rows: int = 5) -> DataFrame:
+    """doc_id, fp and component_id of each row, linked at a similarity of ``least`` or more (see above)."""
     marked = stored(wide_fingerprints(docs, shingle_words, bits, bands, rows), "simhash-wide")
     distinct = stored(marked.select("fp", "keys").dropDuplicates(), "simhash-distinct")
     keys = distinct.select(F.explode("keys").alias("key"), "fp")
-    return with_components(marked.select("doc_id", "fp"), keys, bits, radius)
+    pairs = links(keys, bits, radius, closest=True).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return with_components(marked.select("doc_id", "fp"), verified(docs, pairs, shingle_words, bits, bands, rows, least))
 
 
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
