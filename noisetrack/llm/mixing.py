@@ -22,7 +22,7 @@ from noisetrack.llm.common import stored
 DIMENSIONS = ("source", "lang", "topic")
 #: Exponents that flatten each marginal: 1 keeps the shares as they are, 0 makes them equal.
 FLATTEN = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-ROUNDS, SCALE_ROUNDS, KEEP = 6, 8, 0.6
+ROUNDS, SCALE_ROUNDS, KEEP, CELLS_PER_TASK = 6, 8, 0.6, 200_000
 
 
 def n_tokens(text: Column) -> Column:
@@ -53,8 +53,9 @@ def described(docs: DataFrame) -> DataFrame:
     return rows.withColumn("_topic", topic(F.col("_text"), F.col("_tokens"))).drop("_text")
 
 
-def rake(cells: DataFrame, flatten: dict[str, float] = FLATTEN, rounds: int = ROUNDS) -> DataFrame:
-    """Adds ``weight`` to the cells (one row per source, lang, topic with ``tokens``)."""
+def rake(cells: DataFrame, flatten: dict[str, float] = FLATTEN, rounds: int = ROUNDS, parts: int = 1) -> DataFrame:
+    """Adds ``weight`` to the cells (one row per source, lang, topic with ``tokens``), in ``parts`` partitions."""
+    cells = cells.coalesce(parts)
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
     out = cells.withColumn("weight", F.col("tokens"))
     for dim in DIMENSIONS:
@@ -66,7 +67,7 @@ def rake(cells: DataFrame, flatten: dict[str, float] = FLATTEN, rounds: int = RO
             sums = out.groupBy(dim).agg(F.sum("weight").alias("now"))
             out = out.join(sums, dim).withColumn("weight", F.when(F.col("now") > 0, F.col("weight") * F.col(f"target_{dim}") / F.col("now")).otherwise(0.0)).drop("now")
         if k % 2:
-            out = out.checkpoint()
+            out = stored(out, "mixing-round").coalesce(parts)
     return out
 
 
@@ -90,8 +91,13 @@ def decide(docs: DataFrame, flatten: dict[str, float] = FLATTEN, keep: float = K
     rows = described(docs)
     cells = rows.groupBy(*[F.col(f"_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("_tokens").cast("double").alias("tokens"))
     cells = stored(cells, "mixing-cells")
-    cells = keep_probabilities(stored(rake(cells, flatten), "mixing-raked"), keep).select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], "ratio", "keep_prob")
-    return rows.join(cells, [f"_{d}" for d in DIMENSIONS]).withColumn("kept", uniform(F.col("_id")) < F.col("keep_prob"))
+    # Cells don't grow with the documents; in one partition (200,000 cells) no round needs a shuffle.
+    n_cells = cells.count()
+    parts = max(1, -(-n_cells // CELLS_PER_TASK))
+    cells = keep_probabilities(stored(rake(cells, flatten, parts=parts), "mixing-raked"), keep).select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], "ratio", "keep_prob")
+    # So many cells are some 20 MB; more are joined by a shuffle.
+    side = F.broadcast(cells) if n_cells <= CELLS_PER_TASK else cells
+    return rows.join(side, [f"_{d}" for d in DIMENSIONS]).withColumn("kept", uniform(F.col("_id")) < F.col("keep_prob"))
 
 
 def sample_documents(docs: DataFrame, flatten: dict[str, float] = FLATTEN, keep: float = KEEP) -> DataFrame:
