@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from noisetrack.llm.common import column_bytes, stored
 from noisetrack.llm.hamming import binary_array, block_keys, components, links, mixed
 
-SEED, ROWS_AT_ONCE, BROADCAST_NODES = 42, 4096, 100_000
+SEED, ROWS_AT_ONCE, BROADCAST_ROWS = 42, 4096, 300_000
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -124,15 +124,20 @@ def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary, keys array<long>")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int, least: float) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast up to ``BROADCAST_ROWS`` rows of ids or fingerprints (some 50 MB), joined by a shuffle beyond."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def verified(docs: DataFrame, marked: DataFrame, pairs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int, least: float) -> DataFrame:
     """The pairs (a, b) of fingerprints whose texts' sets of shingles have a Jaccard similarity of ``least`` or more.  Sets
     are made for texts that are in a pair only."""
     pairs = stored(pairs.distinct(), "simhash-pairs")
     nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "simhash-nodes")
-    few = nodes.count() <= BROADCAST_NODES
-    sets = wide_fingerprints(docs, shingle_words, bits, bands, rows, sets=True)
-    sets = sets.join(F.broadcast(nodes) if few else nodes, sets["fp"] == nodes["node"], "left_semi").dropDuplicates(["fp"])
-    sets = stored(sets.select("fp", "keys"), "simhash-sets")
+    ids = stored(marked.join(small(nodes), marked["fp"] == nodes["node"], "left_semi").select(F.col("doc_id").alias("_id")).distinct(), "simhash-ids")
+    some = docs.select("doc_id", "text").join(small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = wide_fingerprints(some, shingle_words, bits, bands, rows, sets=True)
+    sets = stored(sets.select("fp", "keys").dropDuplicates(["fp"]), "simhash-sets")
     both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("keys").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("keys").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= least * (F.size("sa") + F.size("sb") - common)).select("a", "b")
@@ -144,16 +149,17 @@ def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8,
     distinct = stored(marked.select("fp", "keys").dropDuplicates(), "simhash-distinct")
     keys = distinct.select(F.explode("keys").alias("key"), "fp")
     pairs = links(keys, bits, radius, closest=True).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return with_components(marked.select("doc_id", "fp"), verified(docs, pairs, shingle_words, bits, bands, rows, least))
+    return with_components(marked.select("doc_id", "fp"), verified(docs, marked, pairs, shingle_words, bits, bands, rows, least))
 
 
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
-    """Of each group of similar rows the one with the smallest doc_id, with all its columns."""
+    """Of each group of similar rows the one with the smallest doc_id, with all its columns.  Rows that share an id stay if
+    one of them does, equal ones once."""
     groups = stored(similar_groups(docs, **parameters), "simhash-groups")
-    lost = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_lost")).distinct()
-    # Ids of rows that go; rows that share an id with the one that stays are rare and are thinned below.
-    doubled = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_again"))
-    kept = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_lost"]), "left_anti")
-    once = kept.join(doubled, kept["doc_id"].eqNullSafe(doubled["_again"]), "left_anti")
-    again = kept.join(doubled, kept["doc_id"].eqNullSafe(doubled["_again"]), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again)
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # Ids whose rows go, and ids that more than one row shares (rare) or that are null, whose repeated rows are thinned.
+    ids = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count_if(stays).alias("n"), F.count("*").alias("all"))
+    marks = stored(ids.where("n = 0 OR all > 1 OR _id IS NULL").select("_id", (F.col("n") == 0).alias("_lost")), "simhash-marks")
+    found = docs.join(small(marks), docs["doc_id"].eqNullSafe(marks["_id"]), "left")
+    again = found.where(~F.col("_lost")).drop("_id", "_lost").dropDuplicates(["doc_id", "text"])
+    return found.where(F.col("_lost").isNull()).drop("_id", "_lost").unionByName(again)
