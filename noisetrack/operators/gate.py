@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noisetrack.functions import geo
 from noisetrack.functions.stats import pearson, spearman
-from noisetrack.operators.joins import asof_nearest, candidates, events_in_window, lerp, peak_samples
+from noisetrack.operators.joins import asof_nearest, candidates, events_in_window, interval_join, lerp, peak_samples
 
 PLACE_S, BRACKET_S, HORIZONTAL_KM, SLANT_KM, MARGIN_KM = 15.0, 35.0, 12.0, 10.0, 3.0
 
@@ -36,7 +36,7 @@ def gate_join(events: DataFrame, states: DataFrame) -> DataFrame:
     placed = placed.withColumn("horiz", geo.haversine_m(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon"))).where(F.col("horiz") / 1000 <= HORIZONTAL_KM)
     placed = placed.withColumn("slant", F.sqrt(F.col("horiz") * F.col("horiz") + F.col("alt") * F.col("alt")) / 1000)
     row = F.struct(
-        "slant", "icao24", F.col("last_callsign").alias("callsign"), (F.col("horiz") / 1000).alias("horiz"), "alt", "method",
+        "slant", "icao24", (F.col("horiz") / 1000).alias("horiz"), "alt", "method",
         geo.bearing_deg(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon")).alias("bearing"), geo.elevation_deg(F.col("horiz"), F.col("alt")).alias("elevation"),
     )
     # Nearest, second nearest and number of an event's candidates in one pass over them.
@@ -44,12 +44,16 @@ def gate_join(events: DataFrame, states: DataFrame) -> DataFrame:
     order = by.orderBy("slant", "icao24")
     ranked = placed.select("event_id", row.alias("x"), F.count("*").over(by).alias("n_cand"), F.lead("slant").over(order).alias("second_slant_km"), F.row_number().over(order).alias("_rank"))
     first = ranked.where("_rank = 1").drop("_rank")
+    # The callsign that the nearest aircraft showed last.
+    won = first.select("event_id", F.col("x.icao24").alias("icao24")).join(inside.select("event_id", F.col("max_ts_unix").alias("_t")), "event_id")
+    shown = interval_join(won, air.select("icao24", "snapshot_ts", "callsign"), "_t", "snapshot_ts", BRACKET_S, ("icao24",))
+    first = first.join(shown.groupBy("event_id").agg(F.max_by("callsign", "snapshot_ts").alias("callsign")), "event_id")
     nearby = asof_nearest(inside, states, BRACKET_S).select("event_id", "gap_s")
     out = inside.join(nearby, "event_id").join(first, "event_id", "left")
     near, alone = F.col("x.slant") <= SLANT_KM, F.col("second_slant_km").isNull() | (F.col("second_slant_km") - F.col("x.slant") >= MARGIN_KM)
     status = F.when(F.col("gap_s").isNull(), "no_snapshot").when(F.col("x").isNull(), "no_candidate").when(near & alone, "clean").when(near, "ambiguous").otherwise("far")
     return out.select(
-        "event_id", "station", "max_laeq", "max_ts_unix", status.alias("status"), F.coalesce("n_cand", F.lit(0)).alias("n_cand"), F.col("x.icao24").alias("m_icao24"), F.col("x.callsign").alias("m_callsign"),
+        "event_id", "station", "max_laeq", "max_ts_unix", status.alias("status"), F.coalesce("n_cand", F.lit(0)).alias("n_cand"), F.col("x.icao24").alias("m_icao24"), F.col("callsign").alias("m_callsign"),
         F.col("x.horiz").alias("m_horiz_km"), F.col("x.alt").alias("m_alt_m"), F.col("x.slant").alias("m_slant_km"), F.col("x.bearing").alias("m_bearing_deg"), F.col("x.elevation").alias("m_elev_deg"),
         F.col("x.method").alias("m_method"), "second_slant_km",
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noisetrack.functions import geo
@@ -99,17 +99,23 @@ STATE_COLUMNS = ("latitude", "longitude", "baro_altitude_m", "velocity_m_s", "he
 
 
 def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "max_ts_unix") -> DataFrame:
-    """Per event and aircraft with a snapshot within ``tol`` seconds: the last state at or before, the first at or after,
-    the nearest (the earlier on a tie) and the last callsign."""
-    near = interval_join(events.select("event_id", F.col(time).cast("double").alias("_t")), states.select("icao24", *STATE_COLUMNS), "_t", "snapshot_ts", tol)
-    ts = F.col("snapshot_ts")
+    """Per event and aircraft with a snapshot within ``tol`` seconds: the last state at or before (b), the first at or after
+    (a) and the nearest (n, the earlier on a tie).
+
+    Each state knows its aircraft's next and previous one, so of the states near an event exactly one tells the whole
+    answer, and a filter on the join takes the place of an aggregation.  States are unique by aircraft and snapshot.
+    """
+    track = Window.partitionBy("icao24").orderBy("snapshot_ts")
     state = F.struct(*STATE_COLUMNS)
-    return near.groupBy("event_id", "icao24", "_t").agg(
-        F.max_by(state, F.when(ts <= F.col("_t"), ts)).alias("b"),
-        F.min_by(state, F.when(ts >= F.col("_t"), ts)).alias("a"),
-        F.min_by(state, F.struct(F.abs(ts - F.col("_t")), ts)).alias("n"),
-        F.max_by("callsign", ts).alias("last_callsign"),
-    )
+    tracked = states.select("icao24", "snapshot_ts", state.alias("s"), F.lead(state).over(track).alias("next"), F.lag("snapshot_ts").over(track).alias("prev_ts"))
+    near = interval_join(events.select("event_id", F.col(time).cast("double").alias("_t")), tracked, "_t", "snapshot_ts", tol)
+    t, ts = F.col("_t"), F.col("snapshot_ts")
+    last_before = (ts <= t) & (F.col("next").isNull() | (F.col("next.snapshot_ts") > t))
+    only_after = (ts > t) & (F.col("prev_ts").isNull() | (F.col("prev_ts") < t - tol))
+    after = F.when(ts == t, F.col("s")).when(F.col("next.snapshot_ts") <= t + tol, F.col("next"))
+    found = near.where(last_before | only_after).select("event_id", "icao24", "_t", F.when(ts <= t, F.col("s")).alias("b"), F.when(ts <= t, after).otherwise(F.col("s")).alias("a"))
+    nearest = F.when(F.col("a").isNull() | (t - F.col("b.snapshot_ts") <= F.col("a.snapshot_ts") - t), F.col("b")).otherwise(F.col("a"))
+    return found.withColumn("n", nearest)
 
 
 def lerp(a: Column, b: Column, f: Column) -> Column:

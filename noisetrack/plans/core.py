@@ -320,10 +320,10 @@ def events_in_window(spark, sf_dir):
     return joins.events_in_window(noise(spark, sf_dir), bound).select("event_id", "max_ts_unix")
 
 
-@query(with_views("SELECT event_id, EXISTS (SELECT 1 FROM (SELECT DISTINCT snapshot_ts FROM states WHERE snapshot_ts % 300 = 0) s WHERE abs(s.snapshot_ts - n.t) <= 35) AS has_snapshot FROM noise n", states=True, noise_=True))
+@query(with_views("SELECT event_id, EXISTS (SELECT 1 FROM (SELECT DISTINCT snapshot_ts FROM states) s WHERE abs(s.snapshot_ts - n.t) <= 5) AS has_snapshot FROM noise n", states=True, noise_=True))
 def has_snapshot(spark, sf_dir):
-    events, snaps = noise(spark, sf_dir).select("event_id", "t"), states(spark, sf_dir).where("snapshot_ts % 300 = 0").select("snapshot_ts").distinct()
-    found = joins.interval_join(events, snaps, "t", "snapshot_ts", 35).select("event_id").distinct().withColumn("has_snapshot", F.lit(True))
+    events, snaps = noise(spark, sf_dir).select("event_id", "t"), states(spark, sf_dir).select("snapshot_ts").distinct()
+    found = joins.interval_join(events, snaps, "t", "snapshot_ts", 5).select("event_id").distinct().withColumn("has_snapshot", F.lit(True))
     return events.join(found, "event_id", "left").select("event_id", F.coalesce("has_snapshot", F.lit(False)).alias("has_snapshot"))
 
 
