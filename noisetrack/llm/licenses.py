@@ -10,6 +10,8 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -74,9 +76,11 @@ class Scanner:
         """(word, label) of each place of a phrase."""
         out = []
         for phrase, label in self.phrases:
-            at = norm.find(phrase)
+            at, counted, words = norm.find(phrase), 0, -1
             while at >= 0:
-                out.append((norm.count(b" ", 0, at + 1) - 1, label))
+                words += norm.count(b" ", counted, at + 1)  # each part of the text is counted once
+                counted = at + 1
+                out.append((words, label))
                 at = norm.find(phrase, at + 1)
         return out
 
@@ -105,15 +109,17 @@ class Scanner:
         norm = b" " + b" ".join(words) + b" "
         base = self.exact(norm)
         plain = norm.decode("utf-8", "replace")
+        found = self.fuzzy(plain)
+        starts = [m.start() for m in re.finditer(r"(?<= )[^ ]", plain)] if found else []
         spans = [
             {
                 "label": self.notices[k].label,
-                "first_word": plain.count(" ", 0, i + 1) - 1 + (plain[i] == " "),
-                "last_word": plain.count(" ", 0, j) - 1 - (plain[j - 1] == " "),
+                "first_word": max(0, bisect.bisect_right(starts, i) - 1) + (plain[i] == " "),
+                "last_word": bisect.bisect_left(starts, j) - 1,
                 "errors": e,
                 "likeness": 1 - e / len(self.notices[k].text),
             }
-            for k, i, j, e in self.fuzzy(plain)
+            for k, i, j, e in found
         ]
         labels = {label for _, label in base}
         return {

@@ -127,6 +127,7 @@ def test_license_places_and_fuzzy_labels(documents, odd):
     assert (got[0].n_base, got[0].first_word, got[0].last_word, got[0].base_labels) == (1, 1, 1, "mit")
     assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].n_words) == (2, 1, 5, 9)
     assert got[2].n_base == 0 and got[2].labels == "apache-2" and 0.9 < got[2].score < 1 and got[2].spans[0].errors == 2
+    assert (got[2].spans[0].first_word, got[2].spans[0].last_word) == (0, 7) and (got[0].spans[0].first_word, got[0].spans[0].last_word) == (0, 4)
     assert got[4].labels == "cc-by-sa" and got[5].labels == "" and got[6].score == 0
     assert licenses.scan_licenses(odd).count() == odd.count()
 
