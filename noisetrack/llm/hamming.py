@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from noisetrack.llm.common import stored
 
 TILE, CLOSE_TILE, SMALL = 2048, 512, 32
-ROWS_PER_TASK = 400_000
+BITS_PER_TASK = 400_000 * 64
 BROADCAST_KEYS = 100_000
 PLANES_PER_BLOCK = 16
 WORDS_AT_ONCE = 4096
@@ -217,7 +217,7 @@ def links(candidates: DataFrame, bits: int, radius: int, closest: bool = False)
         one = F.col("tiles") == 1
         candidates = split.select(F.when(one, F.col("key")).otherwise(F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u"))).alias("key"), "fp")
         n += big.agg(F.sum(F.col("n") * F.ceil(F.col("n") / tile))).first()[0]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_TASK))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * bits // BITS_PER_TASK))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [(b.column(0).to_numpy(zero_copy_only=False), fingerprints(b, "fp", bits // 8)) for b in it if b.num_rows]
