@@ -41,8 +41,10 @@ def find_duplicates(docs: DataFrame, keep: str = "max", row: bool = False) -> Da
 
     copies = stored(rows.join(side, "hash"), "dedup-copies")
     representatives = copies.where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("hash", norm.alias("rep_norm")).dropDuplicates(["hash"])
+    representatives = stored(representatives, "dedup-representatives")
     # Null where the bytes equal the representative's; else the differing text itself.
-    copies = copies.join(representatives, "hash", "left").select("doc_id", "hash", F.when(norm != F.col("rep_norm"), norm).alias("other"), sha, *extra)
+    # Stored, so that the join's stage ends with it: an aggregation in the same stage would keep Spark from splitting hot keys.
+    copies = stored(copies.join(representatives, "hash", "left").select("doc_id", "hash", F.when(norm != F.col("rep_norm"), norm).alias("other"), sha, *extra), "dedup-compared")
     classes = copies.groupBy("hash", "other").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     classes = classes.withColumnsRenamed({"hash": "class_hash", "other": "class_other"})
     copies = copies.join(classes, (F.col("hash") == F.col("class_hash")) & F.col("other").eqNullSafe(F.col("class_other"))).select(
