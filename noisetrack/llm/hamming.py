@@ -250,9 +250,11 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     before = mark(now)
     for _ in range(rounds if before[0] else 0):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        # Minima are stored, so that both sides of the joins are plain shuffles, whose hot keys Spark can split.
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "components-low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "components-large")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "components-low")
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
         now = stored(small, "components")
         after = mark(now)
