@@ -34,6 +34,7 @@ MAX_TRAIN_DOCS = 12_000
 MAX_TERMS = 5_000
 PREFIX_LENGTHS = range(3, 9)
 ROUNDS, USES = 4, 4  # of learning terms; most uses of a term in a document that count
+DOCS_AT_ONCE = 500
 WINDOW_CHARS = 80
 QUOTED, ADDRESSED = 0.35, 1.15
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -136,7 +137,7 @@ class TermAutomaton:
                 cost = edits + (c != letter)
                 if cost <= self.cap[child]:
                     nodes[child] = min(nodes.get(child, 99), cost)
-        if len(self.step) > 2_000_000:
+        if len(self.step) > 500_000:
             self.step.clear()
         self.step[state, letter] = new = self._state(nodes)
         return new
@@ -166,7 +167,7 @@ class Scorer:
             try:
                 hit = seen[w]
             except KeyError:
-                if len(seen) > 400_000:
+                if len(seen) > 150_000:
                     seen.clear()
                 hit = seen[w] = self.automaton.match(w.decode("utf-8", "replace"))
             if hit:
@@ -252,26 +253,31 @@ def term_counts(sample: DataFrame) -> DataFrame:
 
     def features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            docs: tuple[Counter, Counter] = (Counter(), Counter())
-            uses: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(column_bytes(batch, "text"), column_list(batch, "toxic"), strict=True):
-                own: Counter = Counter()
-                total = 0
-                for w, n in Counter(text.translate(WORD_TABLE).split()).items():
-                    w = w.decode("utf-8", "replace")
-                    own[f"{w}$"] += n
-                    for k in PREFIX_LENGTHS:
-                        if len(w) < k:
-                            break
-                        own[w[:k]] += n
-                    total += n
-                docs[toxic].update(own.keys())
-                uses[toxic].update({w: min(n, USES) for w, n in own.items()})
-                uses[toxic][""] += total
-            every = [(w, docs[1][w], docs[0][w], uses[1][w], uses[0][w]) for w in {**uses[1], **uses[0]}]
-            for i in range(0, len(every), 50_000):
-                w, *n = zip(*every[i : i + 50_000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(w), *(pa.array(x, pa.int64()) for x in n)], ["w", "p", "n", "tp", "tn"])
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):  # bounds the counters
+                yield from counts(batch.slice(at, DOCS_AT_ONCE))
+
+    def counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        docs: tuple[Counter, Counter] = (Counter(), Counter())
+        uses: tuple[Counter, Counter] = (Counter(), Counter())
+        for text, toxic in zip(column_bytes(batch, "text"), column_list(batch, "toxic"), strict=True):
+            own: Counter = Counter()
+            total = 0
+            for w, n in Counter(text.translate(WORD_TABLE).split()).items():
+                w = w.decode("utf-8", "replace")
+                own[f"{w}$"] += n
+                for k in PREFIX_LENGTHS:
+                    if len(w) < k:
+                        break
+                    own[w[:k]] += n
+                total += n
+            docs[toxic].update(own.keys())
+            uses[toxic].update({w: min(n, USES) for w, n in own.items()})
+            uses[toxic][""] += total
+        words = list({**uses[1], **uses[0]})
+        for i in range(0, len(words), 50_000):
+            part = words[i : i + 50_000]
+            numbers = [pa.array([c[w] for w in part], pa.int64()) for c in (docs[1], docs[0], uses[1], uses[0])]
+            yield pa.RecordBatch.from_arrays([pa.array(part), *numbers], ["w", "p", "n", "tp", "tn"])
 
     return sample.mapInArrow(features, "w string, p long, n long, tp long, tn long").groupBy("w").agg(*[F.sum(c).alias(c) for c in ("p", "n", "tp", "tn")])
 
