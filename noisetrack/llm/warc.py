@@ -29,10 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noisetrack.llm.common import new_path
+from noisetrack.llm.common import new_path, stored
 
 ROLL_BYTES = 4 << 20
 SHARD_BYTES = 64 << 20
+BROADCAST_ROWS = 200_000
 DATE = "2024-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL name space of RFC 4122
 
@@ -100,6 +101,11 @@ def parse(data: bytes) -> Iterator[dict]:
         }
 
 
+def within_bound(df: DataFrame) -> DataFrame:
+    """Broadcast up to ``BROADCAST_ROWS`` rows of keys (some 30 MB), so that payloads and files aren't shuffled for a join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def write_archive(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, least: int = 0) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as WARC files under ``path`` and return the manifest."""
     spark = pages.sparkSession
@@ -114,6 +120,7 @@ def write_archive(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, lea
     # 256 bits stand for the payload; equal ones of ``least`` bytes or more share a response.
     thin = pages.select("page_id", F.sha2(payload, 256).alias("key"), F.octet_length(payload).alias("size")).where(F.col("size") >= least)
     shared = thin.groupBy("key").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("key", "first_id")
+    shared = within_bound(stored(shared, "warc-shared"))
     shard = F.lit(0) if not bounds else F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("page_id"))), F.lit(0))
     rows = pages.select(shard.cast("int").alias("shard"), "page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("key"))
     rows = rows.join(shared, "key", "left").repartition(n_shards, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "key", "url")
@@ -173,7 +180,7 @@ def read_archive(spark: SparkSession, path: str, page_type: str = "bigint") -> D
     """The records of a committed archive, one row each, digests verified against the bytes read."""
     manifest = spark.read.schema("file string, records long, bytes long, sha256 string, first_page string, last_page string").parquet(f"{path}/_manifest")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(path)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(manifest.select("file", "sha256", "records"), "file")
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(within_bound(manifest.select("file", "sha256", "records")), "file")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
