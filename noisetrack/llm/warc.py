@@ -168,7 +168,7 @@ def write_archive(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, lea
 
     manifest = rows.select("shard", "page_id", "url", "payload", "key", "first_id").mapInArrow(write, "file string, records long, bytes long, sha256 string, first_page string, last_page string")
     staged = f"{path}/_manifest-{uuid.uuid4().hex}"
-    manifest.coalesce(1).write.parquet(staged)
+    manifest.write.parquet(staged)  # a row a file; its tasks are those that write the archives
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.rename(jvm_path(staged), jvm_path(f"{path}/_manifest")):
