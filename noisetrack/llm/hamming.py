@@ -203,8 +203,8 @@ def closest_pairs(keys: np.ndarray, rows: np.ndarray, radius: int) -> Iterator[t
 
 def links(candidates: DataFrame, bits: int, radius: int, closest: bool = False) -> DataFrame:
     """(a, b) pairs of linked fingerprints, a spanning forest of each bucket of ``candidates`` (key, fp); with ``closest``
-    pairs that were themselves found within the radius."""
-    tile = CLOSE_TILE if closest else TILE
+    of linked nodes of ``candidates`` (key, node, fp), pairs that were themselves found within the radius."""
+    tile, own = (CLOSE_TILE, ["node", "fp"]) if closest else (TILE, ["fp"])
     spark = candidates.sparkSession
     counts = candidates.groupBy("key").agg(F.count("*").alias("n"))
     size = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > tile).alias("big")).first()
@@ -213,22 +213,23 @@ def links(candidates: DataFrame, bits: int, radius: int, closest: bool = False)
         big = stored(counts.where(F.col("n") > tile), "hamming-big")
         # As many keys as fit a proven bound are broadcast; more are joined by a shuffle.
         split = candidates.join(F.broadcast(big) if size["big"] <= BROADCAST_KEYS else big, "key", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)))
-        split = split.withColumn("t", F.pmod(F.xxhash64("fp"), F.col("tiles"))).withColumn("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+        split = split.withColumn("t", F.pmod(F.xxhash64(own[0]), F.col("tiles"))).withColumn("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         one = F.col("tiles") == 1
-        candidates = split.select(F.when(one, F.col("key")).otherwise(F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u"))).alias("key"), "fp")
+        candidates = split.select(F.when(one, F.col("key")).otherwise(F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u"))).alias("key"), *own)
         n += big.agg(F.sum(F.col("n") * F.ceil(F.col("n") / tile))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * bits // BITS_PER_TASK))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(b.column(0).to_numpy(zero_copy_only=False), fingerprints(b, "fp", bits // 8)) for b in it if b.num_rows]
+        got = [(b.column(0).to_numpy(zero_copy_only=False), fingerprints(b, "fp", bits // 8), fingerprints(b, "node", 16) if closest else None) for b in it if b.num_rows]
         if not got:
             return
-        keys, rows = np.concatenate([k for k, _ in got]), np.concatenate([r for _, r in got])
+        keys, rows = np.concatenate([k for k, _, _ in got]), np.concatenate([r for _, r, _ in got])
+        names = np.concatenate([x for _, _, x in got]) if closest else rows
         _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
         some = counts[which] > 1
-        keys, rows = keys[some], rows[some]
+        keys, rows, names = keys[some], rows[some], names[some]
         order = np.lexsort([*rows.T[::-1], keys])
-        keys, rows = keys[order], rows[order]
+        keys, rows, names = keys[order], rows[order], names[order]
         if closest:
             pairs = closest_pairs(keys, rows, radius)
         else:
@@ -237,7 +238,7 @@ def links(candidates: DataFrame, bits: int, radius: int, closest: bool = False)
             pairs = iter([(joined, label[joined])])
         for i, j in pairs:
             for at in range(0, len(i), 20_000):
-                yield pa.RecordBatch.from_arrays([binary_array(rows[i[at : at + 20_000]]), binary_array(rows[j[at : at + 20_000]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([binary_array(names[i[at : at + 20_000]]), binary_array(names[j[at : at + 20_000]])], ["a", "b"])
 
     return candidates.repartition(parts, "key").mapInArrow(run, "a binary, b binary")
 

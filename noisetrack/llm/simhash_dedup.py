@@ -11,7 +11,8 @@ are verified on their sets of shingles.  A pair of 0.8 shares a band with probab
 0.997.  In buckets of more than 32 the pairs are a forest of the closest, so a link is lost only where a farther pair is
 0.8 and a closer one that joins the same parts is not.
 
-Equal fingerprints are one node, so a group of copies costs a row however large it is.
+Equal fingerprints, for ``drop_near_duplicates`` equal sets of shingles (by a 128-bit hash), are one node, so a group of
+copies costs a row however large it is.
 
 Edge cases: null and empty texts have no words, fingerprint zero, and are linked like any other; texts of fewer words than
 a shingle are one shingle; a row without doc_id takes part, and a group of only such rows has a null component; repeated
@@ -70,13 +71,13 @@ def shingle_fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary")
 
 
-def with_components(marked: DataFrame, edges: DataFrame) -> DataFrame:
-    """Adds component_id to rows (doc_id, fp): the smallest doc_id of all rows whose fingerprints are connected."""
+def with_components(marked: DataFrame, edges: DataFrame, node: str = "fp") -> DataFrame:
+    """Adds component_id to rows (doc_id, ``node``): the smallest doc_id of all rows whose nodes are connected."""
     found = components(edges)
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    classes = marked.groupBy(node).agg(F.min("doc_id").alias("first"))
+    rooted = classes.join(found.withColumnRenamed("node", node), node, "left").withColumn("root", F.coalesce("root", node))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp")
+    return marked.join(rooted.join(lowest, "root").select(node, "component_id"), node)
 
 
 def near_groups(docs: DataFrame, shingle_words: int = 3, radius: int = 3, equal: int = 2) -> DataFrame:
@@ -106,22 +107,40 @@ class MinHash:
         return key
 
 
-def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int, sets: bool = False) -> DataFrame:
-    """doc_id, fp (``bits`` bits) and keys of each row: one for each band, or with ``sets`` the distinct shingles."""
+def set_node(distinct: np.ndarray) -> bytes:
+    """A 128-bit hash of a set of shingles (sorted hashes)."""
+    return xxhash.xxh3_128_digest(distinct.tobytes(), SEED)
+
+
+def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, node (see ``set_node``), fp (``bits`` bits) and keys, one for each band, of each row."""
     words = bits // 64
     steps = mixed(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash = MinHash(bands, rows)
         for batch in it:
-            fps, keys = [], []
+            nodes, fps, keys = [], [], []
             for text in column_bytes(batch, "text"):
                 h = shingle_hashes(text, shingle_words)
+                distinct = np.unique(h)
+                nodes.append(set_node(distinct))
                 fps.append(majority(mixed(h[:, None] + steps)))
-                keys.append((np.unique(h) if sets else minhash.keys(h)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(fps), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "fp", "keys"])
+                keys.append(minhash.keys(distinct).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), binary_array(fps), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "fp", "keys"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, fp binary, keys array<long>")
+
+
+def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
+    """node and its set of shingles, once a node."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            sets = [np.unique(shingle_hashes(text, shingle_words)) for text in column_bytes(batch, "text")]
+            yield pa.RecordBatch.from_arrays([pa.array(map(set_node, sets), pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary, keys array<long>")
+    return docs.select("text").mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -129,27 +148,30 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def verified(docs: DataFrame, marked: DataFrame, pairs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int, least: float) -> DataFrame:
-    """The pairs (a, b) of fingerprints whose texts' sets of shingles have a Jaccard similarity of ``least`` or more.  Sets
-    are made for texts that are in a pair only."""
+def sets_of(docs: DataFrame, marked: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFrame:
+    """The sets of shingles of some nodes, made for their texts only."""
+    ids = stored(marked.join(small(nodes), "node", "left_semi").select(F.col("doc_id").alias("_id")).distinct(), "simhash-ids")
+    some = docs.select("doc_id", "text").join(small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return stored(shingle_sets(some, shingle_words), "simhash-sets")
+
+
+def verified(docs: DataFrame, marked: DataFrame, pairs: DataFrame, shingle_words: int, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets of shingles have a Jaccard similarity of ``least`` or more."""
     pairs = stored(pairs.distinct(), "simhash-pairs")
     nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "simhash-nodes")
-    ids = stored(marked.join(small(nodes), marked["fp"] == nodes["node"], "left_semi").select(F.col("doc_id").alias("_id")).distinct(), "simhash-ids")
-    some = docs.select("doc_id", "text").join(small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = wide_fingerprints(some, shingle_words, bits, bands, rows, sets=True)
-    sets = stored(sets.select("fp", "keys").dropDuplicates(["fp"]), "simhash-sets")
-    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("keys").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("keys").alias("sb")), "b")
+    sets = sets_of(docs, marked, nodes, shingle_words)
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= least * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
 def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8, bits: int = 512, radius: int = 100, bands: int = 16, rows: int = 5) -> DataFrame:
-    """doc_id, fp and component_id of each row, linked at a similarity of ``least`` or more (see above)."""
+    """doc_id, node and component_id of each row, linked at a similarity of ``least`` or more (see above)."""
     marked = stored(wide_fingerprints(docs, shingle_words, bits, bands, rows), "simhash-wide")
-    distinct = stored(marked.select("fp", "keys").dropDuplicates(), "simhash-distinct")
-    keys = distinct.select(F.explode("keys").alias("key"), "fp")
+    distinct = stored(marked.select("node", "fp", "keys").dropDuplicates(["node"]), "simhash-distinct")
+    keys = distinct.select(F.explode("keys").alias("key"), "node", "fp")
     pairs = links(keys, bits, radius, closest=True).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return with_components(marked.select("doc_id", "fp"), verified(docs, marked, pairs, shingle_words, bits, bands, rows, least))
+    return with_components(marked.select("doc_id", "node"), verified(docs, marked, pairs, shingle_words, least), "node")
 
 
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:

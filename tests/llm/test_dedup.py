@@ -135,6 +135,20 @@ def test_similar_documents_are_dropped_and_others_kept(documents):
     assert kept == set(range(30)) | {200 + i for i in range(20, 30)}
 
 
+def line_texts(seed, times, fresh=False):
+    """Texts of 100 words (the same, or ``fresh`` ones each) and one 7-word line, repeated."""
+    rnd = random.Random(seed)
+    body = [f"w{rnd.getrandbits(40)}" for _ in range(100)]
+    return [" ".join(([f"w{rnd.getrandbits(40)}" for _ in range(100)] if fresh else body) + "no entry in this column of it".split() * n) for n in times]
+
+
+def test_unrelated_texts_with_a_much_repeated_line_stay(documents):
+    texts = [t for n in (40, 60, 100, 200) for t in line_texts(n, [n] * 3, fresh=True)]
+    assert max(similarity(a, b) for k, a in enumerate(texts) for b in texts[k + 1 :]) < 0.1
+    kept = {r.doc_id for r in simhash_dedup.drop_near_duplicates(documents(list(enumerate(texts)))).collect()}
+    assert kept == set(range(len(texts)))
+
+
 def test_near_duplicates_of_odd_rows(odd):
     out = simhash_dedup.drop_near_duplicates(odd)
     ids = [r.doc_id for r in out.collect()]
