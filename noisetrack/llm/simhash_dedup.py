@@ -5,10 +5,10 @@ links those that differ in at most ``radius`` bits, by block tables, and gives e
 connected to.
 
 Texts as alike as 0.8 (five-word shingles) differ in some 10 of 64 bits, where block tables have no selective keys.  For
-that case ``drop_near_duplicates`` uses wide fingerprints (512 bits) and min-wise hashes of the shingles as keys: documents
+that case ``drop_near_duplicates`` uses wide fingerprints (512 bits, each distinct shingle votes once) and min-wise hashes of the shingles as keys: documents
 that share one of the bands meet in a bucket, where the same bit-sliced comparison picks pairs by distance, and the pairs
 are verified on their sets of shingles.  A pair of 0.8 shares a band with probability 0.998 and lies within the radius with
-0.997.  In buckets of more than 32 the pairs are a forest of the closest, so a link is lost only where a farther pair is
+0.998 or more, also where the sets have four and five shingles.  In buckets of more than 32 the pairs are a forest of the closest, so a link is lost only where a farther pair is
 0.8 and a closer one that joins the same parts is not.
 
 Equal fingerprints, for ``drop_near_duplicates`` equal sets of shingles (by a 128-bit hash), are one node, so a group of
@@ -122,10 +122,9 @@ def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int
         for batch in it:
             nodes, fps, keys = [], [], []
             for text in column_bytes(batch, "text"):
-                h = shingle_hashes(text, shingle_words)
-                distinct = np.unique(h)
+                distinct = np.unique(shingle_hashes(text, shingle_words))
                 nodes.append(set_node(distinct))
-                fps.append(majority(mixed(h[:, None] + steps)))
+                fps.append(majority(mixed(distinct[:, None] + steps)))  # repeats don't vote, as they don't count in the similarity
                 keys.append(minhash.keys(distinct).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), binary_array(fps), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "fp", "keys"])
 
@@ -165,7 +164,7 @@ def verified(docs: DataFrame, marked: DataFrame, pairs: DataFrame, shingle_words
     return both.where(common >= least * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8, bits: int = 512, radius: int = 100, bands: int = 16, rows: int = 5) -> DataFrame:
+def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8, bits: int = 512, radius: int = 120, bands: int = 16, rows: int = 5) -> DataFrame:
     """doc_id, node and component_id of each row, linked at a similarity of ``least`` or more (see above)."""
     marked = stored(wide_fingerprints(docs, shingle_words, bits, bands, rows), "simhash-wide")
     distinct = stored(marked.select("node", "fp", "keys").dropDuplicates(["node"]), "simhash-distinct")

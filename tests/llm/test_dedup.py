@@ -149,6 +149,30 @@ def test_unrelated_texts_with_a_much_repeated_line_stay(documents):
     assert kept == set(range(len(texts)))
 
 
+def brute_kept(rows, least=0.8):
+    parent = {i: i for i, _ in rows}
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for k, (i, a) in enumerate(rows):
+        for j, b in rows[k + 1 :]:
+            if similarity(a, b) >= least:
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return {i for i, _ in rows if root(i) == i}
+
+
+def test_near_copies_that_repeat_a_line_differently_are_dropped(documents):
+    texts = [t for seed in range(12) for t in line_texts(seed, [1, 5, 10, 40])]
+    rows = list(enumerate(texts))
+    want = brute_kept(rows)
+    assert len(want) == 12
+    assert {r.doc_id for r in simhash_dedup.drop_near_duplicates(documents(rows)).collect()} == want
+
+
 def test_near_duplicates_of_odd_rows(odd):
     out = simhash_dedup.drop_near_duplicates(odd)
     ids = [r.doc_id for r in out.collect()]
