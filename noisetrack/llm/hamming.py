@@ -9,7 +9,8 @@ A task sorts its rows by key and stores the fingerprints as bit planes.  All row
 in the bucket at once, 64 lanes a word: the planes' differences are summed by carry-save counters, and a block of planes
 is the last one looked at if all lanes exceed the radius by then.  Of the pairs found only a spanning forest of each
 bucket is returned, at most one row a member, never all pairs.  Where pairs are to be verified afterwards, ``closest``
-returns pairs as they were found: all of a small bucket, and of a large one a forest of the closest, at most two a member.
+returns pairs as they were found: all of a small bucket, and of a large one a forest of the closest, at most two a member;
+what verification leaves open in the large ones is for the caller (``simhash_dedup.open_links``).
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ Texts as alike as 0.8 (five-word shingles) differ in some 10 of 64 bits, where b
 that case ``drop_near_duplicates`` uses wide fingerprints (512 bits, each distinct shingle votes once) and min-wise hashes of the shingles as keys: documents
 that share one of the bands meet in a bucket, where the same bit-sliced comparison picks pairs by distance, and the pairs
 are verified on their sets of shingles.  A pair of 0.8 shares a band with probability 0.998 and lies within the radius with
-0.998 or more, also where the sets have four and five shingles.  In buckets of more than 32 the pairs are a forest of the closest, so a link is lost only where a farther pair is
-0.8 and a closer one that joins the same parts is not.
+0.998 or more, also where the sets have four and five shingles.  In buckets of more than 32 the first pairs are a forest of the closest; where verified pairs don't
+join all of such a bucket, ``open_links`` takes the sets along and verifies in the task every pair within the radius whose
+parts aren't joined yet.
 
 Equal fingerprints, for ``drop_near_duplicates`` equal sets of shingles (by a 128-bit hash), are one node, so a group of
 copies costs a row however large it is.
@@ -29,10 +30,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noisetrack.llm.common import column_bytes, stored
-from noisetrack.llm.hamming import binary_array, block_keys, components, links, mixed
+from noisetrack.llm.common import column_bytes, column_list, stored
+from noisetrack.llm.hamming import BROADCAST_KEYS, CLOSE_TILE, SMALL, Lanes, binary_array, block_keys, components, links, mixed
 
-SEED, ROWS_AT_ONCE, BROADCAST_ROWS = 42, 4096, 300_000
+SEED, ROWS_AT_ONCE, BROADCAST_ROWS, SHINGLES_PER_TILE = 42, 4096, 300_000, 1_000_000
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -71,9 +72,8 @@ def shingle_fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp binary")
 
 
-def with_components(marked: DataFrame, edges: DataFrame, node: str = "fp") -> DataFrame:
-    """Adds component_id to rows (doc_id, ``node``): the smallest doc_id of all rows whose nodes are connected."""
-    found = components(edges)
+def with_components(marked: DataFrame, found: DataFrame, node: str = "fp") -> DataFrame:
+    """Adds component_id to rows (doc_id, ``node``): the smallest doc_id of all rows whose nodes have a root in ``found``."""
     classes = marked.groupBy(node).agg(F.min("doc_id").alias("first"))
     rooted = classes.join(found.withColumnRenamed("node", node), node, "left").withColumn("root", F.coalesce("root", node))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -84,7 +84,7 @@ def near_groups(docs: DataFrame, shingle_words: int = 3, radius: int = 3, equal:
     """doc_id, fp and component_id of each row."""
     marked = stored(shingle_fingerprints(docs, shingle_words), "simhash")
     keys = block_keys(stored(marked.select("fp").distinct(), "simhash-distinct"), 64, radius, equal)
-    return with_components(marked, links(keys, 64, radius))
+    return with_components(marked, components(links(keys, 64, radius)))
 
 
 class MinHash:
@@ -113,22 +113,23 @@ def set_node(distinct: np.ndarray) -> bytes:
 
 
 def wide_fingerprints(docs: DataFrame, shingle_words: int, bits: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, node (see ``set_node``), fp (``bits`` bits) and keys, one for each band, of each row."""
+    """doc_id, node (see ``set_node``), fp (``bits`` bits), keys, one for each band, and size of the set of each row."""
     words = bits // 64
     steps = mixed(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash = MinHash(bands, rows)
         for batch in it:
-            nodes, fps, keys = [], [], []
+            nodes, fps, keys, sizes = [], [], [], []
             for text in column_bytes(batch, "text"):
                 distinct = np.unique(shingle_hashes(text, shingle_words))
                 nodes.append(set_node(distinct))
+                sizes.append(len(distinct))
                 fps.append(majority(mixed(distinct[:, None] + steps)))  # repeats don't vote, as they don't count in the similarity
                 keys.append(minhash.keys(distinct).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), binary_array(fps), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "fp", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), binary_array(fps), pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "node", "fp", "keys", "size"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, fp binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, fp binary, keys array<long>, size long")
 
 
 def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -164,13 +165,98 @@ def verified(docs: DataFrame, marked: DataFrame, pairs: DataFrame, shingle_words
     return both.where(common >= least * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def joining_pairs(labels: np.ndarray, rows: np.ndarray, sets: list[np.ndarray], radius: int, least: float) -> list[tuple[int, int]]:
+    """Pairs within the radius of a similarity of ``least`` or more, the closest first, each of which joins two parts: all
+    other such pairs lie within a part then."""
+    found = [(i.astype(np.int32), j.astype(np.int32), np.bitwise_count(rows[i] ^ rows[j]).sum(1, dtype=np.int16)) for i, j in Lanes(np.zeros(len(rows), np.int64), rows, radius).pairs()]
+    if not found:
+        return []
+    i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+    sizes, label, out = np.array([len(x) for x in sets]), labels.copy(), []
+    may = (label[i] != label[j]) & (np.minimum(sizes[i], sizes[j]) >= least * np.maximum(sizes[i], sizes[j]))
+    i, j, distance = i[may], j[may], distance[may]
+    order = np.argsort(distance, kind="stable")
+    i, j = i[order], j[order]
+    for at in range(0, len(i), ROWS_AT_ONCE):
+        a, b = i[at : at + ROWS_AT_ONCE], j[at : at + ROWS_AT_ONCE]
+        open_ = label[a] != label[b]
+        for x, y in zip(a[open_].tolist(), b[open_].tolist(), strict=True):
+            if label[x] != label[y]:
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if common >= least * (len(sets[x]) + len(sets[y]) - common):
+                    out.append((x, y))
+                    label[label == label[y]] = label[x]
+    return out
+
+
+def open_links(docs: DataFrame, marked: DataFrame, keys: DataFrame, found: DataFrame, shingle_words: int, bits: int, radius: int, least: float) -> DataFrame | None:
+    """Verified pairs (a, b) between parts (roots in ``found``) of buckets of more than ``SMALL`` rows; None if there is no
+    such bucket of several parts.
+
+    A bucket's rows outside its largest part are compared with each other and with the largest part, in tiles of bounded
+    rows and shingles; the largest part's rows are not compared with each other."""
+    large = stored(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SMALL).select("key"), "simhash-large")
+    n = large.count()
+    if not n:
+        return None
+    rows = keys.join(F.broadcast(large) if n <= BROADCAST_KEYS else large, "key").join(found, "node", "left")
+    rows = stored(rows.select("key", "node", "fp", "size", F.coalesce("root", "node").alias("label")), "simhash-parts")
+    parts = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    tiles = lambda n, s: F.greatest(F.lit(1), F.ceil(n / CLOSE_TILE), F.ceil(s / SHINGLES_PER_TILE)).cast("long")
+    most = parts.groupBy("key").agg(F.max(F.struct("n", "label", "s")).alias("m"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("parts"))
+    most = most.where("parts > 1").select("key", F.col("m.label").alias("main"), tiles(F.col("m.n"), F.col("m.s")).alias("tm"), tiles(F.col("n") - F.col("m.n"), F.col("s") - F.col("m.s")).alias("tr"))
+    most = stored(most, "simhash-open")
+    n = most.count()
+    if not n:
+        return None
+    rows = rows.join(F.broadcast(most) if n <= BROADCAST_KEYS else most, "key").withColumn("main", F.col("label") == F.col("main"))
+    rows = stored(rows.withColumn("t", F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("tm")).otherwise(F.col("tr")))), "simhash-open-rows")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    unit = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
+    t = F.col("t")
+    rest = F.concat(F.transform(upto(F.col("tr")), lambda u: unit(0, F.least(t, u), F.greatest(t, u))), F.transform(upto(F.col("tm")), lambda m: unit(1, t, m)))
+    units = F.when(F.col("main"), F.transform(upto(F.col("tr")), lambda u: unit(1, u, t))).otherwise(rest)
+    sets = sets_of(docs, marked, rows.select("node").distinct(), shingle_words)
+    dealt = rows.select("node", "fp", "label", "key", F.explode(units).alias("unit")).join(sets, "node").select("key", "unit.*", "node", "fp", "label", "shingles")
+    dealt = dealt.repartition("key", "kind", "x", "y").sortWithinPartitions("key", "kind", "x", "y")
+
+    def pairs(group: list[dict]) -> list[tuple[bytes, bytes]]:
+        _, labels = np.unique([r["label"].hex() for r in group], return_inverse=True)
+        fps = np.frombuffer(b"".join(r["fp"] for r in group), np.uint8).reshape(-1, bits // 8)
+        return [(group[x]["node"], group[y]["node"]) for x, y in joining_pairs(labels, fps, [r["shingles"] for r in group], radius, least)]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, group = None, []
+        batch_of = lambda out: pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
+        for batch in it:
+            names = ("key", "kind", "x", "y", "node", "fp", "label")
+            shingles = batch.column(batch.schema.get_field_index("shingles"))
+            for row, *values in zip(range(batch.num_rows), *(column_list(batch, c) for c in names), strict=True):
+                r = dict(zip(names, values, strict=True)) | {"shingles": shingles[row].values.to_numpy(zero_copy_only=False).copy()}
+                at = tuple(values[:4])
+                if at != unit and group:
+                    yield batch_of(pairs(group))
+                    group = []
+                unit = at
+                group.append(r)
+        if group:
+            yield batch_of(pairs(group))
+
+    return dealt.mapInArrow(run, "a binary, b binary")
+
+
 def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8, bits: int = 512, radius: int = 120, bands: int = 16, rows: int = 5) -> DataFrame:
     """doc_id, node and component_id of each row, linked at a similarity of ``least`` or more (see above)."""
     marked = stored(wide_fingerprints(docs, shingle_words, bits, bands, rows), "simhash-wide")
-    distinct = stored(marked.select("node", "fp", "keys").dropDuplicates(["node"]), "simhash-distinct")
-    keys = distinct.select(F.explode("keys").alias("key"), "node", "fp")
-    pairs = links(keys, bits, radius, closest=True).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return with_components(marked.select("doc_id", "node"), verified(docs, marked, pairs, shingle_words, least), "node")
+    distinct = stored(marked.select("node", "fp", "keys", "size").dropDuplicates(["node"]), "simhash-distinct")
+    keys = distinct.select(F.explode("keys").alias("key"), "node", "fp", "size")
+    pairs = links(keys.drop("size"), bits, radius, closest=True).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = stored(verified(docs, marked, pairs, shingle_words, least), "simhash-edges")
+    found = components(edges)
+    more = open_links(docs, marked, keys, found, shingle_words, bits, radius, least)
+    if more is not None:
+        found = components(edges.unionByName(more))
+    return with_components(marked.select("doc_id", "node"), found, "node")
 
 
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:

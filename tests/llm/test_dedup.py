@@ -149,20 +149,22 @@ def test_unrelated_texts_with_a_much_repeated_line_stay(documents):
     assert kept == set(range(len(texts)))
 
 
-def brute_kept(rows, least=0.8):
-    parent = {i: i for i, _ in rows}
+def brute_kept(rows, least=0.8, bands=None):
+    words = {i: t.split() for i, t in rows}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    parent = {i: i for i in sets}
 
     def root(a):
         while parent[a] != a:
             a = parent[a]
         return a
 
-    for k, (i, a) in enumerate(rows):
-        for j, b in rows[k + 1 :]:
-            if similarity(a, b) >= least:
+    for i in sets:
+        for j in sets:
+            if i < j and (bands is None or bands[i] & bands[j]) and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
                 x, y = root(i), root(j)
                 parent[max(x, y)] = min(x, y)
-    return {i for i, _ in rows if root(i) == i}
+    return {i for i in sets if root(i) == i}
 
 
 def test_near_copies_that_repeat_a_line_differently_are_dropped(documents):
@@ -173,6 +175,46 @@ def test_near_copies_that_repeat_a_line_differently_are_dropped(documents):
     assert {r.doc_id for r in simhash_dedup.drop_near_duplicates(documents(rows)).collect()} == want
 
 
+def family(n, words, edits, seed):
+    """Near copies of one text, of ``edits`` (least, most) edited words each."""
+    rnd = random.Random(seed)
+    base = [f"w{rnd.getrandbits(40)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for k in rnd.sample(range(words), rnd.randint(*edits)):
+            text[k] = f"w{rnd.getrandbits(40)}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("tile", [512, 20])
+def test_large_families_equal_brute_force(documents, monkeypatch, tile):
+    """Where pairs of the closest forest fail the check, farther ones that share a band are still verified, also in tiles."""
+    monkeypatch.setattr(hamming, "CLOSE_TILE", tile)
+    monkeypatch.setattr(simhash_dedup, "CLOSE_TILE", tile)
+    texts = family(300, 300, (2, 8), 1) + family(40, 300, (2, 8), 2)
+    rows = list(enumerate(texts))
+    minhash = simhash_dedup.MinHash(16, 5)
+    bands = {i: set(minhash.keys(simhash_dedup.shingle_hashes(t.encode(), 5)).tolist()) for i, t in rows}
+    assert {r.doc_id for r in simhash_dedup.drop_near_duplicates(documents(rows)).collect()} == brute_kept(rows, bands=bands)
+
+
+def test_joining_pairs_leave_none_open():
+    rnd = np.random.RandomState(2)
+    sets = [np.unique(np.concatenate([np.arange(40), rnd.randint(100, 130, 6)])).astype(np.int64) for _ in range(60)]
+    fps, labels = np.zeros((60, 8), np.uint8), np.arange(60) // 2
+    like = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b)) >= 0.85
+    parent = {i: i // 2 * 2 for i in range(60)}
+    for a, b in [(i, j) for i in range(60) for j in range(i) if like(sets[i], sets[j])]:
+        parent = {k: parent[b] if v == parent[a] else v for k, v in parent.items()}
+    joined = {i: i // 2 * 2 for i in range(60)}
+    for a, b in simhash_dedup.joining_pairs(labels, fps, sets, 0, 0.85):
+        assert joined[a] != joined[b] and like(sets[a], sets[b])
+        joined = {k: joined[b] if v == joined[a] else v for k, v in joined.items()}
+    assert len(set(joined.values())) == len(set(parent.values()))
+
+
 def test_near_duplicates_of_odd_rows(odd):
     out = simhash_dedup.drop_near_duplicates(odd)
     ids = [r.doc_id for r in out.collect()]
