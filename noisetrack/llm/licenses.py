@@ -1,8 +1,11 @@
 """License scans: fuzzy search for short notices.
 
 Texts are reduced to lower-case words.  A notice with at most k errors contains one of its k + 1 pieces unchanged
-(pigeonhole), so an Aho-Corasick automaton over the pieces of all notices finds the candidate places, and the regex
-library's bounded-error matching verifies each one and gives span and errors.  Phrases are found exactly beside that.
+(pigeonhole), so an Aho-Corasick automaton over the pieces of all notices finds the candidate places; in a window around
+each the regex library's bounded-error matching finds the best place, which is widened to whole words and verified again.
+Words that tell licenses apart (names, versions) are marked in the notice and must be there exactly, or with one error, so
+errors are only forgiven in the rest.  Of overlapping spans the one that explains most stays.  Phrases are found exactly
+beside that.
 
 Edge cases: null and empty texts have no words and no labels; repeated rows are scanned alike; whole texts are searched;
 an empty table gives an empty result; extra columns are ignored.
@@ -28,26 +31,54 @@ PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2
 
 @dataclass(frozen=True)
 class Notice:
-    text: str
+    """``marked``: the text, with {words} that must be there exactly and {words~} that may have one error."""
+
+    marked: str
     label: str
     errors: int
 
+    @property
+    def text(self) -> str:
+        return re.sub("[{}~]", "", self.marked)
+
+    @property
+    def keys(self) -> list[str]:
+        return [k for k in re.findall(r"\{([^}]*)\}", self.marked) if not k.endswith("~")]
+
+    @property
+    def names(self) -> list[str]:
+        return re.findall(r"\{([^}]*)~\}", self.marked)
+
 
 #: Short notices, their labels and the errors (edited characters) that still count.
 NOTICES = (
-    Notice("released under the mit license", "mit", 3),
+    Notice("released under the {mit} license", "mit", 3),
+    Notice("under the {mit} license", "mit", 2),
     Notice("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", 8),
-    Notice("licensed under the apache license version 2 0", "apache-2", 4),
-    Notice("licensed under the gnu general public license version 3", "gpl-3", 4),
-    Notice("licensed under the gnu general public license version 2", "gpl-2", 0),
-    Notice("gnu lesser general public license", "lgpl", 3),
-    Notice("gnu affero general public license", "agpl", 3),
-    Notice("licensed under cc by nc 4 0", "cc-by-nc", 1),
-    Notice("licensed under cc by sa 4 0", "cc-by-sa", 1),
-    Notice("creative commons attribution noncommercial", "cc-by-nc", 3),
-    Notice("creative commons attribution sharealike", "cc-by-sa", 3),
+    Notice("licensed under the {apache~} license version {2} 0", "apache-2", 4),
+    Notice("{apache~} license version {2}", "apache-2", 2),
+    Notice("licensed under the {gnu} {general~} public license version {3}", "gpl-3", 4),
+    Notice("licensed under the {gnu} {general~} public license version {2}", "gpl-2", 4),
+    Notice("{gnu} {general~} public license version {3}", "gpl-3", 3),
+    Notice("{gnu} {general~} public license version {2}", "gpl-2", 3),
+    Notice("{gnu} {general~} public license", "gpl", 2),
+    Notice("{gnu} {lesser~} general public license", "lgpl", 3),
+    Notice("{gnu} {affero~} general public license", "agpl", 3),
+    Notice("licensed under {cc by nc} 4 0", "cc-by-nc", 1),
+    Notice("licensed under {cc by sa} 4 0", "cc-by-sa", 1),
+    Notice("licensed under {cc by nd} 4 0", "cc-by-nd", 1),
+    Notice("licensed under {cc by nc sa} 4 0", "cc-by-nc-sa", 1),
+    Notice("licensed under {cc by nc nd} 4 0", "cc-by-nc-nd", 1),
+    Notice("{cc by n c}", "cc-by-nc", 0),
+    Notice("{ccby nc}", "cc-by-nc", 0),
+    Notice("{cc bync}", "cc-by-nc", 0),
+    Notice("creative commons attribution {noncommercial~}", "cc-by-nc", 3),
+    Notice("creative commons attribution {sharealike~}", "cc-by-sa", 3),
+    Notice("creative commons attribution {noderivatives~}", "cc-by-nd", 3),
     Notice("redistribution and use in source and binary forms with or without modification are permitted", "bsd", 8),
-    Notice("subject to the terms of the mozilla public license", "mpl-2", 4),
+    Notice("under the {bsd} license", "bsd", 2),
+    Notice("under the {isc} license", "isc", 2),
+    Notice("subject to the terms of the {mozilla~} public license", "mpl-2", 4),
     Notice("all rights reserved", "all-rights-reserved", 1),
 )
 
@@ -61,8 +92,10 @@ def pieces(text: str, errors: int) -> list[tuple[int, str]]:
 class Scanner:
     def __init__(self, phrases: dict[str, str], notices: tuple[Notice, ...]) -> None:
         self.phrases = [(f" {p} ".encode(), label) for p, label in phrases.items()]
-        self.notices = notices
+        self.notices, self.texts = notices, [n.text for n in notices]
         self.pattern = [regex.compile(f"(?b)(?:{regex.escape(n.text)}){{e<={n.errors}}}") for n in notices]
+        self.keys = [[f" {k} " for k in n.keys] for n in notices]
+        self.names = [[regex.compile(f"(?: {regex.escape(k)} ){{e<=1}}") for k in n.names] for n in notices]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for number, notice in enumerate(notices):
             for offset, piece in pieces(notice.text, notice.errors):
@@ -84,25 +117,41 @@ class Scanner:
                 at = norm.find(phrase, at + 1)
         return out
 
+    def verified(self, number: int, norm: str, start: int, end: int) -> tuple[int, int, int, int] | None:
+        """(notice, start, end, errors) of the best place in a window, if it holds as whole words with the notice's keys."""
+        m = self.pattern[number].search(norm, max(0, start), min(end, len(norm)))
+        if not m:
+            return None
+        a, b = norm.rfind(" ", 0, m.start() + 1), norm.find(" ", max(m.end() - 1, m.start() + 1))
+        words = norm[a : b + 1]
+        whole = self.pattern[number].fullmatch(words[1:-1])
+        if not whole or not all(k in words for k in self.keys[number]) or not all(k.search(words) for k in self.names[number]):
+            return None
+        return number, a + 1, b, sum(whole.fuzzy_counts)
+
     def fuzzy(self, norm: str) -> list[tuple[int, int, int, int]]:
-        """(notice, start, end, errors) in ``norm``, best match of each run of candidates."""
-        windows: dict[int, list[list[int]]] = {}
+        """(notice, start, end, errors) of the places in ``norm`` (words with single spaces between, before and behind)."""
+        seen, found = set(), set()
         for last, (length, uses) in self.automaton.iter(norm):
             for number, offset in uses:
-                n = self.notices[number]
-                start = max(0, last - length + 1 - offset - n.errors)
-                end = start + len(n.text) + 3 * n.errors
-                runs = windows.setdefault(number, [])
-                if runs and start <= runs[-1][1]:
-                    runs[-1][1] = max(end, runs[-1][1])
-                else:
-                    runs.append([start, end])
-        out = []
-        for number, runs in windows.items():
-            for start, end in runs:
-                for m in self.pattern[number].finditer(norm, start, min(end, len(norm))):
-                    out.append((number, m.start(), m.end(), sum(m.fuzzy_counts)))
-        return out
+                start = last - length + 1 - offset
+                if (number, start) not in seen:
+                    seen.add((number, start))
+                    k = self.notices[number].errors
+                    found.add(self.verified(number, norm, start - k, start + len(self.texts[number]) + 2 * k))
+        found.discard(None)
+        return self.best(found)
+
+    def best(self, found: set[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """Of overlapping places the one with most letters explained, in the order of the text."""
+        out: list[tuple[int, int]] = []
+        kept = []
+        for number, a, b, e in sorted(found, key=lambda x: (x[3] - len(self.texts[x[0]]), x[1], x[0])):
+            at = bisect.bisect_left(out, (a, b))
+            if (at == len(out) or out[at][0] >= b) and (at == 0 or out[at - 1][1] <= a):
+                out.insert(at, (a, b))
+                kept.append((number, a, b, e))
+        return sorted(kept, key=lambda x: x[1])
 
     def scan(self, text: bytes) -> dict:
         words = text.translate(WORD_TABLE).split()
@@ -114,10 +163,10 @@ class Scanner:
         spans = [
             {
                 "label": self.notices[k].label,
-                "first_word": max(0, bisect.bisect_right(starts, i) - 1) + (plain[i] == " "),
+                "first_word": bisect.bisect_left(starts, i),
                 "last_word": bisect.bisect_left(starts, j) - 1,
                 "errors": e,
-                "likeness": 1 - e / len(self.notices[k].text),
+                "likeness": 1 - e / len(self.texts[k]),
             }
             for k, i, j, e in found
         ]
