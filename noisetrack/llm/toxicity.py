@@ -2,7 +2,9 @@
 
 1. ``fit`` counts, over a bounded sample of labelled rows, how often each word and word beginning occurs in toxic and other
    documents, and keeps those that mark toxic ones (a likelihood-ratio test against the number of terms tried).  A
-   beginning stands for all its endings.
+   beginning stands for all its endings.  The lexicon holds at most ``MAX_TERMS`` terms, the strongest by likelihood ratio
+   (on a tie the longer, then in alphabetical order) round by round; ``significant`` hands on at most four times as many
+   words and beginnings, in the same order.
 2. ``TermAutomaton`` intersects the Levenshtein automaton of a word with the trie of the lexicon.  The product is built
    lazily as a deterministic automaton, so a word costs one look-up a letter and most words die after three letters.
 3. Each hit is weighed by a context window: a hit inside quotation marks or after a reporting word counts for less, one
@@ -12,7 +14,7 @@
 
 Edge cases: a null or empty text has no hits and gets the score of texts without hits; rows without doc_id are
 scored and count as held out; repeated rows are scored alike; an empty label table gives every row the score 0.1;
-extra columns are kept by ``reject_toxic`` and ignored elsewhere.
+labels other than 0 and 1 are not learned from, and a document labelled both ways counts as toxic; extra columns are kept by ``reject_toxic`` and ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -188,14 +190,18 @@ class Scorer:
 
     def uses(self, text: bytes) -> tuple[int, dict[tuple[int, int], float]]:
         """Number of words, and capped uses of each term and number of edits, weighed by their context."""
+        return self.tally(text, self.spans(text))
+
+    def tally(self, text: bytes, spans: list[dict]) -> tuple[int, dict[tuple[int, int], float]]:
         hits: dict[tuple[int, int], float] = {}
-        for s in self.spans(text):
+        for s in spans:
             key = s["term"], min(s["edits"], 2)
             hits[key] = min(USES, hits.get(key, 0.0) + s["context"])
         return len(text.translate(WORD_TABLE).split()) if hits else 0, hits
 
-    def score(self, text: bytes) -> float:
-        n_words, hits = self.uses(text)
+    def score(self, text: bytes, spans: list[dict] | None = None) -> float:
+        """``spans``: those of the text, where they are known."""
+        n_words, hits = self.tally(text, self.spans(text) if spans is None else spans)
         logit = sum(a * b for a, b in zip(self.model.weights, self.model.inputs(n_words, hits), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
@@ -213,7 +219,7 @@ def context(text: str, start: int, end: int) -> float:
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> DataFrame:
     """At most about ``max_docs`` labelled training rows (text, toxic), chosen by a hash of doc_id.  Their ids are
     broadcast (a few 100 KB at that bound), so that documents are not shuffled."""
-    train = labels.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    train = labels.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, max_docs / max(1, train.count()))
     ids = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     return stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic"), "toxicity-sample")
@@ -233,8 +239,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> M
     left, left_words, left_pos = counted, model.totals[0], pos
     for _ in range(ROUNDS):
         found = significant(left, (left_words, model.totals[1]), (left_pos, neg))
-        fresh = [t for t in choose(found, (left_words, model.totals[1])) if t not in model.terms]
-        if not fresh or len(model.terms) + len(fresh) > MAX_TERMS:
+        fresh = [t for t in choose(found, (left_words, model.totals[1])) if t not in model.terms][: MAX_TERMS - len(model.terms)]
+        if not fresh:
             break
         model.terms = sorted(model.terms + fresh)
         # What marks the toxic documents that the lexicon doesn't reach yet.
@@ -303,7 +309,7 @@ def significant(counted: DataFrame, words: tuple[int, int], docs: tuple[int, int
 
 
 def choose(found: dict[str, tuple[int, int]], words: tuple[int, int]) -> list[tuple[str, bool]]:
-    """Of each family of beginnings the one with the highest ratio, on a tie the longest."""
+    """Of each family of beginnings the one with the highest ratio, on a tie the longest; the strongest terms first."""
     rate = words[0] / sum(words)
 
     def ratio(w: str) -> float:
@@ -312,11 +318,13 @@ def choose(found: dict[str, tuple[int, int]], words: tuple[int, int]) -> list[tu
 
     taken: set[str] = set()
     shorter: set[str] = set()  # beginnings of those taken
+    out = []
     for w in sorted(found, key=lambda w: (-round(ratio(w), 6), -len(w), w)):
         if w not in shorter and not any(w[:k] in taken for k in range(1, len(w))):
             taken.add(w)
+            out.append((w.rstrip("$"), not w.endswith("$")))
             shorter.update(w[:k] for k in range(1, len(w)))
-    return sorted((w.rstrip("$"), not w.endswith("$")) for w in taken)
+    return out
 
 
 def weigh(sample: DataFrame, model: Model) -> Model:
@@ -367,7 +375,7 @@ def score_documents(docs: DataFrame, model: Model, with_spans: bool = False) ->
             found = [scorer.spans(x) for x in texts]
             out = [
                 batch.column(0),
-                pa.array([scorer.score(x) for x in texts], pa.float64()),
+                pa.array([scorer.score(x, spans) for x, spans in zip(texts, found, strict=True)], pa.float64()),
                 pa.array([len(x) for x in found], pa.int64()),
                 pa.array([sum(s["context"] < 1 for s in x) for x in found], pa.int64()),
             ]
