@@ -23,7 +23,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = mixing.decide(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    return decided.select(F.col("_id").alias("doc_id"), F.col("_tokens").alias("n_tokens"), F.col("_topic").alias("topic"), F.round("ratio", 6).alias("ratio"), F.round("keep_prob", 6).alias("keep_prob"), "kept")
+    return decided.select(F.col("_id").alias("doc_id"), F.col("_tokens").alias("n_tokens"), F.col("_topic").alias("topic"), F.round("ratio", 6).alias("ratio"), F.round("keep_prob", 6).alias("keep_prob"), F.round("residual", 6).alias("residual"), "kept")
 
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
