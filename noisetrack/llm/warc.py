@@ -1,22 +1,28 @@
 """WARC: a deterministic sharded writer and a reader.
 
-Records are range-sorted by page_id into shards whose bounds are quantiles of the ids.  The task that holds a shard
-streams it into gzip members, rolls to a new file when the compressed size is reached, writes under a temporary name and
-renames; files carry the shard and roll number, so a task that runs again writes the same bytes to the same names.  Once
-all tasks are done the manifest (file, records, bytes, SHA-256, first and last record) is committed, also by renaming; a
-folder without it is not an archive.  Headers and digests are made anew from the payload; nothing depends on the clock.
+Records are range-sorted by page_id, digest and url into shards of equal payload bytes: running sums over a thin table of
+keys and sizes, computed range by range, give the first key of each shard exactly, so shards depend on the pages alone and
+not on sampling or on how the input was dealt.  A shard is a task (``repartitionById``), which streams it into gzip members,
+rolls to a new file when the compressed size is reached, writes under a temporary name and renames; files carry the shard
+and roll number, so a task that runs again writes the same bytes to the same names.  Shards grow with the table once there
+are ``MAX_SHARDS``, so that is a bound on the list of their first keys (a few MB) that tasks get.  Once all tasks are done
+the manifest (file, records, bytes, SHA-256, first and last record) is committed, also by renaming; a folder without it is
+not an archive.  Headers and digests are made anew from the payload; nothing depends on the clock.
 
 The first record of equal payloads is a response, later ones are revisits that refer to it.  Which page that is, is found
 on a thin table of ids and digests, pre-aggregated before the shuffle.
 
-Edge cases: null html is an empty payload; a row without page_id is written with an empty page header and sorts first;
-of repeated rows the first is the response and the others revisit it; an empty table writes an empty manifest; a very
-large payload makes a file of its own; extra columns are ignored.
+Edge cases: null html is an empty payload; page_id may be of any type that has an order, text too; a row without page_id is
+written with an empty page header, sorts first and revisits a row with an id if one has its payload, else it is a response;
+of repeated rows with an id the first is the response and the others revisit it; equal rows (id, payload and url) are in one
+shard, written as a stream; an empty table writes an empty manifest; a very large payload makes a file of its own; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import gzip
 import hashlib
 import io
@@ -26,13 +32,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noisetrack.llm.common import new_path, stored
 
 ROLL_BYTES = 4 << 20
-SHARD_BYTES = 64 << 20
+SHARD_BYTES, MAX_SHARDS, RECORD_BYTES = 16 << 20, 1 << 16, 600  # a record's headers
 BROADCAST_ROWS = 200_000
 DATE = "2024-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL name space of RFC 4122
@@ -106,24 +112,52 @@ def within_bound(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def sort_key(page_id: object, key: str, url: str) -> tuple:
+    """The order of records: rows without page_id first."""
+    return (page_id is not None, 0 if page_id is None else page_id, key, url)
+
+
+def shard_starts(thin: DataFrame) -> list[tuple]:
+    """Sort keys that begin the shards after the first, from rows (page_id, key, url, size).
+
+    Rows are dealt to ranges, summed range by range, and a row begins a shard where the running sum passes a multiple of the
+    shard's bytes."""
+    spark = thin.sparkSession
+    order = [F.col("page_id").asc_nulls_first(), "key", "url"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted = thin.withColumn("salt", F.monotonically_increasing_id())  # rows with all keys equal may be split
+    ranged = stored(salted.repartitionByRange(n, *order, "salt").withColumn("range", F.spark_partition_id()), "warc-ranges")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("range").agg(F.sum("size").alias("s"))  # a row a range
+    total = sums.agg(F.sum("s")).first()[0] or 0
+    shard = max(SHARD_BYTES, -(-total // MAX_SHARDS))
+    sums = sums.select("range", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("start"))
+    running = F.sum("size").over(Window.partitionBy("range").orderBy(*order, "salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("start")
+    at = ranged.join(F.broadcast(sums), "range").withColumn("end", running)
+    passes = F.floor((F.col("end") - F.col("size")) / shard) < F.floor(F.col("end") / shard)
+    rows = at.where(passes & (F.col("end") < total)).select("page_id", "key", "url").distinct().collect()  # a row a shard, MAX_SHARDS at most
+    return sorted(sort_key(*r) for r in rows)
+
+
 def write_archive(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, least: int = 0) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as WARC files under ``path`` and return the manifest."""
     spark = pages.sparkSession
-    size = pages.agg(F.sum(F.octet_length(F.coalesce(F.col("html"), F.lit("")))).alias("b"), F.count("*").alias("n")).first()
-    n_shards = max(1, -(-(size["b"] or 0) // SHARD_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = []
-    if size["n"]:
-        at = [i / n_shards for i in range(1, n_shards)]
-        got = pages.agg(F.percentile_approx("page_id", F.array(*[F.lit(x) for x in at]), 10 * n_shards)).first()[0] if at else []
-        bounds = sorted(set(got or []))
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     # 256 bits stand for the payload; equal ones of ``least`` bytes or more share a response.
-    thin = pages.select("page_id", F.sha2(payload, 256).alias("key"), F.octet_length(payload).alias("size")).where(F.col("size") >= least)
-    shared = thin.groupBy("key").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("key", "first_id")
+    url = F.coalesce(F.col("url").cast("string"), F.lit(""))
+    thin = stored(pages.select("page_id", F.sha2(payload, 256).alias("key"), url.alias("url"), (F.octet_length(payload) + RECORD_BYTES).cast("long").alias("size")), "warc-thin")
+    shared = thin.where(F.col("size") >= least + RECORD_BYTES).groupBy("key").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("key", "first_id")
     shared = within_bound(stored(shared, "warc-shared"))
-    shard = F.lit(0) if not bounds else F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("page_id"))), F.lit(0))
-    rows = pages.select(shard.cast("int").alias("shard"), "page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("key"))
-    rows = rows.join(shared, "key", "left").repartition(n_shards, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "key", "url")
+    starts = shard_starts(thin)
+
+    @F.arrow_udf("int")
+    def shard_of(page: pa.Array, key: pa.Array, url: pa.Array) -> pa.Array:
+        rows = zip(page.to_pylist(), key.to_pylist(), url.to_pylist(), strict=True)
+        return pa.array([bisect.bisect_right(starts, sort_key(*r)) for r in rows], pa.int32())
+
+    rows = pages.select("page_id", url.alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("key")).join(shared, "key", "left")
+    rows = rows.select(shard_of("page_id", "key", "url").alias("shard"), "page_id", "url", "payload", "key", "first_id")
+    rows = rows.repartitionById(len(starts) + 1, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "key", "url")
 
     def write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(path)
@@ -166,7 +200,7 @@ def write_archive(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, lea
         if done:
             yield pa.RecordBatch.from_pylist(done)
 
-    manifest = rows.select("shard", "page_id", "url", "payload", "key", "first_id").mapInArrow(write, "file string, records long, bytes long, sha256 string, first_page string, last_page string")
+    manifest = rows.mapInArrow(write, "file string, records long, bytes long, sha256 string, first_page string, last_page string")
     staged = f"{path}/_manifest-{uuid.uuid4().hex}"
     manifest.write.parquet(staged)  # a row a file; its tasks are those that write the archives
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
