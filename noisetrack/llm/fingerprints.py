@@ -5,11 +5,13 @@ rather than words, because texts of one language share their frequent words.  ``
 tables, all fingerprints within a Hamming radius; ``likeness`` is the share of equal bits.
 
 The next document (in descending order of doc_id) meets its predecessor without a global sort in one task: rows are dealt
-to ranges of ids whose bounds are quantiles, and the first row of each range is copied to the one before it.
+to ranges of some ``RANGE_BYTES``, a task goes through its range in order, and only the last row of each range waits for
+the first one of the next range, in a second step over two rows a range.
 
-Edge cases: null and empty texts have fingerprint zero; a text of one word votes with that word; rows without doc_id come
-last, in order of their texts, as do repeated ids among themselves; a single row is its own next document; an empty table
-gives an empty result; extra columns are ignored.
+Edge cases: null and empty texts have fingerprint zero; a text of one word votes with that word; ids may be of any type that
+has an order; rows without doc_id come last, and they and repeated ids are ordered by a hash of their texts among themselves,
+so that they are spread over ranges too; a single row is its own next document; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,13 +22,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from noisetrack.llm.common import column_list, stored
 from noisetrack.llm.hamming import block_keys, components, links, mixed
 
-BITS, RADIUS, ROWS_AT_ONCE, CACHE = 256, 6, 4096, 300_000
+BITS, RADIUS, ROWS_AT_ONCE, CACHE, RANGE_BYTES = 256, 12, 4096, 300_000, 32 << 20
 STEPS = mixed(np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -62,48 +66,70 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (range, copy, doc_id, text) such that in each range, ordered by copy, doc_id and text, each row but the copy is
-    followed by its next document."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]), 10 * n)).first()[0] or [])) if n > 1 else []
-    place = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)).cast("int")
-    rows = docs.select(place.alias("range"), F.lit(0).alias("copy"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    tops = {r["range"]: r["top"] for r in rows.groupBy("range").agg(F.max("doc_id").alias("top")).collect()}  # at most a row a range
-    order = sorted(tops, reverse=True)
-    follower = {r: order[(i + 1) % len(order)] for i, r in enumerate(order)}
-    if not order:
-        return rows
-    copies = None
-    firsts = rows.where(F.col("doc_id").isin([t for t in tops.values() if t is not None]) | F.col("doc_id").isNull()).groupBy("range", "doc_id").agg(F.min("text").alias("text"))
-    before = F.create_map(*[F.lit(x) for r, f in follower.items() for x in (f, r)])
-    copies = firsts.select(before[F.col("range")].cast("int").alias("range"), F.lit(1).alias("copy"), "doc_id", "text")
-    return rows.unionByName(copies).repartition(n, "range").sortWithinPartitions("range", "copy", F.col("doc_id").desc_nulls_last(), "text")
+SCHEMA = "doc_id {id}, n_chars long, edited_sha256 string, fp binary, edited_fp binary, near_edited double, near_next double"
+
+
+def followed(doc_id: object, text: str, fp: np.ndarray, following: str, following_fp: np.ndarray, hashes: WordHashes) -> tuple:
+    """A row of the result."""
+    changed = edited(text, following)
+    changed_fp = fingerprint(changed, hashes)
+    sha = hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest()
+    return doc_id, len(text), sha, fp.tobytes(), changed_fp.tobytes(), likeness(fp, changed_fp), likeness(fp, following_fp)
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fp, edited_fp, near_edited and near_next of each row."""
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("salt"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("b")).first()["b"] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    order = [F.col("doc_id").desc_nulls_last(), "hash", "salt"]
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    kinds = [to_arrow_type(docs.schema["doc_id"].dataType), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+
+    def table(out: list[tuple], more: dict | None = None) -> pa.RecordBatch:
+        """Rows of the result, or with ``more`` one row that waits for its next document or is one."""
+        columns = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]
+        mark = more or {"range": None, "first": None, "text": None}
+        extra = [pa.array([mark[c]] * len(out), k) for c, k in (("range", pa.int64()), ("first", pa.bool_()), ("text", pa.string()))]
+        return pa.RecordBatch.from_arrays([*columns, *extra], [*names, "range", "first", "text"])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last = WordHashes(), None
+        hashes, last, place = WordHashes(), None, TaskContext.get().partitionId()
         for batch in it:
             out: list[tuple] = []
-            for place, copy, doc_id, text in zip(*(column_list(batch, c) for c in ("range", "copy", "doc_id", "text")), strict=True):
-                fp = fingerprint(text, hashes)
-                if last is not None and last[0] == place:
-                    changed = edited(last[2], text)
-                    changed_fp = fingerprint(changed, hashes)
-                    sha = hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest()
-                    out.append((last[1], len(last[2]), sha, last[3].tobytes(), changed_fp.tobytes(), likeness(last[3], changed_fp), likeness(last[3], fp)))
-                last = None if copy else (place, doc_id, text, fp)
+            for doc_id, body in zip(column_list(batch, "doc_id"), column_list(batch, "text"), strict=True):
+                fp = fingerprint(body, hashes)
+                if last is None:
+                    yield table([(None, None, None, fp.tobytes(), None, None, None)], {"range": place, "first": True, "text": body})
+                else:
+                    out.append(followed(*last, body, fp, hashes))
+                last = doc_id, body, fp
             if out:
-                kinds = [batch.schema.field("doc_id").type, pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                yield table(out)
+        if last is not None:
+            yield table([(last[0], None, None, last[2].tobytes(), None, None, None)], {"range": place, "first": False, "text": last[1]})
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_sha256 string, fp binary, edited_fp binary, near_edited double, near_next double"
-    names = [x.split()[0] for x in schema.split(", ")]
-    return with_next(docs).mapInArrow(run, schema)
+    def join_ends(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in it:
+            fps = [[np.frombuffer(x, np.uint8) for x in column_list(batch, c)] for c in ("fp", "next_fp")]
+            out = [followed(i, a, fa, b, fb, hashes) for i, a, fa, b, fb in zip(column_list(batch, "doc_id"), column_list(batch, "text"), fps[0], column_list(batch, "next_text"), fps[1], strict=True)]
+            if out:
+                yield table(out).select(names)
+
+    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    found = stored(ranged.mapInArrow(run, SCHEMA.format(id=id_type) + ", range long, first boolean, text string"), "fingerprints-ranges")
+    # Two rows a range: the last one's next document is the first of the next range that has rows, the very last one's the very first.
+    ends = found.where("range IS NOT NULL")
+    places = ends.where("first").select("range")
+    following = places.select("range", F.coalesce(F.lead("range").over(Window.orderBy("range")), F.min("range").over(Window.partitionBy(F.lit(1)))).alias("follower"))
+    firsts = ends.where("first").select(F.col("range").alias("follower"), F.col("text").alias("next_text"), F.col("fp").alias("next_fp"))
+    waiting = ends.where("NOT first").select("doc_id", "text", "fp", "range").join(following, "range").join(firsts, "follower")
+    joined = waiting.select("doc_id", "text", "fp", "next_text", "next_fp").mapInArrow(join_ends, SCHEMA.format(id=id_type))
+    return found.where("range IS NULL").select(*names).unionByName(joined)
 
 
 def within_radius(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
