@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,13 +34,15 @@ def crc_mod(key: Column, modulus: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset (tests), a folder of our own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in ``spark.checkpoint.dir``.  Where it is unset, a local session (tests) gets a folder of its own; a
+    cluster's executors would not see that, so there it is an error."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -47,24 +50,43 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of ``stored`` tables, newest list last; see ``scratch``.
+_OPEN: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     schema = df.schema if not partition_by else None
     reader = df.sparkSession.read
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
-def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of one batch."""
-
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            yield from each(batch)
-
-    return df.mapInArrow(batches, schema)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end; what is returned from inside must have been stored outside or written
+    elsewhere by then (``kept``)."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` for a table that outlives the innermost ``scratch``."""
+    inner = _OPEN.pop() if _OPEN else None
+    try:
+        return stored(df, name)
+    finally:
+        if inner is not None:
+            _OPEN.append(inner)
 
 
 def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes]:

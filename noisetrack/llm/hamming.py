@@ -20,10 +20,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noisetrack.llm.common import stored
+from noisetrack.llm.common import kept, scratch, stored
 
 TILE, CLOSE_TILE, SMALL = 2048, 512, 32
 BITS_PER_TASK = 400_000 * 64
@@ -250,15 +250,9 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     now = stored(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
     mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     before = mark(now)
+    spark = edges.sparkSession
     for _ in range(rounds if before[0] else 0):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Minima are stored, so that both sides of the joins are plain shuffles, whose hot keys Spark can split.
-        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "components-low")
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = stored(large, "components-large")
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "components-low")
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
-        now = stored(small, "components")
+        now = components_round(spark, now)
         after = mark(now)
         if after == before:
             break
@@ -267,3 +261,16 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if before[0]:
             raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def components_round(spark: SparkSession, now: DataFrame) -> DataFrame:
+    """A large-star and a small-star step."""
+    with scratch(spark):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # Minima are stored, so that both sides of the joins are plain shuffles, whose hot keys Spark can split.
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "components-low")
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = stored(large, "components-large")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "components-low")
+        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
+        return kept(small, "components")

@@ -5,12 +5,13 @@ links those that differ in at most ``radius`` bits, by block tables, and gives e
 connected to.
 
 Texts as alike as 0.8 (five-word shingles) differ in some 10 of 64 bits, where block tables have no selective keys.  For
-that case ``drop_near_duplicates`` uses wide fingerprints (512 bits, each distinct shingle votes once) and min-wise hashes of the shingles as keys: documents
-that share one of the bands meet in a bucket, where the same bit-sliced comparison picks pairs by distance, and the pairs
-are verified on their sets of shingles.  A pair of 0.8 shares a band with probability 0.998 and lies within the radius with
-0.998 or more, also where the sets have four and five shingles.  In buckets of more than 32 the first pairs are a forest of the closest; where verified pairs don't
-join all of such a bucket, ``open_links`` takes the sets along and verifies in the task every pair within the radius whose
-parts aren't joined yet.
+that case ``drop_near_duplicates`` uses wide fingerprints (512 bits, each distinct shingle votes once) and min-wise hashes
+of the shingles as keys: documents that share one of the bands (20 of 4) meet in a bucket, where the same bit-sliced
+comparison picks pairs by distance, and the pairs are verified on their sets of shingles.  No size of a bucket decides what
+is verified: in buckets of more than 32 a forest of the closest comes first, and where verified pairs don't join all of such
+a bucket, ``open_links`` takes the sets along and verifies in the task every pair within the radius whose parts aren't
+joined yet.  So a pair of 0.8 or more is lost only if it shares no band (probability below 0.00003) or differs in more than
+136 bits where some 78 are expected (seven standard deviations; five for sets of four and five shingles).
 
 Equal fingerprints, for ``drop_near_duplicates`` equal sets of shingles (by a 128-bit hash), are one node, so a group of
 copies costs a row however large it is.
@@ -61,6 +62,11 @@ def majority(words: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(words))
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast up to ``BROADCAST_ROWS`` rows of ids or fingerprints (some 50 MB), joined by a shuffle beyond."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def shingle_fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     """doc_id and the 64-bit fingerprint ``fp`` (8 bytes) of each row."""
 
@@ -75,9 +81,11 @@ def shingle_fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
 def with_components(marked: DataFrame, found: DataFrame, node: str = "fp") -> DataFrame:
     """Adds component_id to rows (doc_id, ``node``): the smallest doc_id of all rows whose nodes have a root in ``found``."""
     classes = marked.groupBy(node).agg(F.min("doc_id").alias("first"))
-    rooted = classes.join(found.withColumnRenamed("node", node), node, "left").withColumn("root", F.coalesce("root", node))
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(rooted.join(lowest, "root").select(node, "component_id"), node)
+    # Stored, so that the joins below are plain shuffles, whose hot roots and nodes Spark can split.
+    rooted = stored(classes.join(found.withColumnRenamed("node", node), node, "left").withColumn("root", F.coalesce("root", node)), "simhash-rooted")
+    lowest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-lowest")
+    named = stored(rooted.join(small(lowest), "root").select(node, "component_id"), "simhash-named")
+    return marked.join(small(named), node)
 
 
 def near_groups(docs: DataFrame, shingle_words: int = 3, radius: int = 3, equal: int = 2) -> DataFrame:
@@ -143,11 +151,6 @@ def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast up to ``BROADCAST_ROWS`` rows of ids or fingerprints (some 50 MB), joined by a shuffle beyond."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def sets_of(docs: DataFrame, marked: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFrame:
     """The sets of shingles of some nodes, made for their texts only."""
     ids = stored(marked.join(small(nodes), "node", "left_semi").select(F.col("doc_id").alias("_id")).distinct(), "simhash-ids")
@@ -245,7 +248,7 @@ def open_links(docs: DataFrame, marked: DataFrame, keys: DataFrame, found: DataF
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
-def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8, bits: int = 512, radius: int = 120, bands: int = 16, rows: int = 5) -> DataFrame:
+def similar_groups(docs: DataFrame, shingle_words: int = 5, least: float = 0.8, bits: int = 512, radius: int = 136, bands: int = 20, rows: int = 4) -> DataFrame:
     """doc_id, node and component_id of each row, linked at a similarity of ``least`` or more (see above)."""
     marked = stored(wide_fingerprints(docs, shingle_words, bits, bands, rows), "simhash-wide")
     distinct = stored(marked.select("node", "fp", "keys", "size").dropDuplicates(["node"]), "simhash-distinct")
@@ -265,8 +268,10 @@ def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     groups = stored(similar_groups(docs, **parameters), "simhash-groups")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     # Ids whose rows go, and ids that more than one row shares (rare) or that are null, whose repeated rows are thinned.
-    ids = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count_if(stays).alias("n"), F.count("*").alias("all"))
-    marks = stored(ids.where("n = 0 OR all > 1 OR _id IS NULL").select("_id", (F.col("n") == 0).alias("_lost")), "simhash-marks")
-    found = docs.join(small(marks), docs["doc_id"].eqNullSafe(marks["_id"]), "left")
-    again = found.where(~F.col("_lost")).drop("_id", "_lost").dropDuplicates(["doc_id", "text"])
-    return found.where(F.col("_lost").isNull()).drop("_id", "_lost").unionByName(again)
+    ids = groups.groupBy(F.col("doc_id").alias("id")).agg(F.count_if(stays).alias("n"), F.count("*").alias("all"))
+    marks = stored(ids.where("n = 0 OR all > 1 OR id IS NULL").select("id", (F.col("n") == 0).alias("lost")), "simhash-marks")
+    # The row is one column here, so no name of its own clashes.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = rows.join(small(marks), F.col("row")["doc_id"].eqNullSafe(F.col("id")), "left")
+    again = found.where(~F.col("lost")).select("row", F.col("row")["doc_id"].alias("id"), F.col("row")["text"].alias("text")).dropDuplicates(["id", "text"])
+    return found.where(F.col("lost").isNull()).select("row").unionByName(again.select("row")).select(*[F.col("row")[c].alias(c) for c in docs.columns])

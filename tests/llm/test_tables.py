@@ -24,17 +24,50 @@ def test_query_equals_sql(spark, name):
     assert sorted(map(repr, df.select(*names).toPandas().itertuples(index=False, name=None))) == sorted(map(repr, got.df().itertuples(index=False, name=None)))
 
 
-def test_raking_meets_the_marginals(spark):
-    rnd = random.Random(1)
-    rows = [(f"s{a}", f"l{b}", f"t{c}", float(rnd.randint(1, 1000))) for a in range(6) for b in range(3) for c in range(3)]
+def cells_of(spark, seed, n=(6, 3, 3), most=1000):
+    rnd = random.Random(seed)
+    rows = [(f"s{a}", f"l{b}", f"t{c}", float(rnd.randint(1, most))) for a in range(n[0]) for b in range(n[1]) for c in range(n[2])]
+    return rows, spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+
+
+def water(tokens, share, budget):
+    """Targets by bisection: min(tokens, level * share) that add up to the budget."""
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(t, mid * s) for t, s in zip(tokens, share, strict=True)) < budget else (low, mid)
+    return [min(t, low * s) for t, s in zip(tokens, share, strict=True)]
+
+
+@pytest.mark.parametrize("seed,most", [(1, 1000), (2, 5), (3, 100_000)])
+def test_raking_meets_the_marginals_at_the_default_settings(spark, seed, most):
+    rows, cells = cells_of(spark, seed, most=most)
+    raked = mixing.rake(cells)
+    assert mixing.residual(raked).first()[0] <= mixing.TOLERANCE
+    got = raked.collect()
+    assert len(got) == len(rows) and all(0 <= r.weight <= r.tokens * (1 + 1e-12) for r in got)
+    for at, dim in enumerate(mixing.DIMENSIONS):
+        plain = {}
+        for r in rows:
+            plain[r[at]] = plain.get(r[at], 0.0) + r[3]
+        want = dict(zip(plain, water(plain.values(), [t ** mixing.FLATTEN[dim] for t in plain.values()], mixing.KEEP * sum(plain.values())), strict=True))
+        for v, t in want.items():
+            assert sum(r.weight for r in got if r[dim] == v) == pytest.approx(t, abs=mixing.TOLERANCE * mixing.KEEP * sum(plain.values()) * 1.01)
+    kept = mixing.keep_probabilities(raked)
+    assert kept.agg(F.sum(F.col("tokens") * F.col("keep_prob"))).first()[0] == pytest.approx(mixing.KEEP * sum(r[3] for r in rows), rel=1e-3)
+
+
+def test_small_sources_are_kept_whole_and_the_rest_is_dealt_to_others(spark):
+    rows = [("a", "l", "t", 10.0), ("b", "l", "t", 1000.0), ("c", "l", "t", 1000.0)]
     cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
-    raked = mixing.rake(cells, {"source": 0.0, "lang": 0.5, "topic": 1.0}, rounds=12)
-    total = sum(r[3] for r in rows)
-    assert all(r.w == pytest.approx(total / 6, rel=1e-6) for r in raked.groupBy("source").agg(F.sum("weight").alias("w")).collect())
-    plain = {r.topic: r.w for r in cells.groupBy("topic").agg(F.sum("tokens").alias("w")).collect()}
-    assert all(r.w == pytest.approx(plain[r.topic], rel=1e-3) for r in raked.groupBy("topic").agg(F.sum("weight").alias("w")).collect())
-    kept = mixing.keep_probabilities(raked, 0.5)
-    assert kept.agg(F.sum(F.col("tokens") * F.col("keep_prob"))).first()[0] == pytest.approx(total / 2, rel=1e-3)
+    got = {r.source: r.weight for r in mixing.rake(cells, {"source": 0.0, "lang": 1.0, "topic": 1.0}, keep=0.5, tolerance=1e-9).collect()}
+    assert got["a"] == pytest.approx(10) and got["b"] == pytest.approx(497.5) and got["c"] == pytest.approx(497.5)
+
+
+def test_marginals_that_no_weights_meet_are_reported(spark):
+    rows = [("a", "x", "t", 100.0), ("b", "y", "t", 300.0)]  # source and language are the same, their targets are not
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    assert mixing.residual(mixing.rake(cells, {"source": 0.0, "lang": 1.0, "topic": 1.0}, keep=0.4, rounds=30)).first()[0] > 0.05
 
 
 def test_mixing_of_odd_rows(odd):

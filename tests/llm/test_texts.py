@@ -132,18 +132,81 @@ def test_license_places_and_fuzzy_labels(documents, odd):
     assert licenses.scan_licenses(odd).count() == odd.count()
 
 
+def slow_places(scanner, norm):
+    """Every span of whole words is held against every notice, without seeds and windows."""
+    edges = [i for i, c in enumerate(norm) if c == " "]
+    out = set()
+    for number, notice in enumerate(scanner.notices):
+        for x, a in enumerate(edges):
+            for b in edges[x + 1 :]:
+                if abs(b - a - 1 - len(notice.text)) <= notice.errors:
+                    m = scanner.pattern[number].fullmatch(norm[a + 1 : b])
+                    words = norm[a : b + 1]
+                    if m and all(k in words for k in scanner.keys[number]) and all(k.search(words) for k in scanner.names[number]):
+                        out.add((number, a + 1, b, sum(m.fuzzy_counts)))
+    return out
+
+
 def test_fuzzy_search_equals_search_of_all_places():
-    """Pigeonhole seeds lose nothing that bounded-error matching of the whole text finds."""
+    """Seeds, windows and widening lose no label, and every place found holds when all spans are tried."""
     rnd = random.Random(8)
     scanner = licenses.Scanner(licenses.PHRASES, licenses.NOTICES)
-    for _ in range(40):
-        k = rnd.randrange(len(licenses.NOTICES))
-        notice = licenses.NOTICES[k]
-        text = list(notice.text)
-        for _ in range(rnd.randint(0, notice.errors)):
-            text[rnd.randrange(len(text))] = rnd.choice("xq")
-        norm = " lorem ipsum dolor " + "".join(text) + " sit amet "
-        assert any(n == k for n, *_ in scanner.fuzzy(norm)) == bool(scanner.pattern[k].search(norm)) is True
+    for _ in range(150):
+        text = []
+        for _ in range(rnd.randint(1, 3)):
+            notice = rnd.choice(licenses.NOTICES)
+            letters = list(notice.text)
+            for _ in range(rnd.randint(0, notice.errors + 1)):
+                at, kind = rnd.randrange(len(letters)), rnd.random()
+                if kind < 0.6:
+                    letters[at] = rnd.choice("xqel ")
+                elif kind < 0.8:
+                    letters.insert(at, rnd.choice("xqel "))
+                elif len(letters) > 1:
+                    del letters[at]
+            text += ["".join(letters), *rnd.choices(["lorem", "ipsum", "by", "version", "3", "license", "the"], k=rnd.randint(0, 3))]
+        norm = " " + " ".join(" ".join(text).split()) + " "
+        slow, fast = slow_places(scanner, norm), scanner.fuzzy(norm)
+        labels = lambda found: {licenses.NOTICES[f[0]].label for f in found}
+        assert all(f[1:3] in {s[1:3] for s in slow if s[0] == f[0]} for f in fast)
+        assert labels(fast) == labels(scanner.best(slow)), norm
+
+
+NEAR_MISSES = {
+    "released under the BSD license": {"bsd"}, "released under the ISC license": {"isc"}, "released under the GPL license": set(), "released under the new license": set(),
+    "licensed under the gnu general public license version 1": {"gpl"}, "licensed under the gnu general public license version 2": {"gpl-2"}, "gnu general public license version 3": {"gpl-3"},
+    "gnu lesser general public license": {"lgpl"}, "apache license version 1 1": set(), "licensed under the Apache License, Version 1.1": set(), "licensed under the academic license version 2 0": set(),
+    "licensed under cc by nd 4 0": {"cc-by-nd"}, "licensed under cc by nc sa 4 0": {"cc-by-nc", "cc-by-nc-sa"}, "overall rights reserved": set(), "unter der mit lizenz": set(), "apache license version 21": set(),
+}
+MISSPELLED = {"available under the mit licence": "mit", "distributed undr the mit license": "mit", "the apache licence version 2": "apache-2", "cc by n c": "cc-by-nc"}
+
+
+def test_near_misses_get_no_wrong_label_and_misspelled_phrases_theirs():
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.NOTICES)
+    for text, want in NEAR_MISSES.items():
+        assert set(filter(None, scanner.scan(text.encode())["labels"].split(","))) == want, text
+    for text, want in MISSPELLED.items():
+        got = scanner.scan(text.encode())
+        assert got["labels"] == want and got["score"] > 0.9 and got["n_base"] == 0, text
+    both = scanner.scan(b" released undr the mit licence released under the mit license ")
+    assert [(s["first_word"], s["last_word"], s["errors"]) for s in both["spans"]] == [(0, 4, 2), (5, 9, 0)]
+
+
+def test_base_places_equal_brute_force(documents):
+    rnd = random.Random(5)
+    parts = ["under", "the", "mit", "license", "MIT", "apache", "License", "version", "2", "cc", "by", "nc", "under the mit license", "Apache License, Version 2", "cc-by-nc", "é", "_", "\n", "x2"]
+    rows = [(i, rnd.choice(["", " ", "-"]).join(rnd.choices(parts, k=rnd.randint(0, 30))) if i else None) for i in range(120)]
+    rows += [(i + 200, " ".join(rnd.choices(parts, k=rnd.randint(0, 40)))) for i in range(120)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(documents(rows)).collect()}
+    hits = 0
+    for i, text in rows:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        places = [(k, label) for phrase, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
+        r, at = got[i], [k for k, _ in places]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(words), len(places), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})))
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+        hits += len(places)
+    assert hits > 100
 
 
 # ---------------------------------------------------------------- tokens
