@@ -6,9 +6,11 @@ scored with their own counts taken out.
 
 How it runs.  Documents are tokenised once into chunks of a bounded number of tokens, kept as number arrays in the shared
 folder.  Each chunk sends its distinct words and word pairs (64-bit hashes, sorted, as differences) to buckets of the
-hash; a bucket adds up the training counts and answers each chunk in the order asked.  So counts of the whole corpus are
-exact up to hash collisions, no table of counts is broadcast, a frequent word costs one entry a chunk, and what a task
-holds is bounded by the chunk and bucket sizes.  Only totals and the histogram for the weights (bounded by its bins)
+hash; a bucket adds up the training counts and answers each chunk in the order asked.  A chunk sends ``FAN_OUT`` messages at
+most: a corpus that needs more buckets is asked in two steps, chunks to groups of buckets, and units of ``UNIT_CHUNKS``
+chunks, their keys merged, from a group to its buckets, so that the number of messages grows with the corpus and not with
+its square.  So counts of the whole corpus are exact up to hash collisions, no table of counts is broadcast, a frequent word
+costs one entry a chunk, and what a task holds is bounded by the chunk, unit and bucket sizes.  Only totals and the histogram for the weights (bounded by its bins)
 reach the driver.
 
 Edge cases: null and empty texts consist of the end token; rows without doc_id are held out; repeated rows count as often
@@ -32,6 +34,7 @@ from noisetrack.llm.common import Numbered, column_bytes, column_list, crc_mod,
 
 CHUNK_TOKENS = 1_500_000
 BUCKET_KEYS = 2_000_000
+FAN_OUT, UNIT_CHUNKS = 4096, 1024
 FOLDS, DEV_FOLD = 10, 1
 CONTEXT_BUCKETS = 20
 STEP = 4  # histogram bins an octave of probability
@@ -126,50 +129,78 @@ def chunks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+MESSAGE = "bucket long, chunk string, keys binary, counts binary"
+ANSWER = "chunk string, bucket long, counts binary, wide boolean, new_words long"
+
+
+def messages(chunk: str, keys: np.ndarray, counts: np.ndarray, n_buckets: int) -> Iterator[pa.RecordBatch]:
+    """Sorted keys and their counts, cut by buckets (the top bits)."""
+    bucket = keys >> np.uint64(64 - n_buckets.bit_length() + 1) if n_buckets > 1 else np.zeros(len(keys), np.uint64)
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    spans = list(zip(bucket[starts].astype(np.int64).tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True))
+    for k in range(0, len(spans), 64):
+        part = spans[k : k + 64]
+        columns = [
+            pa.array([b for b, _, _ in part], pa.int64()),
+            pa.array([chunk] * len(part)),
+            pa.array([pack(np.diff(keys[i:j], prepend=np.uint64(0))) for _, i, j in part], pa.binary()),
+            pa.array([pack(counts[i:j].astype(np.uint32)) for _, i, j in part], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "keys", "counts"])
+
+
+def added_up(asked: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of each message; of all messages the distinct keys, the place of each message's keys there, and the sums."""
+    keys = [np.cumsum(unpack(x, "u8"), dtype=np.uint64) for x in asked.column("keys").to_pylist()]
+    counts = np.concatenate([unpack(x, "u4") for x in asked.column("counts").to_pylist()])
+    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+    return keys, distinct, which, np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.uint64)
+
+
+def answers(names: list[str], buckets: list[int], keys: list[np.ndarray], counts: np.ndarray, new_words: int) -> pa.Table:
+    """For each message the counts of its keys; ``counts`` has them one message after the other."""
+    wide = counts.max(initial=0) >= 2**32
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    packed = pa.array([pack(x.astype("u8" if wide else "u4")) for x in np.split(counts, ends)], pa.binary())
+    return pa.table({"chunk": names, "bucket": pa.array(buckets, pa.int64()), "counts": packed, "wide": [bool(wide)] * len(names), "new_words": pa.array([new_words] + [0] * (len(names) - 1), pa.int64())})
+
+
 def global_counts(table: DataFrame, n_buckets: int) -> DataFrame:
     """chunk, bucket, counts: for each chunk's keys of a bucket their counts in all training documents; new_words: words
     with such a count, told once a bucket."""
-    shift = np.uint64(64 - n_buckets.bit_length() + 1)
+    n_groups = min(n_buckets, FAN_OUT)
 
     def ask(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for chunk, train, lengths, tokens, vocabulary in zip(*(column_list(batch, c) for c in ("chunk", "train", "lengths", "tokens", "vocabulary")), strict=True):
                 grams = Grams(unpack(tokens, "u4"), unpack(vocabulary, "u8"))
                 counts = grams.counts(np.repeat(unpack(train, "u1") > 0, unpack(lengths, "u4")))
-                ends = np.searchsorted(grams.keys >> shift, np.arange(n_buckets + 1, dtype=np.uint64))
-                some = [(b, ends[b], ends[b + 1]) for b in range(n_buckets) if ends[b] < ends[b + 1]]
-                for k in range(0, len(some), 64):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([b for b, _, _ in some[k : k + 64]], pa.int64()),
-                            pa.array([chunk] * len(some[k : k + 64])),
-                            pa.array([pack(np.diff(grams.keys[i:j], prepend=np.uint64(0))) for _, i, j in some[k : k + 64]], pa.binary()),
-                            pa.array([pack(counts[i:j]) for _, i, j in some[k : k + 64]], pa.binary()),
-                        ],
-                        ["bucket", "chunk", "keys", "counts"],
-                    )
+                yield from messages(chunk, grams.keys, counts, n_groups)
 
     def answer(asked: pa.Table) -> pa.Table:
-        names = asked.column("chunk").to_pylist()
-        keys = [np.cumsum(unpack(x, "u8"), dtype=np.uint64) for x in asked.column("keys").to_pylist()]
-        ends = np.cumsum([len(k) for k in keys])[:-1]
-        counts = np.concatenate([unpack(x, "u4") for x in asked.column("counts").to_pylist()])
-        distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.uint64)
+        keys, distinct, which, total = added_up(asked)
         new = int(((distinct & np.uint64(1)) == 0)[total > 0].sum())
-        wide = "u4" if total.max(initial=0) < 2**32 else "u8"
-        return pa.table(
-            {
-                "chunk": names,
-                "bucket": asked.column("bucket"),
-                "counts": pa.array([pack(x.astype(wide)) for x in np.split(total[which], ends)], pa.binary()),
-                "wide": pa.array([wide == "u8"] * len(names)),
-                "new_words": pa.array([new] + [0] * (len(names) - 1), pa.int64()),
-            }
-        )
-
-    asked = table.select("chunk", "train", "lengths", "tokens", "vocabulary").mapInArrow(ask, "bucket long, chunk string, keys binary, counts binary")
-    return asked.groupBy("bucket").applyInArrow(answer, "chunk string, bucket long, counts binary, wide boolean, new_words long")
+        return answers(asked.column("chunk").to_pylist(), asked.column("bucket").to_pylist(), keys, total[which], new)
+
+    asked = table.select("chunk", "train", "lengths", "tokens", "vocabulary").mapInArrow(ask, MESSAGE)
+    if n_buckets == n_groups:
+        return asked.groupBy("bucket").applyInArrow(answer, ANSWER)
+
+    def merge(part: pa.Table) -> pa.Table:
+        _, distinct, _, total = added_up(part)
+        return pa.Table.from_batches(list(messages(part.column("unit")[0].as_py(), distinct, total, n_buckets)))
+
+    def hand_back(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, _, which, _ = added_up(left)
+        parts = sorted(right.select(["bucket", "counts", "wide", "new_words"]).to_pylist(), key=lambda r: r["bucket"])
+        counts = np.concatenate([unpack(r["counts"], "u8" if r["wide"] else "u4").astype(np.uint64) for r in parts])
+        return answers(left.column("chunk").to_pylist(), left.column("bucket").to_pylist(), keys, counts[which], sum(r["new_words"] for r in parts))
+
+    n_units = max(1, -(-table.count() // UNIT_CHUNKS))
+    unit = F.concat_ws("/", F.col("bucket").cast("string"), F.pmod(F.xxhash64("chunk"), F.lit(n_units)).cast("string"))
+    asked = stored(asked.withColumn("unit", unit), "lm-asked")
+    answered = stored(asked.groupBy("unit").applyInArrow(merge, MESSAGE).groupBy("bucket").applyInArrow(answer, ANSWER), "lm-answered")
+    return asked.groupBy("unit").cogroup(answered.groupBy("chunk")).applyInArrow(hand_back, ANSWER)
 
 
 def with_counts(left: pa.Table, right: pa.Table) -> tuple[Grams, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

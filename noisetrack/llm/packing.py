@@ -94,7 +94,8 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # About a token for three characters and, on average, half a piece more a document.
     n_blocks = max(1, ((size["c"] or 0) // (3 * PIECE) + size["n"]) // BLOCK)
     cut = pieces(docs, capacity)
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(n_blocks)))
+    # A row's own number spreads repeated rows and rows without id too.
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(n_blocks)))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def pack(rows: pa.Table) -> pa.Table:

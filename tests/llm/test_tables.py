@@ -125,6 +125,29 @@ def test_empty_archive_and_least_size(spark, tmp_path):
     assert {r.record_type for r in warc.read_archive(spark, f"file://{tmp_path}/l").collect()} == {"response"}
 
 
+def test_text_ids_and_shards_of_equal_bytes(spark, tmp_path, monkeypatch):
+    """Shards depend on the pages only; ids may be text; null ids are spread."""
+    monkeypatch.setattr(warc, "SHARD_BYTES", 4000)
+    rows = [(f"p{i:03d}" if i % 3 else None, f"http://h/{i}", f"body {i % 40} " * 20) for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    files = []
+    for name, source in (("a", df), ("b", df.repartition(7))):
+        warc.write_archive(source, f"file://{tmp_path}/{name}")
+        files.append({x: (tmp_path / name / x).read_bytes() for x in os.listdir(tmp_path / name) if x.startswith("part")})
+    assert files[0] == files[1] and len(files[0]) > 20
+    got = warc.read_archive(spark, f"file://{tmp_path}/a", "string").collect()
+    assert len(got) == 120 and sorted(r.page_id or "" for r in got) == sorted(r[0] or "" for r in rows)
+    first = {}
+    for page, _, html in rows:
+        if page:
+            first[html] = min(first.get(html, page), page)
+    digest = {warc.digest(h.encode()): h for h in first}
+    for r in got:
+        own = first.get(digest.get(r.payload_digest))
+        if own is not None:
+            assert (r.record_type, r.refers_to) == (("response", None) if r.page_id == own else ("revisit", own))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from noisetrack.llm.common import read
@@ -138,3 +161,21 @@ def test_pipeline(spark):
         assert 0 < after < before or (name == "toxicity" and after <= before), name
         before = after
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_pipeline_of_odd_rows_and_empty_tables(spark, odd, tmp_path):
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    clashing = odd.withColumns({"_row": F.lit(1), "hash": F.lit("h"), "fp": F.lit("x"), "component_id": F.lit(3), "kept": F.lit(True)})
+    for name, docs in (("odd", odd), ("empty", odd.limit(0)), ("clash", clashing)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/odd").count() > 0 and corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, clashing, f"{tmp_path}/clash").columns == clashing.columns
+    # Labels of none: nothing is toxic; null, empty and blank texts are one, as are equal and nearly equal texts.
+    toxic, exact, near = (corpus_pipeline.STAGES[k][1] for k in range(3))
+    after = exact(spark, toxic(spark, odd, f"{tmp_path}/odd"), f"{tmp_path}/odd")
+    assert toxic(spark, odd, f"{tmp_path}/odd").count() == odd.count() and after.count() == 7
+    assert sorted((r.doc_id is None, r.doc_id) for r in near(spark, after, f"{tmp_path}/odd").select("doc_id").collect() if r.doc_id is not None)[0] == (False, 2)

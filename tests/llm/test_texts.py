@@ -7,11 +7,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
 from noisetrack.llm import fingerprints, language_model, licenses, packing, token_counts, toxicity
+from noisetrack.llm.tokens import ByteTokens
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -78,6 +80,42 @@ def test_toxicity_learns_words_beginnings_and_misspellings(spark, odd):
     assert toxicity.score_documents(docs, empty).agg(F.max("score")).first()[0] == pytest.approx(0.1, abs=0.01)
 
 
+def test_a_full_lexicon_keeps_the_strongest_terms(spark, monkeypatch):
+    docs, labels = toxic_table(spark)
+    whole = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 2)
+    few = toxicity.fit(docs, labels)
+    assert len(few.terms) == 2 < len(whole.terms) and set(few.terms) <= set(whole.terms)
+    counts = {t: c[0][0] for t, c in zip(whole.terms, whole.counts, strict=True)}
+    assert min(counts[t] for t in few.terms) >= sorted(counts.values())[-3]
+    assert toxicity.Scorer(few).score(b"you scoundrel nitwit grobemona " * 3) > 0.5
+
+
+def test_score_equals_the_model_written_out(spark):
+    """The logistic model on evidence summed hit by hit, without tries and caches; other labels than 0 and 1 are ignored."""
+    docs, labels = toxic_table(spark)
+    model = toxicity.fit(docs, labels.unionByName(spark.createDataFrame([(5, 1, 7)], labels.schema)))
+    scorer = toxicity.Scorer(model)
+    for r in docs.limit(80).collect():
+        text = r.text
+        uses = {}
+        for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()):
+            options = []
+            for k, (term, beginning) in enumerate(model.terms):
+                d = min(edits(m[0][:i], term) for i in range(len(m[0]) + 1)) if beginning else edits(m[0], term)
+                if d <= toxicity.allowed_edits(term, beginning):
+                    options.append((d, k))
+            if options:
+                d, k = scorer.automaton.match(m[0])
+                assert d == min(options)[0] and (d, k) in options
+                key = k, min(d, 2)
+                uses[key] = min(toxicity.USES, uses.get(key, 0.0) + toxicity.context(text.lower(), m.start(), m.end()))
+        total = sum(u * max(0.0, model.evidence(*key)) for key, u in uses.items())
+        n = len(text.split()) if uses else 0
+        x = [1.0, math.log1p(total), math.log1p(1000 * total / (n + 20)), float(bool(uses)), bool(uses) * math.log1p(n)]
+        assert scorer.score(text.encode()) == pytest.approx(1 / (1 + math.exp(-sum(a * b for a, b in zip(model.weights, x, strict=True)))))
+
+
 # ---------------------------------------------------------------- language model
 
 
@@ -113,6 +151,72 @@ def test_language_model(spark, odd, monkeypatch):
     assert language_model.score_documents(odd.limit(0)).count() == 0
 
 
+def chained_texts(n, seed):
+    rnd = random.Random(seed)
+    follow = {k: rnd.sample(range(30), 2) for k in range(33)}
+    out = []
+    for i in range(n):
+        w, text = rnd.randrange(30), []
+        for _ in range(rnd.randint(0, 50)):
+            text.append(f"w{w}")
+            w = rnd.choice(follow[w]) if rnd.random() < 0.8 else rnd.randrange(33)
+        out.append((i, " ".join(text)))
+    return out
+
+
+def brute_model(rows):
+    """Counts, deleted interpolation weights by EM without bins, and the score of a text."""
+    fold = {i: zlib.crc32(str(i).encode()) % 10 for i, _ in rows}
+    grams = lambda t: list(zip(["\n", *words_of(t)[:-1]], words_of(t), strict=True))
+    words, pairs = Counter(), Counter()
+    for i, t in rows:
+        if fold[i]:
+            words.update(words_of(t))
+            pairs.update(grams(t))
+    n, v = sum(words.values()), len(words)
+    bucket = lambda c: min(int(math.log2(c)) + 1, 19) if c > 0 else 0
+    seen = []
+    for i, t in rows:
+        if fold[i] == language_model.DEV_FOLD:
+            own_w, own_p, length = Counter(words_of(t)), Counter(grams(t)), len(words_of(t))
+            for h, w in grams(t):
+                c_h = words[h] - own_w[h]
+                seen.append((bucket(c_h), (pairs[h, w] - own_p[h, w]) / max(1, c_h), (words[w] - own_w[w]) / max(1, n - length), 1 / (v + 1)))
+    weights = {b: [0.0, 0.6, 0.4] if b == 0 else [0.5, 0.3, 0.2] for b in range(20)}
+    for _ in range(60):
+        total = {b: [0.0] * 3 for b in weights}
+        for b, *p in seen:
+            share = [a * x for a, x in zip(weights[b], p, strict=True)]
+            for k in range(3):
+                total[b][k] += share[k] / sum(share)
+        weights = {b: [(x + y) / (sum(total[b]) + (2e-3 if b == 0 else 3e-3)) for x, y in zip(total[b], (0.0 if b == 0 else 1e-3, 1e-3, 1e-3), strict=True)] if sum(total[b]) else weights[b] for b in weights}
+
+    def score(t, weights=weights):
+        return sum(math.log10(sum(a * x for a, x in zip(weights[bucket(words[h])], (pairs[h, w] / max(1, words[h]), words[w] / n, 1 / (v + 1)), strict=True))) for h, w in grams(t))
+
+    return words, weights, score
+
+
+@pytest.mark.parametrize("fan_out", [4096, 4])
+def test_scores_equal_brute_force(spark, monkeypatch, fan_out):
+    """Counts, known words, weights and scores, also where chunks ask in two steps."""
+    monkeypatch.setattr(language_model, "CHUNK_TOKENS", 400)
+    monkeypatch.setattr(language_model, "FAN_OUT", fan_out)
+    monkeypatch.setattr(language_model, "UNIT_CHUNKS", 3)
+    rows = chained_texts(300, 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    words, weights, score = brute_model(rows)
+    learned, learn = [], language_model.learn_weights
+    monkeypatch.setattr(language_model, "learn_weights", lambda *a: learned.append(learn(*a)) or learned[-1])
+    got = {r.doc_id: r for r in language_model.score_documents(df).collect()}
+    fixed = {b: list(learned[0][b]) for b in range(20)}
+    for i, t in rows:
+        assert got[i].n_known == sum(words[w] > 0 for w in words_of(t))
+        assert got[i].score == pytest.approx(score(t, fixed))  # the same weights: exact
+        assert got[i].score == pytest.approx(score(t), rel=0.02)  # weights learned without bins
+    assert all(fixed[b] == pytest.approx(weights[b], abs=0.05) for b in weights)
+
+
 def test_packed_arrays_round_trip():
     a = np.array([0, 1, 2**40, 2**64 - 1], np.uint64)
     assert (language_model.unpack(language_model.pack(a), "u8") == a).all() and len(language_model.unpack(language_model.pack(a[:0]), "u8")) == 0
@@ -269,6 +373,38 @@ def test_token_counts_equal_offsets(documents, odd, reference, rule):
     assert token_counts.count_tokens(odd, rule=rule).select("doc_id").distinct().count() == 10
 
 
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_tokens_go_to_the_sections_that_brute_force_gives(documents, reference, rule):
+    """Each token's byte span is held against each section's, byte by byte."""
+    rnd = random.Random(9)
+    pieces = ["word", " ", "\n", "\n\n", "日本", "🙂", "    ", "re", "\t", "É", "x.y", "1234"]
+    rows = [(i, "".join(rnd.choices(pieces, k=rnd.randint(0, 60)))) for i in range(60)]
+    df = documents(rows)
+    bytes_of = {rank: piece for piece, rank in ByteTokens().ranks.items()}
+    got = {}
+    for r in token_counts.count_tokens(df, rule=rule).collect():
+        got.setdefault(r.doc_id, {})[r.section] = (r.n_tokens, r.n_crossing)
+    crossing = 0
+    for r in df.collect():
+        parts = [f"{r.source}\n", f"{r.lang}\n", *token_counts.split_lines(r.text)]
+        owner = [k for k, part in enumerate(parts) for _ in part.encode()]
+        want, at = {k: [0.0, 0] for k in range(len(parts))}, 0
+        for i in reference.encode("".join(parts), add_special_tokens=False).ids:
+            own = owner[at : at + len(bytes_of[i])]
+            at += len(own)
+            shares = Counter(own)
+            if rule == "share":
+                for k, n in shares.items():
+                    want[k][0] += n / len(own)
+            else:
+                want[own[0] if rule == "start" else max(shares, key=lambda k: (shares[k], -k))][0] += 1
+            want[own[0]][1] += len(shares) > 1
+            crossing += len(shares) > 1
+        assert at == len(owner)
+        assert {k: (pytest.approx(a), b) for k, (a, b) in want.items()} == got[r.doc_id]
+    assert crossing > 20
+
+
 def test_allocation_rules():
     lengths, ends = np.array([2, 4, 1]), np.array([3, 3, 7])  # the second token has one byte in the first section and three in the third
     assert token_counts.allocate(lengths, ends, "start")[0].tolist() == [2, 0, 1]
@@ -300,6 +436,67 @@ def test_fingerprints_of_next_documents(documents, odd):
     assert len(one) == 1 and one[0].edited_sha256 == hashlib.sha256(b"a b a b").hexdigest()  # its own next
 
 
+def brute_print(text):
+    """256 votes, one bit at a time."""
+    mask = 2**64 - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    words = [xxhash.xxh64_intdigest(w.encode()) for w in re.findall(r"[^\x20\x09-\x0d]+", text.translate(LOWER))]
+    pairs = [mix((a * 0x9E3779B97F4A7C15 + b) & mask) for a, b in zip(words, words[1:], strict=False)] or words
+    votes, total = [0.0] * 256, 0.0
+    for term, n in Counter(pairs).items():
+        weight = np.float32(1 + np.log(n))
+        total += float(weight)
+        for step in range(4):
+            word = mix((term + mix((step + 1) * 0x9E3779B97F4A7C15 & mask)) & mask)
+            for k, byte in enumerate(word.to_bytes(8, "little")):
+                for b in range(8):
+                    votes[step * 64 + k * 8 + b] += float(weight) * (byte >> 7 - b & 1)
+    return [2 * v > total for v in votes]
+
+
+def test_fingerprints_and_groups_equal_brute_force(documents):
+    rnd = random.Random(11)
+    base = [[f"W{rnd.randrange(400)}" for _ in range(rnd.randint(2, 150))] for _ in range(25)]
+    rows = []
+    for i in range(75):
+        text = list(base[i % 25])
+        for _ in range(i // 25):
+            text[rnd.randrange(len(text))] = "new"
+        rows.append((i, " ".join(text)))
+    rows += [(100, ""), (101, None), (102, "word")]
+    table = {r.doc_id: r for r in fingerprints.fingerprint_table(documents(rows)).collect()}
+    order = sorted((i for i, _ in rows), reverse=True)
+    texts = {i: t or "" for i, t in rows}
+    bits = {i: brute_print(t) for i, t in texts.items()}
+    value = {i: sum(1 << (255 - k) for k, b in enumerate(bits[i]) if b) for i in texts}
+    for k, i in enumerate(order):
+        following = order[(k + 1) % len(order)]
+        half = len(texts[i]) // 2
+        changed = brute_print(texts[i][: len(texts[i]) - half] + texts[following][:half])
+        alike = lambda a, b: sum(x == y for x, y in zip(a, b, strict=True)) / 256
+        assert bytes(table[i].fp) == value[i].to_bytes(32, "big")
+        assert table[i].near_edited == pytest.approx(alike(bits[i], changed)) and table[i].near_next == pytest.approx(alike(bits[i], bits[following]))
+    # Groups: the smallest fingerprint reached in steps of the radius.
+    group = {v: v for v in value.values()}
+    for _ in group:
+        group = {v: min(group[w] for w in group if (v ^ w).bit_count() <= fingerprints.RADIUS) for v in group}
+    assert {i: int.from_bytes(table[i].near_group, "big") for i in texts} == {i: group[value[i]] for i in texts}
+    assert len(set(group.values())) < len(group)
+
+
+def test_text_ids_and_rows_without_ids(spark):
+    rows = [("b", "one two"), ("a", "three four"), (None, "five six"), (None, "five six"), ("c", "seven eight")]
+    got = fingerprints.fingerprint_documents(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    by = {(r.doc_id, r.edited_sha256) for r in got}
+    sha = lambda a, b: hashlib.sha256((a[: len(a) - len(a) // 2] + b[: len(a) // 2]).encode()).hexdigest()
+    assert by == {("c", sha("seven eight", "one two")), ("b", sha("one two", "three four")), ("a", sha("three four", "five six")), (None, sha("five six", "five six")), (None, sha("five six", "seven eight"))}
+
+
 def test_within_radius(spark):
     rows = [bytes(32), bytes(31) + b"\x0f", b"\xff" * 32]
     got = {bytes(r.fp): bytes(r.near_group) for r in fingerprints.within_radius(spark.createDataFrame([(bytearray(x),) for x in rows], "fp binary")).collect()}
