@@ -16,11 +16,15 @@ def get_session(app: str = "noisetrack", **conf: str) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's checkpoint folder; in a session without one (tests), in a folder of our own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder in the cluster's checkpoint folder; a local session without one (tests) gets a folder of its own, which a
+    cluster's executors would not see."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
