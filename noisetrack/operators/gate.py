@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from noisetrack.functions import geo
 from noisetrack.functions.stats import pearson, spearman
-from noisetrack.operators.joins import asof_nearest, candidates, events_in_window, interval_join, lerp, peak_samples
+from noisetrack.operators.joins import STATE_COLUMNS, asof_nearest, between, candidates, events_in_window, interval_join, nearest, peak_samples
+from noisetrack.session import materialised
 
 PLACE_S, BRACKET_S, HORIZONTAL_KM, SLANT_KM, MARGIN_KM = 15.0, 35.0, 12.0, 10.0, 3.0
 
@@ -15,25 +16,26 @@ PLACE_S, BRACKET_S, HORIZONTAL_KM, SLANT_KM, MARGIN_KM = 15.0, 35.0, 12.0, 10.0,
 def gate_join(events: DataFrame, states: DataFrame) -> DataFrame:
     """Events in the states' time window with the nearest aircraft and a status: clean (near and alone), ambiguous (near),
     far, no_candidate or no_snapshot."""
+    # Read four times below: cleaned once.
+    states = materialised(states.select("icao24", *STATE_COLUMNS, "on_ground"), "gate-states")
     inside = events_in_window(events, states)
     air = states.where(~F.coalesce("on_ground", F.lit(False)) & F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("baro_altitude_m").isNotNull())
-    found = candidates(inside, air, BRACKET_S)
-    b, a, n = F.col("b"), F.col("a"), F.col("n")
-    gap, f = a["snapshot_ts"] - b["snapshot_ts"], (F.col("_t") - b["snapshot_ts"]) / (a["snapshot_ts"] - b["snapshot_ts"])
-    on_spot = gap == 0
-    bracket = (gap > 0) & (gap <= BRACKET_S) & (F.col("_t") - b["snapshot_ts"] <= PLACE_S) & (a["snapshot_ts"] - F.col("_t") <= PLACE_S)
-    dt = F.col("_t") - n["snapshot_ts"]
-    reckon = n["velocity_m_s"].isNotNull() & n["heading_deg"].isNotNull() & (n["velocity_m_s"] > 0)
-    lat2, lon2 = geo.move(n["latitude"], n["longitude"], n["heading_deg"], n["velocity_m_s"] * dt)
-    method = F.when(on_spot, "snap").when(bracket, "bracket").when(F.abs(dt) > PLACE_S, None).when(reckon, "deadreckon").otherwise("snap")
-
-    def place(at: str, reckoned):
-        return F.when(on_spot, b[at]).when(F.col("method") == "bracket", lerp(b[at], a[at], F.when(gap > 0, f))).when(F.col("method") == "deadreckon", reckoned).otherwise(n[at])
+    found = candidates(inside, air, BRACKET_S, keep=("st_lat", "st_lon"))
+    dt, gap = F.col("_t") - nearest("snapshot_ts"), F.col("z.snapshot_ts") - F.col("s.snapshot_ts")
+    on_spot = F.col("_t") == F.col("s.snapshot_ts")
+    bracket = (gap <= BRACKET_S) & (F.col("_t") - F.col("s.snapshot_ts") <= PLACE_S) & (F.col("z.snapshot_ts") - F.col("_t") <= PLACE_S)
+    speed, heading = nearest("velocity_m_s"), nearest("heading_deg")
+    method = F.when(on_spot, "snap").when(bracket, "bracket").when(F.abs(dt) > PLACE_S, None).when((speed > 0) & heading.isNotNull(), "deadreckon").otherwise("snap")
+    lat2, lon2 = geo.move(nearest("latitude"), nearest("longitude"), heading, speed * dt)
+
+    def place(field: str, reckoned):
+        return F.when(F.col("method") == "bracket", between(field)).when(F.col("method") == "deadreckon", reckoned).otherwise(nearest(field))
 
     placed = found.withColumn("method", method).where(F.col("method").isNotNull())
-    placed = placed.withColumns({"lat": place("latitude", lat2), "lon": place("longitude", lon2), "alt": place("baro_altitude_m", n["baro_altitude_m"])})
-    placed = placed.join(inside.select("event_id", "st_lat", "st_lon"), "event_id")
-    placed = placed.withColumn("horiz", geo.haversine_m(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon"))).where(F.col("horiz") / 1000 <= HORIZONTAL_KM)
+    place_ = F.struct(place("latitude", lat2).alias("lat"), place("longitude", lon2).alias("lon"), place("baro_altitude_m", nearest("baro_altitude_m")).alias("alt"))
+    # inline() keeps Spark from putting the whole expression into the filter below, once for each use.
+    placed = placed.select("event_id", "icao24", "method", "st_lat", "st_lon", F.inline(F.array(place_)))
+    placed = placed.select("*", F.inline(F.array(F.struct(geo.haversine_m(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon")).alias("horiz"))))).where(F.col("horiz") / 1000 <= HORIZONTAL_KM)
     placed = placed.withColumn("slant", F.sqrt(F.col("horiz") * F.col("horiz") + F.col("alt") * F.col("alt")) / 1000)
     row = F.struct(
         "slant", "icao24", (F.col("horiz") / 1000).alias("horiz"), "alt", "method",

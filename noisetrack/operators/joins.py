@@ -36,23 +36,29 @@ def interval_join(left: DataFrame, right: DataFrame, left_time: str, right_time:
 
 
 class Grid:
-    """Cells at least ``radius_km`` wide up to the given latitude; they wrap around at the antimeridian."""
+    """Rows of latitude at least the radius high, each cut into columns of its own number: as many as are at least as wide
+    as any circle that reaches the row.  Near the poles that is one column.  Columns wrap around at the antimeridian."""
 
-    def __init__(self, radius_km: float, max_abs_lat: float) -> None:
+    def __init__(self, radius_km: float) -> None:
         self.lat_step = radius_km / KM_PER_DEGREE
-        shrink = math.cos(math.radians(min(90.0, max_abs_lat + 2 * self.lat_step)))
-        self.columns = max(1, int(360 * KM_PER_DEGREE * shrink / radius_km)) if shrink > 1e-6 else 1
-
-    def x(self, lon: Column) -> Column:
-        return F.pmod(F.floor((lon + 180) / (360 / self.columns)), F.lit(self.columns)).cast("long")
+        self.half = math.sin(min(math.pi / 2, radius_km / 2 / geo.EARTH_KM))
 
     def y(self, lat: Column) -> Column:
         return F.floor(lat / self.lat_step).cast("long")
 
-    def around(self, lat: Column, lon: Column) -> tuple[Column, Column]:
-        """Explodable arrays of the rows and columns around a place."""
-        xs = F.array_distinct(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.pmod(self.x(lon) + d, F.lit(self.columns)).cast("long")))
-        return F.sequence(self.y(lat) - 1, self.y(lat) + 1), xs
+    def columns(self, y: Column) -> Column:
+        """Number of columns of row ``y``.  Two places d apart, none farther from the equator than m, differ in longitude by
+        2 asin(sin(d / 2R) / cos m) at most; m is taken from the rows beside, too."""
+        m = F.least(F.lit(90.0), (F.greatest(F.abs(y), F.abs(y + 1)) + 1) * self.lat_step)
+        ratio = self.half / F.greatest(F.cos(F.radians(m)), F.lit(1e-12))
+        return F.when(ratio >= 1, 1).otherwise(F.greatest(F.lit(1), F.floor(360 / F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0))))))).cast("long")
+
+    def x(self, lon: Column, columns: Column) -> Column:
+        return F.pmod(F.floor((lon + 180) / 360 * columns).cast("long"), columns)
+
+    def around(self, lon: Column, columns: Column) -> Column:
+        """Explodable array of the columns around a longitude."""
+        return F.array_distinct(F.transform(F.sequence(F.lit(-1).cast("long"), F.lit(1).cast("long")), lambda d: F.pmod(self.x(lon, columns) + d, columns)))
 
 
 def spatio_temporal_join(
@@ -64,24 +70,22 @@ def spatio_temporal_join(
     window_s: float = 300.0,
     radius_km: float = 20.0,
     close_km: float = 5.0,
-    max_abs_lat: float = 60.0,
     fill: bool = True,
 ) -> DataFrame:
     """``noise`` (st_lat, st_lon, a time in seconds and a unique ``key``) with seven features of the aircraft near in space
-    and time; all zero, or null without ``fill``, where there is none.
-
-    Rows of either side beyond ``max_abs_lat`` need a larger value there; it only makes cells wider.
-    """
-    grid = Grid(radius_km, max_abs_lat)
-    ys, xs = grid.around(F.col("st_lat"), F.col("st_lon"))
-    probe = noise.select(key, F.col(noise_time).cast("double").alias("_t"), "st_lat", "st_lon", ys.alias("_ys"), xs.alias("_xs"))
-    probe = probe.withColumn("_bin", bins_around(F.col("_t"), window_s)).withColumn("_y", F.explode("_ys")).withColumn("_x", F.explode("_xs")).drop("_ys", "_xs")
+    and time; all zero, or null without ``fill``, where there is none."""
+    grid = Grid(radius_km)
+    lat, lon = F.col("st_lat"), F.col("st_lon")
+    probe = noise.select(key, F.col(noise_time).cast("double").alias("_t"), "st_lat", "st_lon", F.explode(F.sequence(grid.y(lat) - 1, grid.y(lat) + 1)).alias("_y"))
+    probe = probe.withColumn("_x", F.explode(grid.around(lon, grid.columns(F.col("_y"))))).withColumn("_bin", bins_around(F.col("_t"), window_s))
     build = states.select(
         F.col(state_time).cast("double").alias("_st"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), "baro_altitude_m", "velocity_m_s"
     )
-    build = build.withColumns({"_bin": bin_of(F.col("_st"), 2 * window_s), "_y": grid.y(F.col("_lat")), "_x": grid.x(F.col("_lon"))})
+    build = build.withColumns({"_bin": bin_of(F.col("_st"), 2 * window_s), "_y": grid.y(F.col("_lat"))}).withColumn("_x", grid.x(F.col("_lon"), grid.columns(F.col("_y"))))
     pairs = probe.join(build, ["_bin", "_y", "_x"]).where(F.abs(F.col("_st") - F.col("_t")) <= window_s)
-    pairs = pairs.withColumn("_d", geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("_lat"), F.col("_lon"))).where(F.col("_d") <= radius_km)
+    # inline() keeps Spark from putting the distance into the filter too, which would compute it twice.
+    distance = F.struct(geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("_lat"), F.col("_lon")).alias("_d"))
+    pairs = pairs.select(key, "baro_altitude_m", "velocity_m_s", F.inline(F.array(distance))).where(F.col("_d") <= radius_km)
     features = pairs.groupBy(key).agg(
         F.count("*").alias("num_aircraft"),
         F.count_if(F.col("_d") <= close_km).alias("num_close_aircraft"),
@@ -98,50 +102,56 @@ def spatio_temporal_join(
 STATE_COLUMNS = ("latitude", "longitude", "baro_altitude_m", "velocity_m_s", "heading_deg", "vertical_rate_m_s", "callsign", "snapshot_ts")
 
 
-def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "max_ts_unix") -> DataFrame:
-    """Per event and aircraft with a snapshot within ``tol`` seconds: the last state at or before (b), the first at or after
-    (a) and the nearest (n, the earlier on a tie).
+def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "max_ts_unix", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per event and aircraft with a snapshot within ``tol`` seconds one row: the event's time ``_t`` and its ``keep``
+    columns, a state ``s``, and ``z``, the state after it, where the two enclose the time.
 
+    ``s`` is the last state at or before the time, or the first one after it if there is none before; ``later`` tells which.
+    ``f`` is the time's place between the two states, 0 at the first, and ``z_near`` whether the second is the nearer one.
     Each state knows its aircraft's next and previous one, so of the states near an event exactly one tells the whole
     answer, and a filter on the join takes the place of an aggregation.  States are unique by aircraft and snapshot.
+    Events bring along what is needed later, so that pairs are not joined with them again.
     """
     track = Window.partitionBy("icao24").orderBy("snapshot_ts")
     state = F.struct(*STATE_COLUMNS)
-    tracked = states.select("icao24", "snapshot_ts", state.alias("s"), F.lead(state).over(track).alias("next"), F.lag("snapshot_ts").over(track).alias("prev_ts"))
-    near = interval_join(events.select("event_id", F.col(time).cast("double").alias("_t")), tracked, "_t", "snapshot_ts", tol)
-    t, ts = F.col("_t"), F.col("snapshot_ts")
-    last_before = (ts <= t) & (F.col("next").isNull() | (F.col("next.snapshot_ts") > t))
+    tracked = states.select("icao24", "snapshot_ts", state.alias("s"), F.lead(state).over(track).alias("z"), F.lag("snapshot_ts").over(track).alias("prev_ts"))
+    near = interval_join(events.select("event_id", F.col(time).cast("double").alias("_t"), *keep), tracked, "_t", "snapshot_ts", tol)
+    t, ts, after = F.col("_t"), F.col("snapshot_ts"), F.col("z.snapshot_ts")
+    last_before = (ts <= t) & (after.isNull() | (after > t))
     only_after = (ts > t) & (F.col("prev_ts").isNull() | (F.col("prev_ts") < t - tol))
-    after = F.when(ts == t, F.col("s")).when(F.col("next.snapshot_ts") <= t + tol, F.col("next"))
-    found = near.where(last_before | only_after).select("event_id", "icao24", "_t", F.when(ts <= t, F.col("s")).alias("b"), F.when(ts <= t, after).otherwise(F.col("s")).alias("a"))
-    nearest = F.when(F.col("a").isNull() | (t - F.col("b.snapshot_ts") <= F.col("a.snapshot_ts") - t), F.col("b")).otherwise(F.col("a"))
-    return found.withColumn("n", nearest)
+    encloses = (ts < t) & (after <= t + tol)
+    found = near.where(last_before | only_after)
+    return found.select("event_id", "icao24", "_t", *keep, "s", F.when(encloses, F.col("z")).alias("z"), (ts > t).alias("later"), F.when(encloses, F.try_divide(t - ts, after - ts)).alias("f"), F.coalesce(encloses & (t - ts > after - t), F.lit(False)).alias("z_near"))
+
+
+def nearest(field: str) -> Column:
+    """A field of the nearer of a candidate's states in time, the earlier on a tie."""
+    return F.when(F.col("z_near"), F.col(f"z.{field}")).otherwise(F.col(f"s.{field}"))
 
 
-def lerp(a: Column, b: Column, f: Column) -> Column:
-    return a + f * (b - a)
+def between(field: str) -> Column:
+    """A field at a candidate's time, on the line between its two states."""
+    return F.col(f"s.{field}") + F.col("f") * (F.col(f"z.{field}") - F.col(f"s.{field}"))
 
 
 def estimate_position(found: DataFrame) -> DataFrame:
     """Adds lat, lon and alt at the event's time to ``candidates``: interpolated between two states, else by dead reckoning
     from the one there is.  A null speed with a heading makes the aircraft unplaceable (nulls); without speed or heading it
     stays where it was; a null altitude counts as 0."""
-    both = F.col("b").isNotNull() & F.col("a").isNotNull()
-    span = F.col("a.snapshot_ts") - F.col("b.snapshot_ts")
-    f = F.when(span == 0, 0.0).otherwise((F.col("_t") - F.col("b.snapshot_ts")) / span)
-    one = F.coalesce("b", "a")
-    speed, heading, dt = one["velocity_m_s"], one["heading_deg"], F.col("_t") - one["snapshot_ts"]
-    lat2, lon2 = geo.advance(one["latitude"], one["longitude"], heading, speed * dt)
-    moves = heading.isNotNull() & (speed.isNull() | (speed != 0))
-    climbed = F.when(one["vertical_rate_m_s"].isNotNull(), one["baro_altitude_m"] + one["vertical_rate_m_s"] * dt).otherwise(one["baro_altitude_m"])
-    before, after = F.col("b.baro_altitude_m"), F.col("a.baro_altitude_m")
-    between = F.when(before.isNull(), F.coalesce(after, F.lit(0.0))).when(after.isNull(), before).otherwise(lerp(before, after, f))
+    s, dt = F.col("s"), F.col("_t") - F.col("s.snapshot_ts")
+    both = F.col("f").isNotNull()
+    speed, heading = s["velocity_m_s"], s["heading_deg"]
+    lat2, lon2 = geo.advance(s["latitude"], s["longitude"], heading, speed * dt)
+    stays = (dt == 0) | heading.isNull() | F.coalesce(speed == 0, F.lit(False))
+    climbed = s["baro_altitude_m"] + F.coalesce(s["vertical_rate_m_s"] * dt, F.lit(0.0))
+    # Without one of the two altitudes the other holds.
+    level = F.coalesce(between("baro_altitude_m"), s["baro_altitude_m"], F.col("z.baro_altitude_m"))
     return found.withColumns(
         {
-            "lat": F.when(both, lerp(F.col("b.latitude"), F.col("a.latitude"), f)).otherwise(F.when(moves, lat2).otherwise(one["latitude"])),
-            "lon": F.when(both, lerp(F.col("b.longitude"), F.col("a.longitude"), f)).otherwise(F.when(moves, lon2).otherwise(one["longitude"])),
-            "alt": F.coalesce(F.when(both, between).otherwise(climbed), F.lit(0.0)),
-            "bracketed": both,
+            "lat": F.when(both, between("latitude")).when(stays, s["latitude"]).otherwise(lat2),
+            "lon": F.when(both, between("longitude")).when(stays, s["longitude"]).otherwise(lon2),
+            "alt": F.coalesce(F.when(both, level).otherwise(climbed), F.lit(0.0)),
+            "bracketed": both | (dt == 0),
         }
     )
 
@@ -151,15 +161,18 @@ def build_pairs(events: DataFrame, states: DataFrame, tol: float = 45.0) -> Data
 
     events: event_id, station, st_lat, st_lon, max_laeq, max_ts_unix.  ``n_candidates`` counts unplaceable aircraft too.
     """
-    placed = estimate_position(candidates(events, states, tol)).join(events.select("event_id", "st_lat", "st_lon"), "event_id")
+    placed = estimate_position(candidates(events, states, tol, keep=("st_lat", "st_lon")))
     horizontal = geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon"))
     placed = placed.withColumn("horiz", horizontal).withColumn("slant", geo.slant_km(F.col("horiz"), F.col("alt")))
-    row = F.struct("icao24", F.col("n.callsign").alias("callsign"), "slant", "horiz", "alt", F.col("n.velocity_m_s").alias("vel"), F.col("n.heading_deg").alias("hdg"), "lat", "lon", (F.col("n.snapshot_ts") - F.col("_t")).alias("dt"))
-    best = placed.groupBy("event_id").agg(F.min_by(row, F.when(F.col("slant").isNotNull(), F.struct("slant", "icao24"))).alias("x"), F.count("*").alias("n"))
+    # Structs compare field by field: the least of those that have a slant is the nearest, then the lowest id.
+    near = F.when(F.col("z_near"), F.col("z")).otherwise(F.col("s"))
+    row = F.struct("slant", "icao24", "horiz", "alt", "lat", "lon", "_t", near.alias("n"))
+    best = placed.groupBy("event_id").agg(F.min(F.when(F.col("slant").isNotNull(), row)).alias("x"), F.count("*").alias("n"))
+    best = best.select("event_id", F.col("n").alias("count"), "x", "x.n.callsign", F.col("x.n.velocity_m_s").alias("vel"), F.col("x.n.heading_deg").alias("hdg"), (F.col("x.n.snapshot_ts") - F.col("x._t")).alias("dt"))
     return events.join(best, "event_id", "left").select(
-        "event_id", "station", "max_laeq", "max_ts_unix", "x.icao24", "x.callsign", F.round("x.slant", 3).alias("slant_km"), F.round("x.horiz", 3).alias("horiz_km"),
-        F.round("x.alt", 1).alias("altitude_m"), F.col("x.vel").alias("velocity_m_s"), F.col("x.hdg").alias("heading_deg"), F.round("x.lat", 5).alias("aircraft_lat"),
-        F.round("x.lon", 5).alias("aircraft_lon"), F.coalesce("n", F.lit(0)).alias("n_candidates"), F.round("x.dt", 1).alias("dt_nearest_s"),
+        "event_id", "station", "max_laeq", "max_ts_unix", "x.icao24", "callsign", F.round("x.slant", 3).alias("slant_km"), F.round("x.horiz", 3).alias("horiz_km"),
+        F.round("x.alt", 1).alias("altitude_m"), F.col("vel").alias("velocity_m_s"), F.col("hdg").alias("heading_deg"), F.round("x.lat", 5).alias("aircraft_lat"),
+        F.round("x.lon", 5).alias("aircraft_lon"), F.coalesce("count", F.lit(0)).alias("n_candidates"), F.round("dt", 1).alias("dt_nearest_s"),
     )
 
 

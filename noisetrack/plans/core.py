@@ -239,7 +239,9 @@ def interval_join(spark, sf_dir):
 
 @query(with_views("SELECT event_id, icao24, CAST(max(snapshot_ts) FILTER (snapshot_ts <= t) AS DOUBLE) AS before_ts, CAST(min(snapshot_ts) FILTER (snapshot_ts >= t) AS DOUBLE) AS after_ts FROM noise n JOIN states s ON abs(s.snapshot_ts - n.t) <= 45 GROUP BY ALL", states=True, noise_=True))
 def asof_bracket(spark, sf_dir):
-    return joins.candidates(noise(spark, sf_dir), states(spark, sf_dir), 45.0).select("event_id", "icao24", F.col("b.snapshot_ts").cast("double").alias("before_ts"), F.col("a.snapshot_ts").cast("double").alias("after_ts"))
+    found = joins.candidates(noise(spark, sf_dir), states(spark, sf_dir), 45.0)
+    own, exact = F.col("s.snapshot_ts").cast("double"), F.col("s.snapshot_ts") == F.col("_t")
+    return found.select("event_id", "icao24", F.when(~F.col("later"), own).alias("before_ts"), F.when(F.col("later") | exact, own).otherwise(F.col("z.snapshot_ts").cast("double")).alias("after_ts"))
 
 
 def _candidates_sql(states_: str, tol: int) -> str:

@@ -60,17 +60,27 @@ def test_range_join(spark):
     assert joins.spatio_temporal_join(noise_row(spark), empty_states(spark), fill=False).first().min_distance_km is None
 
 
-@pytest.mark.parametrize("radius", [2.0, 5.0, 20.0])
-def test_grid_join_equals_brute_force(spark, radius):
-    rnd = random.Random(int(radius))
-    ev = [(i, "S", rnd.uniform(48, 49), rnd.choice([rnd.uniform(2, 3), rnd.uniform(179.9, 180), rnd.uniform(-180, -179.9)]), 1.0, float(rnd.randint(0, 2000))) for i in range(60)]
-    st = [state(str(i), rnd.randint(0, 2000), rnd.uniform(48, 49), rnd.choice([rnd.uniform(2, 3), rnd.uniform(179.9, 180), rnd.uniform(-180, -179.9)])) for i in range(400)]
-
-    def km(a, b, c, d):
-        x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
-        return 2 * 6371 * math.asin(min(1, math.sqrt(x)))
-
-    want = {e[0]: sum(abs(s[13] - e[5]) <= 300 and km(e[2], e[3], s[6], s[5]) <= radius for s in st) for e in ev}
+def kilometres(a, b, c, d):
+    x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+    return 2 * 6371 * math.asin(min(1, math.sqrt(x)))
+
+
+@pytest.mark.parametrize("radius", [2.0, 20.0, 900.0])
+@pytest.mark.parametrize("lat", [0.0, 48.5, -70.0, 85.0, 89.9])
+def test_grid_join_equals_brute_force(spark, radius, lat):
+    """At all latitudes, at the poles and over the antimeridian."""
+    rnd = random.Random(int(radius + lat))
+    wide = radius / 111
+    north = lambda: max(-90.0, min(90.0, rnd.uniform(lat - 2 * wide, lat + 2 * wide)))
+    stretch = min(180.0, 2 * wide / max(0.01, math.cos(math.radians(lat))))
+
+    def east():
+        at = rnd.choice([2.5, 180.0]) + rnd.uniform(-stretch, stretch)
+        return (at + 180) % 360 - 180
+
+    ev = [(i, "S", north(), east(), 1.0, float(rnd.randint(0, 2000))) for i in range(40)]
+    st = [state(str(i), rnd.randint(0, 2000), north(), east()) for i in range(400)]
+    want = {e[0]: sum(abs(s[13] - e[5]) <= 300 and kilometres(e[2], e[3], s[6], s[5]) <= radius for s in st) for e in ev}
     df = spark.createDataFrame(ev, EVENTS).withColumn("t", F.col("max_ts_unix"))
     got = {r.event_id: r.num_aircraft for r in joins.spatio_temporal_join(df, states(spark, *st).repartition(3), radius_km=radius).collect()}
     assert got == want and sum(want.values()) > 0
