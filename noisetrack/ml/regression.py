@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noisetrack.ml.features import CATEGORICAL, NUMERIC, TARGET
 
 FOLDS, MIN_ROWS, SEED = 5, 50, 42
+ROWS_A_TASK, FITS_AT_ONCE, LEVEL_DB = 50_000, 8, 0.1
 
 
 def preprocessing(columns: list[str]) -> list:
@@ -25,15 +30,14 @@ def preprocessing(columns: list[str]) -> list:
     return [index, hot, VectorAssembler(inputCols=[*numbers, *[f"{c}_v" for c in categories]], outputCol="features", handleInvalid="skip")]
 
 
-def candidate_models(scale: float = 1.0) -> dict:
-    """The four candidates; ``scale`` shrinks numbers of trees and rounds for quick runs."""
-    n = lambda k: max(2, round(k * scale))
+def candidate_models() -> dict:
+    """The four candidates."""
     common = {"featuresCol": "features", "labelCol": TARGET}
     return {
         "linear": LinearRegression(**common),
-        "forest": RandomForestRegressor(numTrees=n(250), maxDepth=14 if scale == 1 else 6, minInstancesPerNode=3, seed=SEED, **common),
-        "boosting": GBTRegressor(maxIter=n(300), maxDepth=3, stepSize=0.05, minInstancesPerNode=5, subsamplingRate=0.9, seed=SEED, **common),
-        "deep_boosting": GBTRegressor(maxIter=n(400), maxDepth=6 if scale == 1 else 4, stepSize=0.06, seed=SEED, **common),
+        "forest": RandomForestRegressor(numTrees=250, maxDepth=14, minInstancesPerNode=3, seed=SEED, **common),
+        "boosting": GBTRegressor(maxIter=300, maxDepth=3, stepSize=0.05, minInstancesPerNode=5, subsamplingRate=0.9, seed=SEED, **common),
+        "deep_boosting": GBTRegressor(maxIter=400, maxDepth=6, stepSize=0.06, seed=SEED, **common),
     }
 
 
@@ -63,25 +67,48 @@ def metrics(df: DataFrame, prediction: str = "prediction", target: str = TARGET)
 
 
 def fit(df: DataFrame, model) -> PipelineModel:
-    return Pipeline(stages=[*preprocessing(df.columns), model]).fit(df)
+    """Boosting runs a job for each level of each tree, so partitions are as few as rows allow."""
+    return Pipeline(stages=[*preprocessing(df.columns), model.copy()]).fit(packed(df))
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """In partitions of some ``ROWS_A_TASK`` rows."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_A_TASK)))
+
+
+def at_once(spark: SparkSession, jobs: list[Callable]) -> list:
+    """Results of independent fits, ``FITS_AT_ONCE`` of them side by side: each leaves most of the cluster idle between its
+    many small jobs."""
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return list(pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs))
+
+
+def fold_models(df: DataFrame, model, key: str = "event_id", n: int = FOLDS) -> list[Callable]:
+    """For each fold a job that fits the model on the other folds and predicts the fold's rows."""
+    marked = df.withColumn("fold", fold(F.col(key), n))
+
+    def job(k: int) -> Callable:
+        return lambda: fit(marked.where(F.col("fold") != k), model).transform(marked.where(F.col("fold") == k)).select(key, "fold", TARGET, "prediction")
+
+    return [job(k) for k in range(n)]
 
 
 def out_of_fold(df: DataFrame, model, key: str = "event_id", n: int = FOLDS) -> DataFrame:
     """Predictions of each row by the model that has not seen its fold."""
-    marked, out = df.withColumn("fold", fold(F.col(key), n)), None
-    for k in range(n):
-        one = fit(marked.where(F.col("fold") != k), model).transform(marked.where(F.col("fold") == k)).select(key, "fold", TARGET, "prediction")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return reduce(DataFrame.unionByName, at_once(df.sparkSession, fold_models(df, model, key, n)))
 
 
-def cross_validated(df: DataFrame, model, n: int = FOLDS) -> DataFrame:
+def fold_errors(predicted: DataFrame) -> DataFrame:
     """Mean and (population) standard deviation of the folds' RMSE, rounded to three digits."""
     error = F.col("prediction") - F.col(TARGET)
-    by_fold = out_of_fold(df, model, n=n).groupBy("fold").agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    by_fold = predicted.groupBy("fold").agg(F.sqrt(F.avg(error * error)).alias("rmse"))
     return by_fold.agg(F.round(F.avg("rmse"), 3).alias("cv_rmse"), F.round(F.stddev_pop("rmse"), 3).alias("cv_std"))
 
 
+def cross_validated(df: DataFrame, model, n: int = FOLDS) -> DataFrame:
+    return fold_errors(out_of_fold(df, model, n=n))
+
+
 @dataclass
 class Comparison:
     table: DataFrame
@@ -92,12 +119,15 @@ def compare(df: DataFrame, models: dict, n: int = FOLDS) -> Comparison:
     """A row for each candidate (CV and test metrics, over-fit gap) and the one with the smallest rounded CV RMSE, the first
     on a tie."""
     train, test = split(df)
-    out = None
-    for order, (name, model) in enumerate(models.items()):
-        fitted = fit(train, model)
+    jobs, n_jobs = [], n + 1
+    for model in models.values():  # the slowest candidates come last in ``models``, so they are begun first
+        jobs = [lambda model=model: fit(train, model), *fold_models(train, model, n=n), *jobs]
+    done, out = at_once(df.sparkSession, jobs), None
+    for order, name in enumerate(models):
+        fitted, *folds = done[(len(models) - 1 - order) * n_jobs :][:n_jobs]
         on_test = metrics(fitted.transform(test)).selectExpr("rmse as test_rmse", "mae as test_mae", "r2 as test_r2", "1 as k")
         on_train = metrics(fitted.transform(train)).selectExpr("rmse as train_rmse", "1 as k")
-        one = cross_validated(train, model, n).withColumn("k", F.lit(1)).join(on_test, "k").join(on_train, "k").drop("k")
+        one = fold_errors(reduce(DataFrame.unionByName, folds)).withColumn("k", F.lit(1)).join(on_test, "k").join(on_train, "k").drop("k")
         one = one.select(F.lit(name).alias("model"), F.lit(order).alias("place"), "*", (F.col("test_rmse") - F.col("train_rmse")).alias("overfit_gap"))
         out = one if out is None else out.unionByName(one)
     rows = out.collect()  # a row for each candidate
@@ -105,14 +135,20 @@ def compare(df: DataFrame, models: dict, n: int = FOLDS) -> Comparison:
     return Comparison(df.sparkSession.createDataFrame(rows, out.schema), best)
 
 
-def predict_with_interval(train: DataFrame, rows: DataFrame, key: str = "event_id", trees: int = 20, depth: int = 6, low: float = 0.1, high: float = 0.9) -> DataFrame:
-    """Prediction and interval by a quantile forest: the leaves a row falls into, joined with the levels of the training
-    rows in each leaf.  MLlib has no quantile loss.  Leaf quantiles are computed once a leaf, then averaged over trees,
-    so a row meets as many leaf rows as there are trees and never the training rows themselves."""
+def predict_with_interval(train: DataFrame, rows: DataFrame, key: str = "event_id", trees: int = 100, depth: int = 6, low: float = 0.1, high: float = 0.9) -> DataFrame:
+    """Prediction and interval by a quantile regression forest; MLlib has no quantile loss.
+
+    A training row weighs, for a row to predict, the mean over the trees of one by the size of the leaf that both fall into,
+    or nothing.  The bounds are quantiles of the training levels under these weights: pooled over the trees, one quantile of
+    all.  Levels are counted by leaf in steps of ``LEVEL_DB``, so that a leaf has no more entries than there are steps,
+    however many rows fall into it."""
     forest = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=5, seed=SEED, featuresCol="features", labelCol=TARGET, leafCol="leaves")
     model = fit(train, forest)
-    leaves = model.transform(train).select(TARGET, F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
-    bounds = leaves.groupBy("tree", "leaf").agg(F.percentile(TARGET, low).alias("low"), F.percentile(TARGET, high).alias("high"))
+    leaves = model.transform(train).select(F.round(F.col(TARGET) / LEVEL_DB).cast("long").alias("step"), F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
+    counts = leaves.groupBy("tree", "leaf", "step").agg(F.count("*").alias("n"))
+    share = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("tree", "leaf")) / trees).drop("n")
     mine = model.transform(rows).select(key, TARGET, "prediction", F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
-    out = mine.join(bounds, ["tree", "leaf"]).groupBy(key, TARGET, "prediction").agg(F.avg("low").alias("lower"), F.avg("high").alias("upper"))
-    return out.withColumns({"lower": F.least("lower", "prediction"), "upper": F.greatest("upper", "prediction")})
+    pooled = mine.join(share, ["tree", "leaf"]).groupBy(key, TARGET, "prediction", "step").agg(F.sum("share").alias("share"))
+    upto = F.sum("share").over(Window.partitionBy(key, TARGET, "prediction").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    bound = lambda q: F.min(F.when(F.col("upto") >= q - 1e-9, F.col("step"))) * LEVEL_DB
+    return pooled.withColumn("upto", upto).groupBy(key, TARGET, "prediction").agg(bound(low).alias("lower"), bound(high).alias("upper"))

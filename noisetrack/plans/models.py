@@ -1,8 +1,9 @@
-"""Registered queries on regression.  Numbers of trees and folds are small here; the defaults are in ``ml.regression``."""
+"""Registered queries on regression: the four candidates of ``ml.regression`` as they are, in five folds."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from noisetrack.ml import regression
@@ -12,7 +13,8 @@ from noisetrack.plans.core import query
 from noisetrack.plans.views import with_views
 from noisetrack.session import materialised, scratch
 
-SCALE, FOLDS = 0.02, 2
+_NUMBERS = ("hour", "is_night", "is_weekend", "num_aircraft", "num_close_aircraft", "avg_altitude_m", "min_distance_km")
+_HOT = ("hot_0", "hot_1", "hot_2")
 
 
 def table(spark, sf_dir):
@@ -21,16 +23,22 @@ def table(spark, sf_dir):
     return materialised(rows, "training")
 
 
-@query(with_views("SELECT (SELECT count(*) FROM noise) AS n, 1 AS finite", noise_=True))
+@query(
+    core.on_enriched(
+        f"SELECT event_id, {', '.join(f'round(CAST({c} AS DOUBLE), 6) AS {c}' for c in _NUMBERS)}, {', '.join(f'CASE WHEN place = {k} THEN 1e0 ELSE 0e0 END AS {c}' for k, c in enumerate(_HOT))}"
+        " FROM enriched JOIN (SELECT airport, row_number() OVER (ORDER BY count(*) DESC, airport) - 1 AS place FROM enriched GROUP BY airport) USING (airport)"
+    )
+)
 def ml_features(spark, sf_dir):
+    """The entries of each row's vector: numbers, then one for each airport, the most frequent first."""
     rows = table(spark, sf_dir)
-    out = Pipeline(stages=regression.preprocessing(rows.columns)).fit(rows).transform(rows)
-    return out.agg(F.count("features").alias("n"), F.lit(1).alias("finite"))
+    out = Pipeline(stages=regression.preprocessing(rows.columns)).fit(rows).transform(rows).select("event_id", vector_to_array("features").alias("v"))
+    return core.rounded(out.select("event_id", *[F.col("v")[k].alias(c) for k, c in enumerate((*_NUMBERS, *_HOT))]))
 
 
 @query()
 def ml_compare(spark, sf_dir):
-    found = regression.compare(table(spark, sf_dir), regression.candidate_models(SCALE), FOLDS)
+    found = regression.compare(table(spark, sf_dir), regression.candidate_models())
     return found.table.withColumn("chosen", F.col("model") == found.best)
 
 
@@ -49,14 +57,14 @@ def regression_metrics(spark, sf_dir):
 @query()
 def ml_interval(spark, sf_dir):
     train, test = regression.split(table(spark, sf_dir))
-    return regression.predict_with_interval(train, test, trees=8)
+    return regression.predict_with_interval(train, test)
 
 
 @query()
 def ml_persist(spark, sf_dir):
     """Saved, loaded, and the same predictions."""
     rows, path = table(spark, sf_dir), scratch(spark, "model")
-    model = regression.fit(rows, regression.candidate_models(SCALE)["linear"])
+    model = regression.fit(rows, regression.candidate_models()["linear"])
     model.write().overwrite().save(path)
     a = model.transform(rows).select("event_id", F.col("prediction").alias("p"))
     b = PipelineModel.load(path).transform(rows).select("event_id", F.col("prediction").alias("q"))
@@ -65,12 +73,12 @@ def ml_persist(spark, sf_dir):
 
 @query()
 def ml_oof(spark, sf_dir):
-    return regression.out_of_fold(table(spark, sf_dir), regression.candidate_models(SCALE)["forest"], n=FOLDS)
+    return regression.out_of_fold(table(spark, sf_dir), regression.candidate_models()["forest"])
 
 
 @query()
 def ml_transfer(spark, sf_dir):
     """A model of one airport scored on the others."""
     rows = table(spark, sf_dir)
-    model = regression.fit(rows.where("airport = 'CDG'"), regression.candidate_models(SCALE)["linear"])
+    model = regression.fit(rows.where("airport = 'CDG'"), regression.candidate_models()["linear"])
     return regression.metrics(model.transform(rows.where("airport <> 'CDG'")))
