@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Ambient levels and source levels.
 AMBIENT_DAY_DB, AMBIENT_NIGHT_DB = 44.0, 39.0
 SOURCE_LIGHT_DB, SOURCE_HEAVY_DB = 132.0, 139.0
-#: Relative traffic by hour of day.
-HOURLY_PROFILE = [0.05, 0.03, 0.02, 0.02, 0.04, 0.10, 0.35, 0.70, 0.95, 0.90, 0.80, 0.78, 0.80, 0.82, 0.80, 0.78, 0.82, 0.95, 0.98, 0.88, 0.70, 0.50, 0.25, 0.10]
 
 
 def received_db(source_db: Column, slant_m: Column) -> Column:
@@ -30,14 +29,5 @@ def ambient_db(hour: Column) -> Column:
     return F.when((hour >= 6) & (hour < 22), AMBIENT_DAY_DB).otherwise(AMBIENT_NIGHT_DB)
 
 
-def traffic_profile(hour: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in HOURLY_PROFILE]), hour.cast("int") + 1)
-
-
-def curfew_factor(airport: Column, hour: Column) -> Column:
-    """Share of traffic left at night: none at Orly, a quarter elsewhere."""
-    return F.when((hour >= 23) | (hour < 6), F.when(airport == "ORY", 0.0).otherwise(0.25)).otherwise(1.0)
-
-
 def noise_band(level_db: Column) -> Column:
     return F.when(level_db.isNull(), None).when(level_db < 50, "quiet").when(level_db < 60, "moderate").when(level_db < 68, "loud").otherwise("very loud")

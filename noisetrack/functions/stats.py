@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from noisetrack.session import materialised
+
+ONE_TASK = 500_000
+
 
 def pearson(x: str, y: str) -> Column:
     """Aggregate; null for a constant column or fewer than two rows."""
@@ -17,14 +21,43 @@ def pearson(x: str, y: str) -> Column:
     return F.when((F.stddev_pop(a) > 0) & (F.stddev_pop(b) > 0), F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
+def places(df: DataFrame, column: str, by: list[str]) -> DataFrame:
+    """Distinct values of a column in groups with their counts ``_n`` and the number ``_before`` of lesser ones in the group.
+
+    Equal values cost one row.  Above ``ONE_TASK`` distinct values a group is not sorted in one task: values are dealt to
+    ranges, summed range by range, and the sums of the ranges before are added."""
+    counts = materialised(df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_n")), "values")
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if counts.count() <= ONE_TASK:
+        return counts.withColumn("_before", before(Window.partitionBy(*by).orderBy(column)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialised(counts.repartitionByRange(parts, *by, column).withColumn("_range", F.spark_partition_id()), "ranges")
+    starts = ranged.groupBy(*by, "_range").agg(F.sum("_n").alias("_n"))  # a row a group and range
+    starts = starts.select(*by, "_range", before(Window.partitionBy(*by).orderBy("_range")).alias("_start"))
+    own = ranged.withColumn("_own", before(Window.partitionBy(*by, "_range").orderBy(column)))
+    return own.join(starts, [*by, "_range"]).select(*by, column, "_n", (F.col("_own") + F.col("_start")).alias("_before"))
+
+
 def average_rank(df: DataFrame, column: str, by: list[str], out: str) -> DataFrame:
-    """Ranks from 1 in groups, ties sharing their mean rank.  Values are counted first, so the window goes over distinct
-    values only and many equal rows cost one."""
-    keys = [*by, column]
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*by).orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.withColumn(out, F.coalesce(F.sum("_n").over(before), F.lit(0)) + (F.col("_n") + 1) / 2).drop("_n")
-    return df.join(ranks, keys, "left")
+    """Ranks from 1 in groups, ties sharing their mean rank; null where the value or a group column is null."""
+    ranks = places(df, column, by).select(*by, column, (F.col("_before") + (F.col("_n") + 1) / 2).alias(out))
+    return df.join(ranks, [*by, column], "left")
+
+
+def quantiles(df: DataFrame, column: str, by: list[str], at: dict[str, float], interpolate: bool = True) -> DataFrame:
+    """Exact quantiles of groups (name -> 0..1), on the line between the two values around, or else the upper value at
+    ``floor(q * n)``.  Values are counted, not buffered."""
+    found = places(df, column, by)
+    size = found.groupBy(*by).agg(F.sum("_n").alias("_rows"))
+    found = found.join(size, by) if by else found.join(F.broadcast(size))  # one row
+    row = lambda q: q * (F.col("_rows") - 1) if interpolate else F.least(F.floor(q * F.col("_rows")), F.col("_rows") - 1)
+    value = lambda k: F.max(F.when(F.col("_before") <= k, F.col(column)))
+
+    def one(q: float) -> Column:
+        low = value(F.floor(row(q)))
+        return low + F.max(row(q) - F.floor(row(q))) * (value(F.ceil(row(q))) - low) if interpolate else low
+
+    return found.groupBy(*by).agg(*[one(q).alias(name) for name, q in at.items()])
 
 
 def spearman(df: DataFrame, x: str, y: str, by: list[str], least: int = 3) -> DataFrame:
@@ -34,11 +67,6 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str], least: int = 3) -> Da
     return ranked.groupBy(*by).agg(F.count("*").alias("n"), pearson("_rx", "_ry").alias("rho")).where(F.col("n") >= least)
 
 
-def upper_median(column: str) -> Column:
-    """Aggregate: the element at n // 2 of the sorted values."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {column} DESC)")
-
-
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """Continued fraction of the incomplete beta function (Lentz)."""
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noisetrack.functions.acoustic import SOURCE_HEAVY_DB, SOURCE_LIGHT_DB, energy_sum_db, received_db
-from noisetrack.functions.stats import upper_median
+from noisetrack.functions.stats import quantiles
 
 DIMENSIONS = ("airport", "is_night", "is_weekend")
 
@@ -50,21 +50,34 @@ def throughput(rows, duration_ms):
 
 def monitoring_summary(metrics: DataFrame) -> DataFrame:
     """Batches, rows, latencies (the median is the upper one), throughput and bytes."""
-    return metrics.agg(
+    one = metrics.agg(
         F.count("*").alias("batches"),
         F.count_if("ok").alias("batches_ok"),
         F.sum("rows").alias("rows_total"),
-        F.round(upper_median("duration_ms"), 1).alias("latency_ms_p50"),
         F.round(F.max("duration_ms"), 1).alias("latency_ms_max"),
         F.round(F.avg("throughput_rows_per_s"), 1).alias("throughput_rows_per_s_avg"),
         F.sum("bytes_written").alias("bytes_total"),
     )
+    median = quantiles(metrics, "duration_ms", [], {"m": 0.5}, interpolate=False).select(F.round("m", 1).alias("latency_ms_p50"), F.lit(1).alias("_k"))
+    return one.withColumn("_k", F.lit(1)).join(median, "_k", "left").drop("_k")
 
 
 def cycle_summary(metrics: DataFrame) -> DataFrame:
     return metrics.agg(F.count("*").alias("batches"), F.count_if("ok").alias("batches_ok"), F.sum("rows").alias("rows_ingested"), F.round(F.sum("duration_ms") / 1000, 2).alias("cycle_seconds"))
 
 
-def collect_report(events: DataFrame) -> DataFrame:
-    """Per station and day: fetched, distinct and written events."""
-    return events.groupBy("station", "collect_day").agg(F.count("*").alias("air_events"), F.countDistinct("event_id").alias("written"), F.lit(True).alias("ok"))
+def collect_report(attempts: DataFrame, events: DataFrame) -> DataFrame:
+    """Per station and day that was asked for: fetched and written (distinct) events, ``ok`` and the error of a failed one,
+    which writes nothing.
+
+    attempts: station, collect_day, error (null where all went well), several rows a station and day if windows are fetched
+    one by one; a day without events is in the report too."""
+    asked = attempts.groupBy("station", "collect_day").agg(F.max("error").alias("error"))
+    counts = events.groupBy("station", "collect_day").agg(F.count("*").alias("air_events"), F.countDistinct("event_id").alias("distinct"))
+    ok, found = F.col("error").isNull(), asked.join(counts, ["station", "collect_day"], "left")
+    return found.select("station", "collect_day", F.coalesce("air_events", F.lit(0)).alias("air_events"), F.when(ok, F.coalesce("distinct", F.lit(0))).otherwise(0).alias("written"), ok.alias("ok"), "error")
+
+
+def collect_summary(report: DataFrame) -> DataFrame:
+    """One row: station-days, those that went well, events fetched and written."""
+    return report.agg(F.count("*").alias("station_days"), F.count_if("ok").alias("station_days_ok"), F.coalesce(F.sum("air_events"), F.lit(0)).alias("air_events_total"), F.coalesce(F.sum("written"), F.lit(0)).alias("written_total"))

@@ -103,32 +103,53 @@ def azimuth_check(pairs: DataFrame, events: DataFrame, samples: DataFrame, tol:
     )
 
 
+def azimuth_summary(checked: DataFrame) -> DataFrame:
+    """One row on an ``azimuth_check``: pairs with both directions, median difference, share up to 45 degrees in percent,
+    counts below 30 and 45, and the median elevations."""
+    both = checked.where(F.col("az_diff").isNotNull())
+    diff = F.col("az_diff")
+    return both.agg(
+        F.count("*").alias("n"),
+        F.round(F.median(diff), 1).alias("median_az_diff"),  # ``top`` rows at most
+        F.round(100 * F.avg((diff <= 45).cast("double")), 0).alias("coherent_pct"),
+        F.count_if(diff < 30).alias("below_30"),
+        F.count_if(diff < 45).alias("below_45"),
+        F.round(F.median("elev_measured"), 1).alias("median_elev_measured"),
+        F.round(F.median("elev_geom"), 1).alias("median_elev_geom"),
+    )
+
+
 def timezone_check(events: DataFrame, states: DataFrame, n: int = 3, time: str = "max_ts_unix") -> DataFrame:
-    """Evenly spaced events of the window against the nearest snapshot, with times as text: an offset of hours shows."""
-    picked = stride_sample(events_in_window(events, states), n, time)
-    low = states.agg(F.min("snapshot_ts"), F.max("snapshot_ts")).first()
-    tol = float(max(1, (low[1] or 0) - (low[0] or 0)))  # the nearest, however far
-    near = asof_nearest(picked, states, tol, time)
+    """Evenly spaced events of the window against the nearest snapshot, however far, with times as text: an offset of hours
+    shows.  The snapshots are passed over once, for the last one before and the first one after each of the ``n`` events."""
+    picked = stride_sample(events_in_window(events, states), n, time).select("event_id", time).collect()  # n rows
+    ts = F.col("snapshot_ts")
+    ends = [(F.max(F.when(ts <= r[time], ts)).alias(f"b{k}"), F.min(F.when(ts >= r[time], ts)).alias(f"a{k}")) for k, r in enumerate(picked)]
+    bounds = states.agg(F.count("*"), *[c for pair in ends for c in pair])
+    row = lambda k, r: F.struct(F.lit(r["event_id"]).alias("event_id"), F.lit(r[time]).alias("t"), F.col(f"b{k}").alias("b"), F.col(f"a{k}").alias("a"))
+    none = F.from_json(F.lit("[]"), "array<struct<event_id:long,t:double,b:long,a:long>>")
+    rows = bounds.select(F.inline(F.array(*[row(k, r) for k, r in enumerate(picked)]) if picked else none))
+    near = F.when(F.col("a").isNull() | (F.col("t") - F.col("b") <= F.col("a") - F.col("t")), F.col("b")).otherwise(F.col("a"))
     clock = lambda c: F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd'T'HH:mm:ss")
-    return near.select("event_id", F.col(time).alias("max_ts_unix"), clock(F.col(time)).alias("event_utc"), "snapshot_ts", clock(F.col("snapshot_ts")).alias("snapshot_utc"), F.round("gap_s", 1).alias("gap_s"))
+    near = rows.select("event_id", F.col("t").alias("max_ts_unix"), near.alias("snapshot_ts"))
+    return near.select("event_id", "max_ts_unix", clock(F.col("max_ts_unix")).alias("event_utc"), "snapshot_ts", clock(F.col("snapshot_ts")).alias("snapshot_utc"), F.round(F.abs(F.col("snapshot_ts") - F.col("max_ts_unix")), 1).alias("gap_s"))
 
 
 def stride_sample(events: DataFrame, n: int, time: str = "max_ts_unix") -> DataFrame:
-    """Every (rows // n)-th row in order of time, ``n`` in all.  Places in the order come from counts of coarse time ranges,
-    so only the ranges that hold a wanted row are sorted, not the table in one task."""
-    low, high, rows = events.agg(F.min(time), F.max(time), F.count("*")).first()
+    """Every (rows // n)-th row in order of time (event_id on a tie), ``n`` in all.  Keys are dealt to ranges of about equal
+    numbers of rows; places in the order come from the ranges' counts, and only ranges that hold a wanted row are sorted."""
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = materialised(events.select("event_id", time).repartitionByRange(parts, time, "event_id").withColumn("_p", F.spark_partition_id()), "stride")
+    counts = {r["_p"]: r["c"] for r in keys.groupBy("_p").agg(F.count("*").alias("c")).collect()}  # a row a range
+    rows = sum(counts.values())
     if not rows:
         return events.limit(0)
-    stride = max(1, rows // n)
-    wanted = list(range(0, rows, stride))[:n]
-    width = max(1e-9, (high - low) / 1000)
-    place = F.least(F.floor((F.col(time) - low) / width), F.lit(999)).cast("int")
-    counts = {r["p"]: r["c"] for r in events.groupBy(place.alias("p")).agg(F.count("*").alias("c")).collect()}  # 1000 at most
+    wanted = list(range(0, rows, max(1, rows // n)))[:n]
     starts, total = {}, 0
     for p in sorted(counts):
         starts[p] = total
         total += counts[p]
     held = [p for p in starts if any(starts[p] <= w < starts[p] + counts[p] for w in wanted)]
     offset = F.element_at(F.create_map(*[F.lit(x) for p in held for x in (p, starts[p])]), F.col("_p"))
-    ranked = events.withColumn("_p", place).where(F.col("_p").isin(held)).withColumn("_at", offset + F.row_number().over(Window.partitionBy("_p").orderBy(time, "event_id")) - 1)
-    return ranked.where(F.col("_at").isin(wanted)).drop("_p", "_at")
+    ranked = keys.where(F.col("_p").isin(held)).withColumn("_at", offset + F.row_number().over(Window.partitionBy("_p").orderBy(time, "event_id")) - 1)
+    return events.join(F.broadcast(ranked.where(F.col("_at").isin(wanted)).select("event_id")), "event_id", "left_semi")  # n rows

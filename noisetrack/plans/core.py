@@ -156,22 +156,19 @@ def dead_reckon(spark, sf_dir):
     return geo_points(spark, sf_dir).select("event_id", *[F.round(x, 6).alias(n) for x, n in ((a, "lat_sphere"), (b, "lon_sphere"), (c, "lat_plane"), (d, "lon_plane"))])
 
 
-def extrapolate(snapshot: DataFrame, n_ticks: int, interval_s: int = 30) -> DataFrame:
-    """A fleet's snapshot moved on: tick 0 as it is, later ones by speed (null: 0) and heading (null: stays)."""
-    base = snapshot.agg(F.max("time_position_unix")).first()[0] or 0
-    rows = snapshot.withColumn("tick", F.explode(F.sequence(F.lit(0), F.lit(n_ticks - 1))))
-    lat, lon = geo.advance(F.col("latitude"), F.col("longitude"), F.col("heading_deg"), F.coalesce("velocity_m_s", F.lit(0.0)) * F.col("tick") * interval_s)
-    still = (F.col("tick") == 0) | F.col("heading_deg").isNull()
-    return rows.withColumns({"latitude": F.when(still, F.col("latitude")).otherwise(lat), "longitude": F.when(still, F.col("longitude")).otherwise(lon), "snapshot_ts": F.lit(base).cast("long") + F.col("tick") * interval_s})
+_X = G.advance("latitude", "longitude", "heading_deg", "coalesce(velocity_m_s, 0.0) * (next_ts - snapshot_ts)")
 
 
-_X = G.advance("latitude", "longitude", "heading_deg", "coalesce(velocity_m_s, 0.0) * tick * 30")
-
-
-@query(with_views(f"SELECT icao24, tick, s + tick * 30 AS snapshot_ts, round(CASE WHEN tick = 0 OR heading_deg IS NULL THEN latitude ELSE {_X[0]} END, 6) AS latitude, round(CASE WHEN tick = 0 OR heading_deg IS NULL THEN longitude ELSE {_X[1]} END, 6) AS longitude FROM (SELECT * FROM states QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY snapshot_ts DESC) = 1), (SELECT max(time_position_unix) AS s FROM (SELECT * FROM states QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY snapshot_ts DESC) = 1)), (SELECT CAST(unnest(range(3)) AS INT) AS tick)", states=True))
+@query(with_views(f"SELECT icao24, snapshot_ts, next_ts, round(la, 6) AS latitude, round(lo, 6) AS longitude, round({G.haversine_km('la', 'lo', 'next_lat', 'next_lon')}, 6) AS off_km FROM (SELECT *, CASE WHEN heading_deg IS NULL THEN latitude ELSE {_X[0]} END AS la, CASE WHEN heading_deg IS NULL THEN longitude ELSE {_X[1]} END AS lo FROM (SELECT *, lead(snapshot_ts) OVER w AS next_ts, lead(latitude) OVER w AS next_lat, lead(longitude) OVER w AS next_lon FROM states WINDOW w AS (PARTITION BY icao24 ORDER BY snapshot_ts))) WHERE next_ts IS NOT NULL", states=True))
 def extrapolate_positions(spark, sf_dir):
-    last = clean.first_by(states(spark, sf_dir), ["icao24"], [F.col("snapshot_ts").desc()])
-    return rounded(extrapolate(last, 3).select("icao24", "tick", "snapshot_ts", "latitude", "longitude"))
+    """Each state carried on to its aircraft's next snapshot, and how far that is from where it was seen then."""
+    w = Window.partitionBy("icao24").orderBy("snapshot_ts")
+    rows = states(spark, sf_dir).withColumns({"next_ts": F.lead("snapshot_ts").over(w), "next_lat": F.lead("latitude").over(w), "next_lon": F.lead("longitude").over(w)}).where("next_ts IS NOT NULL")
+    lat, lon = geo.advance(F.col("latitude"), F.col("longitude"), F.col("heading_deg"), F.coalesce("velocity_m_s", F.lit(0.0)) * (F.col("next_ts") - F.col("snapshot_ts")))
+    still = F.col("heading_deg").isNull()
+    rows = rows.withColumns({"latitude": F.when(still, F.col("latitude")).otherwise(lat), "longitude": F.when(still, F.col("longitude")).otherwise(lon)})
+    off = geo.haversine_km(F.col("latitude"), F.col("longitude"), F.col("next_lat"), F.col("next_lon"))
+    return rounded(rows.select("icao24", "snapshot_ts", "next_ts", "latitude", "longitude", off.alias("off_km")))
 
 
 @query("SELECT event_id, CAST(hour(ts) AS INT) AS hour, CAST(isodow(ts) - 1 AS INT) AS day_of_week, CASE WHEN hour(ts) >= 22 OR hour(ts) < 6 THEN 1 ELSE 0 END AS is_night, CASE WHEN hour(ts) IN (7, 8, 9, 17, 18, 19) THEN 1 ELSE 0 END AS is_rush_hour, CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS is_weekend FROM events")
@@ -351,12 +348,23 @@ def peak_sample(spark, sf_dir):
 _BRG = G.bearing("n.st_lat", "n.st_lon", "n.aircraft_lat", "n.aircraft_lon")
 
 
-@query(on_pairs("").rstrip() + f", {_SAMPLES_SQL}, loud AS (SELECT * FROM pairs WHERE slant_km <= 12 ORDER BY max_laeq DESC, event_id LIMIT 20), peak AS ({_PEAK_SQL.format(left='loud', tol=60)}) SELECT n.event_id, n.max_laeq, n.slant_km, p.azimuth AS az_measured, round({_BRG}, 1) AS az_bearing, round({G.ang_diff('p.azimuth', _BRG)}, 1) AS az_diff, p.elevation AS elev_measured, round(degrees(atan2(greatest(n.altitude_m, 0.0), greatest(n.horiz_km * 1000, 1.0))), 1) AS elev_geom FROM loud n JOIN peak p ON p.event_id = n.event_id")
+_AZIMUTH_SQL = on_pairs("").rstrip() + f", {_SAMPLES_SQL}, loud AS (SELECT * FROM pairs WHERE slant_km <= 12 ORDER BY max_laeq DESC, event_id LIMIT 20), peak AS ({_PEAK_SQL.format(left='loud', tol=60)}) SELECT n.event_id, n.max_laeq, n.slant_km, p.azimuth AS az_measured, round({_BRG}, 1) AS az_bearing, round({G.ang_diff('p.azimuth', _BRG)}, 1) AS az_diff, p.elevation AS elev_measured, round(degrees(atan2(greatest(n.altitude_m, 0.0), greatest(n.horiz_km * 1000, 1.0))), 1) AS elev_geom FROM loud n JOIN peak p ON p.event_id = n.event_id"
+
+
+@query(_AZIMUTH_SQL)
 def azimuth_check(spark, sf_dir):
     events = noise(spark, sf_dir)
     return gate.azimuth_check(pairs(spark, sf_dir), events, views.view(spark, sf_dir, views.SAMPLES, views.OTHERS), tol=60.0)
 
 
+_HEAD, _TAIL = _AZIMUTH_SQL[: _AZIMUTH_SQL.rindex(" SELECT n.event_id, n.max_laeq")], _AZIMUTH_SQL[_AZIMUTH_SQL.rindex(" SELECT n.event_id, n.max_laeq") :]
+
+
+@query(f"{_HEAD}, checked AS ({_TAIL}) SELECT count(*) AS n, round(median(az_diff), 1) AS median_az_diff, round(100 * avg(CASE WHEN az_diff <= 45 THEN 1e0 ELSE 0e0 END), 0) AS coherent_pct, count(*) FILTER (az_diff < 30) AS below_30, count(*) FILTER (az_diff < 45) AS below_45, round(median(elev_measured), 1) AS median_elev_measured, round(median(elev_geom), 1) AS median_elev_geom FROM checked WHERE az_diff IS NOT NULL")
+def azimuth_summary(spark, sf_dir):
+    return gate.azimuth_summary(azimuth_check(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- gate
 
 _GB = "(a.snapshot_ts - b.snapshot_ts)"
@@ -468,8 +476,10 @@ _Q = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 @query(on_pairs("SELECT station, count(*) AS n, " + ", ".join(f"round(quantile_cont(slant_km, {q}), 6) AS {n}" for n, q in _Q.items()) + ", min(max_laeq) AS min_db, round(median(max_laeq), 6) AS median_db, max(max_laeq) AS max_db FROM pairs WHERE slant_km IS NOT NULL GROUP BY station"))
 def slant_quantiles(spark, sf_dir):
-    rows = pairs(spark, sf_dir).where("slant_km IS NOT NULL")
-    return rows.groupBy("station").agg(F.count("*").alias("n"), *[F.round(F.percentile("slant_km", q), 6).alias(n) for n, q in _Q.items()], F.min("max_laeq").alias("min_db"), F.round(F.median("max_laeq"), 6).alias("median_db"), F.max("max_laeq").alias("max_db"))
+    rows = materialised(pairs(spark, sf_dir).where("slant_km IS NOT NULL").select("station", "slant_km", "max_laeq"), "pairs")
+    found = rows.groupBy("station").agg(F.count("*").alias("n"), F.min("max_laeq").alias("min_db"), F.max("max_laeq").alias("max_db"))
+    found = found.join(stats.quantiles(rows, "slant_km", ["station"], _Q), "station").join(stats.quantiles(rows, "max_laeq", ["station"], {"median_db": 0.5}), "station")
+    return rounded(found, 6)
 
 
 @query(on_pairs("SELECT count(*) AS n_events, count(*) FILTER (n_candidates > 0) AS n_covered, round(100 * count(*) FILTER (n_candidates > 0) / count(*), 1) AS coverage_pct, " + ", ".join(f"count(*) FILTER (slant_km <= {k}) AS within_{k}" for k in (5, 8, 12, 20)) + " FROM pairs"))
@@ -536,14 +546,12 @@ def energy_sum_db(spark, sf_dir):
 _LEVEL = f"(CASE WHEN coalesce(s.baro_altitude_m, 0.0) > 800 THEN 139.0 ELSE 132.0 END - 20 * log10(greatest(1000 * {G.slant_km(G.haversine_km('n.st_lat', 'n.st_lon', 's.latitude', 's.longitude'), 'coalesce(s.baro_altitude_m, 0.0)')}, 50.0)) - 8)"
 
 
-@query(with_views(f"SELECT event_id, round(10 * log10(sum(pow(10.0, l / 10)) + pow(10.0, max(a) / 10)), 6) AS level_db, round(max(l), 6) AS max_level_db, round(max(p), 6) AS profile, round(max(c), 6) AS curfew FROM (SELECT n.event_id, {_LEVEL} AS l, CASE WHEN n.hour >= 6 AND n.hour < 22 THEN 44.0 ELSE 39.0 END AS a, CAST({acoustic.HOURLY_PROFILE}[n.hour + 1] AS DOUBLE) AS p, CASE WHEN n.hour >= 23 OR n.hour < 6 THEN CASE WHEN n.airport = 'ORY' THEN 0e0 ELSE 0.25e0 END ELSE 1e0 END AS c FROM noise n JOIN states s ON abs(s.snapshot_ts - n.t) <= 45) GROUP BY event_id", states=True, noise_=True))
+@query(with_views(f"SELECT event_id, round(10 * log10(sum(pow(10.0, l / 10)) + pow(10.0, max(a) / 10)), 6) AS level_db, round(max(l), 6) AS max_level_db FROM (SELECT n.event_id, {_LEVEL} AS l, CASE WHEN n.hour >= 6 AND n.hour < 22 THEN 44.0 ELSE 39.0 END AS a FROM noise n JOIN states s ON abs(s.snapshot_ts - n.t) <= 45) GROUP BY event_id", states=True, noise_=True))
 def physics_level(spark, sf_dir):
-    events = noise(spark, sf_dir).select("event_id", "st_lat", "st_lon", "t", "hour", "airport")
+    events = noise(spark, sf_dir).select("event_id", "st_lat", "st_lon", "t", "hour")
     near = joins.interval_join(events, states(spark, sf_dir).select("snapshot_ts", "latitude", "longitude", F.coalesce("baro_altitude_m", F.lit(0.0)).alias("altitude_m")), "t", "snapshot_ts", 45)
     km = geo.slant_km(geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("latitude"), F.col("longitude")), F.col("altitude_m"))
-    levels = cube.physics_level(near.select("event_id", (km * 1000).alias("slant_m"), "altitude_m", acoustic.ambient_db(F.col("hour")).alias("ambient_db")), heavy_above_m=800.0)
-    factors = events.select("event_id", acoustic.traffic_profile(F.col("hour")).alias("profile"), acoustic.curfew_factor(F.col("airport"), F.col("hour")).alias("curfew"))
-    return rounded(levels.join(factors, "event_id"))
+    return rounded(cube.physics_level(near.select("event_id", (km * 1000).alias("slant_m"), "altitude_m", acoustic.ambient_db(F.col("hour")).alias("ambient_db")), heavy_above_m=800.0))
 
 
 _METRICS_SQL = f"SELECT *, CASE WHEN duration_ms <= 0 THEN 0.0 ELSE round(rows / (duration_ms / 1000), 1) END AS throughput_rows_per_s FROM ({views.sql(views.METRICS)})"
@@ -563,6 +571,21 @@ def cycle_summary(spark, sf_dir):
     return cube.cycle_summary(metrics(spark, sf_dir))
 
 
-@query(f"SELECT station, collect_day, count(*) AS air_events, count(DISTINCT event_id) AS written, true AS ok FROM ({_FETCH_A} UNION ALL {_FETCH_B}) GROUP BY ALL")
+_FAILS = "(user_id % 6 + day(ts)) % 5 = 0"
+_REPORT_SQL = f"SELECT a.station, a.collect_day, count(f.event_id) AS air_events, CASE WHEN a.error IS NULL THEN count(DISTINCT f.event_id) ELSE 0 END AS written, a.error IS NULL AS ok, a.error FROM (SELECT user_id % 6 AS station, strftime(ts, '%Y-%m-%d') AS collect_day, max(CASE WHEN {_FAILS} THEN 'timeout' END) AS error FROM events GROUP BY ALL) a LEFT JOIN ({_FETCH_A} UNION ALL {_FETCH_B}) f ON f.station = a.station AND f.collect_day = a.collect_day GROUP BY a.station, a.collect_day, a.error"
+
+
+def report(spark, sf_dir):
+    """A fifth of the station-days fail."""
+    attempts = views.events(spark, sf_dir).selectExpr("user_id % 6 as station", "date_format(ts, 'yyyy-MM-dd') as collect_day", f"case when {_FAILS} then 'timeout' end as error")
+    return cube.collect_report(attempts, fetches(spark, sf_dir))
+
+
+@query(_REPORT_SQL)
 def collect_metrics(spark, sf_dir):
-    return cube.collect_report(fetches(spark, sf_dir))
+    return report(spark, sf_dir)
+
+
+@query(f"SELECT count(*) AS station_days, count(*) FILTER (ok) AS station_days_ok, CAST(sum(air_events) AS BIGINT) AS air_events_total, CAST(sum(written) AS BIGINT) AS written_total FROM ({_REPORT_SQL})")
+def collect_summary(spark, sf_dir):
+    return cube.collect_summary(report(spark, sf_dir))

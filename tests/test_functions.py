@@ -64,7 +64,7 @@ def test_statistics(spark):
     df = spark.createDataFrame([("a", 1.0, 10.0), ("a", 2.0, 20.0), ("a", 2.0, 15.0), ("a", 9.0, 90.0), ("b", 1.0, 1.0), ("c", 1.0, 5.0), ("c", 1.0, 6.0), ("c", 1.0, 7.0)], "g string, x double, y double")
     found = {r.g: r for r in stats.spearman(df, "x", "y", ["g"]).collect()}
     assert found["a"].rho == pytest.approx(0.9486833) and "b" not in found and found["c"].rho is None
-    assert df.where("g = 'a'").agg(stats.upper_median("y")).first()[0] == 20.0
+    assert stats.quantiles(df.where("g = 'a'"), "y", [], {"m": 0.5}, interpolate=False).first().m == 20.0
     # Student's t with 10 degrees of freedom: 2.228 is the two-sided 5 % point
     t = 2.228139
     r = t / math.sqrt(10 + t * t)
