@@ -12,7 +12,7 @@ from noisetrack.plans import core, views
 from noisetrack.plans.core import query
 from noisetrack.plans.views import with_views
 from noisetrack.schemas import STATE_FIELDS
-from noisetrack.session import scratch
+from noisetrack.session import materialised, scratch
 from noisetrack.sources import landing
 
 _STATE_COLS = "icao24, snapshot_ts, latitude, longitude, on_ground, last_contact_unix"
@@ -58,12 +58,17 @@ def load_snapshot(spark, sf_dir):
     return landing.load_snapshot(spark, path).select("icao24", "callsign", "time_position_unix", "snapshot_ts", "longitude", "latitude", "baro_altitude_m", "velocity_m_s", "on_ground")
 
 
+STATES_A_PAYLOAD = 5_000
+
+
 def payloads(spark, sf_dir):
-    """JSON payloads, one for each snapshot time: arrays of arrays of strings."""
+    """JSON payloads (arrays of arrays of strings), as many for each snapshot time as keep them at some 5,000 aircraft."""
     s = views.states_raw(spark, sf_dir)
     of = {"icao24": F.col("icao24"), "callsign": F.concat("callsign", F.lit("  ")), "origin_country": F.col("origin_country"), "time_position": F.when(F.col("last_contact_unix") % 7 != 0, F.col("time_position_unix")), "last_contact": F.col("last_contact_unix"), "longitude": F.col("longitude"), "latitude": F.col("latitude"), "baro_altitude_m": F.col("baro_altitude_m"), "on_ground": F.col("on_ground"), "velocity_m_s": F.col("velocity_m_s"), "true_track_deg": F.col("heading_deg"), "squawk": F.col("squawk")}
     row = F.array(*[of.get(f, F.lit(None)).cast("string") for f in STATE_FIELDS])
-    return s.groupBy("snapshot_ts").agg(F.to_json(F.struct(F.first("snapshot_ts").alias("time"), F.collect_list(row).alias("states"))).alias("value"))
+    most = s.groupBy("snapshot_ts").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    slice_ = F.pmod(F.xxhash64("icao24", "last_contact_unix"), F.lit(max(1, -(-most // STATES_A_PAYLOAD))))
+    return s.groupBy("snapshot_ts", slice_.alias("slice")).agg(F.to_json(F.struct(F.first("snapshot_ts").alias("time"), F.collect_list(row).alias("states"))).alias("value"))
 
 
 @query(with_views("SELECT icao24, callsign, CASE WHEN last_contact_unix % 7 <> 0 THEN time_position_unix ELSE snapshot_ts END AS time_position_unix, last_contact_unix, longitude, latitude, baro_altitude_m, velocity_m_s, heading_deg, on_ground, snapshot_ts FROM states_raw", states=True))
@@ -167,6 +172,8 @@ def catalog_tables(spark, sf_dir):
     name = f"noise_measurements_{uuid.uuid4().hex}"
     core.noise(spark, sf_dir).write.mode("overwrite").saveAsTable(name)
     found = spark.sql(f"SELECT count(*) AS rows FROM {name}").select(F.lit("noise_measurements").alias("name"), F.lit(spark.catalog.tableExists(name)).alias("found"), "rows")
+    found = materialised(found, "catalog")
+    spark.sql(f"DROP TABLE {name}")
     missing = landing.table_counts(spark, [f"flights_{uuid.uuid4().hex}"]).agg(F.count("*").alias("rows"))
     return found.unionByName(missing.select(F.lit("flights").alias("name"), F.lit(False).alias("found"), "rows"))
 

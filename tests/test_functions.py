@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,11 +61,18 @@ def test_day_windows_are_cut_at_the_end_of_the_day_only(spark):
     assert [d.day for d in one(spark, d=times.days_back(F.lit("2026-06-15").cast("date"), 3)).d] == [13, 14, 15]
 
 
-def test_statistics(spark):
+def test_statistics(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1.0, 10.0), ("a", 2.0, 20.0), ("a", 2.0, 15.0), ("a", 9.0, 90.0), ("b", 1.0, 1.0), ("c", 1.0, 5.0), ("c", 1.0, 6.0), ("c", 1.0, 7.0)], "g string, x double, y double")
     found = {r.g: r for r in stats.spearman(df, "x", "y", ["g"]).collect()}
     assert found["a"].rho == pytest.approx(0.9486833) and "b" not in found and found["c"].rho is None
     assert stats.quantiles(df.where("g = 'a'"), "y", [], {"m": 0.5}, interpolate=False).first().m == 20.0
+    # The same where values are dealt to ranges.
+    rnd = random.Random(4)
+    wide = spark.createDataFrame([(f"g{i % 2}", float(rnd.randint(0, 150)), rnd.gauss(0, 1)) for i in range(900)], "g string, x double, y double")
+    plain = {r.g: r for r in stats.spearman(wide, "x", "y", ["g"]).collect()}, sorted(stats.quantiles(wide, "x", ["g"], {"a": 0.1, "b": 0.5}).collect())
+    monkeypatch.setattr(stats, "ONE_TASK", 10)
+    assert ({r.g: r for r in stats.spearman(wide, "x", "y", ["g"]).collect()}, sorted(stats.quantiles(wide, "x", ["g"], {"a": 0.1, "b": 0.5}).collect())) == plain
+    assert [(r.g, r.a, r.b) for r in plain[1]] == [tuple(r) for r in wide.groupBy("g").agg(F.percentile("x", 0.1), F.percentile("x", 0.5)).orderBy("g").collect()]
     # Student's t with 10 degrees of freedom: 2.228 is the two-sided 5 % point
     t = 2.228139
     r = t / math.sqrt(10 + t * t)
