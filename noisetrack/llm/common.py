@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 300_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: bytes -> bytes: A-Z lower-cased, every byte outside words turned into a space.
@@ -89,6 +90,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
             _OPEN.append(inner)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast up to ``BROADCAST_ROWS`` rows of ids or fingerprints (some 50 MB), joined by a shuffle beyond."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A text column as UTF-8 bytes; null is empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from noisetrack.llm.common import column_list, stored
+from noisetrack.llm.common import column_list, small, stored
 from noisetrack.llm.hamming import block_keys, components, links, mixed
 
 BITS, RADIUS, ROWS_AT_ONCE, CACHE, RANGE_BYTES = 256, 12, 4096, 300_000, 32 << 20
@@ -141,4 +141,6 @@ def within_radius(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def fingerprint_table(docs: DataFrame) -> DataFrame:
     marked = stored(fingerprint_documents(docs), "fingerprints")
-    return marked.join(within_radius(marked), "fp")
+    # Stored, so that where it is too large for a broadcast the join is of plain shuffles, whose hot fingerprints Spark can split.
+    groups = stored(within_radius(marked), "fingerprints-groups")
+    return marked.join(small(groups), "fp")

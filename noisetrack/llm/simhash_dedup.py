@@ -31,10 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noisetrack.llm.common import column_bytes, column_list, stored
+from noisetrack.llm.common import column_bytes, column_list, small, stored
 from noisetrack.llm.hamming import BROADCAST_KEYS, CLOSE_TILE, SMALL, Lanes, binary_array, block_keys, components, links, mixed
 
-SEED, ROWS_AT_ONCE, BROADCAST_ROWS, SHINGLES_PER_TILE = 42, 4096, 300_000, 1_000_000
+SEED, ROWS_AT_ONCE, SHINGLES_PER_TILE = 42, 4096, 1_000_000
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -62,11 +62,6 @@ def majority(words: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(words))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast up to ``BROADCAST_ROWS`` rows of ids or fingerprints (some 50 MB), joined by a shuffle beyond."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def shingle_fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     """doc_id and the 64-bit fingerprint ``fp`` (8 bytes) of each row."""
 
