@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noisetrack.llm.common import WORD_TABLE, column_bytes, column_list, crc_mod, stored
@@ -216,12 +216,17 @@ def context(text: str, start: int, end: int) -> float:
     return ADDRESSED if not ADDRESSING.isdisjoint(near + WORD.findall(after)[:4]) else 1.0
 
 
+def drawn(key: Column, share: float) -> Column:
+    """True for about ``share`` of the keys, by their hash; fine enough for shares of a millionth and less."""
+    return F.pmod(F.xxhash64(key), F.lit(10**15)) < int(share * 10**15)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> DataFrame:
     """At most about ``max_docs`` labelled training rows (text, toxic), chosen by a hash of doc_id.  Their ids are
     broadcast (a few 100 KB at that bound), so that documents are not shuffled."""
     train = labels.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, max_docs / max(1, train.count()))
-    ids = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    ids = train.where(drawn(F.col("doc_id"), share))
     return stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic"), "toxicity-sample")
 
 

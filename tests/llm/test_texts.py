@@ -61,6 +61,12 @@ def toxic_table(spark, n=400):
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def test_samples_of_very_many_labels_are_not_empty(spark):
+    ids = spark.range(40_000_000)
+    assert 4 <= ids.where(toxicity.drawn(F.col("id"), 4e-7)).count() <= 40
+    assert ids.limit(1000).where(toxicity.drawn(F.col("id"), 1.0)).count() == 1000
+
+
 def test_toxicity_learns_words_beginnings_and_misspellings(spark, odd):
     docs, labels = toxic_table(spark)
     model = toxicity.fit(docs, labels)
