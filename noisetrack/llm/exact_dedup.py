@@ -37,7 +37,9 @@ def find_duplicates(docs: DataFrame, keep: str = "max", row: bool = False) -> Da
     groups = stored(rows.groupBy("hash").agg(best("doc_id").alias("rep_id"), F.count("*").alias("group_size")).where("group_size > 1"), "dedup-groups")
     side = F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
     sha = F.sha2(norm.cast("binary"), 256).alias("text_sha256")
-    single = rows.join(side, "hash", "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha, *extra)
+    # An outer join, as Spark would move the digests behind an anti join, which beyond the bound would then shuffle the texts.
+    marked = rows.select("doc_id", "hash", sha, *extra).join(side.select("hash", "group_size"), "hash", "left")
+    single = marked.where("group_size IS NULL").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", *extra)
 
     copies = stored(rows.join(side, "hash"), "dedup-copies")
     representatives = copies.where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("hash", norm.alias("rep_norm")).dropDuplicates(["hash"])

@@ -35,6 +35,14 @@ def test_collisions_are_told_apart(documents, monkeypatch):
     assert {(r.doc_id, r.keep_id, r.group_size) for r in rows} == {(1, 3, 2), (3, 3, 2), (2, 4, 2), (4, 4, 2), (5, 5, 1)}
 
 
+def test_many_groups_are_joined_by_a_shuffle_without_texts(odd, monkeypatch, spark):
+    key = lambda r: tuple(map(str, r))
+    few = sorted(exact_dedup.find_duplicates(odd).collect(), key=key)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_GROUPS", 0)
+    assert sorted(exact_dedup.find_duplicates(odd).collect(), key=key) == few
+    assert exact_dedup.drop_duplicates(odd).count() == len({(r.text or "").translate(LOWER) for r in odd.collect()})
+
+
 def test_clashing_columns_and_empty_table(spark):
     df = spark.createDataFrame([(1, "x", "h", 2), (2, "x", "g", 3)], "doc_id long, text string, hash string, group_size int")
     assert [r.asDict() for r in exact_dedup.drop_duplicates(df).collect()] == [{"doc_id": 2, "text": "x", "hash": "g", "group_size": 3}]
