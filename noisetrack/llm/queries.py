@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noisetrack.llm import exact_dedup, fingerprints, language_model, licenses, mixing, packing, simhash_dedup, token_counts, toxicity, warc
+from noisetrack.llm import conversations, exact_dedup, fingerprints, language_model, licenses, mixing, packing, quality_rules, simhash_dedup, token_counts, toxicity, variants, warc
 from noisetrack.llm.common import crc_mod, read
 
 
@@ -57,8 +57,22 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    judged = quality_rules.judge(docs, quality_rules.learn(docs, read(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(read(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_toxicity, op2_lm_scoring, op3_mixing, op4_license_scans, op5_warc, op6_exact_dedup, op7_packing, op8_token_counts, op9_fingerprints, op10_simhash_dedup)
+    found = (op1_toxicity, op2_lm_scoring, op3_mixing, op4_license_scans, op5_warc, op6_exact_dedup, op7_packing, op8_token_counts, op9_fingerprints, op10_simhash_dedup, op11_spelling_variants, op12_quality_rules, op13_conversation_repair)
     return {f.__name__: f for f in found}
 
 
