@@ -11,10 +11,12 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from noisetrack.ml import boosting
+from noisetrack.ml.boosting import Boosting
 from noisetrack.ml.features import CATEGORICAL, NUMERIC, TARGET
 
 FOLDS, MIN_ROWS, SEED = 5, 50, 42
@@ -31,13 +33,13 @@ def preprocessing(columns: list[str]) -> list:
 
 
 def candidate_models() -> dict:
-    """The four candidates."""
+    """The four candidates; the boosted ones are fitted together, see ``boosting``."""
     common = {"featuresCol": "features", "labelCol": TARGET}
     return {
         "linear": LinearRegression(**common),
         "forest": RandomForestRegressor(numTrees=250, maxDepth=14, minInstancesPerNode=3, seed=SEED, **common),
-        "boosting": GBTRegressor(maxIter=300, maxDepth=3, stepSize=0.05, minInstancesPerNode=5, subsamplingRate=0.9, seed=SEED, **common),
-        "deep_boosting": GBTRegressor(maxIter=400, maxDepth=6, stepSize=0.06, seed=SEED, **common),
+        "boosting": Boosting(rounds=300, depth=3, step=0.05, least=5, share=0.9),
+        "deep_boosting": Boosting(rounds=400, depth=6, step=0.06, least=20, l2=1.0),
     }
 
 
@@ -67,7 +69,7 @@ def metrics(df: DataFrame, prediction: str = "prediction", target: str = TARGET)
 
 
 def fit(df: DataFrame, model) -> PipelineModel:
-    """Boosting runs a job for each level of each tree, so partitions are as few as rows allow."""
+    """A model runs many jobs, so partitions are as few as rows allow."""
     return Pipeline(stages=[*preprocessing(df.columns), model.copy()]).fit(packed(df))
 
 
@@ -93,8 +95,21 @@ def fold_models(df: DataFrame, model, key: str = "event_id", n: int = FOLDS) ->
     return [job(k) for k in range(n)]
 
 
+def boosted(df: DataFrame, specs: list[Boosting], others: tuple[DataFrame, ...] = (), key: str = "event_id", n: int = FOLDS) -> list[tuple[DataFrame, ...]]:
+    """For each candidate the predictions of the rows by the fit that has not seen their fold, and those of the rows, and of
+    each other table, by the fit on all rows.  Categories and bins are those of all rows."""
+    prepare = Pipeline(stages=preprocessing(df.columns)).fit(df)
+    ready = lambda x: boosting.as_rows(prepare.transform(x.withColumn("_fold", fold(F.col(key), n))), key, TARGET, "_fold").withColumn("all", F.lit(n))
+    rows = ready(df)
+    models, cuts = boosting.fit_folds(rows, specs, n, rows_a_task=ROWS_A_TASK)
+    keep = (key, "fold", TARGET)
+    return [(boosting.predict(rows, m, cuts, keep, "fold"), *(boosting.predict(x, m, cuts, keep, "all") for x in (rows, *map(ready, others)))) for m in models]
+
+
 def out_of_fold(df: DataFrame, model, key: str = "event_id", n: int = FOLDS) -> DataFrame:
     """Predictions of each row by the model that has not seen its fold."""
+    if isinstance(model, Boosting):
+        return boosted(df, [model], key=key, n=n)[0][0]
     return reduce(DataFrame.unionByName, at_once(df.sparkSession, fold_models(df, model, key, n)))
 
 
@@ -119,15 +134,29 @@ def compare(df: DataFrame, models: dict, n: int = FOLDS) -> Comparison:
     """A row for each candidate (CV and test metrics, over-fit gap) and the one with the smallest rounded CV RMSE, the first
     on a tie."""
     train, test = split(df)
-    jobs, n_jobs = [], n + 1
-    for model in models.values():  # the slowest candidates come last in ``models``, so they are begun first
-        jobs = [lambda model=model: fit(train, model), *fold_models(train, model, n=n), *jobs]
+
+    def fitted(model) -> Callable:
+        def job() -> tuple[DataFrame, ...]:
+            whole = fit(train, model)
+            return whole.transform(train), whole.transform(test)
+
+        return job
+
+    trees = {name: m for name, m in models.items() if isinstance(m, Boosting)}
+    rest = {name: m for name, m in models.items() if not isinstance(m, Boosting)}
+    jobs = [lambda: boosted(train, list(trees.values()), (test,), n=n)] if trees else []
+    for model in rest.values():
+        jobs += [fitted(model), *fold_models(train, model, n=n)]
     done, out = at_once(df.sparkSession, jobs), None
+    results = dict(zip(trees, done[0], strict=True)) if trees else {}
+    for k, name in enumerate(rest):
+        (on_train, on_test), *folds = done[len(jobs) - (len(rest) - k) * (n + 1) :][: n + 1]
+        results[name] = (reduce(DataFrame.unionByName, folds), on_train, on_test)
     for order, name in enumerate(models):
-        fitted, *folds = done[(len(models) - 1 - order) * n_jobs :][:n_jobs]
-        on_test = metrics(fitted.transform(test)).selectExpr("rmse as test_rmse", "mae as test_mae", "r2 as test_r2", "1 as k")
-        on_train = metrics(fitted.transform(train)).selectExpr("rmse as train_rmse", "1 as k")
-        one = fold_errors(reduce(DataFrame.unionByName, folds)).withColumn("k", F.lit(1)).join(on_test, "k").join(on_train, "k").drop("k")
+        folds, on_train, on_test = results[name]
+        on_test = metrics(on_test).selectExpr("rmse as test_rmse", "mae as test_mae", "r2 as test_r2", "1 as k")
+        on_train = metrics(on_train).selectExpr("rmse as train_rmse", "1 as k")
+        one = fold_errors(folds).withColumn("k", F.lit(1)).join(on_test, "k").join(on_train, "k").drop("k")
         one = one.select(F.lit(name).alias("model"), F.lit(order).alias("place"), "*", (F.col("test_rmse") - F.col("train_rmse")).alias("overfit_gap"))
         out = one if out is None else out.unionByName(one)
     rows = out.collect()  # a row for each candidate
@@ -140,7 +169,8 @@ def predict_with_interval(train: DataFrame, rows: DataFrame, key: str = "event_i
 
     A training row weighs, for a row to predict, the mean over the trees of one by the size of the leaf that both fall into,
     or nothing.  The bounds are quantiles of the training levels under these weights: pooled over the trees, one quantile of
-    all.  Levels are counted by leaf in steps of ``LEVEL_DB``, so that a leaf has no more entries than there are steps,
+    all; where the prediction (a mean, which a few high levels in a leaf can lift above the upper quantile) lies outside, the
+    bound is moved to it, so that lower <= prediction <= upper.  Levels are counted by leaf in steps of ``LEVEL_DB``, so that a leaf has no more entries than there are steps,
     however many rows fall into it."""
     forest = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=5, seed=SEED, featuresCol="features", labelCol=TARGET, leafCol="leaves")
     model = fit(train, forest)
@@ -151,4 +181,5 @@ def predict_with_interval(train: DataFrame, rows: DataFrame, key: str = "event_i
     pooled = mine.join(share, ["tree", "leaf"]).groupBy(key, TARGET, "prediction", "step").agg(F.sum("share").alias("share"))
     upto = F.sum("share").over(Window.partitionBy(key, TARGET, "prediction").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     bound = lambda q: F.min(F.when(F.col("upto") >= q - 1e-9, F.col("step"))) * LEVEL_DB
-    return pooled.withColumn("upto", upto).groupBy(key, TARGET, "prediction").agg(bound(low).alias("lower"), bound(high).alias("upper"))
+    out = pooled.withColumn("upto", upto).groupBy(key, TARGET, "prediction").agg(bound(low).alias("lower"), bound(high).alias("upper"))
+    return out.withColumns({"lower": F.least("lower", "prediction"), "upper": F.greatest("upper", "prediction")})

@@ -2,12 +2,14 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from noisetrack.ml import regression
+from noisetrack.ml import boosting, regression
+from noisetrack.ml.boosting import Boosting
 from noisetrack.ml.features import TARGET
 
 
@@ -70,3 +72,87 @@ def test_interval_is_one_quantile_of_pooled_weights(table):
 def test_few_rows_are_refused(table):
     with pytest.raises(ValueError, match="at least"):
         regression.split(table.where(F.col("event_id") < 10))
+
+
+def plain_boosting(x, y, uid, spec, bins):
+    """Start and trees (nested tuples) of one fit, by loops over rows, features and bins."""
+
+    def grow(rows, residual, depth):
+        g, n = sum(residual[i] for i in rows), len(rows)
+        best = None
+        for f in range(len(x[0])):
+            for b in range(bins - 1):
+                left = [i for i in rows if x[i][f] <= b]
+                if spec.least <= len(left) <= n - spec.least and 0 < len(left) < n:
+                    lg = sum(residual[i] for i in left)
+                    worth = lg**2 / (len(left) + spec.l2) + (g - lg) ** 2 / (n - len(left) + spec.l2)
+                    if best is None or worth > best[0] + 1e-9:
+                        best = (worth, f, b)
+        if not depth or best is None or best[0] - g**2 / (n + spec.l2) <= 1e-9 * (1 + g * g):
+            return spec.step * g / (n + spec.l2) if n else 0.0
+        _, f, b = best
+        return f, b, grow([i for i in rows if x[i][f] <= b], residual, depth - 1), grow([i for i in rows if x[i][f] > b], residual, depth - 1)
+
+    start = sum(y) / len(y)
+    predicted, trees = [start] * len(y), []
+    for r in range(spec.rounds):
+        use = boosting.drawn(np.array(uid), r, spec.share)
+        tree = grow([i for i in range(len(y)) if use[i]], [a - b for a, b in zip(y, predicted, strict=True)], spec.depth)
+        trees.append(tree)
+        predicted = [p + value(tree, row) for p, row in zip(predicted, x, strict=True)]
+    return start, trees
+
+
+def value(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return tree
+
+
+SPECS = [Boosting(rounds=13, depth=3, step=0.2, least=4, share=0.8), Boosting(rounds=6, depth=4, step=0.3, least=9, l2=1.0)]
+
+
+@pytest.mark.parametrize("rows_a_task", [50_000, 120])
+def test_boosting_equals_a_plain_one(table, rows_a_task):
+    bins, folds = 8, 3
+    features = F.array(*[F.col(c).cast("double") for c in ("hour", "is_night", "num_aircraft")])
+    rows = table.select("event_id", features.alias("x"), F.col(TARGET).alias("y"), regression.fold(F.col("event_id"), folds).alias("fold"), F.xxhash64("event_id").alias("uid")).withColumn("all", F.lit(folds))
+    models, cuts = boosting.fit_folds(rows, SPECS, folds, bins, rows_a_task)
+    known = rows.collect()
+    x = boosting.binned(np.array([r.x for r in known]), cuts).tolist()
+    for spec, model in zip(SPECS, models, strict=True):
+        for column in ("fold", "all"):
+            got = {r.event_id: r.prediction for r in boosting.predict(rows, model, cuts, ("event_id",), column).collect()}
+            for k in range(folds) if column == "fold" else [folds]:
+                own = [i for i, r in enumerate(known) if r.fold != k]
+                start, trees = plain_boosting([x[i] for i in own], [known[i].y for i in own], [known[i].uid for i in own], spec, bins)
+                for i, r in enumerate(known):
+                    if r[column] == k:
+                        assert got[r.event_id] == pytest.approx(start + sum(value(t, x[i]) for t in trees), abs=1e-6)
+
+
+def test_boosted_candidates_are_compared(table):
+    found = regression.compare(table, {"linear": LinearRegression(featuresCol="features", labelCol=TARGET), "boosting": Boosting(30, 3, 0.2, least=5)}, n=3)
+    rows = {r.model: r for r in found.table.collect()}
+    train, _ = regression.split(table)
+    errors = {}
+    for r in regression.out_of_fold(train, Boosting(30, 3, 0.2, least=5), n=3).collect():
+        errors.setdefault(r.fold, []).append((r.prediction - r[TARGET]) ** 2)
+    assert rows["boosting"].cv_rmse == pytest.approx(sum((sum(e) / len(e)) ** 0.5 for e in errors.values()) / 3, abs=6e-4)
+    assert rows["boosting"].test_rmse < 4 and rows["boosting"].train_rmse < rows["boosting"].test_rmse
+
+
+def test_boosting_has_no_splits_where_nothing_differs(spark):
+    rows = spark.createDataFrame([(i, [1.0, 2.0], 5.0, i % 3, i, 3) for i in range(60)], "event_id long, x array<double>, y double, fold int, uid long, all int")
+    models, cuts = boosting.fit_folds(rows, [Boosting(3, 2, 0.5)], 3)
+    assert {r.prediction for r in boosting.predict(rows, models[0], cuts, ("event_id",), "fold").collect()} == {5.0}
+
+
+def test_prediction_lies_inside_its_interval(spark):
+    """A few very high levels lift the mean of each leaf above the upper quantile."""
+    rows = [(i, i % 24, int(i % 24 < 6), "CDG", i % 3, 400.0 if i % 20 == 0 else 50.0 + i % 2) for i in range(400)]
+    table = spark.createDataFrame(rows, f"event_id long, hour int, is_night int, airport string, num_aircraft long, {TARGET} double")
+    train, test = regression.split(table)
+    got = regression.predict_with_interval(train, test, trees=10, depth=2).collect()
+    assert len(got) == test.count() and all(r.lower <= r.prediction <= r.upper for r in got)
+    assert any(r.prediction == r.upper for r in got)

@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, db, name):
     assert comparable(df.collect(), df.columns) == comparable(got.fetchall(), names)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql()) - {"ml_compare"}))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_other_queries_run(spark, name):
     assert registry.queries()[name](spark, SF).count() > 0
 
