@@ -20,26 +20,30 @@ _STATE_COLS = "icao24, snapshot_ts, latitude, longitude, on_ground, last_contact
 
 @query(with_views(f"SELECT {_STATE_COLS} FROM states_raw", states=True))
 def scan_states(spark, sf_dir):
-    path = landing.write_states(views.states_raw(spark, sf_dir), scratch(spark, "states"))
-    return spark.read.parquet(path).selectExpr(*_STATE_COLS.split(", "))
+    path = scratch(spark, "states")
+    landing.write_states(views.states_raw(spark, sf_dir), path)
+    return landing.read_states(spark, path).selectExpr(*_STATE_COLS.split(", "))
 
 
 @query(with_views(f"SELECT {_STATE_COLS} FROM states_raw WHERE latitude IS NOT NULL AND NOT on_ground", states=True))
 def scan_airborne(spark, sf_dir):
-    path = landing.write_states(views.states_raw(spark, sf_dir), scratch(spark, "states"))
-    return spark.read.parquet(path).where("latitude IS NOT NULL AND on_ground = false").selectExpr(*_STATE_COLS.split(", "))
+    path = scratch(spark, "states")
+    landing.write_states(views.states_raw(spark, sf_dir), path)
+    return landing.read_states(spark, path).where("latitude IS NOT NULL AND on_ground = false").selectExpr(*_STATE_COLS.split(", "))
 
 
 @query(with_views("SELECT event_id, station, t, laeq_db FROM noise WHERE CAST(make_timestamp(t * 1000000) AS DATE) = DATE '2025-09-22'", noise_=True))
 def scan_day_pruned(spark, sf_dir):
-    path = landing.write_events(core.noise(spark, sf_dir).drop("date"), scratch(spark, "events"))
-    return spark.read.parquet(path).where(F.col("date") == F.lit("2025-09-22").cast("date")).select("event_id", "station", "t", "laeq_db")
+    path = scratch(spark, "events")
+    landing.write_events(core.noise(spark, sf_dir), path)
+    return landing.read_events(spark, path).where(F.col("date") == F.lit("2025-09-22").cast("date")).select("event_id", "station", "t", "laeq_db")
 
 
 @query(with_views("SELECT station, count(*) AS n, round(sum(laeq_db), 4) AS total FROM noise GROUP BY station", noise_=True))
 def load_noise_events(spark, sf_dir):
-    path = landing.write_events(core.noise(spark, sf_dir), scratch(spark, "events"))
-    return spark.read.parquet(path).groupBy("station").agg(F.count("*").alias("n"), F.round(F.sum("laeq_db"), 4).alias("total"))
+    path = scratch(spark, "events")
+    landing.write_events(core.noise(spark, sf_dir), path)
+    return landing.read_events(spark, path).groupBy("station").agg(F.count("*").alias("n"), F.round(F.sum("laeq_db"), 4).alias("total"))
 
 
 @query(with_views(core.NOISE_CLEAN_SQL, more=core.NOISE_TEXT_SQL))
@@ -97,7 +101,7 @@ def sink_states(spark, sf_dir):
     path, rows = scratch(spark, "states"), views.states_raw(spark, sf_dir)
     landing.write_states(rows.where("snapshot_ts % 60 = 0 AND NOT on_ground"), path)
     landing.write_states(rows, path)
-    return spark.read.parquet(path).groupBy(F.col("date").cast("string").alias("date"), "snapshot_ts").agg(F.count("*").alias("n"))
+    return landing.read_states(spark, path).groupBy(F.col("date").cast("string").alias("date"), "snapshot_ts").agg(F.count("*").alias("n"))
 
 
 @query(with_views("SELECT station, count(*) AS n FROM noise GROUP BY station", noise_=True))
@@ -105,7 +109,7 @@ def sink_events(spark, sf_dir):
     path, rows = scratch(spark, "events"), core.noise(spark, sf_dir)
     landing.write_events(rows, path)
     landing.write_events(rows.where("station = 'S1'"), path)  # other stations stay
-    return spark.read.parquet(path).groupBy("station").agg(F.count("*").alias("n"))
+    return landing.read_events(spark, path).groupBy("station").agg(F.count("*").alias("n"))
 
 
 @query("SELECT concat('S', CAST(user_id % 6 AS VARCHAR)) AS station, count(*) AS n FROM events GROUP BY ALL")

@@ -28,6 +28,8 @@ METRICS = (
     " credits_remaining long, throughput_rows_per_s double"
 )
 
+COLLECTION = "collected_at string, station string, day string, air_events long, written long, ok boolean, error string"
+
 #: Places of a state in its array.
 STATE_FIELDS = (
     "icao24 callsign origin_country time_position last_contact longitude latitude baro_altitude_m on_ground velocity_m_s true_track_deg"

@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noisetrack.functions.times import epoch_seconds, parse_iso
 from noisetrack.operators.clean import numeric
-from noisetrack.schemas import EVENT_JSON, FLIGHTS_CSV, METRICS, NOISE_CSV, SNAPSHOT_CSV, STATE_FIELDS, STATES_JSON
-from noisetrack.session import materialised
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+from noisetrack.schemas import COLLECTION, EVENT_JSON, FLIGHTS_CSV, METRICS, NOISE_CSV, NOISE_EVENTS, SNAPSHOT_CSV, STATE_FIELDS, STATES, STATES_JSON
+from noisetrack.sources import zone
+from noisetrack.sources.zone import exists
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -91,25 +87,26 @@ def load_snapshot(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- sinks
 
 
-def write_states(states: DataFrame, root: str) -> str:
-    """States by UTC day and hour.  Writing a snapshot again replaces it and leaves the others alone: the hours that new
-    snapshots touch are merged and swapped, no others are read or written."""
-    spark, second = states.sparkSession, F.timestamp_seconds("snapshot_ts")
-    rows = states.drop("date", "hour").withColumns({"date": F.to_date(second), "hour": F.hour(second)})
-    if exists(spark, root):
-        before = spark.read.parquet(root)
-        touched = rows.select("date", "hour").distinct()
-        rest = before.join(touched, ["date", "hour"], "left_semi").join(rows.select("snapshot_ts").distinct(), "snapshot_ts", "left_anti")
-        rows = materialised(rest.select(*rows.columns).unionByName(rows), "states-merge")
-    rows.repartition("date", "hour").write.partitionBy("date", "hour").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
-    return root
+STATES_ZONE = zone.Zone({"date": "to_date(timestamp_seconds(snapshot_ts))", "hour": "hour(timestamp_seconds(snapshot_ts))"}, "snapshot_ts long", STATES)
+EVENTS_ZONE = zone.Zone({"station": "station", "date": "to_date(timestamp_seconds(max_ts_unix))"}, "station string, date date", "station string, " + NOISE_EVENTS)
+
+
+def write_states(states: DataFrame, root: str) -> zone.Written:
+    """States by UTC day and hour.  Writing a snapshot again replaces it and leaves the others alone."""
+    return zone.write_batch(states, root, STATES_ZONE)
+
 
+def read_states(spark: SparkSession, root: str) -> DataFrame:
+    return zone.read(spark, root, STATES_ZONE)
 
-def write_events(events: DataFrame, root: str) -> str:
+
+def write_events(events: DataFrame, root: str) -> zone.Written:
     """Events by station and day; a (station, day) without events keeps what it had."""
-    rows = events.withColumn("date", F.to_date(F.timestamp_seconds("max_ts_unix"))).repartition("station", "date")
-    rows.write.partitionBy("station", "date").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
-    return root
+    return zone.write_batch(events, root, EVENTS_ZONE)
+
+
+def read_events(spark: SparkSession, root: str) -> DataFrame:
+    return zone.read(spark, root, EVENTS_ZONE)
 
 
 def write_raw_json(events: DataFrame, root: str) -> str:
@@ -122,9 +119,18 @@ def log_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").json(path)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+def read_metrics(spark: SparkSession, path: str, schema: str = METRICS) -> DataFrame:
     """The log so far; none is an empty table."""
-    return spark.read.schema(METRICS).json(path) if exists(spark, path) else spark.createDataFrame([], METRICS)
+    return spark.read.schema(schema).json(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def log_collection(report: DataFrame, path: str, at: Column) -> None:
+    """A collection report (a row a station and day) as JSON lines, each with the time of the collection."""
+    report.select(at.alias("collected_at"), "station", F.col("collect_day").alias("day"), "air_events", "written", "ok", "error").write.mode("append").json(path)
+
+
+def read_collection(spark: SparkSession, path: str) -> DataFrame:
+    return read_metrics(spark, path, COLLECTION)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -133,16 +139,47 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def write_report(df: DataFrame, path: str) -> str:
-    """A small result as JSON."""
-    df.coalesce(1).write.json(path)
+    """A small result as JSON, replacing an earlier one."""
+    df.coalesce(1).write.mode("overwrite").json(path)
     return path
 
 
-def save_tables(tables: dict[str, DataFrame], database: str | None = None) -> Iterable[str]:
-    """Curated tables, replaced as a whole; running it again gives the same."""
+def one_report(parts: dict[str, DataFrame]) -> DataFrame:
+    """One nested row: for each part an array of its rows, in the order of their columns."""
+    out = None
+    for name, df in parts.items():
+        rows = F.sort_array(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])))  # reports have few rows
+        one = df.agg(rows.alias(name)).withColumn("_k", F.lit(1))
+        out = one if out is None else out.join(one, "_k")
+    return out.drop("_k")
+
+
+def save_tables(tables: dict[str, DataFrame], database: str) -> list[str]:
+    """Curated tables of a database, replaced as a whole; running it again gives the same.  Returns their full names."""
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:d)", args={"d": database})
+    names = []
     for name, df in tables.items():
-        df.write.mode("overwrite").saveAsTable(f"{database}.{name}" if database else name)
-        yield name
+        df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        names.append(f"{database}.{name}")
+    return names
+
+
+def list_tables(spark: SparkSession, database: str) -> DataFrame:
+    """name of each table; a database that isn't there has none."""
+    names = [t.name for t in spark.catalog.listTables(database)] if spark.catalog.databaseExists(database) else []
+    return spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+
+
+def load_table(spark: SparkSession, name: str, schema: str) -> DataFrame:
+    """A table by name, or an empty one of the schema."""
+    return spark.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], schema)
+
+
+def query(spark: SparkSession, sql: str, **values) -> DataFrame:
+    """SQL with named parameters (:name), which are values and never text of the statement; names of tables go through
+    IDENTIFIER(:name)."""
+    return spark.sql(sql, args=values)
 
 
 def table_counts(spark: SparkSession, names: Iterable[str]) -> DataFrame:

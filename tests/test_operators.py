@@ -154,4 +154,4 @@ def test_rewriting_a_snapshot_changes_nothing(spark, tmp_path):
     df = states(spark, state("a", 1000, 48.0, 2.0), state("b", 1030, 48.0, 2.0), state("c", 9000, 48.0, 2.0))
     for part in (df, df, df.where("snapshot_ts = 1000")):
         landing.write_states(part, str(tmp_path / "states"))
-    assert sorted(r.icao24 for r in spark.read.parquet(str(tmp_path / "states")).collect()) == ["a", "b", "c"]
+    assert sorted(r.icao24 for r in landing.read_states(spark, str(tmp_path / "states")).collect()) == ["a", "b", "c"]
