@@ -2,11 +2,12 @@
 
 A word is described by how often letters of each of ``GROUPS`` occur in it.  One edit changes that vector by one letter too
 many, one too few, or one of each, so a depth-first search through a trie of the vectors may spend one surplus and one
-deficit on its way; the words in the leaves that it reaches are verified.  The upper levels of the trie are the shuffle
+deficit on its way; the words in the leaves that it reaches are verified.  A pair is looked for from one side: from the word
+whose first difference is a surplus of the other, and of words with equal vectors from the lesser one.  The upper levels of the trie are the shuffle
 key: each word is built into the node of its own first counts and asked in every node that the budget reaches.  So many
 levels are taken that no node holds more than ``NODE_WORDS`` words (words that agree in all counts stay together), and a
-task holds one node's trie while the words to ask stream by.  What a word finds is added up in the task; pairs of words are
-never written.
+task holds one node's trie while the words to ask stream by.  What is found is added up for both words in the task; pairs of
+words are never written.
 
 Edge cases: null and empty texts have no words; a null doc_id is the empty text in the damage rule; repeated rows count
 each; of near words with equal counts the first in code-point order is the form; a word without a form is its own root; an
@@ -39,37 +40,44 @@ _LOWER = str.maketrans(UPPER, UPPER.lower())
 _GROUP_OF = {c: k for k, group in enumerate(GROUPS) for c in group}
 
 
-def runs(doc_id, text: str) -> Counter:
-    """Words of a text as they count: lower-cased, and of every 199th run (by its checksum) one letter deleted."""
-    out: Counter = Counter()
+def count_runs(doc_id, text: str, held: dict[str, int], known: dict[str, tuple[str, bytes]]) -> None:
+    """Adds the words of a text as they count: lower-cased, and of every 199th run (by its checksum) one letter deleted.
+    known: lower-cased runs that were seen."""
     start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
     for run, n in Counter(_RUN.findall(text)).items():
-        word = run.translate(_LOWER)
-        h = zlib.crc32(word.encode(), start)
+        try:
+            word, raw = known[run]
+        except KeyError:
+            word = run.translate(_LOWER)
+            raw = word.encode()
+            known[run] = word, raw
+        h = zlib.crc32(raw, start)
         if h % DAMAGE == 0:
             at = h % len(word)
             word = word[:at] + word[at + 1 :]
             if len(word) < LEAST_CHARS:
                 continue
-        out[word] += n
-    return out
+        held[word] = held.get(word, 0) + n
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
     """word, n: words of at least six letters with at least five uses."""
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: dict[str, int] = {}
+        known: dict[str, tuple[str, bytes]] = {}
         for batch in it:
             for doc_id, text in zip(column_list(batch, "doc_id"), column_list(batch, "text"), strict=True):
                 if text:
-                    held.update(runs(doc_id, text))
+                    count_runs(doc_id, text, held, known)
                 if len(held) >= WORDS_AT_ONCE:
                     yield table(held)
-                    held = Counter()
+                    held = {}
+                if len(known) >= WORDS_AT_ONCE:
+                    known.clear()
         yield table(held)
 
-    def table(held: Counter) -> pa.RecordBatch:
+    def table(held: dict[str, int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
     counted = docs.select("doc_id", "text").mapInArrow(count, "word string, n long")
@@ -89,36 +97,35 @@ def vector(word: str) -> list[int]:
     return out
 
 
-def reachable(counts: list[int]) -> Iterator[tuple[list[int], int, int]]:
-    """Prefixes that one edit can turn these counts into, with the surplus and the deficit left below them."""
-    yield counts, 1, 1
+def reachable(counts: list[int]) -> Iterator[tuple[list[int], int]]:
+    """Prefixes that a surplus and then a deficit can turn these counts into, with what is spent: 0 nothing, 1 the surplus, 2
+    both."""
+    yield counts, 0
     for i in range(len(counts)):
         more = [*counts]
         more[i] += 1
-        yield more, 0, 1
-        if counts[i]:
-            fewer = [*counts]
-            fewer[i] -= 1
-            yield fewer, 1, 0
-            for j in range(len(counts)):
-                if j != i:
-                    both = [*fewer]
-                    both[j] += 1
-                    yield both, 0, 0
+        yield more, 1
+        for j in range(i + 1, len(counts)):
+            if counts[j]:
+                both = [*more]
+                both[j] -= 1
+                yield both, 2
 
 
 def one_edit(a: str, b: str) -> bool:
-    """Whether the words differ by exactly one inserted, deleted or replaced code point."""
+    """Whether the words differ by exactly one inserted, deleted or replaced code point.  One edit leaves either the first or
+    the last half of the shorter word as it is."""
     if len(a) > len(b):
         a, b = b, a
-    if len(b) - len(a) > 1 or a == b:
+    longer, half = len(b) - len(a), len(a) >> 1
+    if longer > 1 or a[:half] != b[:half] and a[half:] != b[half + longer :] or a == b:
         return False
     same = 0
     for x, y in zip(a, b, strict=False):
         if x != y:
             break
         same += 1
-    return a[same + (len(a) == len(b)) :] == b[same + 1 :]
+    return a[same + 1 - longer :] == b[same + 1 :]
 
 
 def build(words: list[tuple[str, int, list[int]]], level: int):
@@ -131,27 +138,31 @@ def build(words: list[tuple[str, int, list[int]]], level: int):
     return {count: build(part, level + 1) for count, part in parts.items()}
 
 
-def search(trie, level: int, word: str, counts: list[int], surplus: int, deficit: int) -> tuple[int, int, str]:
-    """Number of near words, and the uses and letters of the most used of them."""
-    found, best_n, best = 0, 0, ""
-    todo = [(trie, level, surplus, deficit)]
+def search(trie, level: int, word: str, counts: list[int], spent: int) -> Iterator[tuple[str, int]]:
+    """Near words in the trie with their uses, as the budget allows."""
+    todo = [(trie, level, spent)]
     while todo:
-        node, at, more, fewer = todo.pop()
+        node, at, spent = todo.pop()
         if isinstance(node, list):
-            for other, n, _ in node:
-                if abs(len(other) - len(word)) <= 1 and one_edit(word, other):
-                    found += 1
-                    if n > best_n or n == best_n and other < best:
-                        best_n, best = n, other
+            for other, n, vector_ in node:
+                if one_edit(word, other) and (at == LEVELS or asks_below(counts, vector_, at, spent)) and (spent or vector_ != counts or word < other):
+                    yield other, n
             continue
         own = counts[at]
         if own in node:
-            todo.append((node[own], at + 1, more, fewer))
-        if more and own + 1 in node:
-            todo.append((node[own + 1], at + 1, 0, fewer))
-        if fewer and own - 1 in node:
-            todo.append((node[own - 1], at + 1, more, 0))
-    return found, best_n, best
+            todo.append((node[own], at + 1, spent))
+        if spent == 0 and own + 1 in node:
+            todo.append((node[own + 1], at + 1, 1))
+        elif spent == 1 and own - 1 in node:
+            todo.append((node[own - 1], at + 1, 2))
+
+
+def asks_below(counts: list[int], other: list[int], at: int, spent: int) -> bool:
+    """Whether the rest of the levels keeps the order of a surplus before a deficit; for leaves that end early."""
+    for a, b in zip(counts[at:], other[at:], strict=True):
+        if a != b:
+            return b > a if spent == 0 else spent == 1
+    return True
 
 
 def near_words(words: DataFrame, node_words: int = NODE_WORDS) -> DataFrame:
@@ -167,38 +178,56 @@ def near_words(words: DataFrame, node_words: int = NODE_WORDS) -> DataFrame:
             out: list[list] = [[] for _ in names]
             for word, n in zip(column_list(batch, "word"), column_list(batch, "n"), strict=True):
                 counts = vector(word)[:depth]
-                rows = [(counts, -1, -1), *reachable(counts)]  # first as a word to find, then as one to ask
-                for column, x in zip(out, zip(*[(".".join(map(str, k)), int(s >= 0), s, d, word, n) for k, s, d in rows], strict=True), strict=True):
-                    column.extend(x)
+                # First as a word to find, then as one to ask.
+                for prefix, spent in ((counts, -1), *reachable(counts)):
+                    for column, x in zip(out, (".".join(map(str, prefix)), spent, word, n), strict=True):
+                        column.append(x)
                 if len(out[0]) > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
                     out = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
-    names = ["node", "asks", "surplus", "deficit", "word", "n"]
-    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
+    names, kinds = ["node", "spent", "word", "n"], [pa.string(), pa.int32(), pa.string(), pa.int64()]
 
     def ask(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, trie = None, [], None
+        found: dict[str, list] = {}  # of the node's words: number, uses and letters of the best
+
+        def table() -> pa.RecordBatch:
+            columns = zip(*((w, *x) for w, x in found.items()), strict=True) if found else [[]] * 4
+            out = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["word", "n_near", "best_n", "best"])
+            found.clear()
+            return out
+
+        def add(word: str, other: str, n: int) -> None:
+            x = found.get(word)
+            if x is None:
+                found[word] = [1, n, other]
+                return
+            x[0] += 1
+            if n > x[1] or n == x[1] and other < x[2]:
+                x[1:] = n, other
+
         for batch in it:
-            out: list[tuple] = []
-            for node, asks, surplus, deficit, word, n in zip(*[column_list(batch, c) for c in names], strict=True):
+            for node, spent, word, n in zip(*[column_list(batch, c) for c in names], strict=True):
                 if node != at:
                     at, held, trie = node, [], None
-                counts = vector(word)
-                if not asks:
-                    held.append((word, n, counts))
+                if spent < 0:
+                    held.append((word, n, vector(word)))
                     continue
                 if trie is None:
-                    trie, held = build(held, depth), []
-                found = search(trie, depth, word, counts, surplus, deficit)
-                if found[0]:
-                    out.append((word, *found))
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["word", "n_near", "best_n", "best"])
-
-    routed = words.select("word", "n").mapInArrow(route, "node string, asks int, surplus int, deficit int, word string, n long")
-    asked = routed.repartition("node").sortWithinPartitions("node", "asks").mapInArrow(ask, "word string, n_near long, best_n long, best string")
+                    if not held:
+                        continue
+                    trie = build(held, depth)
+                for other, m in search(trie, depth, word, vector(word), spent):
+                    add(word, other, m)
+                    add(other, word, n)
+                if len(found) > WORDS_AT_ONCE:
+                    yield table()
+        yield table()
+
+    routed = words.select("word", "n").mapInArrow(route, "node string, spent int, word string, n long")
+    asked = routed.repartition("node").sortWithinPartitions("node", "spent").mapInArrow(ask, "word string, n_near long, best_n long, best string")
     first = F.min(F.struct((-F.col("best_n")).alias("less"), F.col("best").alias("word"))).alias("x")
     return asked.groupBy("word").agg(F.sum("n_near").alias("n_near"), first).select("word", "n_near", F.struct((-F.col("x.less")).alias("n"), "x.word").alias("best"))
 
