@@ -60,9 +60,26 @@ def quantiles(df: DataFrame, column: str, by: list[str], at: dict[str, float], i
     return found.groupBy(*by).agg(*[one(q).alias(name) for name, q in at.items()])
 
 
+def quantile_sketch(column: str, k: int = 800) -> Column:
+    """Aggregate: a mergeable (KLL) sketch of a numeric column's distribution, some kilobytes however many rows there are."""
+    return F.kll_sketch_agg_double(F.col(column).cast("double"), k)
+
+
+#: Ranks told by a sketch with k = 800 are off by no more than this share of the rows (at 99 % confidence 0.33 %, doubled).
+SKETCH_RANK_ERROR = 0.0066
+
+
+def merged_quantiles(sketches: DataFrame, column: str, by: list[str], at: dict[str, float]) -> DataFrame:
+    """Quantiles of groups from sketches of their parts: n and name -> 0..1, each a value of the column whose rank is off by
+    ``SKETCH_RANK_ERROR`` of the rows at most."""
+    one = sketches.groupBy(*by).agg(F.kll_merge_agg_double(column).alias("_s"))
+    return one.select(*by, F.kll_sketch_get_n_double("_s").alias("n"), *[F.kll_sketch_get_quantile_double("_s", F.lit(q)).alias(name) for name, q in at.items()])
+
+
 def spearman(df: DataFrame, x: str, y: str, by: list[str], least: int = 3) -> DataFrame:
     """n and rho of each group (``by`` may be a constant column) with at least ``least`` pairs."""
-    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(x).alias("_x"), F.col(y).alias("_y"))
+    # Read four times below: computed once.
+    pairs = materialised(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(x).alias("_x"), F.col(y).alias("_y")), "ranked")
     ranked = average_rank(average_rank(pairs, "_x", by, "_rx"), "_y", by, "_ry")
     return ranked.groupBy(*by).agg(F.count("*").alias("n"), pearson("_rx", "_ry").alias("rho")).where(F.col("n") >= least)
 

@@ -8,12 +8,15 @@ bins is the join key; the exact condition stays as a filter.  A pair meets in on
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noisetrack.functions import geo
 from noisetrack.schemas import AIRCRAFT_FEATURES
+from noisetrack.session import materialised
 
 KM_PER_DEGREE = 111.0  # a little less than it is, so that cells are a little too large
 
@@ -60,6 +63,29 @@ class Grid:
         """Explodable array of the columns around a longitude."""
         return F.array_distinct(F.transform(F.sequence(F.lit(-1).cast("long"), F.lit(1).cast("long")), lambda d: F.pmod(self.x(lon, columns) + d, columns)))
 
+    def cell(self, lat: Column, lon: Column) -> Column:
+        y = self.y(lat)
+        return F.struct(y.alias("y"), self.x(lon, self.columns(y)).alias("x"))
+
+    def cells_around(self, lat: Column, lon: Column) -> Column:
+        """Explodable array of the cells that hold all places within the radius."""
+        beside = F.sequence(self.y(lat) - 1, self.y(lat) + 1)
+        return F.flatten(F.transform(beside, lambda y: F.transform(self.around(lon, self.columns(y)), lambda x: F.struct(y.alias("y"), x.alias("x")))))
+
+    def cells_of_box(self, south: Column, north: Column, west: Column, east: Column) -> Column:
+        """Explodable array of the cells that a box touches; its sides may lie beyond 180 degrees."""
+
+        def row(y: Column) -> Column:
+            n = self.columns(y)
+            step = lambda lon: F.floor((lon + 180) / 360 * n).cast("long")
+            return F.array_distinct(F.transform(F.sequence(step(west), step(east)), lambda x: F.struct(y.alias("y"), F.pmod(x, n).alias("x"))))
+
+        return F.flatten(F.transform(F.sequence(self.y(south), self.y(north)), row))
+
+    def many(self, south: Column, north: Column, west: Column, east: Column) -> Column:
+        """About as many cells as a box touches, rather more."""
+        return ((north - south) / self.lat_step + 2) * ((east - west) / 360 * self.columns(F.lit(0).cast("long")) + 2)
+
 
 def spatio_temporal_join(
     noise: DataFrame,
@@ -102,26 +128,81 @@ def spatio_temporal_join(
 STATE_COLUMNS = ("latitude", "longitude", "baro_altitude_m", "velocity_m_s", "heading_deg", "vertical_rate_m_s", "callsign", "snapshot_ts")
 
 
-def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "max_ts_unix", keep: tuple[str, ...] = ()) -> DataFrame:
+def tracked(states: DataFrame) -> DataFrame:
+    """icao24, snapshot_ts, the state ``s``, its aircraft's next one ``z`` and the time of the one before.  States are unique by
+    aircraft and snapshot."""
+    track = Window.partitionBy("icao24").orderBy("snapshot_ts")
+    state = F.struct(*STATE_COLUMNS)
+    return states.select("icao24", "snapshot_ts", state.alias("s"), F.lead(state).over(track).alias("z"), F.lag("snapshot_ts").over(track).alias("prev_ts"))
+
+
+@dataclass(frozen=True)
+class Near:
+    """Only aircraft that are within ``km`` of the event at its time are wanted.  seconds: how long a state is carried on at its
+    speed at most."""
+
+    km: float
+    seconds: float
+
+
+MANY_CELLS, STEEP_DEGREES = 64, 80.0
+
+
+def within_reach(track: DataFrame, tol: float, near: Near) -> DataFrame:
+    """``tracked`` states, once in each cell (column ``_cell``) that the aircraft can be in where this state tells its place: in
+    the box around the state and the next one, or as far from either as its speed carries it.  A box that is too large, or
+    near a pole or the antimeridian, has a null cell: such states meet all events of their time."""
+    s, z = F.col("s"), F.when(F.col("z.snapshot_ts") - F.col("snapshot_ts") <= 2 * tol, F.col("z"))
+    low = lambda c: F.least(s[c], z[c])  # noqa: E731  a null counts for nothing
+    high = lambda c: F.greatest(s[c], z[c])
+    carried = F.greatest(F.coalesce(s["velocity_m_s"], F.lit(0.0)), F.coalesce(z["velocity_m_s"], F.lit(0.0))) * near.seconds / 1000
+    up = carried / KM_PER_DEGREE + 1e-6
+    top = F.greatest(F.abs(low("latitude")), F.abs(high("latitude"))) + up
+    aside = up / F.cos(F.radians(F.least(top, F.lit(STEEP_DEGREES))))
+    box = F.struct((low("latitude") - up).alias("south"), (high("latitude") + up).alias("north"), (low("longitude") - aside).alias("west"), (high("longitude") + aside).alias("east"))
+    grid, b = Grid(near.km), [F.col(f"_b.{c}") for c in ("south", "north", "west", "east")]
+    small = (F.col("_top") < STEEP_DEGREES) & (grid.many(*b) <= MANY_CELLS) & (b[2] >= -360) & (b[3] <= 360)
+    placed = track.select("*", top.alias("_top"), F.inline(F.array(F.struct(box.alias("_b")))))
+    nowhere = F.array(F.lit(None).cast("struct<y:bigint,x:bigint>"))
+    return placed.select(*track.columns, F.explode(F.when(F.coalesce(small, F.lit(False)), grid.cells_of_box(*b)).otherwise(nowhere)).alias("_cell"))
+
+
+def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "max_ts_unix", keep: tuple[str, ...] = (), near: Near | None = None, track: DataFrame | None = None) -> DataFrame:
     """Per event and aircraft with a snapshot within ``tol`` seconds one row: the event's time ``_t`` and its ``keep``
     columns, a state ``s``, and ``z``, the state after it, where the two enclose the time.
 
     ``s`` is the last state at or before the time, or the first one after it if there is none before; ``later`` tells which.
     ``f`` is the time's place between the two states, 0 at the first, and ``z_near`` whether the second is the nearer one.
     Each state knows its aircraft's next and previous one, so of the states near an event exactly one tells the whole
-    answer, and a filter on the join takes the place of an aggregation.  States are unique by aircraft and snapshot.
-    Events bring along what is needed later, so that pairs are not joined with them again.
-    """
-    track = Window.partitionBy("icao24").orderBy("snapshot_ts")
-    state = F.struct(*STATE_COLUMNS)
-    tracked = states.select("icao24", "snapshot_ts", state.alias("s"), F.lead(state).over(track).alias("z"), F.lag("snapshot_ts").over(track).alias("prev_ts"))
-    near = interval_join(events.select("event_id", F.col(time).cast("double").alias("_t"), *keep), tracked, "_t", "snapshot_ts", tol)
+    answer, and a filter on the join takes the place of an aggregation.  Events bring along what is needed later, so that
+    pairs are not joined with them again.
+
+    near: pairs that can't be that near are left out; some that aren't stay, and a pair may be there in several cells
+    (``_cell``), of which ``in_own_cell`` takes the one where the aircraft is.  events then have st_lat and st_lon.  track: the
+    ``tracked`` states, where they are there already."""
+    track = tracked(states) if track is None else track
+    times = events.select("event_id", F.col(time).cast("double").alias("_t"), *keep)
+    if near is None:
+        pairs = interval_join(times, track, "_t", "snapshot_ts", tol).withColumn("_cell", F.lit(None).cast("struct<y:bigint,x:bigint>"))
+    else:
+        reach = within_reach(track, tol, near)
+        around = times.withColumn("_cell", F.explode(Grid(near.km).cells_around(F.col("st_lat"), F.col("st_lon"))))
+        apart = lambda df: df.withColumns({"_y": F.col("_cell.y"), "_x": F.col("_cell.x")})
+        there = interval_join(apart(around), apart(reach.where("_cell IS NOT NULL")).drop("_cell"), "_t", "snapshot_ts", tol, ("_y", "_x")).drop("_y", "_x")
+        wide = interval_join(times, reach.where("_cell IS NULL"), "_t", "snapshot_ts", tol)
+        pairs = there.unionByName(wide)
     t, ts, after = F.col("_t"), F.col("snapshot_ts"), F.col("z.snapshot_ts")
     last_before = (ts <= t) & (after.isNull() | (after > t))
     only_after = (ts > t) & (F.col("prev_ts").isNull() | (F.col("prev_ts") < t - tol))
     encloses = (ts < t) & (after <= t + tol)
-    found = near.where(last_before | only_after)
-    return found.select("event_id", "icao24", "_t", *keep, "s", F.when(encloses, F.col("z")).alias("z"), (ts > t).alias("later"), F.when(encloses, F.try_divide(t - ts, after - ts)).alias("f"), F.coalesce(encloses & (t - ts > after - t), F.lit(False)).alias("z_near"))
+    found = pairs.where(last_before | only_after)
+    return found.select("event_id", "icao24", "_t", *keep, "s", F.when(encloses, F.col("z")).alias("z"), (ts > t).alias("later"), F.when(encloses, F.try_divide(t - ts, after - ts)).alias("f"), F.coalesce(encloses & (t - ts > after - t), F.lit(False)).alias("z_near"), "_cell")
+
+
+def in_own_cell(near: Near, lat: str = "lat", lon: str = "lon") -> Column:
+    """Of a pair's rows in several cells, the one in the cell where the aircraft is at the event's time."""
+    cell = Grid(near.km).cell(F.col(lat), F.col(lon))
+    return F.col("_cell").isNull() | ((F.col("_cell.y") == cell["y"]) & (F.col("_cell.x") == cell["x"]))
 
 
 def nearest(field: str) -> Column:
@@ -156,23 +237,57 @@ def estimate_position(found: DataFrame) -> DataFrame:
     )
 
 
-def build_pairs(events: DataFrame, states: DataFrame, tol: float = 45.0) -> DataFrame:
+def candidate_counts(events: DataFrame, states: DataFrame, tol: float, time: str = "max_ts_unix") -> DataFrame:
+    """event_id and n, the number of aircraft with a snapshot within ``tol`` seconds, of events that have any.
+
+    An aircraft counts by its first snapshot in the window: one whose previous snapshot lies before the window.  So snapshots
+    are counted by their time and that of the aircraft's previous one (nothing beyond the width of a window), and an event
+    meets these counts, whose number does not grow with the traffic."""
+    before = F.lag("snapshot_ts").over(Window.partitionBy("icao24").orderBy("snapshot_ts"))
+    rows = states.select("snapshot_ts", before.alias("prev_ts"))
+    recent = F.when(F.col("snapshot_ts") - F.col("prev_ts") <= 2 * tol, F.col("prev_ts"))
+    counts = rows.groupBy("snapshot_ts", recent.alias("prev_ts")).agg(F.count("*").alias("n"))
+    met = interval_join(events.select("event_id", F.col(time).cast("double").alias("_t")), counts, "_t", "snapshot_ts", tol)
+    return met.where(F.col("prev_ts").isNull() | (F.col("prev_ts") < F.col("_t") - tol)).groupBy("event_id").agg(F.sum("n").alias("n"))
+
+
+RINGS_KM = (10.0, 80.0, 640.0)
+
+
+def build_pairs(events: DataFrame, states: DataFrame, tol: float = 45.0, rings: tuple[float, ...] = RINGS_KM) -> DataFrame:
     """Each event with the aircraft that is nearest in space at its time (the lowest icao24 on a tie), or nulls.
 
     events: event_id, station, st_lat, st_lon, max_laeq, max_ts_unix.  ``n_candidates`` counts unplaceable aircraft too.
-    """
-    placed = estimate_position(candidates(events, states, tol, keep=("st_lat", "st_lon")))
-    horizontal = geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon"))
-    placed = placed.withColumn("horiz", horizontal).withColumn("slant", geo.slant_km(F.col("horiz"), F.col("alt")))
-    # Structs compare field by field: the least of those that have a slant is the nearest, then the lowest id.
-    near = F.when(F.col("z_near"), F.col("z")).otherwise(F.col("s"))
-    row = F.struct("slant", "icao24", "horiz", "alt", "lat", "lon", "_t", near.alias("n"))
-    best = placed.groupBy("event_id").agg(F.min(F.when(F.col("slant").isNotNull(), row)).alias("x"), F.count("*").alias("n"))
-    best = best.select("event_id", F.col("n").alias("count"), "x", "x.n.callsign", F.col("x.n.velocity_m_s").alias("vel"), F.col("x.n.heading_deg").alias("hdg"), (F.col("x.n.snapshot_ts") - F.col("x._t")).alias("dt"))
-    return events.join(best, "event_id", "left").select(
+
+    The search goes from ring to ring on ever wider grids: aircraft within the ring's radius meet the event in a grid cell, and
+    an event whose nearest one is no farther (in space) than that radius is done, as all others are farther.  Only events
+    without such an aircraft go on, at last to all aircraft of their time."""
+    keep = ("st_lat", "st_lon")
+    track = materialised(tracked(states), "tracks")
+    counts = materialised(candidate_counts(events, track, tol), "candidate-counts")
+    left, done = events.join(counts, "event_id").select("event_id", "max_ts_unix", *keep), []
+    for ring in (*rings, None):
+        near = None if ring is None else Near(ring, tol)
+        placed = estimate_position(candidates(left, states, tol, keep=keep, near=near, track=track))
+        placed = placed.where(in_own_cell(near)) if near else placed
+        horizontal = geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon"))
+        placed = placed.withColumn("horiz", horizontal).withColumn("slant", geo.slant_km(F.col("horiz"), F.col("alt"))).where("slant IS NOT NULL")
+        placed = placed if ring is None else placed.where(F.col("slant") <= ring)
+        # Structs compare field by field: the least is the nearest, then the lowest id.
+        other = F.when(F.col("z_near"), F.col("z")).otherwise(F.col("s"))
+        row = F.struct("slant", "icao24", "horiz", "alt", "lat", "lon", "_t", other.alias("n"))
+        best = materialised(placed.groupBy("event_id").agg(F.min(row).alias("x")), "ring")
+        done.append(best)
+        if ring is not None:
+            left = materialised(left.join(best, "event_id", "left_anti"), "ring-left")
+            if left.isEmpty():
+                break
+    best = reduce(DataFrame.unionByName, done)
+    best = best.select("event_id", "x", "x.n.callsign", F.col("x.n.velocity_m_s").alias("vel"), F.col("x.n.heading_deg").alias("hdg"), (F.col("x.n.snapshot_ts") - F.col("x._t")).alias("dt"))
+    return events.join(counts, "event_id", "left").join(best, "event_id", "left").select(
         "event_id", "station", "max_laeq", "max_ts_unix", "x.icao24", "callsign", F.round("x.slant", 3).alias("slant_km"), F.round("x.horiz", 3).alias("horiz_km"),
         F.round("x.alt", 1).alias("altitude_m"), F.col("vel").alias("velocity_m_s"), F.col("hdg").alias("heading_deg"), F.round("x.lat", 5).alias("aircraft_lat"),
-        F.round("x.lon", 5).alias("aircraft_lon"), F.coalesce("count", F.lit(0)).alias("n_candidates"), F.round("dt", 1).alias("dt_nearest_s"),
+        F.round("x.lon", 5).alias("aircraft_lon"), F.coalesce("n", F.lit(0)).alias("n_candidates"), F.round("dt", 1).alias("dt_nearest_s"),
     )
 
 
@@ -186,10 +301,10 @@ def asof_nearest(events: DataFrame, states: DataFrame, tol: float, time: str = "
 
 
 def events_in_window(events: DataFrame, states: DataFrame, time: str = "max_ts_unix") -> DataFrame:
-    """Events between the first and the last snapshot, inclusive.  The bounds are one row, and reach the scan of events as
-    literals."""
-    low, high = states.agg(F.min("snapshot_ts"), F.max("snapshot_ts")).first()
-    return events.where(F.lit(False)) if low is None else events.where(F.col(time).between(low, high))
+    """Events between the first and the last snapshot, inclusive.  The bounds are scalar subqueries, which reach the scan of
+    events as values when the query runs; without states no event is inside."""
+    low, high = (states.agg(f("snapshot_ts").cast("double")).scalar() for f in (F.min, F.max))
+    return events.where((F.col(time) >= low) & (F.col(time) <= high))
 
 
 def peak_samples(events: DataFrame, samples: DataFrame, tol: float, time: str = "max_ts_unix") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -301,8 +302,7 @@ def associate_nearest(spark, sf_dir):
 
 @query(on_pairs("SELECT event_id, count(DISTINCT icao24) AS n_candidates FROM placed GROUP BY event_id"))
 def n_candidates(spark, sf_dir):
-    near = joins.interval_join(noise(spark, sf_dir).select("event_id", "t"), states(spark, sf_dir).select("icao24", "snapshot_ts"), "t", "snapshot_ts", 45)
-    return near.groupBy("event_id").agg(F.countDistinct("icao24").alias("n_candidates"))
+    return joins.candidate_counts(noise(spark, sf_dir), states(spark, sf_dir), 45.0).select("event_id", F.col("n").alias("n_candidates"))
 
 
 @query(with_views("SELECT n.event_id, CAST(g.s AS DOUBLE) AS snapshot_ts, g.d AS gap_s FROM noise n LEFT JOIN (SELECT event_id, arg_min(snapshot_ts, abs(snapshot_ts - max_ts_unix) * 1e11 + snapshot_ts) AS s, min(abs(snapshot_ts - max_ts_unix)) AS d FROM noise n JOIN (SELECT DISTINCT snapshot_ts FROM states) ON abs(snapshot_ts - max_ts_unix) <= 10 GROUP BY event_id) g ON g.event_id = n.event_id", states=True, noise_=True))
@@ -314,8 +314,8 @@ def asof_nearest(spark, sf_dir):
 def events_in_window(spark, sf_dir):
     # A part of the states, so that the window leaves events out.
     rows = states(spark, sf_dir)
-    low = rows.agg(F.min("snapshot_ts")).first()[0]
-    bound = rows.select((F.greatest(F.col("snapshot_ts"), F.lit((low or 0) + 36000))).alias("snapshot_ts"))
+    low = rows.agg(F.min("snapshot_ts") + 36000).scalar()
+    bound = rows.select(F.greatest(F.col("snapshot_ts"), low).alias("snapshot_ts"))
     return joins.events_in_window(noise(spark, sf_dir), bound).select("event_id", "max_ts_unix")
 
 
@@ -448,6 +448,34 @@ def topk_closest(spark, sf_dir):
 
 # ---------------------------------------------------------------- statistics
 
+_Q = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
+@query(with_views("SELECT station, count(*) AS n, true AS p25, true AS p50, true AS p75 FROM noise GROUP BY station", noise_=True))
+def sketched_quantiles(spark, sf_dir):
+    """Quantiles of the levels from a sketch for each station and day, merged over the days, and whether their ranks hold the
+    stated error: the share of rows below, and of those not above, enclose the wanted one."""
+    rows = noise(spark, sf_dir).select("station", F.to_date("ts").alias("day"), "laeq_db")
+    parts = rows.groupBy("station", "day").agg(stats.quantile_sketch("laeq_db").alias("sketch"))
+    found = stats.merged_quantiles(parts, "sketch", ["station"], _Q)
+    rank = lambda hit: F.count_if(hit) / F.count("*")
+    ranked = rows.join(found, "station").groupBy("station", "n").agg(*[((rank(F.col("laeq_db") < F.col(c)) - stats.SKETCH_RANK_ERROR <= q) & (rank(F.col("laeq_db") <= F.col(c)) + stats.SKETCH_RANK_ERROR >= q)).alias(c) for c, q in _Q.items()])
+    return ranked.select("station", "n", *_Q)
+
+
+_DISTINCT_BY = ["origin_country", "hour"]
+
+
+@query(with_views("SELECT origin_country, hour, CAST(grouping(origin_country, hour) AS BIGINT) AS level, count(DISTINCT icao24) AS n_exact, true AS near FROM (SELECT *, CAST(hour(make_timestamp(snapshot_ts * 1000000)) AS INT) AS hour FROM states) GROUP BY CUBE(origin_country, hour)", states=True))
+def sketched_distinct(spark, sf_dir):
+    """Aircraft by country and hour with all totals, rolled up from sketches, beside the exact counts."""
+    rows = states(spark, sf_dir).select("icao24", "origin_country", F.hour(F.timestamp_seconds("snapshot_ts")).alias("hour"))
+    found = cube.distinct_cube(cube.distinct_parts(rows, _DISTINCT_BY, "icao24"), _DISTINCT_BY)
+    exact = rows.cube(*_DISTINCT_BY).agg(F.grouping_id().cast("long").alias("level"), F.countDistinct("icao24").alias("n_exact"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*_DISTINCT_BY, "level")]
+    both = exact.alias("a").join(found.alias("b"), reduce(lambda p, q: p & q, same))
+    return both.select(*[f"a.{c}" for c in (*_DISTINCT_BY, "level")], "n_exact", (F.abs(F.col("n") - F.col("n_exact")) <= F.greatest(F.lit(1.0), cube.DISTINCT_ERROR * F.col("n_exact"))).alias("near"))
+
 
 @query(on_pairs("SELECT round(corr(slant_km, max_laeq), 6) AS slant, round(corr(horiz_km, max_laeq), 6) AS horiz, round(corr(altitude_m, max_laeq), 6) AS altitude FROM pairs WHERE slant_km IS NOT NULL"))
 def corr_pearson(spark, sf_dir):
@@ -471,9 +499,6 @@ def corr_pvalue(spark, sf_dir):
     return out.withColumn("p", stats.correlation_pvalue(F.col("rho"), F.col("n").cast("double")))
 
 
-_Q = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-
-
 @query(on_pairs("SELECT station, count(*) AS n, " + ", ".join(f"round(quantile_cont(slant_km, {q}), 6) AS {n}" for n, q in _Q.items()) + ", min(max_laeq) AS min_db, round(median(max_laeq), 6) AS median_db, max(max_laeq) AS max_db FROM pairs WHERE slant_km IS NOT NULL GROUP BY station"))
 def slant_quantiles(spark, sf_dir):
     rows = materialised(pairs(spark, sf_dir).where("slant_km IS NOT NULL").select("station", "slant_km", "max_laeq"), "pairs")
