@@ -7,21 +7,28 @@ from pyspark.sql import functions as F
 
 from noisetrack.functions import geo
 from noisetrack.functions.stats import pearson, spearman
-from noisetrack.operators.joins import STATE_COLUMNS, Near, asof_nearest, between, candidates, events_in_window, in_own_cell, interval_join, nearest, peak_samples
+from noisetrack.operators.joins import STATE_COLUMNS, Near, asof_nearest, between, candidates, events_in_window, in_own_cell, interval_join, nearest, pays, peak_samples, spread, tracked
 from noisetrack.session import materialised
 
 PLACE_S, BRACKET_S, HORIZONTAL_KM, SLANT_KM, MARGIN_KM = 15.0, 35.0, 12.0, 10.0, 3.0
 
 
-def gate_join(events: DataFrame, states: DataFrame) -> DataFrame:
+def gate_join(events: DataFrame, states: DataFrame, cells: bool | None = None) -> DataFrame:
     """Events in the states' time window with the nearest aircraft and a status: clean (near and alone), ambiguous (near),
-    far, no_candidate or no_snapshot."""
+    far, no_candidate or no_snapshot.
+
+    cells: whether the limit in space is part of the join's key; unless stated, where it pays."""
     # Read four times below: cleaned once.
     states = materialised(states.select("icao24", *STATE_COLUMNS, "on_ground"), "gate-states")
     inside = events_in_window(events, states)
     air = states.where(~F.coalesce("on_ground", F.lit(False)) & F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("baro_altitude_m").isNotNull())
-    limit = Near(HORIZONTAL_KM, PLACE_S)
-    found = candidates(inside, air, BRACKET_S, keep=("st_lat", "st_lon"), near=limit)
+    limit, track, near_ = Near(HORIZONTAL_KM, PLACE_S), None, None
+    if cells is None and spread(air, limit):
+        track = materialised(tracked(air), "gate-tracks")
+        cells = pays(track, BRACKET_S, limit)
+    if cells:
+        near_ = limit
+    found = candidates(inside, air, BRACKET_S, keep=("st_lat", "st_lon"), near=near_, track=track)
     dt, gap = F.col("_t") - nearest("snapshot_ts"), F.col("z.snapshot_ts") - F.col("s.snapshot_ts")
     on_spot = F.col("_t") == F.col("s.snapshot_ts")
     bracket = (gap <= BRACKET_S) & (F.col("_t") - F.col("s.snapshot_ts") <= PLACE_S) & (F.col("z.snapshot_ts") - F.col("_t") <= PLACE_S)
@@ -35,7 +42,8 @@ def gate_join(events: DataFrame, states: DataFrame) -> DataFrame:
     placed = found.withColumn("method", method).where(F.col("method").isNotNull())
     place_ = F.struct(place("latitude", lat2).alias("lat"), place("longitude", lon2).alias("lon"), place("baro_altitude_m", nearest("baro_altitude_m")).alias("alt"))
     # inline() keeps Spark from putting the whole expression into the filter below, once for each use.
-    placed = placed.select("event_id", "icao24", "method", "st_lat", "st_lon", "_cell", F.inline(F.array(place_))).where(in_own_cell(limit))
+    placed = placed.select("event_id", "icao24", "method", "st_lat", "st_lon", "_cell", F.inline(F.array(place_)))
+    placed = placed.where(in_own_cell(limit)) if near_ else placed
     placed = placed.select("*", F.inline(F.array(F.struct(geo.haversine_m(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon")).alias("horiz"))))).where(F.col("horiz") / 1000 <= HORIZONTAL_KM)
     placed = placed.withColumn("slant", F.sqrt(F.col("horiz") * F.col("horiz") + F.col("alt") * F.col("alt")) / 1000)
     row = F.struct(

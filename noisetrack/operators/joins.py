@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from functools import reduce
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,11 @@ from noisetrack.session import materialised
 KM_PER_DEGREE = 111.0  # a little less than it is, so that cells are a little too large
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once: inline() keeps Spark from putting their expressions into each place of use."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def bin_of(t: Column, width: float) -> Column:
     return F.floor(t / width).cast("long")
 
@@ -148,23 +154,41 @@ class Near:
 MANY_CELLS, STEEP_DEGREES = 64, 80.0
 
 
-def within_reach(track: DataFrame, tol: float, near: Near) -> DataFrame:
-    """``tracked`` states, once in each cell (column ``_cell``) that the aircraft can be in where this state tells its place: in
-    the box around the state and the next one, or as far from either as its speed carries it.  A box that is too large, or
-    near a pole or the antimeridian, has a null cell: such states meet all events of their time."""
+def reach(track: DataFrame, tol: float, near: Near) -> DataFrame:
+    """``tracked`` states with the cells (``_cells``) that the aircraft can be in where this state tells its place: those of
+    the box around the state and the next one, and as far from either as its speed carries it.  A box that is too large, or
+    near a pole or the antimeridian, has one null cell: such states meet all events of their time."""
     s, z = F.col("s"), F.when(F.col("z.snapshot_ts") - F.col("snapshot_ts") <= 2 * tol, F.col("z"))
-    low = lambda c: F.least(s[c], z[c])  # noqa: E731  a null counts for nothing
-    high = lambda c: F.greatest(s[c], z[c])
-    carried = F.greatest(F.coalesce(s["velocity_m_s"], F.lit(0.0)), F.coalesce(z["velocity_m_s"], F.lit(0.0))) * near.seconds / 1000
-    up = carried / KM_PER_DEGREE + 1e-6
-    top = F.greatest(F.abs(low("latitude")), F.abs(high("latitude"))) + up
-    aside = up / F.cos(F.radians(F.least(top, F.lit(STEEP_DEGREES))))
-    box = F.struct((low("latitude") - up).alias("south"), (high("latitude") + up).alias("north"), (low("longitude") - aside).alias("west"), (high("longitude") + aside).alias("east"))
-    grid, b = Grid(near.km), [F.col(f"_b.{c}") for c in ("south", "north", "west", "east")]
-    small = (F.col("_top") < STEEP_DEGREES) & (grid.many(*b) <= MANY_CELLS) & (b[2] >= -360) & (b[3] <= 360)
-    placed = track.select("*", top.alias("_top"), F.inline(F.array(F.struct(box.alias("_b")))))
+    speed = F.greatest(F.coalesce(s["velocity_m_s"], F.lit(0.0)), F.coalesce(z["velocity_m_s"], F.lit(0.0)))
+    ends = {f"_{name}": f(s[c], z[c]) for name, f, c in (("south", F.least, "latitude"), ("north", F.greatest, "latitude"), ("west", F.least, "longitude"), ("east", F.greatest, "longitude"))}  # a null counts for nothing
+    placed = once(track, **ends, _up=speed * near.seconds / 1000 / KM_PER_DEGREE + 1e-6)
+    top = F.greatest(F.abs("_south"), F.abs("_north")) + F.col("_up")
+    placed = once(placed, _top=top, _aside=F.col("_up") / F.cos(F.radians(F.least(top, F.lit(STEEP_DEGREES)))))
+    up, aside = F.col("_up"), F.col("_aside")
+    placed = once(placed, _a=F.col("_south") - up, _b=F.col("_north") + up, _c=F.col("_west") - aside, _d=F.col("_east") + aside)
+    grid, box = Grid(near.km), [F.col(c) for c in ("_a", "_b", "_c", "_d")]
+    small = (F.col("_top") < STEEP_DEGREES) & (grid.many(*box) <= MANY_CELLS) & (box[2] >= -360) & (box[3] <= 360)
     nowhere = F.array(F.lit(None).cast("struct<y:bigint,x:bigint>"))
-    return placed.select(*track.columns, F.explode(F.when(F.coalesce(small, F.lit(False)), grid.cells_of_box(*b)).otherwise(nowhere)).alias("_cell"))
+    return placed.select(*track.columns, F.when(F.coalesce(small, F.lit(False)), grid.cells_of_box(*box)).otherwise(nowhere).alias("_cells"))
+
+
+FEW_CELLS = 4 * 9
+
+
+def spread(states: DataFrame, near: Near) -> bool:
+    """Whether traffic fills many more cells than an event looks at; a cheap first question."""
+    own = Grid(near.km).cell(F.col("latitude"), F.col("longitude"))
+    return states.select(own.alias("c")).agg(F.approx_count_distinct("c")).first()[0] > FEW_CELLS
+
+
+def pays(track: DataFrame, tol: float, near: Near) -> bool:
+    """Whether cells in the key leave fewer pairs than time alone: a state and an event, in nine cells each, meet in some of
+    the cells there are."""
+    if not spread(track.select("s.latitude", "s.longitude"), near):
+        return False
+    there = track.select(Grid(near.km).cell(F.col("s.latitude"), F.col("s.longitude")).alias("c")).agg(F.approx_count_distinct("c")).first()[0]
+    cells = reach(track, tol, near).where("_cells[0] IS NOT NULL").agg(F.avg(F.size("_cells"))).first()[0]
+    return cells is not None and 2 * 9 * cells < there
 
 
 def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "max_ts_unix", keep: tuple[str, ...] = (), near: Near | None = None, track: DataFrame | None = None) -> DataFrame:
@@ -185,12 +209,12 @@ def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "ma
     if near is None:
         pairs = interval_join(times, track, "_t", "snapshot_ts", tol).withColumn("_cell", F.lit(None).cast("struct<y:bigint,x:bigint>"))
     else:
-        reach = within_reach(track, tol, near)
+        there = reach(track, tol, near).select(*track.columns, F.explode("_cells").alias("_cell"))
         around = times.withColumn("_cell", F.explode(Grid(near.km).cells_around(F.col("st_lat"), F.col("st_lon"))))
         apart = lambda df: df.withColumns({"_y": F.col("_cell.y"), "_x": F.col("_cell.x")})
-        there = interval_join(apart(around), apart(reach.where("_cell IS NOT NULL")).drop("_cell"), "_t", "snapshot_ts", tol, ("_y", "_x")).drop("_y", "_x")
-        wide = interval_join(times, reach.where("_cell IS NULL"), "_t", "snapshot_ts", tol)
-        pairs = there.unionByName(wide)
+        met = interval_join(apart(around), apart(there.where("_cell IS NOT NULL")).drop("_cell"), "_t", "snapshot_ts", tol, ("_y", "_x")).drop("_y", "_x")
+        wide = interval_join(times, there.where("_cell IS NULL"), "_t", "snapshot_ts", tol)
+        pairs = met.unionByName(wide)
     t, ts, after = F.col("_t"), F.col("snapshot_ts"), F.col("z.snapshot_ts")
     last_before = (ts <= t) & (after.isNull() | (after > t))
     only_after = (ts > t) & (F.col("prev_ts").isNull() | (F.col("prev_ts") < t - tol))
@@ -254,37 +278,50 @@ def candidate_counts(events: DataFrame, states: DataFrame, tol: float, time: str
 RINGS_KM = (10.0, 80.0, 640.0)
 
 
-def build_pairs(events: DataFrame, states: DataFrame, tol: float = 45.0, rings: tuple[float, ...] = RINGS_KM) -> DataFrame:
+def build_pairs(events: DataFrame, states: DataFrame, tol: float = 45.0, rings: tuple[float, ...] | None = None) -> DataFrame:
     """Each event with the aircraft that is nearest in space at its time (the lowest icao24 on a tie), or nulls.
 
     events: event_id, station, st_lat, st_lon, max_laeq, max_ts_unix.  ``n_candidates`` counts unplaceable aircraft too.
 
     The search goes from ring to ring on ever wider grids: aircraft within the ring's radius meet the event in a grid cell, and
     an event whose nearest one is no farther (in space) than that radius is done, as all others are farther.  Only events
-    without such an aircraft go on, at last to all aircraft of their time."""
+    without such an aircraft go on, at last to all aircraft of their time.  rings: their radii; unless stated, those of
+    ``RINGS_KM`` whose cells are small beside the area that has traffic."""
     keep = ("st_lat", "st_lon")
-    track = materialised(tracked(states), "tracks")
-    counts = materialised(candidate_counts(events, track, tol), "candidate-counts")
-    left, done = events.join(counts, "event_id").select("event_id", "max_ts_unix", *keep), []
-    for ring in (*rings, None):
-        near = None if ring is None else Near(ring, tol)
-        placed = estimate_position(candidates(left, states, tol, keep=keep, near=near, track=track))
-        placed = placed.where(in_own_cell(near)) if near else placed
-        horizontal = geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon"))
-        placed = placed.withColumn("horiz", horizontal).withColumn("slant", geo.slant_km(F.col("horiz"), F.col("alt"))).where("slant IS NOT NULL")
-        placed = placed if ring is None else placed.where(F.col("slant") <= ring)
-        # Structs compare field by field: the least is the nearest, then the lowest id.
-        other = F.when(F.col("z_near"), F.col("z")).otherwise(F.col("s"))
-        row = F.struct("slant", "icao24", "horiz", "alt", "lat", "lon", "_t", other.alias("n"))
-        best = materialised(placed.groupBy("event_id").agg(F.min(row).alias("x")), "ring")
-        done.append(best)
-        if ring is not None:
-            left = materialised(left.join(best, "event_id", "left_anti"), "ring-left")
-            if left.isEmpty():
-                break
-    best = reduce(DataFrame.unionByName, done)
-    best = best.select("event_id", "x", "x.n.callsign", F.col("x.n.velocity_m_s").alias("vel"), F.col("x.n.heading_deg").alias("hdg"), (F.col("x.n.snapshot_ts") - F.col("x._t")).alias("dt"))
-    return events.join(counts, "event_id", "left").join(best, "event_id", "left").select(
+
+    def placed(left: DataFrame, near: Near | None, track: DataFrame | None) -> DataFrame:
+        found = candidates(left, states, tol, keep=keep, near=near, track=track)
+        out = estimate_position(found).select(*found.columns, F.inline(F.array(F.struct("lat", "lon", "alt"))))
+        out = out.where(in_own_cell(near)) if near else out
+        out = once(out, horiz=geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon")))
+        return once(out, slant=geo.slant_km(F.col("horiz"), F.col("alt")))
+
+    # Structs compare field by field: the least of those that have a slant is the nearest, then the lowest id.
+    other = F.when(F.col("z_near"), F.col("z")).otherwise(F.col("s"))
+    least = F.min(F.when(F.col("slant").isNotNull(), F.struct("slant", "icao24", "horiz", "alt", "lat", "lon", "_t", other.alias("n")))).alias("x")
+    track = None
+    if rings is None:
+        rings = RINGS_KM if spread(states, Near(RINGS_KM[0], tol)) else ()
+        if rings:
+            track = materialised(tracked(states), "tracks")
+            rings = tuple(takewhile(lambda km: pays(track, tol, Near(km, tol)), rings))
+    if not rings:
+        best = placed(events, None, track).groupBy("event_id").agg(least, F.count("*").alias("n"))
+    else:
+        track = materialised(tracked(states), "tracks") if track is None else track
+        counts = materialised(candidate_counts(events, track, tol), "candidate-counts")
+        left, done = events.join(counts, "event_id").select("event_id", "max_ts_unix", *keep), []
+        for ring in (*rings, None):
+            found = placed(left, None if ring is None else Near(ring, tol), track)
+            found = found.where("slant IS NOT NULL") if ring is None else found.where(F.col("slant") <= ring)
+            done.append(materialised(found.groupBy("event_id").agg(least), "ring"))
+            if ring is not None:
+                left = materialised(left.join(done[-1], "event_id", "left_anti"), "ring-left")
+                if left.isEmpty():
+                    break
+        best = counts.join(reduce(DataFrame.unionByName, done), "event_id", "left")
+    best = best.select("event_id", "n", "x", "x.n.callsign", F.col("x.n.velocity_m_s").alias("vel"), F.col("x.n.heading_deg").alias("hdg"), (F.col("x.n.snapshot_ts") - F.col("x._t")).alias("dt"))
+    return events.join(best, "event_id", "left").select(
         "event_id", "station", "max_laeq", "max_ts_unix", "x.icao24", "callsign", F.round("x.slant", 3).alias("slant_km"), F.round("x.horiz", 3).alias("horiz_km"),
         F.round("x.alt", 1).alias("altitude_m"), F.col("vel").alias("velocity_m_s"), F.col("hdg").alias("heading_deg"), F.round("x.lat", 5).alias("aircraft_lat"),
         F.round("x.lon", 5).alias("aircraft_lon"), F.coalesce("n", F.lit(0)).alias("n_candidates"), F.round("dt", 1).alias("dt_nearest_s"),
