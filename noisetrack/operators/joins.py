@@ -340,7 +340,9 @@ def asof_nearest(events: DataFrame, states: DataFrame, tol: float, time: str = "
 def events_in_window(events: DataFrame, states: DataFrame, time: str = "max_ts_unix") -> DataFrame:
     """Events between the first and the last snapshot, inclusive.  The bounds are scalar subqueries, which reach the scan of
     events as values when the query runs; without states no event is inside."""
-    low, high = (states.agg(f("snapshot_ts").cast("double")).scalar() for f in (F.min, F.max))
+    low = states.agg(F.min("snapshot_ts").cast("double")).scalar()
+    # The condition keeps Spark from making one subquery of the two, whose parts would not reach the scan.
+    high = states.where("snapshot_ts IS NOT NULL").agg(F.max("snapshot_ts").cast("double")).scalar()
     return events.where((F.col(time) >= low) & (F.col(time) <= high))
 
 

@@ -133,51 +133,111 @@ def sink_pairs_csv(spark, sf_dir):
     return spark.read.option("header", True).schema(df.schema).csv(landing.write_csv(df, scratch(spark, "pairs"))).select("event_id", "station", "icao24", "slant_km", "n_candidates")
 
 
-@query(core.on_gate("SELECT status, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM gate), 1) AS pct FROM gate GROUP BY status"))
+def again(spark, report, name):
+    """A report written as JSON and read."""
+    return spark.read.schema(report.schema).json(landing.write_report(report, scratch(spark, name)))
+
+
+_VERDICT_SQL = core.ORACLE["gate_verdict"]
+_VERDICT_HEAD, _VERDICT_TAIL = _VERDICT_SQL[: _VERDICT_SQL.rindex(" SELECT *, CASE WHEN rate_pct")], _VERDICT_SQL[_VERDICT_SQL.rindex(" SELECT *, CASE WHEN rate_pct") :]
+_SENSITIVITY_TAIL = core.ORACLE["gate_sensitivity"][len(core.on_gate("")) :]
+
+
+@query(f"{_VERDICT_HEAD}, verdict AS ({_VERDICT_TAIL}), counts AS (SELECT status, count(*) AS n FROM gate GROUP BY status), grid AS ({_SENSITIVITY_TAIL}) SELECT 'verdict' AS part, concat_ws(' ', decision, missing) AS what, CAST(n_clean AS DOUBLE) AS n, CAST(rate_pct AS DOUBLE) AS pct FROM verdict UNION ALL SELECT 'status', status, n, round(100 * n / (SELECT sum(n) FROM counts), 1) FROM counts UNION ALL SELECT 'sensitivity', concat_ws(' ', CAST(CAST(margin_km AS INT) AS VARCHAR), CAST(CAST(max_slant_km AS INT) AS VARCHAR)), n_clean, rate_pct FROM grid")
 def gate_report(spark, sf_dir):
-    counts = gate.status_counts(core.gate_rows(spark, sf_dir))
-    total = counts.agg(F.sum("n").alias("total")).withColumn("_k", F.lit(1))
-    report = counts.withColumn("_k", F.lit(1)).join(total, "_k").select("status", "n", F.round(100 * F.col("n") / F.col("total"), 1).alias("pct"))
-    return spark.read.schema(report.schema).json(landing.write_report(report, scratch(spark, "report")))
+    """The whole report of the gate (verdict, counts by status, sensitivity) as one JSON document, read back."""
+    rows = materialised(core.gate_rows(spark, sf_dir), "gate")
+    report = landing.one_report({"verdict": gate.gate_summary(rows), "status": gate.status_counts(rows), "sensitivity": gate.sensitivity(rows)})
+    got = again(spark, report, "gate-report")
+    number = lambda c: F.col(c).cast("double")
+    verdict = got.select(F.explode("verdict").alias("v")).select(F.lit("verdict").alias("part"), F.concat_ws(" ", "v.decision", "v.missing").alias("what"), number("v.n_clean").alias("n"), number("v.rate_pct").alias("pct"))
+    counts = got.select(F.explode("status").alias("v"), F.aggregate("status", F.lit(0).cast("long"), lambda n, x: n + x["n"]).alias("all")).select(F.lit("status").alias("part"), F.col("v.status").alias("what"), number("v.n").alias("n"), F.round(100 * F.col("v.n") / F.col("all"), 1).alias("pct"))
+    grid = got.select(F.explode("sensitivity").alias("v")).select(F.lit("sensitivity").alias("part"), F.concat_ws(" ", F.col("v.margin_km").cast("int").cast("string"), F.col("v.max_slant_km").cast("int").cast("string")).alias("what"), number("v.n_clean").alias("n"), number("v.rate_pct").alias("pct"))
+    return verdict.unionByName(counts).unionByName(grid)
+
+
+@query(f"SELECT concat('S', CAST(station AS VARCHAR)) AS station, collect_day AS day, air_events, written, ok, error, '2024-02-01T00:00:00Z' AS collected_at FROM ({core._REPORT_SQL})")
+def collection_log(spark, sf_dir):
+    """The collection report as JSON lines, in two collections, read back as one log."""
+    path, rows = scratch(spark, "collection"), core.report(spark, sf_dir).withColumn("station", F.concat(F.lit("S"), F.col("station").cast("string")))
+    before = landing.read_collection(spark, path)
+    for part in (rows.where("ok"), rows.where("NOT ok")):
+        landing.log_collection(part, path, F.lit("2024-02-01T00:00:00Z"))
+    return landing.read_collection(spark, path).unionByName(before)
+
+
+def flights(spark, sf_dir):
+    iso = lambda c: F.date_format(F.timestamp_micros(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    raw = views.view(spark, sf_dir, views.FLIGHTS_TEXT)
+    return clean.clean_flights(raw.select("flight_id", "callsign", iso(F.col("first_seen_us")).alias("first_seen_iso"), iso(F.col("last_seen_us")).alias("last_seen_iso"), "avg_altitude_m"))
 
 
 def curated(spark, sf_dir):
-    """The curated layer's tables."""
+    """The five tables of the curated layer; noise and the enriched table are stored once."""
     noise, states = core.noise(spark, sf_dir), core.states(spark, sf_dir)
-    enriched = joins.spatio_temporal_join(noise, states)
-    return {"noise_measurements": noise, "states": states, "noise_enriched": enriched, "cube_noise": cube_noise(enriched)}
+    enriched = materialised(joins.spatio_temporal_join(noise, states), "enriched")
+    return {"states": states, "noise_measurements": noise, "flights": flights(spark, sf_dir), "noise_enriched": enriched, "cube_noise": cube_noise(enriched)}
 
 
-_COUNTS_SQL = "SELECT 'noise_measurements' AS table, (SELECT count(*) FROM noise) AS rows UNION ALL SELECT 'states', (SELECT count(*) FROM states) UNION ALL SELECT 'noise_enriched', (SELECT count(*) FROM noise) UNION ALL SELECT 'cube_noise', (SELECT count(*) FROM (SELECT count(*) FROM noise GROUP BY CUBE(airport, is_night, is_weekend)))".replace(" AS table", ' AS "table"')
+_FLIGHTS_CTE = f"flights AS MATERIALIZED (SELECT DISTINCT flight_id, callsign, first_seen_us, last_seen_us, try_cast(avg_altitude_m AS DOUBLE) AS avg_altitude_m FROM ({views.sql(views.FLIGHTS_TEXT)}) WHERE flight_id IS NOT NULL AND (last_seen_us / 1e6 - first_seen_us / 1e6) / 60 BETWEEN 0 AND 1440)"
+_COUNTS_SQL = "SELECT 'noise_measurements' AS \"table\", (SELECT count(*) FROM noise) AS rows UNION ALL SELECT 'states', (SELECT count(*) FROM states) UNION ALL SELECT 'flights', (SELECT count(*) FROM flights) UNION ALL SELECT 'noise_enriched', (SELECT count(*) FROM noise) UNION ALL SELECT 'cube_noise', (SELECT count(*) FROM (SELECT count(*) FROM noise GROUP BY CUBE(airport, is_night, is_weekend)))"
 
 
-@query(with_views(_COUNTS_SQL, states=True, noise_=True))
+@query(with_views(_COUNTS_SQL, states=True, noise_=True, more=_FLIGHTS_CTE))
 def build_curated(spark, sf_dir):
-    """Saved twice, counted from what was saved."""
-    root, out = scratch(spark, "curated"), None
-    for name, df in curated(spark, sf_dir).items():
-        for _ in range(2):
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-        one = spark.read.parquet(f"{root}/{name}").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-        out = one if out is None else out.unionByName(one)
+    """Saved as tables of a database twice, listed and counted from there."""
+    database = f"curated_{uuid.uuid4().hex}"
+    tables = curated(spark, sf_dir)
+    for _ in range(2):
+        names = landing.save_tables(tables, database)
+    found = landing.table_counts(spark, [f"{database}.{r['name']}" for r in landing.list_tables(spark, database).collect()])
+    out = materialised(found.select(F.substring_index("table", ".", -1).alias("table"), "rows"), "counts")
+    assert len(names) == len(tables)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
     return out
 
 
-@query(with_views("SELECT 'noise_measurements' AS source, (SELECT count(*) FROM noise) AS rows, CAST(0 AS DOUBLE) AS null_ratio, CAST(0 AS BIGINT) AS duplicated_rows UNION ALL SELECT 'states', count(*), round(sum((baro_altitude_m IS NULL)::BIGINT + (velocity_m_s IS NULL)::BIGINT + (heading_deg IS NULL)::BIGINT + (vertical_rate_m_s IS NULL)::BIGINT) / (count(*) * 15), 4), 0 FROM states", states=True, noise_=True))
+_QUALITY = "count(*) AS rows, CAST({n} AS BIGINT) AS columns, round(coalesce(sum({nulls}), 0) / (count(*) * {n}), 4) AS null_ratio, CAST(0 AS BIGINT) AS duplicated_rows"
+_N_NOISE = len(views.NOISE) + 2
+
+
+@query(with_views(f"SELECT 'noise_measurements' AS source, {_QUALITY.format(n=_N_NOISE, nulls='0')} FROM noise UNION ALL SELECT 'flights', {_QUALITY.format(n=8, nulls='(avg_altitude_m IS NULL)::BIGINT')} FROM flights UNION ALL SELECT 'noise_enriched', {_QUALITY.format(n=_N_NOISE + 7, nulls='0')} FROM noise", noise_=True, more=_FLIGHTS_CTE))
 def build_report(spark, sf_dir):
+    """Quality of measurements, flights and the enriched table, as one JSON report, read back."""
     tables = curated(spark, sf_dir)
-    reports = [clean.quality_report(tables[n], n) for n in ("noise_measurements", "states")]
-    return reports[0].unionByName(reports[1]).select("source", "rows", "null_ratio", "duplicated_rows")
+    quality = [clean.quality_report(tables[n], n) for n in ("noise_measurements", "flights", "noise_enriched")]
+    report = landing.one_report({"quality": quality[0].unionByName(quality[1]).unionByName(quality[2])})
+    return again(spark, report, "build-report").select(F.inline("quality"))
 
 
-@query(with_views("SELECT 'noise_measurements' AS name, true AS found, (SELECT count(*) FROM noise) AS rows UNION ALL SELECT 'flights', false, 0", noise_=True))
-def catalog_tables(spark, sf_dir):
-    """A table that is there is loaded by name and by SQL, one that isn't gives an empty result."""
-    name = f"noise_measurements_{uuid.uuid4().hex}"
-    core.noise(spark, sf_dir).write.mode("overwrite").saveAsTable(name)
-    found = spark.sql(f"SELECT count(*) AS rows FROM {name}").select(F.lit("noise_measurements").alias("name"), F.lit(spark.catalog.tableExists(name)).alias("found"), "rows")
-    found = materialised(found, "catalog")
-    spark.sql(f"DROP TABLE {name}")
-    missing = landing.table_counts(spark, [f"flights_{uuid.uuid4().hex}"]).agg(F.count("*").alias("rows"))
-    return found.unionByName(missing.select(F.lit("flights").alias("name"), F.lit(False).alias("found"), "rows"))
+_REAL = ("hour", "day_of_week", "is_night", "is_rush_hour", "is_weekend", "num_aircraft", "num_close_aircraft", "avg_altitude_m", "min_distance_km")
+
 
+@query(
+    with_views(
+        f"SELECT station_id, CAST(t AS BIGINT) AS t, airport, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _REAL[:5])}, count(d)::DOUBLE AS num_aircraft, count(*) FILTER (d <= 5)::DOUBLE AS num_close_aircraft, round(coalesce(avg(alt), 0), 6) AS avg_altitude_m, round(coalesce(min(d), 0), 6) AS min_distance_km, laeq_db FROM (SELECT n.*, s.d, s.alt FROM measured n LEFT JOIN (SELECT n.row, {core.G.haversine_km('n.latitude', 'n.longitude', 's.latitude', 's.longitude')} AS d, s.baro_altitude_m AS alt FROM measured n JOIN fleet s ON abs(s.time_position_unix - n.t) <= 300 WHERE {core.G.haversine_km('n.latitude', 'n.longitude', 's.latitude', 's.longitude')} <= 20) s ON s.row = n.row) GROUP BY row, station_id, t, airport, {', '.join(_REAL[:5])}, laeq_db",
+        states=True,
+        more="fleet AS MATERIALIZED (SELECT icao24, time_position_unix, latitude, longitude, CASE WHEN baro_altitude_m IS NOT NULL THEN greatest(baro_altitude_m, 0.0) END AS baro_altitude_m FROM (SELECT *, row_number() OVER (PARTITION BY icao24, time_position_unix ORDER BY last_contact_unix DESC NULLS LAST, latitude NULLS LAST, longitude NULLS LAST) AS rn FROM states_raw WHERE NOT on_ground) WHERE rn = 1), "
+        f"raw AS MATERIALIZED ({views.sql(views.NOISE_FILE, views.ERRORS)}), measured AS MATERIALIZED (SELECT *, row_number() OVER () AS row, CAST(floor(ts_us / 1e6) AS BIGINT) AS t FROM ({core.NOISE_CLEAN_SQL}))",
+    )
+)
+def real_features(spark, sf_dir):
+    """From files to features: measurements and a snapshot of the aircraft as CSV, cleaned each, joined."""
+    noise_path = landing.write_csv(views.view(spark, sf_dir, views.NOISE_FILE, views.ERRORS), scratch(spark, "noise-csv"))
+    air = views.states_raw(spark, sf_dir).where("NOT on_ground").selectExpr(*_SNAP.split(", "))
+    rows = landing.real_features(spark, noise_path, landing.write_csv(air, scratch(spark, "snapshot-csv")))
+    return core.rounded(rows.select("station_id", F.unix_seconds("timestamp").alias("t"), "airport", *[F.col(c).cast("double").alias(c) for c in _REAL], "laeq_db"))
+
+
+@query(with_views("SELECT 'noise_measurements' AS name, (SELECT count(*) FROM noise) AS rows, (SELECT count(*) FROM noise WHERE station = 'S1' AND laeq_db >= 60) AS loud UNION ALL SELECT 'flights', 0, 0", noise_=True))
+def catalog_tables(spark, sf_dir):
+    """The tables that a database lists, counted, and asked by SQL with named parameters; one that isn't there is empty."""
+    database = f"catalog_{uuid.uuid4().hex}"
+    landing.save_tables({"noise_measurements": core.noise(spark, sf_dir)}, database)
+    (name,) = [r["name"] for r in landing.list_tables(spark, database).collect()]
+    sql = "SELECT count(*) AS rows, count_if(station = :station AND laeq_db >= :least) AS loud FROM IDENTIFIER(:table)"
+    found = materialised(landing.query(spark, sql, table=f"{database}.{name}", station="S1", least=60.0).withColumn("name", F.lit(name)), "catalog")
+    missing = landing.load_table(spark, f"{database}.flights", "flight_id string").agg(F.count("*").alias("rows"), F.count("*").alias("loud")).withColumn("name", F.lit("flights"))
+    missing = materialised(missing, "catalog")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found.unionByName(missing)

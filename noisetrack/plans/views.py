@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _US = {"spark": "unix_micros(cast(ts as timestamp))", "duck": "epoch_us(ts)"}
 _ISO = {"spark": "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")", "duck": "strftime(ts, '%Y-%m-%dT%H:%M:%S')"}
+_T_ISO = {"spark": "date_format(timestamp_seconds({t}), \"yyyy-MM-dd'T'HH:mm:ss\")", "duck": "strftime(make_timestamp({t} * 1000000), '%Y-%m-%dT%H:%M:%S')"}
 _DAY = {"spark": "date_format(ts, 'yyyy-MM-dd')", "duck": "strftime(ts, '%Y-%m-%d')"}
 _WEEKDAY = {"spark": "weekday(ts)", "duck": "(isodow(ts) - 1)"}
 
@@ -55,6 +56,12 @@ NOISE_TEXT = {
     "longitude": "cast(2 + event_id % 2 as {string})",
     "airport": "case user_id % 3 when 0 then 'CDG' when 1 then 'ORY' else 'LBG' end",
 }
+#: Measurements as a file has them, at the time and place where there is traffic.
+NOISE_FILE = NOISE_TEXT | {
+    "timestamp_iso": "case when event_id % 29 = 0 then 'never' else {t_iso} end",
+    "latitude": "case when event_id % 41 = 0 then null else cast(cast(48.70 as decimal(9, 2)) + (user_id % 6) * cast(0.05 as decimal(9, 2)) as {string}) end",
+    "longitude": "cast(cast(2.20 as decimal(9, 2)) + (user_id % 6) * cast(0.05 as decimal(9, 2)) as {string})",
+}
 FLIGHTS_TEXT = {
     "flight_id": "case when event_id % 43 = 0 then null else concat('F', cast(event_id as {string})) end",
     "callsign": "concat('AF', cast(user_id % 100 as {string}))",
@@ -82,6 +89,7 @@ METRICS = {
 
 
 def _text(expression: str, engine: str) -> str:
+    expression = expression.replace("{t_iso}", _T_ISO[engine].replace("{t}", T))
     return expression.format(us=_US[engine], iso=_ISO[engine], day=_DAY[engine], weekday=_WEEKDAY[engine], string={"spark": "string", "duck": "varchar"}[engine])
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noisetrack.functions.times import epoch_seconds, parse_iso
-from noisetrack.operators.clean import numeric
+from noisetrack.operators.clean import clean_noise, clean_states, numeric
+from noisetrack.operators.joins import spatio_temporal_join
 from noisetrack.schemas import COLLECTION, EVENT_JSON, FLIGHTS_CSV, METRICS, NOISE_CSV, NOISE_EVENTS, SNAPSHOT_CSV, STATE_FIELDS, STATES, STATES_JSON
 from noisetrack.sources import zone
 from noisetrack.sources.zone import exists
@@ -84,6 +85,14 @@ def load_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumns({"snapshot_ts": F.col("time_position_unix"), "on_ground": F.lit(False)})
 
 
+def real_features(spark: SparkSession, noise_csv: str, snapshot_csv: str) -> DataFrame:
+    """Measurements from one file enriched with the aircraft of another: both cleaned, then joined in space and time."""
+    noise, states = clean_noise(read_noise_csv(spark, noise_csv)), clean_states(load_snapshot(spark, snapshot_csv))
+    # Measurements have no id; equal rows are gone, so all columns together are one.
+    noise = noise.withColumns({"row_id": F.xxhash64(*noise.columns), "t": F.unix_seconds("timestamp"), "st_lat": F.col("latitude"), "st_lon": F.col("longitude")})
+    return spatio_temporal_join(noise, states, key="row_id").drop("row_id", "t", "st_lat", "st_lon")
+
+
 # ---------------------------------------------------------------- sinks
 
 

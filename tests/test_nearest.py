@@ -75,7 +75,9 @@ def test_bounds_are_subqueries(spark, tmp_path):
     try:
         inside = joins.events_in_window(events, states(spark, state("a", 110, 48.0, 2.0), state("b", 130, 48.0, 2.0)))
         assert len(inside.collect()) == 21
+        read = inside._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "scalar-subquery" in inside._jdf.queryExecution().optimizedPlan().toString()
+    assert read == 100  # of ten files one has rows between the bounds
     assert joins.events_in_window(events, states(spark)).count() == 0

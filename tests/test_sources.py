@@ -122,3 +122,44 @@ def test_live_range_join_gives_zeros_where_nothing_comes(spark, tmp_path):
     got = run()
     assert set(got) == {1, 2, 3} and got[1].num_aircraft == 1 and got[1].min_distance_km < 2 and got[1].avg_altitude_m == 800
     assert all(got[k][c] == 0 for k in (2, 3) for c in AIRCRAFT_FEATURES)
+
+
+def test_tables_of_a_database(spark):
+    import uuid
+
+    name = f"test_{uuid.uuid4().hex}"
+    assert landing.list_tables(spark, name).count() == 0
+    df = rows(spark, ("a", 1000, 1.0))
+    try:
+        for _ in range(2):
+            assert landing.save_tables({"states": df, "flights": df}, name) == [f"{name}.states", f"{name}.flights"]
+        assert [r.name for r in landing.list_tables(spark, name).collect()] == ["flights", "states"]
+        assert {r.table: r.rows for r in landing.table_counts(spark, [f"{name}.states", f"{name}.nothing"]).collect()} == {f"{name}.states": 1}
+        assert landing.load_table(spark, f"{name}.states", STATE).count() == 1 and landing.load_table(spark, f"{name}.nothing", STATE).count() == 0
+        asked = landing.query(spark, "SELECT * FROM IDENTIFIER(:t) WHERE icao24 = :who", t=f"{name}.states", who="a' OR 'a' = 'a")
+        assert asked.count() == 0  # a value, never a part of the statement
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_one_report_holds_its_parts(spark, tmp_path):
+    a, b = spark.createDataFrame([(2, "x"), (1, "y")], "n int, w string"), spark.createDataFrame([], "n int")
+    got = landing.one_report({"a": a, "b": b}).first()
+    assert [tuple(r) for r in got.a] == [(1, "y"), (2, "x")] and got.b == []
+
+
+def test_sketches_merge(spark):
+    from noisetrack.functions import stats
+    from noisetrack.operators import cube
+
+    df = spark.range(200_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 40).alias("day"), (F.col("id") * 7919 % 100_003).cast("double").alias("x"))
+    parts = df.groupBy("g", "day").agg(stats.quantile_sketch("x").alias("s"))
+    got = stats.merged_quantiles(parts, "s", ["g"], {"a": 0.05, "b": 0.5, "c": 0.95}).collect()
+    values = {g: sorted(r.x for r in df.where(F.col("g") == g).select("x").collect()) for g in range(3)}
+    for r in got:
+        assert r.n == len(values[r.g])
+        for q, v in ((0.05, r.a), (0.5, r.b), (0.95, r.c)):
+            assert abs(sum(x <= v for x in values[r.g]) / r.n - q) <= stats.SKETCH_RANK_ERROR
+    counts = cube.distinct_cube(cube.distinct_parts(df.withColumn("x", F.col("x").cast("string")), ["g", "day"], "x"), ["g", "day"]).collect()
+    exact = {(r.g, r.day): r.n for r in df.cube("g", "day").agg(F.countDistinct("x").alias("n")).collect()}
+    assert len(counts) == len(exact) == 164 and all(abs(r.n - exact[r.g, r.day]) <= cube.DISTINCT_ERROR * exact[r.g, r.day] for r in counts)
