@@ -3,8 +3,9 @@
 Texts are reduced to lower-case words.  A notice with at most k errors contains one of its k + 1 pieces unchanged
 (pigeonhole), so an Aho-Corasick automaton over the pieces of all notices finds the candidate places; in a window around
 each the regex library's bounded-error matching finds the best place, which is widened to whole words and verified again.
-Words that tell licenses apart (names, versions) are marked in the notice and must be there exactly, or with one error, so
-errors are only forgiven in the rest.  Of overlapping spans the one that explains most stays.  Phrases are found exactly
+Words that tell licenses apart are marked in the notice: versions must be there exactly, names with one error at most (an
+edited letter, or two neighbours in the wrong order), and nearer than the names of other licenses that could stand in their
+place; on a tie the place has no label.  Of overlapping spans the one that explains most stays.  Phrases are found exactly
 beside that.
 
 Edge cases: null and empty texts have no words and no labels; repeated rows are scanned alike; whole texts are searched;
@@ -31,7 +32,8 @@ PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2
 
 @dataclass(frozen=True)
 class Notice:
-    """``marked``: the text, with {words} that must be there exactly and {words~} that may have one error."""
+    """``marked``: the text, with {words} that must be there exactly and {names~others} that may have one error and must be
+    nearer than each of the others (separated by commas)."""
 
     marked: str
     label: str
@@ -39,50 +41,70 @@ class Notice:
 
     @property
     def text(self) -> str:
-        return re.sub("[{}~]", "", self.marked)
+        return re.sub(r"\{([^}~]*)[^}]*\}", r"\1", self.marked)
 
     @property
     def keys(self) -> list[str]:
-        return [k for k in re.findall(r"\{([^}]*)\}", self.marked) if not k.endswith("~")]
+        return [k for k in re.findall(r"\{([^}]*)\}", self.marked) if "~" not in k]
 
     @property
-    def names(self) -> list[str]:
-        return re.findall(r"\{([^}]*)~\}", self.marked)
+    def names(self) -> list[tuple[str, list[str]]]:
+        """Names with those of others."""
+        found = [k.split("~") for k in re.findall(r"\{([^}]*~[^}]*)\}", self.marked)]
+        return [(name, [x for x in others.split(",") if x]) for name, others in found]
 
 
 #: Short notices, their labels and the errors (edited characters) that still count.
 NOTICES = (
-    Notice("released under the {mit} license", "mit", 3),
-    Notice("under the {mit} license", "mit", 2),
+    Notice("released under the {mit~bsd,isc,gpl} license", "mit", 3),
+    Notice("under the {mit~bsd,isc,gpl} license", "mit", 2),
     Notice("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", 8),
     Notice("licensed under the {apache~} license version {2} 0", "apache-2", 4),
     Notice("{apache~} license version {2}", "apache-2", 2),
-    Notice("licensed under the {gnu} {general~} public license version {3}", "gpl-3", 4),
-    Notice("licensed under the {gnu} {general~} public license version {2}", "gpl-2", 4),
-    Notice("{gnu} {general~} public license version {3}", "gpl-3", 3),
-    Notice("{gnu} {general~} public license version {2}", "gpl-2", 3),
-    Notice("{gnu} {general~} public license", "gpl", 2),
-    Notice("{gnu} {lesser~} general public license", "lgpl", 3),
-    Notice("{gnu} {affero~} general public license", "agpl", 3),
-    Notice("licensed under {cc by nc} 4 0", "cc-by-nc", 1),
-    Notice("licensed under {cc by sa} 4 0", "cc-by-sa", 1),
-    Notice("licensed under {cc by nd} 4 0", "cc-by-nd", 1),
-    Notice("licensed under {cc by nc sa} 4 0", "cc-by-nc-sa", 1),
-    Notice("licensed under {cc by nc nd} 4 0", "cc-by-nc-nd", 1),
-    Notice("{cc by n c}", "cc-by-nc", 0),
-    Notice("{ccby nc}", "cc-by-nc", 0),
-    Notice("{cc bync}", "cc-by-nc", 0),
+    Notice("licensed under the {gnu~} {general~} public license version {3}", "gpl-3", 4),
+    Notice("licensed under the {gnu~} {general~} public license version {2}", "gpl-2", 4),
+    Notice("{gnu~} {general~} public license version {3}", "gpl-3", 3),
+    Notice("{gnu~} {general~} public license version {2}", "gpl-2", 3),
+    Notice("{gnu~} {general~} public license", "gpl", 2),
+    Notice("{gnu~} {lesser~} general public license", "lgpl", 3),
+    Notice("{gnu~} {affero~} general public license", "agpl", 3),
+    Notice("licensed under {cc by nc~cc by sa,cc by nd} 4 0", "cc-by-nc", 2),
+    Notice("licensed under {cc by sa~cc by nc,cc by nd} 4 0", "cc-by-sa", 2),
+    Notice("licensed under {cc by nd~cc by nc,cc by sa} 4 0", "cc-by-nd", 2),
+    Notice("licensed under {cc by nc sa~cc by nc nd} 4 0", "cc-by-nc-sa", 2),
+    Notice("licensed under {cc by nc nd~cc by nc sa} 4 0", "cc-by-nc-nd", 2),
+    Notice("{cc by nc~cc by sa,cc by nd}", "cc-by-nc", 1),
     Notice("creative commons attribution {noncommercial~}", "cc-by-nc", 3),
     Notice("creative commons attribution {sharealike~}", "cc-by-sa", 3),
     Notice("creative commons attribution {noderivatives~}", "cc-by-nd", 3),
     Notice("redistribution and use in source and binary forms with or without modification are permitted", "bsd", 8),
-    Notice("under the {bsd} license", "bsd", 2),
-    Notice("under the {isc} license", "isc", 2),
-    Notice("subject to the terms of the {mozilla~} public license", "mpl-2", 4),
+    Notice("under the {bsd~mit,isc,gpl} license", "bsd", 2),
+    Notice("under the {isc~mit,bsd,gpl} license", "isc", 2),
+    Notice("subject to the terms of the {mozilla~} public license v {2} 0", "mpl-2", 4),
+    Notice("{mozilla~} public license version {2} 0", "mpl-2", 3),
+    Notice("{mozilla~} public license", "mpl", 2),
     Notice("all rights reserved", "all-rights-reserved", 1),
 )
 
 
+class Name:
+    """How far words are from holding a name: 0 exactly, 0.5 with other spaces, 1 with one error, ``FAR`` not at all."""
+
+    FAR = 9
+
+    def __init__(self, name: str) -> None:
+        self.exact, self.joined = f" {name} ", name.replace(" ", "")
+        self.swapped = [f" {name[:k]}{name[k + 1]}{name[k]}{name[k + 2 :]} " for k in range(len(name) - 1) if name[k] != name[k + 1]]
+        self.one = regex.compile(f"(?: {regex.escape(name)} ){{e<=1}}")
+
+    def distance(self, words: str) -> float:
+        if self.exact in words:
+            return 0
+        if self.joined in words.replace(" ", ""):
+            return 0.5
+        return 1 if any(x in words for x in self.swapped) or self.one.search(words) else self.FAR
+
+
 def pieces(text: str, errors: int) -> list[tuple[int, str]]:
     """errors + 1 pieces of nearly equal length, with their places."""
     cuts = [round(i * len(text) / (errors + 1)) for i in range(errors + 2)]
@@ -95,7 +117,7 @@ class Scanner:
         self.notices, self.texts = notices, [n.text for n in notices]
         self.pattern = [regex.compile(f"(?b)(?:{regex.escape(n.text)}){{e<={n.errors}}}") for n in notices]
         self.keys = [[f" {k} " for k in n.keys] for n in notices]
-        self.names = [[regex.compile(f"(?: {regex.escape(k)} ){{e<=1}}") for k in n.names] for n in notices]
+        self.names = [[(Name(k), [Name(x) for x in others]) for k, others in n.names] for n in notices]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for number, notice in enumerate(notices):
             for offset, piece in pieces(notice.text, notice.errors):
@@ -118,16 +140,36 @@ class Scanner:
         return out
 
     def verified(self, number: int, norm: str, start: int, end: int) -> tuple[int, int, int, int] | None:
-        """(notice, start, end, errors) of the best place in a window, if it holds as whole words with the notice's keys."""
+        """(notice, start, end, errors) of the best place in a window that holds as whole words with the notice's keys: the
+        regex's best match widened to words, or else the best of the window's other spans of words."""
         m = self.pattern[number].search(norm, max(0, start), min(end, len(norm)))
         if not m:
             return None
         a, b = norm.rfind(" ", 0, m.start() + 1), norm.find(" ", max(m.end() - 1, m.start() + 1))
-        words = norm[a : b + 1]
-        whole = self.pattern[number].fullmatch(words[1:-1])
-        if not whole or not all(k in words for k in self.keys[number]) or not all(k.search(words) for k in self.names[number]):
+        errors = self.errors_of(number, norm[a : b + 1])
+        if errors is not None:
+            return number, a + 1, b, errors
+        length, most = len(self.texts[number]), self.notices[number].errors
+        edges = [i for i in range(max(0, start - 1), min(end + 1, len(norm))) if norm[i] == " "]
+        spans = ((a, b) for a in edges for b in edges if abs(b - a - 1 - length) <= most)
+        found = [(e, a, b) for a, b in spans if (e := self.errors_of(number, norm[a : b + 1])) is not None]
+        if not found:
             return None
-        return number, a + 1, b, sum(whole.fuzzy_counts)
+        errors, a, b = min(found)
+        return number, a + 1, b, errors
+
+    def errors_of(self, number: int, words: str) -> int | None:
+        """Errors of a notice in whole words (with the spaces around), None if they are too many or its names aren't there."""
+        whole = self.pattern[number].fullmatch(words[1:-1])
+        return sum(whole.fuzzy_counts) if whole and self.named(number, words) else None
+
+    def named(self, number: int, words: str) -> bool:
+        """Whether the words have the notice's keys and names, and those rather than other names."""
+        for name, others in self.names[number]:
+            d = name.distance(words)
+            if d == Name.FAR or any(x.distance(words) <= d for x in others):
+                return False
+        return all(k in words for k in self.keys[number])
 
     def fuzzy(self, norm: str) -> list[tuple[int, int, int, int]]:
         """(notice, start, end, errors) of the places in ``norm`` (words with single spaces between, before and behind)."""
