@@ -2,9 +2,7 @@
 
 1. ``fit`` counts, over a bounded sample of labelled rows, how often each word and word beginning occurs in toxic and other
    documents, and keeps those that mark toxic ones (a likelihood-ratio test against the number of terms tried).  A
-   beginning stands for all its endings.  The lexicon holds at most ``MAX_TERMS`` terms, the strongest by likelihood ratio
-   (on a tie the longer, then in alphabetical order) round by round; ``significant`` hands on at most four times as many
-   words and beginnings, in the same order.
+   beginning stands for all its endings.  The lexicon has as many terms as stand out; what bounds them is the sample.
 2. ``TermAutomaton`` intersects the Levenshtein automaton of a word with the trie of the lexicon.  The product is built
    lazily as a deterministic automaton, so a word costs one look-up a letter and most words die after three letters.
 3. Each hit is weighed by a context window: a hit inside quotation marks or after a reporting word counts for less, one
@@ -33,7 +31,6 @@ from pyspark.sql import functions as F
 from noisetrack.llm.common import WORD_TABLE, column_bytes, column_list, crc_mod, stored
 
 MAX_TRAIN_DOCS = 12_000
-MAX_TERMS = 5_000
 PREFIX_LENGTHS = range(3, 9)
 ROUNDS, USES = 4, 4  # of learning terms; most uses of a term in a document that count
 DOCS_AT_ONCE = 500
@@ -244,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> M
     left, left_words, left_pos = counted, model.totals[0], pos
     for _ in range(ROUNDS):
         found = significant(left, (left_words, model.totals[1]), (left_pos, neg))
-        fresh = [t for t in choose(found, (left_words, model.totals[1])) if t not in model.terms][: MAX_TERMS - len(model.terms)]
+        fresh = [t for t in choose(found, (left_words, model.totals[1])) if t not in model.terms]
         if not fresh:
             break
         model.terms = sorted(model.terms + fresh)
@@ -309,7 +306,7 @@ def significant(counted: DataFrame, words: tuple[int, int], docs: tuple[int, int
     least = 2 * math.log(max(1_000, counted.count()) / 2)
     rows = counted.where("p >= 3 AND w != ''").withColumn("ratio", ratio)
     often = (p * words[1] > 6 * n * words[0]) & (F.col("p") * docs[1] > 4 * F.col("n") * docs[0])
-    found = rows.where((F.col("ratio") >= least) & often).orderBy(F.desc("ratio"), "w").limit(MAX_TERMS * 4).collect()
+    found = rows.where((F.col("ratio") >= least) & often).collect()  # words of the sample, whose rows are bounded
     return {r["w"]: (r["tp"], r["tn"]) for r in found}
 
 
