@@ -28,6 +28,7 @@ import hashlib
 import io
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -52,6 +53,15 @@ def _lines(*pairs: tuple[str, object]) -> bytes:
     return "".join(f"{k}: {v}\r\n" for k, v in pairs if v is not None).encode()
 
 
+def _packed(page_id: object | None) -> str | None:
+    """An id as a header's value: percent-encoded, so that any text is one line and reads back as it was; null has no header."""
+    return None if page_id is None else quote(str(page_id), safe="", errors="surrogatepass")
+
+
+def _unpacked(value: str | None) -> str | None:
+    return None if value is None else unquote(value, errors="surrogatepass")
+
+
 def _clean(url: str | None) -> str:
     return "".join(c for c in url or "" if c > " ") or "urn:unknown"
 
@@ -68,8 +78,8 @@ def record(page_id: object, url: str | None, payload: bytes, refers_to: object |
         ("WARC-Date", DATE),
         ("WARC-Target-URI", _clean(url)),
         ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if revisit else None),
-        ("WARC-Refers-To-Page", refers_to),
-        ("WARC-Page", name),
+        ("WARC-Refers-To-Page", _packed(refers_to)),
+        ("WARC-Page", _packed(page_id)),
         ("WARC-Block-Digest", f"sha1:{digest(block)}"),
         ("WARC-Payload-Digest", f"sha1:{digest(payload)}"),
         ("Content-Type", "application/http; msgtype=response"),
@@ -97,10 +107,10 @@ def parse(data: bytes) -> Iterator[dict]:
             raise ValueError(f"damaged payload in {head['WARC-Record-ID']}")
         length = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
         yield {
-            "page_id": head["WARC-Page"] or None,
+            "page_id": _unpacked(head.get("WARC-Page")),
             "url": head["WARC-Target-URI"],
             "record_type": head["WARC-Type"],
-            "refers_to": head.get("WARC-Refers-To-Page"),
+            "refers_to": _unpacked(head.get("WARC-Refers-To-Page")),
             "payload_bytes": length,
             "payload_digest": head["WARC-Payload-Digest"].partition(":")[2],
             "payload": None if revisit else payload,
