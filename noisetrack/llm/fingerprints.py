@@ -30,6 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from noisetrack.llm.common import column_list, small, stored
 from noisetrack.llm.hamming import block_keys, components, links, mixed
 
+CHANCE_ROWS = 8
 BITS, RADIUS, ROWS_AT_ONCE, CACHE, RANGE_BYTES = 256, 12, 4096, 300_000, 32 << 20
 STEPS = mixed(np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -132,10 +133,20 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return found.where("range IS NULL").select(*names).unionByName(joined)
 
 
+def equal_blocks(rows: int, radius: int, bits: int = BITS) -> int:
+    """How many equal blocks a key is made of: as few as give keys for so many rows that chance fills a bucket with
+    ``CHANCE_ROWS`` at most.  More blocks are more tables, all of which hold all pairs within the radius."""
+    equal = 1
+    while rows > CHANCE_ROWS * 2.0 ** (equal * (bits // (radius + equal))) and equal < 4:
+        equal += 1
+    return equal
+
+
 def within_radius(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, near_group): for each distinct fingerprint the smallest one it reaches by steps of at most ``radius`` bits."""
     distinct = stored(fps.select("fp").distinct(), "fingerprints-distinct")
-    found = components(links(block_keys(distinct, BITS, radius), BITS, radius)).withColumnRenamed("node", "fp")
+    keys = block_keys(distinct, BITS, radius, equal_blocks(distinct.count(), radius))
+    found = components(links(keys, BITS, radius)).withColumnRenamed("node", "fp")
     return distinct.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("near_group"))
 
 
