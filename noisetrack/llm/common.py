@@ -48,7 +48,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new place in this application's folder, which Hadoop deletes with all that is in it when the driver ends."""
+    home = f"{shared_dir(spark)}/corpus-{spark.sparkContext.applicationId}"
+    if home not in _HOMES:
+        place = spark._jvm.org.apache.hadoop.fs.Path(home)
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+        _HOMES.add(home)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
+
+
+_HOMES: set[str] = set()
 
 
 #: Folders of ``stored`` tables, newest list last; see ``scratch``.

@@ -8,8 +8,9 @@ How it runs.  Documents are tokenised once into chunks of a bounded number of to
 folder.  Each chunk sends its distinct words and word pairs (64-bit hashes, sorted, as differences) to buckets of the
 hash; a bucket adds up the training counts and answers each chunk in the order asked.  A chunk sends ``FAN_OUT`` messages at
 most: a corpus that needs more buckets is asked in two steps, chunks to groups of buckets, and units of ``UNIT_CHUNKS``
-chunks, their keys merged, from a group to its buckets, so that the number of messages grows with the corpus and not with
-its square.  So counts of the whole corpus are exact up to hash collisions, no table of counts is broadcast, a frequent word
+chunks, their keys merged, from a group to its buckets.  The second step's messages are chunks times buckets by
+``UNIT_CHUNKS``, still a square, which by these constants stays below the number of chunks' own messages up to some 10 TB
+(1e9 there) and is 9e10 at 100 TB; far beyond, a third step would be needed.  So counts of the whole corpus are exact up to hash collisions, no table of counts is broadcast, a frequent word
 costs one entry a chunk, and what a task holds is bounded by the chunk, unit and bucket sizes.  Only totals and the histogram for the weights (bounded by its bins)
 reach the driver.
 

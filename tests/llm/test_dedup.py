@@ -235,3 +235,10 @@ def test_columns_may_have_any_name(spark):
     df = spark.createDataFrame([(1, text, 5, "x", "y", 0), (2, text, 6, "x", "y", 1), (3, "other words altogether", 7, "x", "y", 2)], "doc_id long, text string, _id long, _lost string, fp string, component_id long")
     assert [(r.doc_id, r._id, r._lost) for r in simhash_dedup.drop_near_duplicates(df).orderBy("doc_id").collect()] == [(1, 5, "x"), (3, 7, "x")]
     assert simhash_dedup.drop_near_duplicates(df).columns == df.columns
+
+
+def test_keys_grow_with_the_number_of_fingerprints():
+    from noisetrack.llm import fingerprints
+
+    found = [fingerprints.equal_blocks(n, 12) for n in (0, 10**6, 10**9, 10**13)]
+    assert found == [1, 1, 2, 3]

@@ -148,6 +148,100 @@ def test_text_ids_and_shards_of_equal_bytes(spark, tmp_path, monkeypatch):
             assert (r.record_type, r.refers_to) == (("response", None) if r.page_id == own else ("revisit", own))
 
 
+def test_any_text_is_an_id(spark, tmp_path):
+    ids = ["", "x\r\ny: z", "tr\n", " a ", "%41", "é🙂", "WARC/1.1\r\n", None, "null"]
+    rows = [(x, f"http://h/{k}", f"body {k // 2}") for k, x in enumerate(ids)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id string, url string, html string"), f"file://{tmp_path}/a")
+    got = warc.read_archive(spark, f"file://{tmp_path}/a", "string").collect()
+    assert sorted(map(repr, (r.page_id for r in got))) == sorted(map(repr, ids))
+    for r in got:
+        twins = [x for x, _, html in rows if warc.digest(html.encode()) == r.payload_digest and x is not None]
+        assert r.refers_to == (min(twins) if r.record_type == "revisit" else None)
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    """The whole chain on a small corpus: scores text by text, texts in a dictionary, all pairs of shingle sets, SQL for the
+    sample, and token ids taken together again."""
+    import corpus_pipeline
+    from noisetrack.llm import toxicity
+    from noisetrack.llm.common import read
+    from noisetrack.llm.tokens import ByteTokens
+
+    rnd = random.Random(4)
+    docs = read(spark, SF, "documents")
+    table = {r.doc_id: r.text or "" for r in docs.collect()}
+    plain_id = max(table)
+    more = []
+    for k, (i, text) in enumerate(list(table.items())[:30]):  # copies and near copies
+        words = text.split(" ")
+        if len(words) > 60:
+            words[rnd.randrange(len(words))] = "changed"
+        more.append((plain_id + 1 + 2 * k, " ".join(words)))
+        more.append((plain_id + 2 + 2 * k, text.upper() if text.isascii() else text))
+    extra = spark.createDataFrame([(i, t, "en", "extra", len(t)) for i, t in more], docs.schema)
+    docs.unionByName(extra).write.parquet(f"{tmp_path}/documents.parquet")
+    read(spark, SF, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, folder = spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)
+    table |= dict(more)
+    ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
+
+    model = toxicity.fit(docs, read(spark, SF, "labels"))
+    left = {i: t for i, t in table.items() if toxicity.Scorer(model).score(t.encode()) < 0.5}
+    steps = [f for _, f in corpus_pipeline.STAGES]
+    got = steps[0](spark, docs, folder)
+    assert ids(got) == set(left) < set(table)
+
+    lower = {}
+    for i, t in sorted(left.items()):
+        lower["".join(c.lower() if "A" <= c <= "Z" else c for c in t)] = i  # the largest id stays
+    left = {i: t for t, i in lower.items()}
+    got = steps[1](spark, got, folder)
+    assert ids(got) == set(left)
+
+    def shingles(text):
+        words = text.encode().split()
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)}
+
+    sets, root = {i: shingles(t) for i, t in left.items()}, {i: i for i in left}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    order = sorted(sets)
+    for x, i in enumerate(order):
+        for j in order[x + 1 :]:
+            a, b = sets[i], sets[j]
+            if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(a & b) >= 0.8 * len(a | b):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    left = {i: t for i, t in left.items() if find(i) == i}
+    got = steps[2](spark, got, folder)
+    assert ids(got) == set(left) < set(sets)
+
+    path = f"{tmp_path}/near.parquet"
+    got.coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({mixing.oracle()}) WHERE kept").fetchall()}
+    got = steps[3](spark, spark.read.parquet(path), folder)
+    assert ids(got) == kept < set(left)
+
+    tokens, pieces, rooms = ByteTokens(), {}, {}
+    for r in steps[4](spark, got, folder).collect():
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length))
+        rooms.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert r.doc_tokens == len(tokens.encode(table[r.doc_id])) + 1
+    assert set(pieces) == kept
+    for parts, total in [(p, len(tokens.encode(table[i])) + 1) for i, p in pieces.items()] + [(p, None) for p in rooms.values()]:
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        assert at == total if total is not None else at <= 2048
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from noisetrack.llm.common import read

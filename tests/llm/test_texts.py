@@ -86,15 +86,16 @@ def test_toxicity_learns_words_beginnings_and_misspellings(spark, odd):
     assert toxicity.score_documents(docs, empty).agg(F.max("score")).first()[0] == pytest.approx(0.1, abs=0.01)
 
 
-def test_a_full_lexicon_keeps_the_strongest_terms(spark, monkeypatch):
-    docs, labels = toxic_table(spark)
-    whole = toxicity.fit(docs, labels)
-    monkeypatch.setattr(toxicity, "MAX_TERMS", 2)
-    few = toxicity.fit(docs, labels)
-    assert len(few.terms) == 2 < len(whole.terms) and set(few.terms) <= set(whole.terms)
-    counts = {t: c[0][0] for t, c in zip(whole.terms, whole.counts, strict=True)}
-    assert min(counts[t] for t in few.terms) >= sorted(counts.values())[-3]
-    assert toxicity.Scorer(few).score(b"you scoundrel nitwit grobemona " * 3) > 0.5
+def test_a_lexicon_of_many_terms_is_whole(spark):
+    """No bound but that of the sample: hundreds of words that mark toxic rows are all terms, whatever their number."""
+    coined = [f"{a}{b}{c}{d}gor" for a in "bdfk" for b in "aeiou" for c in "lmnr" for d in "aeiou"]
+    rnd = random.Random(6)
+    rows = [(i, " ".join(["mona", "riko", "sevel", "tulip"] * 6 + ([*rnd.sample(coined, 60)] if i % 2 else []))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    automaton = toxicity.TermAutomaton(model.terms)
+    assert all(automaton.match(w) for w in coined) and not automaton.match("tulip")
 
 
 def test_score_equals_the_model_written_out(spark):
@@ -252,7 +253,7 @@ def slow_places(scanner, norm):
                 if abs(b - a - 1 - len(notice.text)) <= notice.errors:
                     m = scanner.pattern[number].fullmatch(norm[a + 1 : b])
                     words = norm[a : b + 1]
-                    if m and all(k in words for k in scanner.keys[number]) and all(k.search(words) for k in scanner.names[number]):
+                    if m and scanner.named(number, words):
                         out.add((number, a + 1, b, sum(m.fuzzy_counts)))
     return out
 
@@ -286,9 +287,10 @@ NEAR_MISSES = {
     "released under the BSD license": {"bsd"}, "released under the ISC license": {"isc"}, "released under the GPL license": set(), "released under the new license": set(),
     "licensed under the gnu general public license version 1": {"gpl"}, "licensed under the gnu general public license version 2": {"gpl-2"}, "gnu general public license version 3": {"gpl-3"},
     "gnu lesser general public license": {"lgpl"}, "apache license version 1 1": set(), "licensed under the Apache License, Version 1.1": set(), "licensed under the academic license version 2 0": set(),
+    "subject to the terms of the mozilla public license version 1 1": {"mpl"}, "subject to the terms of the Mozilla Public License, v. 2.0": {"mpl-2"}, "cc by na": set(), "cc by sa": set(),
     "licensed under cc by nd 4 0": {"cc-by-nd"}, "licensed under cc by nc sa 4 0": {"cc-by-nc", "cc-by-nc-sa"}, "overall rights reserved": set(), "unter der mit lizenz": set(), "apache license version 21": set(),
 }
-MISSPELLED = {"available under the mit licence": "mit", "distributed undr the mit license": "mit", "the apache licence version 2": "apache-2", "cc by n c": "cc-by-nc"}
+MISSPELLED = {"under the mitt license": "mit", "under the mti license": "mit", "under the mi license": "mit", "cc by ncx": "cc-by-nc", "ccby nc": "cc-by-nc", "c by nc": "cc-by-nc", "available under the mit licence": "mit", "distributed undr the mit license": "mit", "the apache licence version 2": "apache-2", "cc by n c": "cc-by-nc"}
 
 
 def test_near_misses_get_no_wrong_label_and_misspelled_phrases_theirs():
@@ -297,11 +299,41 @@ def test_near_misses_get_no_wrong_label_and_misspelled_phrases_theirs():
         assert set(filter(None, scanner.scan(text.encode())["labels"].split(","))) == want, text
     for text, want in MISSPELLED.items():
         got = scanner.scan(text.encode())
-        assert got["labels"] == want and got["score"] > 0.9 and got["n_base"] == 0, text
+        assert got["labels"] == want and got["score"] > 0.85 and got["n_base"] == 0, text
     both = scanner.scan(b" released undr the mit licence released under the mit license ")
     assert [(s["first_word"], s["last_word"], s["errors"]) for s in both["spans"]] == [(0, 4, 2), (5, 9, 0)]
 
 
+def osa(a, b):
+    """Edits from one to the other, neighbours in the wrong order being one."""
+    d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+    for i in range(len(a)):
+        for j in range(len(b)):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i] != b[j]))
+            if i and j and a[i] == b[j - 1] and a[i - 1] == b[j]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a) - 1, len(b) - 1]
+
+
+@pytest.mark.parametrize("phrase,others", [("under the mit license", ["bsd", "isc", "gpl"]), ("apache license version 2", []), ("cc by nc", ["nd", "sa"])])
+def test_recall_of_misspelled_phrases(phrase, others):
+    """One edited letter anywhere; where another name is as near, or a version changes, no label is right."""
+    rnd, scanner = random.Random(2), licenses.Scanner(licenses.PHRASES, licenses.NOTICES)
+    name = {"under the mit license": "mit", "apache license version 2": "2", "cc by nc": "nc"}[phrase]
+    at, letters, found, clear = phrase.index(name), "abcdefghijklmnopqrstuvwxyz", 0, 0
+    for _ in range(600):
+        k, kind = rnd.choice([i for i, c in enumerate(phrase) if c != " "]), rnd.randrange(3)
+        text = phrase[:k] + ("", rnd.choice(letters), rnd.choice(letters) + phrase[k])[kind] + phrase[k + 1 :]
+        if text == phrase:
+            continue
+        slot = text[at : len(text) - (len(phrase) - at - len(name))]  # what became of the name, if the edit is not before it
+        if k >= at and (name == "2" or any(osa(slot, x) <= osa(slot, name) for x in others)):
+            continue
+        clear += 1
+        found += licenses.PHRASES[phrase] in scanner.scan(f"lorem {text} ipsum".encode())["labels"].split(",")
+    assert clear > 300 and found >= 0.95 * clear, (found, clear)
+
+
 def test_base_places_equal_brute_force(documents):
     rnd = random.Random(5)
     parts = ["under", "the", "mit", "license", "MIT", "apache", "License", "version", "2", "cc", "by", "nc", "under the mit license", "Apache License, Version 2", "cc-by-nc", "é", "_", "\n", "x2"]
