@@ -16,8 +16,8 @@ def get_session(app: str = "noisetrack", **conf: str) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's checkpoint folder; a local session without one (tests) gets a folder of its own, which a
-    cluster's executors would not see."""
+    """A new folder in this application's part of the cluster's checkpoint folder, which Hadoop deletes when the driver ends; a
+    local session without a checkpoint folder (tests) gets a folder of its own, which a cluster's executors would not see."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
@@ -25,7 +25,17 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    home = f"{root.rstrip('/')}/noisetrack-{context.applicationId}"
+    if home not in _HOMES:
+        place = spark._jvm.org.apache.hadoop.fs.Path(home)
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+        _HOMES.add(home)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
+
+
+_HOMES: set[str] = set()
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:
