@@ -24,7 +24,7 @@ def gate_join(events: DataFrame, states: DataFrame, cells: bool | None = None) -
     air = states.where(~F.coalesce("on_ground", F.lit(False)) & F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("baro_altitude_m").isNotNull())
     limit, track, near_ = Near(HORIZONTAL_KM, PLACE_S), None, None
     if cells is None and spread(air, limit):
-        track = materialised(tracked(air), "gate-tracks")
+        track = materialised(tracked(air, BRACKET_S), "gate-tracks")
         cells = pays(track, BRACKET_S, limit)
     if cells:
         near_ = limit

@@ -134,12 +134,22 @@ def spatio_temporal_join(
 STATE_COLUMNS = ("latitude", "longitude", "baro_altitude_m", "velocity_m_s", "heading_deg", "vertical_rate_m_s", "callsign", "snapshot_ts")
 
 
-def tracked(states: DataFrame) -> DataFrame:
+CUT_S = 86_400
+
+
+def tracked(states: DataFrame, tol: float, cut_s: int = CUT_S) -> DataFrame:
     """icao24, snapshot_ts, the state ``s``, its aircraft's next one ``z`` and the time of the one before.  States are unique by
-    aircraft and snapshot."""
-    track = Window.partitionBy("icao24").orderBy("snapshot_ts")
-    state = F.struct(*STATE_COLUMNS)
-    return states.select("icao24", "snapshot_ts", state.alias("s"), F.lead(state).over(track).alias("z"), F.lag("snapshot_ts").over(track).alias("prev_ts"))
+    aircraft and snapshot.
+
+    Tracks are cut into days, so that no task has an aircraft's whole history; states near an edge are in both days.  So what
+    lies more than 2 * ``tol`` away may be missing, which no window of ``tol`` around an event can tell."""
+    ts, state = F.col("snapshot_ts"), F.struct(*STATE_COLUMNS)
+    day = lambda t: F.floor(t / cut_s).cast("long")
+    days = F.sequence(day(ts - 2 * tol), day(ts + 2 * tol))
+    rows = states.select("icao24", "snapshot_ts", state.alias("s"), F.explode(days).alias("_day"))
+    track = Window.partitionBy("icao24", "_day").orderBy("snapshot_ts")
+    out = rows.withColumns({"z": F.lead("s").over(track), "prev_ts": F.lag("snapshot_ts").over(track)})
+    return out.where(F.col("_day") == day(ts)).drop("_day")
 
 
 @dataclass(frozen=True)
@@ -204,7 +214,7 @@ def candidates(events: DataFrame, states: DataFrame, tol: float, time: str = "ma
     near: pairs that can't be that near are left out; some that aren't stay, and a pair may be there in several cells
     (``_cell``), of which ``in_own_cell`` takes the one where the aircraft is.  events then have st_lat and st_lon.  track: the
     ``tracked`` states, where they are there already."""
-    track = tracked(states) if track is None else track
+    track = tracked(states, tol) if track is None else track
     times = events.select("event_id", F.col(time).cast("double").alias("_t"), *keep)
     if near is None:
         pairs = interval_join(times, track, "_t", "snapshot_ts", tol).withColumn("_cell", F.lit(None).cast("struct<y:bigint,x:bigint>"))
@@ -266,9 +276,8 @@ def candidate_counts(events: DataFrame, states: DataFrame, tol: float, time: str
 
     An aircraft counts by its first snapshot in the window: one whose previous snapshot lies before the window.  So snapshots
     are counted by their time and that of the aircraft's previous one (nothing beyond the width of a window), and an event
-    meets these counts, whose number does not grow with the traffic."""
-    before = F.lag("snapshot_ts").over(Window.partitionBy("icao24").orderBy("snapshot_ts"))
-    rows = states.select("snapshot_ts", before.alias("prev_ts"))
+    meets these counts, whose number does not grow with the traffic.  states: as they are, or ``tracked``."""
+    rows = states if "prev_ts" in states.columns else tracked(states, tol)
     recent = F.when(F.col("snapshot_ts") - F.col("prev_ts") <= 2 * tol, F.col("prev_ts"))
     counts = rows.groupBy("snapshot_ts", recent.alias("prev_ts")).agg(F.count("*").alias("n"))
     met = interval_join(events.select("event_id", F.col(time).cast("double").alias("_t")), counts, "_t", "snapshot_ts", tol)
@@ -303,12 +312,12 @@ def build_pairs(events: DataFrame, states: DataFrame, tol: float = 45.0, rings:
     if rings is None:
         rings = RINGS_KM if spread(states, Near(RINGS_KM[0], tol)) else ()
         if rings:
-            track = materialised(tracked(states), "tracks")
+            track = materialised(tracked(states, tol), "tracks")
             rings = tuple(takewhile(lambda km: pays(track, tol, Near(km, tol)), rings))
     if not rings:
         best = placed(events, None, track).groupBy("event_id").agg(least, F.count("*").alias("n"))
     else:
-        track = materialised(tracked(states), "tracks") if track is None else track
+        track = materialised(tracked(states, tol), "tracks") if track is None else track
         counts = materialised(candidate_counts(events, track, tol), "candidate-counts")
         left, done = events.join(counts, "event_id").select("event_id", "max_ts_unix", *keep), []
         for ring in (*rings, None):

@@ -55,7 +55,7 @@ def test_cells_leave_fewer_pairs_where_traffic_is_spread(spark):
     rnd = random.Random(1)
     ev = spark.createDataFrame([(i, "S", rnd.uniform(45, 50), rnd.uniform(0, 5), 70.0, 1000.0) for i in range(50)], EVENTS)
     air = states(spark, *[state(str(k), 990, rnd.uniform(40, 55), rnd.uniform(-5, 10)) for k in range(3000)])
-    near, track = joins.Near(10.0, 45.0), joins.tracked(air)
+    near, track = joins.Near(10.0, 45.0), joins.tracked(air, 45.0)
     assert joins.pays(track, 45.0, near) and not joins.pays(track, 45.0, joins.Near(900.0, 45.0))
     keep = ("st_lat", "st_lon")
     assert joins.candidates(ev, air, 45.0, keep=keep, near=near).count() * 50 < joins.candidates(ev, air, 45.0, keep=keep).count()
@@ -81,3 +81,10 @@ def test_bounds_are_subqueries(spark, tmp_path):
     assert "scalar-subquery" in inside._jdf.queryExecution().optimizedPlan().toString()
     assert read == 100  # of ten files one has rows between the bounds
     assert joins.events_in_window(events, states(spark)).count() == 0
+
+
+def test_cut_tracks_give_the_candidates_of_whole_ones(spark):
+    ev, st = world(11, 48.9, 250.0)
+    events, air = spark.createDataFrame(ev, EVENTS), states(spark, *st)
+    found = [sorted(repr(r) for r in joins.candidates(events, air, 45.0, track=joins.tracked(air, 45.0, cut_s=c)).collect()) for c in (70, 300, 10**9)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100

@@ -163,3 +163,17 @@ def test_sketches_merge(spark):
     counts = cube.distinct_cube(cube.distinct_parts(df.withColumn("x", F.col("x").cast("string")), ["g", "day"], "x"), ["g", "day"]).collect()
     exact = {(r.g, r.day): r.n for r in df.cube("g", "day").agg(F.countDistinct("x").alias("n")).collect()}
     assert len(counts) == len(exact) == 164 and all(abs(r.n - exact[r.g, r.day]) <= cube.DISTINCT_ERROR * exact[r.g, r.day] for r in counts)
+
+
+def test_a_continuous_run_takes_what_comes(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "zone")
+    rows(spark, ("a", 1000, 1.0)).write.parquet(source)
+    query = jobs.ingest(jobs.read_landing(spark, source, STATE), root, str(tmp_path / "checkpoint"), every="1 second")
+    try:
+        query.processAllAvailable()
+        assert ids(landing.read_states(spark, root)) == [("a", 1000)]
+        rows(spark, ("b", 1030, 1.0)).write.mode("append").parquet(source)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert ids(landing.read_states(spark, root)) == [("a", 1000), ("b", 1030)]
