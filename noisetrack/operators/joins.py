@@ -106,18 +106,22 @@ def spatio_temporal_join(
 ) -> DataFrame:
     """``noise`` (st_lat, st_lon, a time in seconds and a unique ``key``) with seven features of the aircraft near in space
     and time; all zero, or null without ``fill``, where there is none."""
-    grid = Grid(radius_km)
+    grid, axes = Grid(radius_km), ("x", "y", "z")
     lat, lon = F.col("st_lat"), F.col("st_lon")
-    probe = noise.select(key, F.col(noise_time).cast("double").alias("_t"), "st_lat", "st_lon", F.explode(F.sequence(grid.y(lat) - 1, grid.y(lat) + 1)).alias("_y"))
-    probe = probe.withColumn("_x", F.explode(grid.around(lon, grid.columns(F.col("_y"))))).withColumn("_bin", bins_around(F.col("_t"), window_s))
+    vector = lambda side, lat, lon: {f"_{side}{axis}": c for axis, c in zip(axes, geo.unit_vector(lat, lon), strict=True)}
+    probe = noise.select(key, F.col(noise_time).cast("double").alias("_t"), "st_lat", "st_lon").withColumns(vector("u", lat, lon))
+    probe = probe.withColumn("_y", F.explode(F.sequence(grid.y(lat) - 1, grid.y(lat) + 1)))
+    probe = probe.withColumn("_x", F.explode(grid.around(lon, grid.columns(F.col("_y"))))).withColumn("_bin", bins_around(F.col("_t"), window_s)).drop("st_lat", "st_lon")
     build = states.select(
         F.col(state_time).cast("double").alias("_st"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), "baro_altitude_m", "velocity_m_s"
     )
-    build = build.withColumns({"_bin": bin_of(F.col("_st"), 2 * window_s), "_y": grid.y(F.col("_lat"))}).withColumn("_x", grid.x(F.col("_lon"), grid.columns(F.col("_y"))))
-    pairs = probe.join(build, ["_bin", "_y", "_x"]).where(F.abs(F.col("_st") - F.col("_t")) <= window_s)
-    # inline() keeps Spark from putting the distance into the filter too, which would compute it twice.
-    distance = F.struct(geo.haversine_km(F.col("st_lat"), F.col("st_lon"), F.col("_lat"), F.col("_lon")).alias("_d"))
-    pairs = pairs.select(key, "baro_altitude_m", "velocity_m_s", F.inline(F.array(distance))).where(F.col("_d") <= radius_km)
+    build = build.withColumns({"_bin": bin_of(F.col("_st"), 2 * window_s), "_y": grid.y(F.col("_lat"))} | vector("v", F.col("_lat"), F.col("_lon")))
+    build = build.withColumn("_x", grid.x(F.col("_lon"), grid.columns(F.col("_y")))).drop("_lat", "_lon")
+    # Of a pair only a chord is computed, from vectors made once a row; what passes (a little more than the circle) gets its distance.
+    chord = geo.squared_chord(*(tuple(F.col(f"_{side}{axis}") for axis in axes) for side in "uv"))
+    longest = (2 * math.sin(min(math.pi / 2, radius_km / 2 / geo.EARTH_KM))) ** 2 * (1 + 1e-9) + 1e-15
+    pairs = probe.join(build, ["_bin", "_y", "_x"]).where((F.abs(F.col("_st") - F.col("_t")) <= window_s) & (chord <= longest))
+    pairs = once(pairs.select(key, "baro_altitude_m", "velocity_m_s", chord.alias("_c")), _d=geo.chord_km(F.col("_c"))).where(F.col("_d") <= radius_km)
     features = pairs.groupBy(key).agg(
         F.count("*").alias("num_aircraft"),
         F.count_if(F.col("_d") <= close_km).alias("num_close_aircraft"),

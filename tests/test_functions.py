@@ -15,6 +15,15 @@ def lit(*values):
     return [F.lit(float(v)) for v in values]
 
 
+def test_chord_equals_haversine(spark):
+    """At the same place, very near, over the antimeridian, at a pole and far away; a null stays one."""
+    rows = [(48.7, 2.2, 48.7, 2.2), (48.7, 2.2, 48.7000001, 2.2), (48.7, 2.2, 48.88, 2.2), (0.0, 179.99, 0.0, -179.99), (89.95, 10.0, 89.95, -170.0), (-60.0, 5.0, 20.0, 40.0), (1.0, 1.0, None, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    chord = geo.chord_km(geo.squared_chord(geo.unit_vector(F.col("a"), F.col("b")), geo.unit_vector(F.col("c"), F.col("d"))))
+    for r in df.select(chord.alias("x"), geo.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("y")).collect():
+        assert (r.x is None) == (r.y is None) and (r.x is None or abs(r.x - r.y) < 1e-8)
+
+
 def test_haversine_known_distance(spark):
     r = one(spark, km=geo.haversine_km(*lit(48.8566, 2.3522, 49.0097, 2.5479)), m=geo.haversine_m(*lit(48.8566, 2.3522, 49.0097, 2.5479)))
     assert 20 < r.km < 26 and r.m == pytest.approx(r.km * 1000)
