@@ -88,3 +88,34 @@ def test_cut_tracks_give_the_candidates_of_whole_ones(spark):
     events, air = spark.createDataFrame(ev, EVENTS), states(spark, *st)
     found = [sorted(repr(r) for r in joins.candidates(events, air, 45.0, track=joins.tracked(air, 45.0, cut_s=c)).collect()) for c in (70, 300, 10**9)]
     assert found[0] == found[1] == found[2] and len(found[0]) > 100
+
+
+def dense(spark):
+    """400 aircraft, some in one place, and 60 events of two stations at two times."""
+    rnd = random.Random(5)
+    at = [(rnd.uniform(48.6, 49.1), rnd.uniform(2.2, 2.6), rnd.choice([0.0, 600.0, 3000.0])) for _ in range(300)]
+    air = states(spark, *[state(f"c{k}", 1000 + k % 2, *at[k % 300][:2], alt=at[k % 300][2], vel=0.0) for k in range(400)])
+    ev = [(i, "S", 48.8 + 0.1 * (i % 2), 2.4, 60.0 + i, 1000.0 + 5 * (i % 4 // 2)) for i in range(60)]
+    slants = {(e[2], e[5]): sorted((math.hypot(kilometres(e[2], e[3], at[k % 300][0], at[k % 300][1]), at[k % 300][2] / 1000), f"c{k}", kilometres(e[2], e[3], *at[k % 300][:2])) for k in range(400)) for e in ev}
+    return ev, spark.createDataFrame(ev, EVENTS), air, slants
+
+
+def test_events_of_one_time_and_place_are_one_search_and_few_pairs_are_sorted(spark):
+    ev, events, air, slants = dense(spark)
+    asking = joins.askers(events)
+    assert asking.count() == len(slants) == 4
+    kept = joins.placed_nearest(asking, air, 45.0, joins.tracked(air, 45.0)).count()
+    assert 4 <= kept < 4 * 400 / 8 < 60 * 400
+    got = {r.event_id: r for r in joins.build_pairs(events, air).collect()}
+    assert len(got) == 60
+    for e in ev:
+        slant, icao, _ = slants[e[2], e[5]][0]
+        r = got[e[0]]
+        assert (r.icao24, r.n_candidates, r.max_laeq) == (icao, 400, e[4]) and r.slant_km == pytest.approx(slant, abs=6e-4)
+
+
+def test_events_without_a_place_or_time_stay(spark):
+    air = states(spark, state("a", 1000, 49.0, 2.5))
+    ev = spark.createDataFrame([(1, "S", None, 2.5, 70.0, 1000.0), (2, "S", 49.0, 2.5, 70.0, None), (3, "S", None, 2.5, 71.0, 1000.0)], EVENTS)
+    got = {r.event_id: (r.icao24, r.n_candidates, r.max_laeq) for r in joins.build_pairs(ev, air).collect()}
+    assert got == {1: (None, 1, 70.0), 2: (None, 0, 70.0), 3: (None, 1, 71.0)}
