@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from noisetrack.functions import geo
 from noisetrack.functions.stats import pearson, spearman
-from noisetrack.operators.joins import STATE_COLUMNS, Near, asof_nearest, between, candidates, events_in_window, in_own_cell, interval_join, nearest, pays, peak_samples, spread, tracked
+from noisetrack.operators.joins import (
+    STATE_COLUMNS, Near, answered, askers, asof_nearest, between, candidates, each_asker, events_in_window, in_own_cell, interval_join, moments, nearest, once, pays, peak_samples, spread, tracked,
+    within_latitude,
+)
 from noisetrack.session import materialised
 
 PLACE_S, BRACKET_S, HORIZONTAL_KM, SLANT_KM, MARGIN_KM = 15.0, 35.0, 12.0, 10.0, 3.0
@@ -15,20 +18,20 @@ PLACE_S, BRACKET_S, HORIZONTAL_KM, SLANT_KM, MARGIN_KM = 15.0, 35.0, 12.0, 10.0,
 
 def gate_join(events: DataFrame, states: DataFrame, cells: bool | None = None) -> DataFrame:
     """Events in the states' time window with the nearest aircraft and a status: clean (near and alone), ambiguous (near),
-    far, no_candidate or no_snapshot.
+    far, no_candidate or no_snapshot.  Events of one time and place are one question.
 
     cells: whether the limit in space is part of the join's key; unless stated, where it pays."""
-    # Read four times below: cleaned once.
+    # Read several times below: cleaned once.
     states = materialised(states.select("icao24", *STATE_COLUMNS, "on_ground"), "gate-states")
     inside = events_in_window(events, states)
     air = states.where(~F.coalesce("on_ground", F.lit(False)) & F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("baro_altitude_m").isNotNull())
-    limit, track, near_ = Near(HORIZONTAL_KM, PLACE_S), None, None
-    if cells is None and spread(air, limit):
-        track = materialised(tracked(air, BRACKET_S), "gate-tracks")
-        cells = pays(track, BRACKET_S, limit)
+    limit, near_ = Near(HORIZONTAL_KM, PLACE_S), None
+    track = materialised(tracked(air, BRACKET_S), "gate-tracks")
+    if cells is None:
+        cells = spread(air, limit) and pays(track, BRACKET_S, limit)
     if cells:
         near_ = limit
-    found = candidates(inside, air, BRACKET_S, keep=("st_lat", "st_lon"), near=near_, track=track)
+    asking = askers(inside)
     dt, gap = F.col("_t") - nearest("snapshot_ts"), F.col("z.snapshot_ts") - F.col("s.snapshot_ts")
     on_spot = F.col("_t") == F.col("s.snapshot_ts")
     bracket = (gap <= BRACKET_S) & (F.col("_t") - F.col("s.snapshot_ts") <= PLACE_S) & (F.col("z.snapshot_ts") - F.col("_t") <= PLACE_S)
@@ -39,28 +42,43 @@ def gate_join(events: DataFrame, states: DataFrame, cells: bool | None = None) -
     def place(field: str, reckoned):
         return F.when(F.col("method") == "bracket", between(field)).when(F.col("method") == "deadreckon", reckoned).otherwise(nearest(field))
 
-    placed = found.withColumn("method", method).where(F.col("method").isNotNull())
     place_ = F.struct(place("latitude", lat2).alias("lat"), place("longitude", lon2).alias("lon"), place("baro_altitude_m", nearest("baro_altitude_m")).alias("alt"))
-    # inline() keeps Spark from putting the whole expression into the filter below, once for each use.
-    placed = placed.select("event_id", "icao24", "method", "st_lat", "st_lon", "_cell", F.inline(F.array(place_)))
-    placed = placed.where(in_own_cell(limit)) if near_ else placed
-    placed = placed.select("*", F.inline(F.array(F.struct(geo.haversine_m(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon")).alias("horiz"))))).where(F.col("horiz") / 1000 <= HORIZONTAL_KM)
-    placed = placed.withColumn("slant", F.sqrt(F.col("horiz") * F.col("horiz") + F.col("alt") * F.col("alt")) / 1000)
+
+    def placed(left, most=None):
+        """Aircraft within the limit with ``horiz`` in metres and ``slant``; no farther than ``most`` where that is not null."""
+        keep = ("st_lat", "st_lon", *([most] if most else []))
+        if near_:
+            found = candidates(left, air, BRACKET_S, keep=keep, near=near_, track=track)
+        else:
+            found = candidates(moments(left, *keep[2:]), air, BRACKET_S, keep=("_asking",), track=track)
+        found = found.withColumn("method", method).where(F.col("method").isNotNull())
+        # inline() keeps Spark from putting the whole expression into the filter below, once for each use.
+        out = found.select("event_id", "icao24", "method", "_cell", *(keep if near_ else ("_asking",)), F.inline(F.array(place_)))
+        out = out.where(in_own_cell(limit)) if near_ else each_asker(out)
+        out = out.where(within_latitude(F.least(F.lit(HORIZONTAL_KM), most) if most else F.lit(HORIZONTAL_KM)))
+        out = once(out, horiz=geo.haversine_m(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon"))).where(F.col("horiz") / 1000 <= HORIZONTAL_KM)
+        out = once(out, slant=F.sqrt(F.col("horiz") * F.col("horiz") + F.col("alt") * F.col("alt")) / 1000)
+        return out.where(F.col(most).isNull() | (F.col("slant") <= F.col(most))) if most else out
+
+    # Pairs are counted as numbers, which takes no sort.  The farther one of the nearest of two halves of the aircraft is no
+    # nearer than the second nearest of all, so a second look keeps the first two and a few more.
+    half = F.pmod(F.xxhash64("icao24"), F.lit(2))
+    seen = placed(asking).groupBy("event_id").agg(F.count("*").alias("n_cand"), F.min(F.when(half == 0, F.col("slant"))).alias("_a"), F.min(F.when(half == 1, F.col("slant"))).alias("_b"))
+    seen = materialised(seen.select("event_id", "n_cand", F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), F.greatest("_a", "_b")).alias("_most")), "gate-counts")
     row = F.struct(
         "slant", "icao24", (F.col("horiz") / 1000).alias("horiz"), "alt", "method",
         geo.bearing_deg(F.col("st_lat"), F.col("st_lon"), F.col("lat"), F.col("lon")).alias("bearing"), geo.elevation_deg(F.col("horiz"), F.col("alt")).alias("elevation"),
     )
-    # Nearest, second nearest and number of an event's candidates in one pass over them.
-    by = Window.partitionBy("event_id")
-    order = by.orderBy("slant", "icao24")
-    ranked = placed.select("event_id", row.alias("x"), F.count("*").over(by).alias("n_cand"), F.lead("slant").over(order).alias("second_slant_km"), F.row_number().over(order).alias("_rank"))
-    first = ranked.where("_rank = 1").drop("_rank")
+    order = Window.partitionBy("event_id").orderBy("slant", "icao24")
+    few = placed(asking.join(seen.select("event_id", "_most"), "event_id"), most="_most")
+    ranked = few.select("event_id", row.alias("x"), F.lead("slant").over(order).alias("second_slant_km"), F.row_number().over(order).alias("_rank"))
+    first = ranked.where("_rank = 1").drop("_rank").join(seen.select("event_id", "n_cand"), "event_id")
     # The callsign that the nearest aircraft showed last.
-    won = first.select("event_id", F.col("x.icao24").alias("icao24")).join(inside.select("event_id", F.col("max_ts_unix").alias("_t")), "event_id")
+    won = first.select("event_id", F.col("x.icao24").alias("icao24")).join(asking.select("event_id", F.col("max_ts_unix").alias("_t")), "event_id")
     shown = interval_join(won, air.select("icao24", "snapshot_ts", "callsign"), "_t", "snapshot_ts", BRACKET_S, ("icao24",))
     first = first.join(shown.groupBy("event_id").agg(F.max_by("callsign", "snapshot_ts").alias("callsign")), "event_id")
-    nearby = asof_nearest(inside, states, BRACKET_S).select("event_id", "gap_s")
-    out = inside.join(nearby, "event_id").join(first, "event_id", "left")
+    nearby = asof_nearest(asking, states, BRACKET_S).select("event_id", "gap_s")
+    out = answered(inside, asking.join(nearby, "event_id").join(first, "event_id", "left"))
     near, alone = F.col("x.slant") <= SLANT_KM, F.col("second_slant_km").isNull() | (F.col("second_slant_km") - F.col("x.slant") >= MARGIN_KM)
     status = F.when(F.col("gap_s").isNull(), "no_snapshot").when(F.col("x").isNull(), "no_candidate").when(near & alone, "clean").when(near, "ambiguous").otherwise("far")
     return out.select(

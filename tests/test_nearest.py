@@ -119,3 +119,16 @@ def test_events_without_a_place_or_time_stay(spark):
     ev = spark.createDataFrame([(1, "S", None, 2.5, 70.0, 1000.0), (2, "S", 49.0, 2.5, 70.0, None), (3, "S", None, 2.5, 71.0, 1000.0)], EVENTS)
     got = {r.event_id: (r.icao24, r.n_candidates, r.max_laeq) for r in joins.build_pairs(ev, air).collect()}
     assert got == {1: (None, 1, 70.0), 2: (None, 0, 70.0), 3: (None, 1, 71.0)}
+
+
+def test_gate_counts_all_and_ranks_few(spark):
+    ev, events, air, slants = dense(spark)
+    got = {r.event_id: r for r in gate.gate_join(events, air).collect()}
+    inside = {e[0] for e in ev if e[5] <= 1001}
+    assert set(got) == inside
+    for e in ev:
+        if e[0] in inside:
+            near = [s for s in slants[e[2], e[5]] if s[2] <= 12]
+            r = got[e[0]]
+            assert (r.m_icao24, r.n_cand, r.max_laeq) == (near[0][1], len(near), e[4])
+            assert r.m_slant_km == pytest.approx(near[0][0]) and r.second_slant_km == pytest.approx(near[1][0])
