@@ -132,3 +132,23 @@ def test_gate_counts_all_and_ranks_few(spark):
             r = got[e[0]]
             assert (r.m_icao24, r.n_cand, r.max_laeq) == (near[0][1], len(near), e[4])
             assert r.m_slant_km == pytest.approx(near[0][0]) and r.second_slant_km == pytest.approx(near[1][0])
+
+
+def test_stations_share_distances(spark):
+    """Features of two stations' dense measurements against plain loops; null speeds and a place that is missing."""
+    rnd = random.Random(9)
+    ev = [(i, "S", (48.8, 48.9, None)[i % 3], 2.4, 70.0, float(rnd.randint(0, 1500))) for i in range(150)]
+    st = [state(str(i), rnd.randint(0, 1500), rnd.uniform(48.5, 49.2), rnd.uniform(2.0, 2.8), alt=rnd.choice([None, 100.0, 700.0]), vel=rnd.choice([None, 90.0, 120.0])) for i in range(200)]
+    events = spark.createDataFrame(ev, EVENTS).withColumn("t", F.col("max_ts_unix"))
+    binned = events.withColumn("_bin", joins.bins_around(F.col("t"), 300.0))
+    assert joins.shared(binned, "_bin", "st_lat", "st_lon") and not joins.shared(binned, "_bin", "event_id")
+    got = {r.event_id: r for r in joins.spatio_temporal_join(events, states(spark, *st), fill=False).collect()}
+    assert len(got) == 150
+    mean = lambda xs: sum(xs) / len(xs) if xs else None
+    for e in ev:
+        near = [(kilometres(e[2], e[3], s[6], s[5]), s[7], s[8]) for s in st if e[2] is not None and abs(s[13] - e[5]) <= 300]
+        near = [x for x in near if x[0] <= 20]
+        heights, speeds, r = [h for _, h, _ in near if h is not None], [v for _, _, v in near if v is not None], got[e[0]]
+        assert (r.num_aircraft or 0, r.num_close_aircraft or 0) == (len(near), sum(d <= 5 for d, _, _ in near))
+        want = (mean(heights), min(heights, default=None), mean(speeds), min((d for d, _, _ in near), default=None), mean([d for d, _, _ in near]))
+        assert (r.avg_altitude_m, r.min_altitude_m, r.avg_velocity_m_s, r.min_distance_km, r.avg_distance_km) == pytest.approx(want)
