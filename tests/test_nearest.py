@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from noisetrack.operators import gate, joins
+from noisetrack.operators import cube, gate, joins
 from test_operators import EVENTS, kilometres, state, states
 
 
@@ -152,3 +152,23 @@ def test_stations_share_distances(spark):
         assert (r.num_aircraft or 0, r.num_close_aircraft or 0) == (len(near), sum(d <= 5 for d, _, _ in near))
         want = (mean(heights), min(heights, default=None), mean(speeds), min((d for d, _, _ in near), default=None), mean([d for d, _, _ in near]))
         assert (r.avg_altitude_m, r.min_altitude_m, r.avg_velocity_m_s, r.min_distance_km, r.avg_distance_km) == pytest.approx(want)
+
+
+def test_peaks_and_levels_of_shared_times_equal_plain_loops(spark):
+    rnd = random.Random(4)
+    ev = [(i, rnd.choice("AB"), (48.8, 48.9)[i % 2], 2.4, 70.0, float(rnd.randint(0, 60))) for i in range(80)]
+    events = spark.createDataFrame(ev, EVENTS)
+    heard = [(rnd.choice("AB"), rnd.randint(0, 60), rnd.choice([None, 50.0, 60.0, 70.0]), float(k), 1.0, rnd.random() < 0.8) for k in range(200)]
+    samples = spark.createDataFrame(heard, "station string, sample_t long, leq double, azimuth double, elevation double, valid boolean")
+    got = {r.event_id: (r.leq, r.azimuth, r.sample_t, r.n_samples) for r in joins.peak_samples(events, samples, 8.0).collect()}
+    for e in ev:
+        near = [s for s in heard if s[0] == e[1] and abs(s[1] - e[5]) <= 8 and s[5] and s[2] is not None]
+        best = max(near, key=lambda s: (s[2], -s[1], s[3]), default=None)
+        assert got.get(e[0]) == (best and (best[2], best[3], best[1], len(near)))
+    st = [(30 * rnd.randint(0, 3), rnd.uniform(48.6, 49.0), 2.4, rnd.choice([0.0, 500.0, 900.0])) for _ in range(90)]
+    air = spark.createDataFrame(st, "snapshot_ts long, latitude double, longitude double, altitude_m double")
+    asked = events.select("event_id", "st_lat", "st_lon", F.col("max_ts_unix").alias("t"), F.lit(44.0).alias("ambient_db"))
+    levels = {r.event_id: (r.level_db, r.max_level_db) for r in cube.physics_level_of(asked, air, 20.0, 800.0).collect()}
+    for e in ev:
+        each = [(139 if s[3] > 800 else 132) - 8 - 20 * math.log10(max(50.0, 1000 * math.hypot(kilometres(e[2], e[3], s[1], s[2]), s[3] / 1000))) for s in st if abs(s[0] - e[5]) <= 20]
+        assert levels.get(e[0]) == (pytest.approx((10 * math.log10(sum(10 ** (x / 10) for x in [*each, 44.0])), max(each))) if each else None)
