@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noisetrack.ml import boosting
@@ -20,7 +22,7 @@ from noisetrack.ml.boosting import Boosting
 from noisetrack.ml.features import CATEGORICAL, NUMERIC, TARGET
 
 FOLDS, MIN_ROWS, SEED = 5, 50, 42
-ROWS_A_TASK, FITS_AT_ONCE, LEVEL_DB = 50_000, 8, 0.1
+ROWS_A_TASK, FITS_AT_ONCE, LEVEL_DB, ROWS_AT_ONCE = 50_000, 8, 0.1, 256
 
 
 def preprocessing(columns: list[str]) -> list:
@@ -171,15 +173,36 @@ def predict_with_interval(train: DataFrame, rows: DataFrame, key: str = "event_i
     or nothing.  The bounds are quantiles of the training levels under these weights: pooled over the trees, one quantile of
     all; where the prediction (a mean, which a few high levels in a leaf can lift above the upper quantile) lies outside, the
     bound is moved to it, so that lower <= prediction <= upper.  Levels are counted by leaf in steps of ``LEVEL_DB``, so that a leaf has no more entries than there are steps,
-    however many rows fall into it."""
+    however many rows fall into it: these counts are the model, which each task gets whole (``trees`` times 2 ** ``depth`` leaves
+    at most), and a row's weights are added up where the row is."""
     forest = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=5, seed=SEED, featuresCol="features", labelCol=TARGET, leafCol="leaves")
     model = fit(train, forest)
-    leaves = model.transform(train).select(F.round(F.col(TARGET) / LEVEL_DB).cast("long").alias("step"), F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
-    counts = leaves.groupBy("tree", "leaf", "step").agg(F.count("*").alias("n"))
-    share = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("tree", "leaf")) / trees).drop("n")
-    mine = model.transform(rows).select(key, TARGET, "prediction", F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
-    pooled = mine.join(share, ["tree", "leaf"]).groupBy(key, TARGET, "prediction", "step").agg(F.sum("share").alias("share"))
-    upto = F.sum("share").over(Window.partitionBy(key, TARGET, "prediction").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bound = lambda q: F.min(F.when(F.col("upto") >= q - 1e-9, F.col("step"))) * LEVEL_DB
-    out = pooled.withColumn("upto", upto).groupBy(key, TARGET, "prediction").agg(bound(low).alias("lower"), bound(high).alias("upper"))
-    return out.withColumns({"lower": F.least("lower", "prediction"), "upper": F.greatest("upper", "prediction")})
+    leaves = model.transform(train).select(F.round(F.col(TARGET) / LEVEL_DB).cast("int").alias("step"), F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
+    counts = leaves.where("step IS NOT NULL").groupBy("tree", F.col("leaf").cast("int").alias("leaf"), "step").agg(F.count("*").alias("n")).toArrow()
+    tree, leaf, step, n = (counts[c].to_numpy() for c in ("tree", "leaf", "step", "n"))
+    first, width = int(step.min()), int(leaf.max()) + 1
+    known, at = np.unique(tree * width + leaf, return_inverse=True)
+    weight = np.zeros((len(known), int(step.max()) - first + 1))
+    weight[at, step - first] = n
+    weight = np.cumsum(weight, axis=1) / weight.sum(axis=1, keepdims=True) / trees
+    shared = rows.sparkSession.sparkContext.broadcast((known, weight))
+
+    def bounds(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weight = shared.value
+        for batch in it:
+            place = np.searchsorted(known, np.array(batch["leaves"].flatten().to_numpy(), dtype=np.int64).reshape(len(batch), trees) + np.arange(trees) * width)
+            found = np.empty((2, len(batch)))
+            for start in range(0, len(batch), ROWS_AT_ONCE):
+                part = place[start : start + ROWS_AT_ONCE]
+                upto = np.zeros((len(part), weight.shape[1]))
+                for t in range(trees):
+                    upto += weight[part[:, t]]
+                for k, q in enumerate((low, high)):
+                    found[k, start : start + len(part)] = (first + np.argmax(upto >= q - 1e-9, axis=1)) * LEVEL_DB
+            prediction = batch["prediction"].to_numpy()
+            lower, upper = np.minimum(found[0], prediction), np.maximum(found[1], prediction)
+            yield pa.RecordBatch.from_arrays([batch[key], batch[TARGET], batch["prediction"], pa.array(lower), pa.array(upper)], names=[key, TARGET, "prediction", "lower", "upper"])
+
+    mine = model.transform(rows).select(key, TARGET, "prediction", vector_to_array("leaves").alias("leaves"))
+    kinds = dict(mine.dtypes)
+    return mine.mapInArrow(bounds, f"{key} {kinds[key]}, {TARGET} {kinds[TARGET]}, prediction double, lower double, upper double")

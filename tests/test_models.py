@@ -156,3 +156,12 @@ def test_prediction_lies_inside_its_interval(spark):
     got = regression.predict_with_interval(train, test, trees=10, depth=2).collect()
     assert len(got) == test.count() and all(r.lower <= r.prediction <= r.upper for r in got)
     assert any(r.prediction == r.upper for r in got)
+
+
+def test_interval_pools_weights_without_a_shuffle(table):
+    """Rows times trees times steps are never rows of a table."""
+    train, test = regression.split(table)
+    got = regression.predict_with_interval(train, test, trees=10, depth=4)
+    assert got.count() == test.count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Generate" not in plan and "Window" not in plan
