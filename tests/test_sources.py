@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from noisetrack.operators import joins
 from noisetrack.schemas import AIRCRAFT_FEATURES
 from noisetrack.sources import landing, zone
 from noisetrack.streaming import jobs
@@ -124,6 +125,26 @@ def test_live_range_join_gives_zeros_where_nothing_comes(spark, tmp_path):
     assert all(got[k][c] == 0 for k in (2, 3) for c in AIRCRAFT_FEATURES)
 
 
+def test_live_range_join_keeps_a_place_once_and_equals_the_batch_join(spark, tmp_path):
+    """Sixty measurements of two times and places: the join with the states waits with places, not with measurements."""
+    noise, states = "event_id long, t long, st_lat double, st_lon double", "time_position_unix long, latitude double, longitude double, baro_altitude_m double, velocity_m_s double"
+    events = spark.createDataFrame([(i, (1000, 1700)[i % 2], (48.9, 48.8, None)[i % 3], 2.5) for i in range(60)], noise)
+    air = spark.createDataFrame([(700 + 13 * k, 48.7 + 0.003 * k, 2.4, (None, 500.0, 900.0)[k % 3], 90.0 + k) for k in range(100)], states)
+    last = spark.createDataFrame([(-1, 100_000, 0.0, 0.0)], noise), spark.createDataFrame([(100_000, 0.0, 0.0, 0.0, 0.0)], states)
+    for df, end, name in ((events, last[0], "noise"), (air, last[1], "states")):
+        df.unionByName(end).coalesce(1).write.parquet(str(tmp_path / name))
+    joined = jobs.spatio_temporal_join(jobs.read_landing(spark, str(tmp_path / "noise"), noise), jobs.read_landing(spark, str(tmp_path / "states"), states), delay="1 minute")
+    run = jobs.start(joined, str(tmp_path / "checkpoint"), path=str(tmp_path / "out"))
+    run.awaitTermination()
+    got = {r.event_id: r for r in spark.read.schema(joined.schema).parquet(str(tmp_path / "out")).collect()}
+    want = {r.event_id: r for r in joins.spatio_temporal_join(events, air).collect()}
+    assert set(got) == set(want) == set(range(60)) and any(r.num_aircraft for r in want.values())
+    for k, r in want.items():
+        assert [got[k][c] for c in AIRCRAFT_FEATURES] == pytest.approx([r[c] for c in AIRCRAFT_FEATURES])
+    held = [o["numRowsTotal"] for p in run.recentProgress for o in p["stateOperators"] if "Join" in o["operatorName"]]
+    assert 0 < max(held) < 60 * 9  # a measurement in each cell before
+
+
 def test_tables_of_a_database(spark):
     import uuid
 
