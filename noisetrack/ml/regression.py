@@ -17,9 +17,11 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noisetrack.ml import boosting
+from noisetrack.ml import boosting, forest
 from noisetrack.ml.boosting import Boosting
 from noisetrack.ml.features import CATEGORICAL, NUMERIC, TARGET
+from noisetrack.ml.forest import Forest
+from noisetrack.session import materialised
 
 FOLDS, MIN_ROWS, SEED = 5, 50, 42
 ROWS_A_TASK, FITS_AT_ONCE, LEVEL_DB, ROWS_AT_ONCE = 50_000, 8, 0.1, 256
@@ -35,11 +37,11 @@ def preprocessing(columns: list[str]) -> list:
 
 
 def candidate_models() -> dict:
-    """The four candidates; the boosted ones are fitted together, see ``boosting``."""
+    """The four candidates; the boosted ones are fitted together, see ``boosting``, and all folds of the forest, see ``forest``."""
     common = {"featuresCol": "features", "labelCol": TARGET}
     return {
         "linear": LinearRegression(**common),
-        "forest": RandomForestRegressor(numTrees=250, maxDepth=14, minInstancesPerNode=3, seed=SEED, **common),
+        "forest": Forest(trees=250, depth=14, least=3, seed=SEED),
         "boosting": Boosting(rounds=300, depth=3, step=0.05, least=5, share=0.9),
         "deep_boosting": Boosting(rounds=400, depth=6, step=0.06, least=20, l2=1.0),
     }
@@ -108,8 +110,31 @@ def boosted(df: DataFrame, specs: list[Boosting], others: tuple[DataFrame, ...]
     return [(boosting.predict(rows, m, cuts, keep, "fold"), *(boosting.predict(x, m, cuts, keep, "all") for x in (rows, *map(ready, others)))) for m in models]
 
 
+def forested(df: DataFrame, spec: Forest, other: DataFrame | None = None, key: str = "event_id", n: int = FOLDS) -> tuple[DataFrame, ...]:
+    """Predictions of the rows by the fit that has not seen their fold and, with another table, those of the rows and of the
+    other's by the fit on all rows.  Categories and bins are those of all rows.  Keys are unique, in both tables together."""
+    prepare = Pipeline(stages=preprocessing(df.columns)).fit(df)
+    ready = lambda x, part: boosting.as_rows(prepare.transform(x.withColumn("_fold", part)), key, TARGET, "_fold")
+    rows = ready(df, fold(F.col(key), n))
+    if other is not None:
+        rows = rows.unionByName(ready(other, F.lit(-1)))
+    rows = materialised(rows, "forest-rows")
+    found = materialised(forest.predictions(rows, spec, n, key, whole=other is not None), "forest")
+    mine = rows.select(key, "fold", TARGET).join(found, key)
+    of = lambda where, c: mine.where(where).select(key, "fold", TARGET, F.col(c).alias("prediction"))
+    return (of("fold >= 0", "out_of_fold"), *((of("fold >= 0", "by_all"), of("fold < 0", "by_all")) if other is not None else ()))
+
+
+def in_reach(df: DataFrame, model):
+    """The model, or for a forest on a table that no task may hold, MLlib's of the same parameters."""
+    return model.mllib(TARGET) if isinstance(model, Forest) and df.count() > forest.MOST_ROWS else model
+
+
 def out_of_fold(df: DataFrame, model, key: str = "event_id", n: int = FOLDS) -> DataFrame:
     """Predictions of each row by the model that has not seen its fold."""
+    model = in_reach(df, model)
+    if isinstance(model, Forest):
+        return forested(df, model, key=key, n=n)[0]
     if isinstance(model, Boosting):
         return boosted(df, [model], key=key, n=n)[0][0]
     return reduce(DataFrame.unionByName, at_once(df.sparkSession, fold_models(df, model, key, n)))
@@ -144,13 +169,17 @@ def compare(df: DataFrame, models: dict, n: int = FOLDS) -> Comparison:
 
         return job
 
+    models = {name: in_reach(df, m) for name, m in models.items()}
+    forests = {name: m for name, m in models.items() if isinstance(m, Forest)}
     trees = {name: m for name, m in models.items() if isinstance(m, Boosting)}
-    rest = {name: m for name, m in models.items() if not isinstance(m, Boosting)}
+    rest = {name: m for name, m in models.items() if not isinstance(m, (Boosting, Forest))}
     jobs = [lambda: boosted(train, list(trees.values()), (test,), n=n)] if trees else []
+    jobs += [lambda m=m: forested(train, m, test, n=n) for m in forests.values()]
     for model in rest.values():
         jobs += [fitted(model), *fold_models(train, model, n=n)]
     done, out = at_once(df.sparkSession, jobs), None
     results = dict(zip(trees, done[0], strict=True)) if trees else {}
+    results |= dict(zip(forests, done[bool(trees) :]))
     for k, name in enumerate(rest):
         (on_train, on_test), *folds = done[len(jobs) - (len(rest) - k) * (n + 1) :][: n + 1]
         results[name] = (reduce(DataFrame.unionByName, folds), on_train, on_test)

@@ -8,9 +8,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from noisetrack.ml import boosting, regression
+from noisetrack.ml import boosting, forest, regression
 from noisetrack.ml.boosting import Boosting
 from noisetrack.ml.features import TARGET
+from noisetrack.ml.forest import Forest
 
 
 @pytest.fixture(scope="module")
@@ -165,3 +166,63 @@ def test_interval_pools_weights_without_a_shuffle(table):
     assert got.count() == test.count()
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan and "Generate" not in plan and "Window" not in plan
+
+
+def test_a_tree_equals_a_plain_one():
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, 8, (300, 3)).astype(np.uint8), rng.normal(size=300)
+    y += x[:, 0] * (x[:, 1] > 3)
+    w = forest.times_drawn(np.arange(300), 5, 42)
+    assert 0.5 < np.mean(w > 0) < 0.75 and 0.85 < w.mean() < 1.15
+    spec = Forest(1, 5, least=4, of=1.0, bins=8)
+
+    def plain(rows, depth):
+        n, g = w[rows].sum(), (w * y)[rows].sum()
+        best = (0.0, None)
+        for f in range(3):
+            for b in range(7):
+                left, right = [i for i in rows if x[i, f] <= b], [i for i in rows if x[i, f] > b]
+                if w[left].sum() >= 4 and w[right].sum() >= 4:
+                    gain = (w * y)[left].sum() ** 2 / w[left].sum() + (w * y)[right].sum() ** 2 / w[right].sum() - g**2 / n
+                    best = max(best, (gain, (left, right, f, b)), key=lambda c: c[0])
+        if not depth or best[1] is None:
+            return g / n
+        left, right, f, b = best[1]
+        return f, b, plain(left, depth - 1), plain(right, depth - 1)
+
+    tree = plain(list(np.flatnonzero(w)), 5)
+    assert forest.grow(x, y, w, spec, rng).predict(x) == pytest.approx([value(tree, row) for row in x])
+
+
+def test_forest_of_all_folds_takes_few_jobs_and_is_as_good_as_mllibs(spark, table):
+    spec = Forest(60, 8, least=3, groups=4)
+    context = spark.sparkContext
+    context.setJobGroup("forest", "all folds")
+    try:
+        got = regression.out_of_fold(table, spec).collect()
+        jobs = len(context.statusTracker().getJobIdsForGroup("forest"))
+    finally:
+        context._jsc.sc().clearJobGroup()
+    assert jobs < 40  # a job for each level and group of nodes of each fold before
+    assert len(got) == len({r.event_id for r in got}) == 400
+    error = lambda rows: (sum((r.prediction - r[TARGET]) ** 2 for r in rows) / len(rows)) ** 0.5
+    assert error(got) == pytest.approx(error(regression.out_of_fold(table, spec.mllib(TARGET)).collect()), rel=0.1)
+    again = {r.event_id: r.prediction for r in regression.out_of_fold(table.repartition(3), spec).collect()}
+    assert all(again[r.event_id] == pytest.approx(r.prediction) for r in got)
+
+
+def test_forest_is_compared(table):
+    found = regression.compare(table, {"linear": LinearRegression(featuresCol="features", labelCol=TARGET), "forest": Forest(20, 6, least=3, groups=2)}, n=3)
+    rows = {r.model: r for r in found.table.collect()}
+    train, _ = regression.split(table)
+    errors = {}
+    for r in regression.out_of_fold(train, Forest(20, 6, least=3, groups=2), n=3).collect():
+        errors.setdefault(r.fold, []).append((r.prediction - r[TARGET]) ** 2)
+    assert rows["forest"].cv_rmse == pytest.approx(sum((sum(e) / len(e)) ** 0.5 for e in errors.values()) / 3, abs=6e-4)
+    assert rows["forest"].train_rmse < rows["forest"].test_rmse < 4
+
+
+def test_a_table_that_no_task_may_hold_is_left_to_mllib(table, monkeypatch):
+    monkeypatch.setattr(forest, "MOST_ROWS", 100)
+    assert isinstance(regression.in_reach(table, Forest(5, 3)), RandomForestRegressor)
+    assert regression.out_of_fold(table, Forest(5, 3), n=3).count() == 400
