@@ -172,3 +172,24 @@ def test_peaks_and_levels_of_shared_times_equal_plain_loops(spark):
     for e in ev:
         each = [(139 if s[3] > 800 else 132) - 8 - 20 * math.log10(max(50.0, 1000 * math.hypot(kilometres(e[2], e[3], s[1], s[2]), s[3] / 1000))) for s in st if abs(s[0] - e[5]) <= 20]
         assert levels.get(e[0]) == (pytest.approx((10 * math.log10(sum(10 ** (x / 10) for x in [*each, 44.0])), max(each))) if each else None)
+
+
+def test_events_of_one_time_meet_aircraft_together(spark, monkeypatch):
+    """Rows that are lists of events give the pairs of single events, in lists cut small too; an event without a time has none."""
+    ev, st = world(7, 48.9, 250.0)
+    ev = [(i * 100 + k, *e[1:]) for i, e in enumerate(ev) for k in range(5)] + [(-1, "S", 48.9, 2.5, 70.0, None), (None, "S", 48.9, 2.5, 70.0, 30.0), (None, "S", 48.9, 2.5, 70.0, 30.0)]
+    events, air = spark.createDataFrame(ev, EVENTS), states(spark, *st)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    columns = ("event_id", "icao24", "lat", "lon", "alt", "bracketed")
+    single = rows(joins.estimate_position(joins.candidates(events, air, 45.0)).select(*columns))
+    times, seen = events.select("event_id", "max_ts_unix"), air.select("icao24", "snapshot_ts")
+    pairs = rows(joins.interval_join(times, seen, "max_ts_unix", "snapshot_ts", 45).select("event_id", "max_ts_unix", "icao24", "snapshot_ts"))
+    for most in (2, 1_000):
+        monkeypatch.setattr(joins, "TOGETHER", most)
+        asking = joins.asking_together(events)
+        assert asking.selectExpr("sum(size(_asking))").first()[0] == len(ev) - 1
+        assert asking.count() == len({e[5] for e in ev if e[5] is not None}) or most == 2
+        found = joins.candidates(asking, air, 45.0, keep=("_asking",))
+        assert found.count() * 4 < len(single) or most == 2
+        assert rows(joins.each_asker(joins.estimate_position(found)).select(*columns)) == single
+        assert rows(joins.interval_pairs(times, seen, "max_ts_unix", "snapshot_ts", 45).select("event_id", "max_ts_unix", "icao24", "snapshot_ts")) == pairs
