@@ -5,6 +5,7 @@ import re
 import pytest
 
 from noisetrack.plans import registry
+from noisetrack.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
 COPIES = (12, 36)
@@ -44,3 +45,18 @@ def joined(spark, run):
 def test_pairs_grow_no_faster_than_events(spark, repeated, name):
     few, many = (joined(spark, lambda: registry.queries()[name](spark, folder).write.format("noop").mode("overwrite").save()) for folder in repeated)
     assert 0 < few < many < 1.25 * COPIES[1] / COPIES[0] * few
+
+
+def test_the_live_interval_join_meets_lists(spark, repeated):
+    """What the join itself gives does not grow with the square of the density; its lists are unfolded after it."""
+    few, many = (joined(spark, lambda: registry.queries()["stream_interval_join"](spark, folder).write.format("noop").mode("overwrite").save()) for folder in repeated)
+    assert 0 < few <= many < 1.25 * COPIES[1] / COPIES[0] * few
+
+
+def test_lists_hold_every_row_once(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "TOGETHER", 3)
+    monkeypatch.setattr(jobs, "GATHERED", 20)
+    rows = spark.createDataFrame([(k % 7 * 9 - 20, f"a{k}") for k in range(60)] + [(None, "no time")], "snapshot_ts long, icao24 string").coalesce(1)
+    got = jobs.in_lists(rows, "snapshot_ts", 15, "x").collect()
+    assert all(len(r.x) <= 3 and len({s.snapshot_ts // 15 for s in r.x}) == 1 and r._last == max(s.snapshot_ts for s in r.x) for r in got)
+    assert sorted(tuple(s) for r in got for s in r.x) == sorted(tuple(r) for r in rows.where("snapshot_ts IS NOT NULL").collect())
