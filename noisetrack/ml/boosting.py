@@ -1,12 +1,16 @@
 """Gradient boosting on histograms, all folds and all candidates in the same jobs.
 
-Features are binned once.  A job handles one level of the trees that are growing: each task adds up, for each fit (candidate
-and left-out fold), open node, feature and bin, the residuals and the number of its rows, and only these sums, whose size
+Features are binned once, and rows of equal bins (a vector) are alike to every tree, so sums over rows are sums over vectors
+of their number and levels.  Up to ``MOST_ROWS`` rows each fit (candidate and left-out fold) is a task that runs all its rounds: rows
+come in order of their vectors, a task holds the vectors with two numbers each and, where rounds look at a share of the rows,
+16 bytes a row to draw them.
+
+Beyond, no task may hold them: a job handles one level of the trees that are growing.  Each task adds up, for each fit,
+open node, feature and bin, the residuals and the number of its rows, and only these sums, whose size
 depends on the parameters and not on the rows, come back.  The driver picks the splits.  So the number of jobs is that of
-the levels of the longest candidate, not the sum over all fits.  Where one partition holds all rows, its sums are the sums of
-all, and the task picks the splits itself by the same code: a job is then ``ROUNDS_A_JOB`` rounds.
+the levels of the longest candidate, not the sum over all fits.
 
-A task needs the residuals of its rows.  Its Python worker keeps them and brings them up to date by the trees that it has not
+A task then needs the residuals of its rows.  Its Python worker keeps them and brings them up to date by the trees that it has not
 seen; a worker that has not seen the partition replays all trees from its rows, which gives the same numbers.  Rows are
 deserialised blocks that Spark holds in memory or on disk and reads again where they are lost; trees are broadcast some
 rounds at a time.  Nothing but time is lost with an executor.
@@ -19,6 +23,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial, reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROUNDS_A_BROADCAST, ROUNDS_A_JOB, FANIN, WORKER_PARTITIONS = 10, 20, 16, 8
+from noisetrack.session import materialised
+
+ROUNDS_A_BROADCAST, FANIN, WORKER_PARTITIONS = 10, 16, 8
+MOST_ROWS, ROWS_AT_ONCE, PACKED = 10_000_000, 65_536, 1_024
 
 
 @dataclass(frozen=True)
@@ -101,6 +109,89 @@ def binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(c, x[:, k], "left") for k, c in enumerate(cuts)], axis=1).astype(np.uint8) if len(x) else np.zeros((0, len(cuts)), np.uint8)
 
 
+def with_bins(rows: DataFrame, cuts: list[np.ndarray], *keep: str) -> DataFrame:
+    """The ``keep`` columns and ``b``, the bins of ``x``, a byte each."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            x = binned(batch["x"].flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, len(cuts)), cuts)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array([r.tobytes() for r in x], pa.binary())], [*keep, "b"])
+
+    kinds = dict(rows.dtypes)
+    return rows.select(*keep, "x").mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "b binary"]))
+
+
+def bytes_of(column: pa.Array) -> np.ndarray:
+    """The bytes of all values of a binary column, one after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+
+
+def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """Batches in order of a column, by its values."""
+
+    def parts() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches:
+            values = batch[column].to_numpy()
+            edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True]) if len(values) else [0]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield int(values[a]), batch.slice(a, b - a)
+
+    for value, own in groupby(parts(), lambda p: p[0]):
+        yield value, (part for _, part in own)
+
+
+def vectors(batches: Iterator[pa.RecordBatch], width: int, *columns: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of rows in order of ``b``: the vectors that differ, the number of each row's, and columns."""
+    x, at, rest, last, n = [], [], [[] for _ in columns], None, 0
+    for batch in batches:
+        b = bytes_of(batch["b"]).reshape(batch.num_rows, width)
+        before = np.vstack([b[:1] if last is None else last, b[:-1]])
+        new = (b != before).any(axis=1)
+        new[0] |= last is None
+        x.append(b[new])
+        at.append((n - 1 + np.cumsum(new)).astype(np.int32))
+        n, last = n + int(new.sum()), b[-1:].copy()
+        for c, values in zip(columns, rest, strict=True):
+            values.append(batch[c].to_numpy())
+    return np.concatenate(x), np.concatenate(at), [np.concatenate(v) for v in rest]
+
+
+class Packed:
+    """Vectors with several features in one number, so that a histogram goes over fewer of them: the cells of a number are added
+    up to the bins of each feature."""
+
+    def __init__(self, x: np.ndarray, bins: int) -> None:
+        self.width, self.bins, self.packs = x.shape[1], bins, []
+        used = [np.unique(x[:, f], return_inverse=True) for f in range(self.width)]
+        left = sorted(range(self.width), key=lambda f: len(used[f][0]))
+        while left:
+            some, cells = [], 1
+            for f in left:
+                if not some or cells * len(used[f][0]) <= PACKED:
+                    some, cells = [*some, f], cells * len(used[f][0])
+            left = [f for f in left if f not in some]
+            code = np.zeros(len(x), np.int32)
+            for f in some:
+                code = code * len(used[f][0]) + used[f][1].astype(np.int32)
+            self.packs.append((some, [used[f][0] for f in some], code))
+
+    def histograms(self, slot: np.ndarray, g: np.ndarray, n: np.ndarray, n_slots: int) -> np.ndarray:
+        """(2, slots, features, bins): sums of ``g`` and ``n``; vectors whose slot is negative are left out."""
+        out = np.zeros((2, n_slots, self.width, self.bins))
+        own = np.flatnonzero(slot >= 0)
+        every = len(own) == len(slot)
+        slot, weights = (slot, (g, n)) if every else (slot[own], (g[own], n[own]))
+        for some, values, code in self.packs:
+            sizes = [len(v) for v in values]
+            cells = int(np.prod(sizes))
+            key = slot * cells + (code if every else code[own])
+            for k, weight in enumerate(weights):
+                found = np.bincount(key, weight, n_slots * cells).reshape(n_slots, *sizes)
+                for j, f in enumerate(some):
+                    out[k][:, f, values[j]] = found.sum(axis=tuple(a + 1 for a in range(len(some)) if a != j))
+        return out
+
+
 @dataclass
 class Block:
     x: np.ndarray
@@ -222,6 +313,69 @@ class Growing:
         self.slot = np.where(self.open, np.cumsum(self.open).reshape(self.open.shape) - 1, -1)
 
 
+def whole_fit(batches: Iterator[pa.RecordBatch], spec: Boosting, start: float, width: int, bins: int) -> list[Tree]:
+    """All rounds of one fit.  batches: b, n, y and uid in order of b; n rows of equal bins are drawn together."""
+    x, at, (n, y, uid) = vectors(batches, width, "n", "y", "uid")
+    packed, growing = Packed(x, bins), Growing(spec, np.array([start]), bins)
+    predicted = np.full(len(x), start)
+
+    def sums(round_: int) -> tuple[np.ndarray, np.ndarray]:
+        rows, levels = np.zeros(len(x)), np.zeros(len(x))
+        for a in range(0, len(at), ROWS_AT_ONCE):
+            part = slice(a, a + ROWS_AT_ONCE)
+            first = at[a]
+            own, use = at[part] - first, drawn(uid[part], round_, spec.share)
+            there = slice(first, first + own[-1] + 1)
+            rows[there] += np.bincount(own, np.where(use, n[part], 0))
+            levels[there] += np.bincount(own, np.where(use, y[part], 0.0))
+        return rows, levels
+
+    rows, levels = sums(0)
+    for round_ in range(spec.rounds):
+        if round_ and spec.share < 1:
+            rows, levels = sums(round_)
+        residual, node = levels - rows * predicted, np.zeros(len(x), np.int64)
+        while True:
+            tree, level = growing.tree, growing.level
+            slot = growing.slot[0][node - (2**level - 1)]
+            growing.take(packed.histograms(slot, residual, rows, int(growing.slot.max()) + 1) if growing.open.any() else None)
+            node = tree.descend(x, 0, node, 1)
+            if not growing.level:
+                break
+        predicted += tree.value[0][node - (2**spec.depth - 1)]
+    return growing.model.trees
+
+
+def whole_fits(rows: DataFrame, cuts: list[np.ndarray], specs: list[Boosting], start: np.ndarray, bins: int) -> list[Model]:
+    """``fit_folds`` with each fit in a task of its own."""
+    fits, width = len(start), len(cuts)
+    ready = materialised(with_bins(rows, cuts, "y", "fold", "uid"), "binned")
+    alike = ready.groupBy("b", "fold").agg(F.sum("y").alias("y"), F.min("uid").alias("uid"), F.count("*").alias("n"))
+    dealt = lambda df, tasks: df.select("b", "n", "y", "uid", F.explode(F.filter(F.array(*[F.lit(t) for t in tasks]), lambda t: t % fits != F.col("fold"))).alias("task"))
+    of = lambda which: [s * fits + k for s, spec in enumerate(specs) if which(spec) for k in range(fits)]
+    sent = reduce(DataFrame.unionByName, [dealt(df, tasks) for df, tasks in ((alike, of(lambda s: s.share >= 1)), (ready.withColumn("n", F.lit(1).cast("long")), of(lambda s: s.share < 1))) if tasks])
+
+    def fit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task, own in runs(it, "task"):
+            trees = whole_fit(own, specs[task // fits], start[task % fits], width, bins)
+            parts = [np.concatenate(x).astype(kind).tobytes() for x, kind in (([t.feature for t in trees], np.int16), ([t.bin for t in trees], np.int16), ([t.value for t in trees], float))]
+            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), *(pa.array([p], pa.binary()) for p in parts)], ["task", "feature", "bin", "value"])
+
+    ordered = sent.repartitionById(len(specs) * fits, "task").sortWithinPartitions("task", "b", "uid")
+    found = {r["task"]: r for r in ordered.mapInArrow(fit, "task int, feature binary, bin binary, value binary").collect()}  # trees: their size depends on the parameters
+    models = []
+    for s, spec in enumerate(specs):
+        inner, leaves = 2**spec.depth - 1, 2**spec.depth
+
+        def of_fits(name: str, kind: type, size: int, none: float, s: int = s, spec: Boosting = spec) -> np.ndarray:
+            one = lambda k: np.frombuffer(found[k][name], kind).reshape(spec.rounds, size) if k in found else np.full((spec.rounds, size), none, kind)
+            return np.stack([one(s * fits + k) for k in range(fits)], axis=1)
+
+        trees = zip(of_fits("feature", np.int16, inner, 0), of_fits("bin", np.int16, inner, bins), of_fits("value", float, leaves, 0.0), strict=True)
+        models.append(Model(start.copy(), [Tree(*t) for t in trees], spec.depth))
+    return models
+
+
 def fit_folds(rows: DataFrame, specs: list[Boosting], folds: int, bins: int = 32, rows_a_task: int = 50_000) -> tuple[list[Model], list[np.ndarray]]:
     """A model for each candidate, with ``folds`` fits that leave a fold out and one of all rows; and the cut points.
 
@@ -232,6 +386,8 @@ def fit_folds(rows: DataFrame, specs: list[Boosting], folds: int, bins: int = 32
     total, n = sum(s for s, _ in sums.values()), sum(c for _, c in sums.values())
     without = lambda k: (total - sums.get(k, (0, 0))[0]) / max(1, n - sums.get(k, (0, 0))[1])
     start = np.array([without(k) for k in range(folds)] + [total / max(1, n)])
+    if size <= MOST_ROWS:
+        return whole_fits(rows, cuts, specs, start, bins), cuts
     growing = [Growing(s, start.copy(), bins) for s in specs]
 
     def block(part: Iterator) -> Iterator[Block]:
@@ -266,33 +422,12 @@ def fit_folds(rows: DataFrame, specs: list[Boosting], folds: int, bins: int = 32
             out.append(histograms(held, s, rounds, specs[s].share, level, slot, bins))
         yield out
 
-    def some_rounds(index: int, part: Iterator[Block], todo: tuple, chunks: list[list], recent: list[list[Tree]]) -> Iterator[list[list[Tree]]]:
-        (own,) = part
-        held = running(index, own, [(s, rounds, 0) for s, rounds in todo], chunks, recent)
-        out = []
-        for s, rounds in todo:
-            g = Growing(specs[s], start, bins)
-            for r in range(rounds, min(specs[s].rounds, rounds + ROUNDS_A_JOB)):
-                g.take(histograms(held, s, r, specs[s].share, 0, g.slot, bins))
-                while g.level:
-                    held.go_down(s, g.tree, g.level)
-                    g.take(histograms(held, s, r, specs[s].share, g.level, g.slot, bins) if g.open.any() else None)
-                held.add(s, g.model.trees[-1], specs[s].depth)
-            out.append(g.model.trees)
-        yield out
-
     try:
         while not all(g.over for g in growing):
             for g, out in zip(growing, sent, strict=True):
                 while len(g.model.trees) >= (len(out) + 1) * ROUNDS_A_BROADCAST:
                     out.append(context.broadcast(g.model.trees[len(out) * ROUNDS_A_BROADCAST :][:ROUNDS_A_BROADCAST]))
             chunks, recent = [list(x) for x in sent], [g.model.trees[len(x) * ROUNDS_A_BROADCAST :] for x, g in zip(sent, growing, strict=True)]
-            if parts == 1:
-                todo = tuple((s, len(g.model.trees)) for s, g in enumerate(growing) if not g.over)
-                (trees,) = blocks.mapPartitionsWithIndex(partial(some_rounds, todo=todo, chunks=chunks, recent=recent)).collect()
-                for (s, _), new in zip(todo, trees, strict=True):
-                    growing[s].model.trees += new
-                continue
             todo = tuple((s, len(g.model.trees), g.level, g.tree, g.slot) for s, g in enumerate(growing) if not g.over and g.open.any())
             found: dict[int, np.ndarray] = {}
             if todo:

@@ -132,6 +132,38 @@ def test_boosting_equals_a_plain_one(table, rows_a_task):
                         assert got[r.event_id] == pytest.approx(start + sum(value(t, x[i]) for t in trees), abs=1e-6)
 
 
+@pytest.mark.parametrize("rows_a_task", [50_000, 120])
+def test_boosting_over_many_tasks_equals_a_plain_one(table, rows_a_task, monkeypatch):
+    monkeypatch.setattr(boosting, "MOST_ROWS", 100)
+    test_boosting_equals_a_plain_one(table, rows_a_task)
+
+
+def test_boosting_takes_few_jobs(spark, table):
+    """Beyond a task's rows it was a job for each level of each round."""
+    rows = table.select(F.array(F.col("hour").cast("double"), F.col("num_aircraft").cast("double")).alias("x"), F.col(TARGET).alias("y"), regression.fold(F.col("event_id"), 3).alias("fold"), F.xxhash64("event_id").alias("uid"))
+    context = spark.sparkContext
+    context.setJobGroup("boosting", "all rounds")
+    try:
+        boosting.fit_folds(rows, SPECS, 3, 8, rows_a_task=120)
+        jobs = len(context.statusTracker().getJobIdsForGroup("boosting"))
+    finally:
+        context._jsc.sc().clearJobGroup()
+    assert jobs < 20 < SPECS[0].rounds * SPECS[0].depth
+
+
+def test_packed_histograms_equal_plain_ones():
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.choice(k, 500) for k in ([0, 1], [3, 7, 8], range(40), range(2, 34), [5])], axis=1).astype(np.uint8)
+    slot, g, n = rng.integers(-1, 3, 500), rng.normal(size=500), rng.integers(0, 9, 500).astype(float)
+    packed = boosting.Packed(x, 40)
+    assert len(packed.packs) < x.shape[1]
+    got = packed.histograms(slot, g, n, 3)
+    for k, weight in enumerate((g, n)):
+        for s in range(3):
+            for f in range(x.shape[1]):
+                assert got[k, s, f] == pytest.approx(np.bincount(x[slot == s, f], weight[slot == s], 40), abs=1e-9)
+
+
 def test_boosted_candidates_are_compared(table):
     found = regression.compare(table, {"linear": LinearRegression(featuresCol="features", labelCol=TARGET), "boosting": Boosting(30, 3, 0.2, least=5)}, n=3)
     rows = {r.model: r for r in found.table.collect()}
