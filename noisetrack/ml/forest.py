@@ -1,10 +1,12 @@
 """A random forest of deep trees, all folds in one shuffle.
 
 MLlib adds up dense histograms of all nodes of a level, in every partition; at depth 14 these are far larger than the rows.
-Here rows are binned once and sent to each of ``groups`` tasks, which grow some of the trees, for every left-out fold, and send
-back one sum of predictions a row.  Trees never leave their task.  What is drawn for a tree depends on the row's id, the tree
-and nothing else, so results do not depend on where rows are.  A task holds some 60 bytes a row; tables beyond ``MOST_ROWS`` are
-MLlib's (see ``regression``), which gathers nothing.
+Here rows are binned once, and rows of equal bins (a vector) and fold are alike to every tree.  Where its rows are, how often a
+tree draws them and the levels drawn are added up for each vector and fold; these sums go to ``groups`` tasks, which grow some
+of the trees each, for every left-out fold, and send back one sum of predictions a vector.  Rows go through one shuffle and no
+task holds more than some ``ROWS_A_TASK`` of them; a growing task holds some 30 bytes a vector and fold, and the sums of one tree.  Trees
+never leave their task.  What is drawn for a tree depends on the row's id, the tree and nothing else, so results do not depend
+on where rows are.  Tables beyond ``MOST_ROWS``, whose vectors could be as many, are MLlib's (see ``regression``), which gathers nothing.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noisetrack.ml.boosting import binned, cut_points
+from noisetrack.ml.boosting import bytes_of, cut_points, runs, vectors, with_bins
+from noisetrack.session import materialised
 
-MOST_ROWS = 10_000_000
+MOST_ROWS, ROWS_A_TASK = 10_000_000, 200_000
 
 
 @dataclass(frozen=True)
@@ -73,11 +76,16 @@ def times_drawn(uid: np.ndarray, tree: int, seed: int) -> np.ndarray:
 
 def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, spec: Forest, rng: np.random.Generator) -> Tree:
     """x: bins; w: how often each row counts."""
+    return grow_sums(x, w, w * y, spec, rng)
+
+
+def grow_sums(x: np.ndarray, w: np.ndarray, wy: np.ndarray, spec: Forest, rng: np.random.Generator) -> Tree:
+    """x: vectors of bins; w: how often rows of a vector are drawn, all in all; wy: the sum of the levels drawn."""
     some = min(x.shape[1], max(1, math.ceil(spec.of * x.shape[1] - 1e-9)))
     rows = np.flatnonzero(w)
     w = w[rows]
-    mean = np.dot(w, y[rows]) / max(1.0, w.sum())
-    wy = w * (y[rows] - mean)
+    mean = wy[rows].sum() / max(1.0, w.sum())
+    wy = wy[rows] - w * mean
     slot, count, first, levels = np.zeros(len(rows), np.int64), 1, 0, []
     for level in range(spec.depth + 1):
         n, g = np.bincount(slot, w, count), np.bincount(slot, wy, count)
@@ -115,34 +123,71 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, spec: Forest, rng: np.rand
     return Tree(*map(np.concatenate, zip(*levels, strict=True)), len(levels) - 1)
 
 
+def draw_sums(part: int, batches: Iterator[pa.RecordBatch], spec: Forest, width: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """For each group of trees the vectors and folds of a part (as tree -1), then for each of its trees how often and with what
+    sum of levels their rows are drawn.  batches: b, fold, y and uid in order of b and fold."""
+    x, at, (fold, y, uid) = vectors(batches, width, "fold", "y", "uid")
+    new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (fold[1:] != fold[:-1])])
+    x, folds = x[at[new]], fold[new].astype(np.int16)
+    entry = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(at)]))
+    learned = fold >= 0
+    record = lambda group, tree, *columns: pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([tree], pa.int32()), pa.array([part], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in columns)], ["group", "tree", "part", "first", "second"])
+    for group in range(groups):
+        yield record(group, -1, x, folds)
+    for tree in range(spec.trees):
+        w = np.where(learned, times_drawn(uid, tree, spec.seed), 0.0)
+        yield record(tree % groups, tree, np.bincount(entry, w, len(new)).astype(np.int32), np.bincount(entry, w * y, len(new)))
+
+
+def some_trees(batches: Iterator[pa.RecordBatch], spec: Forest, width: int, folds: int, whole: bool) -> pa.RecordBatch:
+    """Sums of a group's predictions: a row a vector, with a column for each fold (zero where the vector has no row in it) and one
+    for the fit on all rows.  batches: ``draw_sums`` in order of tree and part."""
+    joined = lambda records, name, kind: np.frombuffer(b"".join(bytes_of(r[name]).tobytes() for r in records), kind)
+    for tree, records in runs(batches, "tree"):
+        records = list(records)
+        if tree < 0:
+            known, at = np.unique(joined(records, "first", np.dtype((np.void, width))), return_inverse=True)
+            x = known.view(np.uint8).reshape(len(known), width)
+            fold = joined(records, "second", np.int16)
+            order = np.lexsort((fold, at))  # sums do not depend on where parts were
+            at, fold = at[order], fold[order]
+            asked = [np.unique(at[fold == k]) for k in range(folds)]
+            out = np.zeros((folds + 1, len(known)))
+            continue
+        w, wy = joined(records, "first", np.int32)[order], joined(records, "second", float)[order]
+        for k, own in enumerate(asked):
+            if len(own):
+                others = fold != k
+                sums = (np.bincount(at, np.where(others, c, 0.0), len(known)) for c in (w, wy))
+                out[k, own] += grow_sums(x, *sums, spec, np.random.default_rng([spec.seed, tree, k])).predict(x[own])
+        if whole:
+            sums = (np.bincount(at, c, len(known)) for c in (w, wy))
+            out[folds] += grow_sums(x, *sums, spec, np.random.default_rng([spec.seed, tree, folds])).predict(x)
+    return pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in known], pa.binary()), *(pa.array(o) for o in out)], ["b", *(f"by_{k}" for k in range(folds + 1))])
+
+
 def predictions(rows: DataFrame, spec: Forest, folds: int, key: str, whole: bool = False) -> DataFrame:
     """``key``, ``out_of_fold`` (by the fit that has not seen the row's fold) and, with ``whole``, ``by_all`` (by the fit on all rows).
 
     rows: key, x (array of double), y, fold (0 .. folds - 1; -1: never learned from, without ``out_of_fold``), uid."""
     cuts = cut_points(rows.where("fold >= 0"), spec.bins)
-    kind = dict(rows.dtypes)[key]
-
-    def bins(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            x = binned(np.array(batch["x"].to_pylist(), float).reshape(batch.num_rows, len(cuts)), cuts)
-            yield pa.RecordBatch.from_arrays([batch[key], pa.array([r.tobytes() for r in x], pa.binary()), batch["y"], batch["fold"], batch["uid"]], [key, "b", "y", "fold", "uid"])
-
-    def some_trees(table: pa.Table) -> pa.Table:
-        table = table.sort_by("uid")
-        x = np.frombuffer(b"".join(table["b"].to_pylist()), np.uint8).reshape(len(table), len(cuts))
-        y, fold, uid = (table[c].to_numpy() for c in ("y", "fold", "uid"))
-        own = [np.flatnonzero(fold == k) for k in range(folds)]
-        out, by_all = np.zeros(len(table)), np.zeros(len(table))
-        for tree in range(table["group"][0].as_py(), spec.trees, spec.groups):
-            w = np.where(fold >= 0, times_drawn(uid, tree, spec.seed), 0.0)
-            for k in range(folds):
-                if len(own[k]):
-                    out[own[k]] += grow(x, y, np.where(fold == k, 0.0, w), spec, np.random.default_rng([spec.seed, tree, k])).predict(x[own[k]])
-            if whole:
-                by_all += grow(x, y, w, spec, np.random.default_rng([spec.seed, tree, folds])).predict(x)
-        return pa.table({key: table[key], "out": pa.array(out), "by_all": pa.array(by_all)})
-
-    ready = rows.select(key, "x", "y", "fold", "uid").mapInArrow(bins, f"`{key}` {kind}, b binary, y double, fold int, uid long")
-    dealt = ready.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(min(spec.groups, spec.trees) - 1)))).repartitionByRange(min(spec.groups, spec.trees), "group")
-    sums = dealt.groupBy("group").applyInArrow(some_trees, f"`{key}` {kind}, out double, by_all double").groupBy(key).agg((F.sum("out") / spec.trees).alias("out_of_fold"), (F.sum("by_all") / spec.trees).alias("by_all"))
-    return sums if whole else sums.drop("by_all")
+    width, groups = len(cuts), min(spec.groups, spec.trees)
+    ready = materialised(with_bins(rows, cuts, key, "y", "fold", "uid"), "binned")
+    size, heaviest = ready.groupBy("b").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
+    parts, salts = -(-(size or 1) // ROWS_A_TASK), -(-(heaviest or 1) // ROWS_A_TASK)  # a vector with very many rows is dealt to several parts
+
+    def draws(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, own in runs(it, "part"):
+            yield from draw_sums(part, own, spec, width, groups)
+
+    def trees(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, own in runs(it, "group"):
+            yield some_trees(own, spec, width, folds, whole)
+
+    dealt = ready.select("b", "y", "fold", "uid", F.pmod(F.xxhash64("b", F.pmod("uid", F.lit(salts))), F.lit(parts)).cast("int").alias("part"))
+    drawn = dealt.repartitionById(parts, "part").sortWithinPartitions("part", "b", "fold", "uid").mapInArrow(draws, "group int, tree int, part int, first binary, second binary")
+    sums = [f"by_{k}" for k in range(folds + 1)]
+    grown = drawn.repartitionById(groups, "group").sortWithinPartitions("group", "tree", "part").mapInArrow(trees, ", ".join(["b binary", *(f"{c} double" for c in sums)]))
+    found = grown.groupBy("b").agg(*[(F.sum(c) / spec.trees).alias(c) for c in sums])
+    own = F.element_at(F.array(*sums[:-1]), F.greatest(F.col("fold"), F.lit(0)) + 1)
+    return ready.select(key, "fold", "b").join(found, "b").select(key, own.alias("out_of_fold"), *([F.col(sums[-1]).alias("by_all")] if whole else ()))

@@ -243,6 +243,44 @@ def test_forest_of_all_folds_takes_few_jobs_and_is_as_good_as_mllibs(spark, tabl
     assert all(again[r.event_id] == pytest.approx(r.prediction) for r in got)
 
 
+def test_a_tree_of_sums_equals_one_of_rows():
+    rng = np.random.default_rng(5)
+    known = np.unique(rng.integers(0, 6, (60, 3)).astype(np.uint8), axis=0)
+    at = rng.integers(0, len(known), 2000)
+    y = rng.normal(size=2000) + known[at, 0] * (known[at, 1] > 2)
+    w = forest.times_drawn(np.arange(2000), 1, 42)
+    spec = Forest(1, 6, least=5, of=1.0, bins=6)
+    of_rows = forest.grow(known[at], y, w, spec, np.random.default_rng(1)).predict(known)
+    of_sums = forest.grow_sums(known, np.bincount(at, w), np.bincount(at, w * y), spec, np.random.default_rng(1)).predict(known)
+    assert of_sums == pytest.approx(of_rows)
+
+
+def test_forest_does_not_depend_on_parts(table, monkeypatch):
+    spec = Forest(20, 6, least=3, groups=3)
+    whole = {r.event_id: r.prediction for r in regression.out_of_fold(table, spec).collect()}
+    few = table.withColumn("hour", F.lit(3)).withColumn("num_aircraft", F.col("num_aircraft") % 2)  # vectors with many rows
+    of_few = {r.event_id: r.prediction for r in regression.out_of_fold(few, spec).collect()}
+    monkeypatch.setattr(forest, "ROWS_A_TASK", 50)
+    assert {r.event_id: r.prediction for r in regression.out_of_fold(table, spec).collect()} == pytest.approx(whole)
+    assert {r.event_id: r.prediction for r in regression.out_of_fold(few, spec).collect()} == pytest.approx(of_few, rel=1e-3)
+
+
+def test_forest_sends_sums_and_not_rows_to_its_tasks(spark, table):
+    """Each group of trees got all rows, and sent back as many."""
+    rows = table.withColumn("hour", F.col("hour") % 4).crossJoin(spark.range(10)).withColumn("event_id", F.col("event_id") * 10 + F.col("id")).drop("id").cache()
+    n, store = rows.count(), spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        gateway = spark.sparkContext._gateway
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return {(x.stageId(), x.attemptId()): x.shuffleWriteRecords() for x in (stages.apply(k) for k in range(stages.size()))}
+
+    before = shuffled()
+    assert regression.out_of_fold(rows, Forest(40, 6, least=3, groups=20)).count() == n
+    assert 0 < sum(v for k, v in shuffled().items() if k not in before) < 8 * n < 2 * 20 * n
+
+
 def test_forest_is_compared(table):
     found = regression.compare(table, {"linear": LinearRegression(featuresCol="features", labelCol=TARGET), "forest": Forest(20, 6, least=3, groups=2)}, n=3)
     rows = {r.model: r for r in found.table.collect()}
