@@ -23,6 +23,7 @@ states = spark.range(20000).select(F.col("id").cast("string").alias("icao24"), (
 RUNS = {
     "interval_join": DENSE + 'done(joins.interval_pairs(events.select("event_id", "t"), states.select("icao24", "snapshot_ts"), "t", "snapshot_ts", 45))',
     "estimate_position": DENSE + 'found = joins.candidates(joins.asking_together(events), states, 45.0, keep=("_asking",), lists=True)\ndone(joins.each_asker(joins.estimate_position(found).select("_asking", "event_id", "icao24", "lat", "lon", "alt", "bracketed")))',
+    "stream_interval_join": 'lists = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(3999)), lambda i: F.struct(F.lit(1000).cast("long").alias("t"), i.cast("long").alias("event_id"))).alias("_events"), F.transform(F.sequence(F.lit(0), F.lit(3999)), lambda i: F.struct(F.lit(990).cast("long").alias("snapshot_ts"), i.cast("string").alias("icao24"))).alias("_states")).repartition(1)\ndone(jobs.unfolded(lists, 45))',
 }
 
 
